@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from . import bpe as _bpe
 from . import decontaminate as _decon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +28,8 @@ def query(name: str, sql: str | None = None):
 @query("op3_decontaminate", _decon.SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decon.contamination(_decon.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op10_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bpe.digest(_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True))
