@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import table
 from . import bpe as _bpe
 from . import decontaminate as _decon
+from . import exact_dedup as _exact
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +34,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bpe.digest(_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True))
+
+
+@query("op5_exact_dedup", _exact.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exact.exact_groups(table(spark, sf_dir, "documents"))
