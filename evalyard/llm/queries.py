@@ -11,6 +11,7 @@ from ..session import table
 from . import bpe as _bpe
 from . import decontaminate as _decon
 from . import exact_dedup as _exact
+from . import ngram_join as _ngram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,3 +40,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_exact_dedup", _exact.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_join", _ngram.SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ngram.near_duplicates(table(spark, sf_dir, "documents"))
