@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
 from . import bpe as _bpe
 from . import decontaminate as _decon
 from . import exact_dedup as _exact
+from . import licenses as _licenses
 from . import ngram_join as _ngram
+from . import resharding as _shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +48,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_join", _ngram.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ngram.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OLD_SHARDS, NEW_SHARDS = 16, 24
+
+
+@query("op6_resharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 16 old shards, chosen by source, to 24 of equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(OLD_SHARDS))
+    rows = _shards.sized(docs, carry={"old_shard": old})
+    placed = _shards.reshard(rows, F.col("old_shard"), OLD_SHARDS, NEW_SHARDS)
+    return placed.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"))
+
+
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses.digest(_licenses.scan_licenses(table(spark, sf_dir, "documents")))
