@@ -14,7 +14,9 @@ from . import decontaminate as _decon
 from . import exact_dedup as _exact
 from . import licenses as _licenses
 from . import ngram_join as _ngram
+from . import pseudonyms as _pseudonyms
 from . import resharding as _shards
+from . import secrets as _secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +68,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_licenses")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _licenses.digest(_licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query("op8_pseudonyms")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pseudonyms.digest(_pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key=b"a key for the test tables only"))
+
+
+@query("op9_secrets")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _secrets.digest(_secrets.scan_secrets(table(spark, sf_dir, "documents")))
