@@ -14,6 +14,7 @@ from . import decontaminate as _decon
 from . import exact_dedup as _exact
 from . import licenses as _licenses
 from . import ngram_join as _ngram
+from . import ppm as _ppm
 from . import pseudonyms as _pseudonyms
 from . import resharding as _shards
 from . import secrets as _secrets
@@ -78,3 +79,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secrets")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _secrets.digest(_secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op1_ppm")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return _ppm.score_corpus(table(spark, sf_dir, "documents"), held_out)
