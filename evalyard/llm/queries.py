@@ -16,6 +16,7 @@ from . import licenses as _licenses
 from . import ngram_join as _ngram
 from . import ppm as _ppm
 from . import pseudonyms as _pseudonyms
+from . import quality as _quality
 from . import resharding as _shards
 from . import secrets as _secrets
 
@@ -85,3 +86,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
     return _ppm.score_corpus(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
