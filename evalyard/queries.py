@@ -1,10 +1,384 @@
-"""The library's registered queries and their DuckDB equivalents."""
+"""The library's registered queries and their DuckDB equivalents.
+
+The driver's tables hold no model outputs, so most queries derive them by integer arithmetic
+that both engines share; each SQL states the expected result independently where it can.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions.parsers import parse, reasoning
+from .operators import choice, graders, ifeval, metrics, rows
+from .plans import planning
+from .session import table
+from .streaming.pipeline import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def keep(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return keep
+
+
+def text(c: Column) -> Column:
+    return c.cast("string")
+
+
+def rounded(c: str | Column) -> Column:
+    return F.round(c, 6)
+
+
+# --- multiple choice ------------------------------------------------------------------------
+
+
+def gen_mc(spark: SparkSession, sf: str) -> DataFrame:
+    """Four generations per document in five shapes, with a letter truth."""
+    letter = lambda g: F.char(65 + (F.col("doc_id") + g * g) % 4)
+    shapes = lambda g: F.array(F.concat(F.lit("Thinking. The answer is ("), letter(g), F.lit(").")), F.concat(F.lit("So **"), letter(g), F.lit("**")), F.concat(F.lit("I pick \\boxed{"), letter(g), F.lit("}")), F.lit("no idea 3"), F.concat(F.lit("Final answer: "), letter(g)))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    texts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda g: F.element_at(shapes(g), ((F.col("doc_id") * 7 + g * 3) % 5 + 1).cast("int")))
+    return docs.withColumn("generations", texts).withColumn("ground_truth", F.char(65 + F.col("doc_id") % 4))
+
+
+_MC = """
+g as (select doc_id, lang, source, g, chr(cast(65 + (doc_id + g * g) % 4 as int)) as letter, (doc_id * 7 + g * 3) % 5 as shape, chr(cast(65 + doc_id % 4 as int)) as truth
+      from documents, (select unnest(range(0, 4)) as g)),
+p as (select doc_id, lang, source, g, case when shape = 3 then 'C' else letter end as pick, truth from g),
+r as (select doc_id, lang, source, string_agg(pick, '' order by g) as picked, cast(count(*) filter (where pick = truth) as bigint) as ok from p group by all)
+"""
+
+
+@query("mc_picks", f"with {_MC} select doc_id, picked, ok from r")
+def mc_picks(spark, sf):
+    df = graders.grade(gen_mc(spark, sf), "multiple-choice")
+    return df.select("doc_id", F.array_join("picked", "").alias("picked"), F.aggregate("correct", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ok"))
+
+
+def _scores_sql(rows_: str, n: int, by: str, k: int) -> str:
+    """Scores of rows with ``ok`` of ``n`` flags right, for grouping sets ``by``."""
+    keys = f"{by}, " if by else ""
+    sets = f"group by grouping sets (({by}), ())" if by else ""
+    miss = " * ".join(f"greatest({n} - ok - {i}, 0) / ({n} - {i}.0)" for i in range(k))
+    return f"""
+s as (select {keys} avg(ok / {n}.0) as a, case when count(*) <= 1 then 0 else stddev_samp(ok / {n}.0) * sqrt((1 - floor(count(*) / 2) / count(*)) / floor(count(*) / 2)) end as d, avg(1 - {miss}) as p from {rows_} {sets})
+select {keys} 'accuracy (avg over {n})' as name, round(a, 6) as value from s union all
+select {keys} 'bootstrap_std (avg over {n})', round(d, 6) from s union all
+select {keys} 'accuracy (pass@{k})', round(p, 6) from s"""
+
+
+@query("score_by_group", f"with {_MC}, {_scores_sql('r', 4, 'lang', 2)}")
+def score_by_group(spark, sf):
+    """Accuracy, spread and pass@2 of multiple-choice generations, overall and by language."""
+    df = graders.grade(gen_mc(spark, sf), "multiple-choice")
+    return metrics.scores(df, [4], [2], by=[["lang"], []]).withColumn("value", rounded("value"))
+
+
+@query(
+    "score_four_levels",
+    f"""with {_MC}, c as (select *, lang || '/' || source as category from r),
+s as (select lang, source, category, avg(ok / 4.0) as a from c group by grouping sets ((), (lang), (source), (category)))
+select lang, source, category, 'accuracy (avg over 4)' as name, round(a, 6) as value from s""",
+)
+def score_four_levels(spark, sf):
+    df = graders.grade(gen_mc(spark, sf), "multiple-choice").withColumn("category", F.concat_ws("/", "lang", "source"))
+    return metrics.scores(df, [4], [], by=[[], ["lang"], ["source"], ["category"]]).where("name like 'accuracy%'").withColumn("value", rounded("value"))
+
+
+@query(
+    "score_labels",
+    "with r as (select coalesce(quality, 0) + coalesce(1 - toxic, 0) as ok from labels), " + _scores_sql("r", 2, "", 2),
+)
+def score_labels(spark, sf):
+    flags = F.array(F.col("quality").cast("int"), (1 - F.col("toxic")).cast("int"))
+    return metrics.scores(table(spark, sf, "labels").select(flags.alias("correct")), [2], [2]).withColumn("value", rounded("value"))
+
+
+@query("hle_dispatch", f"with {_MC} select doc_id, case when doc_id % 2 = 0 then cast(substr(picked, 1, 1) = chr(cast(65 + doc_id % 4 as int)) as int) else cast(doc_id % 3 = 0 as int) end as correct from r")
+def hle_dispatch(spark, sf):
+    even = F.col("doc_id") % 2 == 0
+    truth = F.char(65 + F.col("doc_id") % 4)
+    picked = graders.grade(gen_mc(spark, sf), "multiple-choice").withColumn("first", F.element_at("picked", 1))
+    one = F.when(even, F.concat(F.lit("some words\nAnswer: "), F.col("first"))).when(F.col("doc_id") % 3 == 0, F.concat(F.lit("  "), F.lower(truth), F.lit(" \n"))).otherwise(F.lit("other"))
+    df = picked.select("doc_id", F.array(one).alias("generations"), truth.alias("ground_truth"), F.when(even, "multipleChoice").otherwise("exactMatch").alias("answer_type"))
+    return graders.grade(df, "hle").select("doc_id", F.element_at("correct", 1).alias("correct"))
+
+
+# --- parsers --------------------------------------------------------------------------------
+
+
+@query(
+    "parse_numbers",
+    r"""with n as (select o_orderkey, o_orderkey % 3 as kind, cast(o_orderkey % 1000 as varchar) as n from orders)
+select o_orderkey, case kind when 0 then n when 1 then '{' || n || '}' else n || '.' end as gsm8k, case when kind = 1 then n end as boxed,
+  case when kind = 2 then n end as so, cast(n as double) as number from n""",
+)
+def parse_numbers(spark, sf):
+    n = text(F.col("o_orderkey") % 1000)
+    kind = F.col("o_orderkey") % 3
+    out = F.when(kind == 0, F.concat(F.lit("work: 4 + 5\n#### "), n)).when(kind == 1, F.concat(F.lit("so \\boxed{"), n, F.lit("}"))).otherwise(F.concat(F.lit("Hence 7. The answer is "), n, F.lit(".")))
+    df = table(spark, sf, "orders").select("o_orderkey", out.alias("t"))
+    return df.select("o_orderkey", parse("gsm8k_base", "t").alias("gsm8k"), parse("boxed", "t").alias("boxed"), parse("so_the_answer_is", "t").alias("so"), graders.stated_number(F.col("t")).alias("number"))
+
+
+@query(
+    "split_reasoning",
+    r"""with t as (select conv_id, turn, role, conv_id % 4 as kind, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') as text from conversations)
+select conv_id, turn, case when kind < 3 then text end as reasoning,
+  case when kind < 2 then role when kind = 3 then 'plain ' || text end as answer,
+  cast(case when kind = 3 then 1 else 0 end as bigint) as n_tools, kind = 2 as unclosed from t""",
+)
+def split_reasoning(spark, sf):
+    t, kind = F.coalesce("text", F.lit("")), F.col("conv_id") % 4
+    t = F.regexp_replace(t, r"^\s+|\s+$", "")
+    whole = F.when(kind == 0, F.concat(F.lit("<think>"), t, F.lit(" </think>\n"), F.col("role"))).when(kind == 1, F.concat(t, F.lit("</think> "), F.col("role"))).when(kind == 2, F.concat(F.lit("<think> "), t))
+    whole = whole.otherwise(F.concat(F.lit('plain <tool_call>{"a": 1}</tool_call>'), t))
+    df = table(spark, sf, "conversations").select("conv_id", "turn", reasoning(whole).alias("r"))
+    return df.select("conv_id", "turn", "r.reasoning", "r.answer", F.when(F.col("r.tool_calls").isNull(), 0).otherwise(F.size("r.tool_calls")).cast("bigint").alias("n_tools"), F.coalesce("r.unclosed_think_tag", F.lit(False)).alias("unclosed"))
+
+
+@query("exact_match", "select o_orderkey, 1 as plain, 0 as lowered, cast(o_orderkey % 2 = 0 as int) as listed from orders")
+def exact_match(spark, sf):
+    p = F.col("o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", F.array(F.concat(p, F.lit(" and more")), F.lower(p), F.when(F.col("o_orderkey") % 2 == 0, "second one").otherwise("zero")).alias("generations"), F.array(p, F.lit("second")).alias("ground_truth"))
+    c = graders.grade(df, "exact-match").select("o_orderkey", "correct")
+    return c.select("o_orderkey", *[F.element_at("correct", i + 1).alias(n) for i, n in enumerate(("plain", "lowered", "listed"))])
+
+
+# --- puzzles and retrieval ------------------------------------------------------------------
+
+
+@query(
+    "puzzles",
+    """select p_partkey, cast(p_partkey % 3 <> 0 as int) as sums, cast(p_partkey % 4 = 1 as int) as roles, cast(p_partkey % 2 = 0 as int) as orders, cast(p_partkey % 5 < 2 as int) as countdown from part""",
+)
+def puzzles(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey")
+    k = F.col("p_partkey")
+    x, y = k % 17, k % 11
+    sums = F.concat(F.lit("x = 99, then x="), text(x), F.lit(" and y = "), text(F.when(k % 3 == 0, y + 1).otherwise(y)))
+    a = part.select("p_partkey", F.array(sums).alias("generations"), F.struct(x.alias("x"), y.alias("y")).alias("ground_truth"))
+    a = graders.grade(a, "sum-puzzle").select("p_partkey", F.element_at("correct", 1).alias("sums"))
+
+    said = F.when(k % 4 == 0, "Ann is a knight.").when(k % 4 == 1, "I say Ann is a Knight.\nSo Bo, then, is a knave.").when(k % 4 == 2, "Ann is a knave. Bo is a knave").otherwise("Ann and Bo")
+    b = part.select("p_partkey", F.array(said).alias("generations"), F.lit("Ann is a knight\nBo is a knave").alias("ground_truth"), F.array(F.lit("Ann"), F.lit("Bo")).alias("names"))
+    b = graders.grade(b, "kk").select("p_partkey", F.element_at("correct", 1).alias("roles"))
+
+    con = """named_struct('constraints', named_struct('n', 3, 'not_sold', array(map('0', 2)),
+      'sold_before', array(named_struct('pivot', 2, 'sold_before_pivot', array(0))), 'sold_after', array(named_struct('pivot', 0, 'sold_after_pivot', array(1))),
+      'sold_between', array(named_struct('pivot', 1, 'sold_before_pivot', 0, 'sold_after_pivot', 2)))) as ground_truth"""
+    c = part.select("p_partkey", F.array(F.when(k % 2 == 0, F.lit("0, 1, 2")).otherwise(F.lit("2, 1, 0"))).alias("generations"), F.expr(con))
+    c = graders.grade(c, "order").select("p_partkey", F.element_at("correct", 1).alias("orders"))
+
+    eq = F.element_at(F.array(*map(F.lit, ("(1+2+3)*4", "4*3*2*1", "4*3*2", "1+2+3+4", "(1+2+3)*4 = 24"))), (k % 5 + 1).cast("int"))
+    d = part.select("p_partkey", F.array(eq).alias("generations"), F.struct(F.lit(24).alias("target"), F.array(*map(F.lit, (1, 2, 3, 4))).alias("numbers")).alias("ground_truth"))
+    d = graders.grade(d, "countdown").select("p_partkey", F.element_at("correct", 1).alias("countdown"))
+    return a.join(b, "p_partkey").join(c, "p_partkey").join(d, "p_partkey")
+
+
+_NOT_WORD = r"[^\p{L}\p{M}\p{N}_]"
+
+
+@query(
+    "ruler",
+    rf"""with b as (select item_id, list_filter(regexp_extract_all(text, '[a-z]+'), lambda w: len(w) > 3)[1:3] as want from benchmark),
+d as (select doc_id, lower(coalesce(text, '')) as t, ['niah_single_1', 'niah_multivalue', 'ruler_qa_squad'][cast(doc_id % 3 + 1 as int)] as task, want
+      from documents join b on item_id = doc_id % 40 where len(want) = 3),
+f as (select task, case task when 'niah_single_1' then [cast(regexp_matches(t, '(^|{_NOT_WORD})' || want[1] || '({_NOT_WORD}|$)') as int)]
+   when 'niah_multivalue' then list_transform(want, lambda v: cast(contains(t, v) as int))
+   else [cast(len(list_filter(want, lambda v: contains(t, v))) > 0 as int)] end as flags from d)
+select 'accuracy/' || task as name, round(sum(list_sum(flags)) / sum(len(flags)), 6) as value from f group by task""",
+)
+def ruler(spark, sf):
+    words = F.slice(F.filter(F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0)), lambda w: F.length(w) > 3), 1, 3)
+    want = table(spark, sf, "benchmark").select("item_id", words.alias("ground_truth")).where(F.size("ground_truth") == 3)
+    task = F.element_at(F.array(*map(F.lit, ("niah_single_1", "niah_multivalue", "ruler_qa_squad"))), (F.col("doc_id") % 3 + 1).cast("int"))
+    docs = table(spark, sf, "documents").select("doc_id", F.array("text").alias("generations"), task.alias("ruler_task"), (F.col("doc_id") % 40).alias("item_id"))
+    graded = graders.grade(docs.join(want, "item_id"), "ruler")
+    return metrics.flag_ratio(graded, "ruler_task").withColumn("value", rounded("value"))
+
+
+@query(
+    "aptbench_bbh",
+    """select c_custkey, cast(c_custkey % 2 = 0 as int) as apt, case c_custkey % 3 when 0 then 1 when 1 then cast(c_custkey % 2 = 0 as int) else 1 end as bbh from customer""",
+)
+def aptbench_bbh(spark, sf):
+    k = F.col("c_custkey")
+    cust = table(spark, sf, "customer").select("c_custkey")
+    a = cust.select("c_custkey", F.array(F.when(k % 2 == 0, "**B**) because").otherwise("C)\n")).alias("generations"), F.lit("B").alias("ground_truth"), F.lit("default").alias("extractor"))
+    a = graders.grade(a, "aptbench").select("c_custkey", F.element_at("correct", 1).alias("apt"))
+    task = F.element_at(F.array(*map(F.lit, ("word_sorting", "navigate", "dyck_languages"))), (k % 3 + 1).cast("int"))
+    said = F.when(k % 3 == 0, "first b a. So the answer is a b c.").when(k % 3 == 1, F.when(k % 2 == 0, "So the answer is Yes.").otherwise("So the answer is No.")).otherwise("after ( comes ) ] }")
+    truth = F.when(k % 3 == 0, "a b c").when(k % 3 == 1, "Yes").otherwise(") ] }")
+    b = cust.select("c_custkey", F.array(said).alias("generations"), truth.alias("ground_truth"), F.struct(task.alias("subtask")).alias("meta"))
+    b = graders.grade(b, "bbh").select("c_custkey", F.element_at("correct", 1).alias("bbh"))
+    return a.join(b, "c_custkey")
+
+
+# --- choice scoring -------------------------------------------------------------------------
+
+_CHOICE_SQL = """
+with c as (select p_partkey, case when p_size % 10 <> 0 then p_brand end as grp, p_partkey % 4 as truth, unnest(range(0, 4)) as j from part),
+v as (select *, ((p_partkey * 37 + j * 101) % 211 + 1) / 10.0 as nll, (j + 1) / 2.0 as comp, j + 2 as tok, (p_partkey + j) % 5 + 3 as chr from c),
+m as (select p_partkey, grp, truth, j, nll as v0, nll / chr as v1, nll / tok as v2, nll - comp as v3 from v),
+u as (select p_partkey, grp, truth, j, unnest(['', '_char', '_token', '_compl']) as view, unnest([v0, v1, v2, v3]) as x from m),
+b as (select p_partkey, grp, truth, view, min(x) as nll, min_by(j, (x, j)) as pick from u group by all),
+w as (select p_partkey, grp, unnest(['acc' || view, 'nll' || view]) as metric, unnest([case when pick = truth then 100.0 else 0.0 end, cast(nll as double)]) as x from b),
+g as (select metric, grp, avg(x) as x from w where grp is not null group by all)
+select 'micro_avg/' || metric as name, round(avg(x), 6) as value from w group by metric union all select 'macro_avg/' || metric, round(avg(x), 6) from g group by metric
+"""
+
+
+@query("choice_scoring", _CHOICE_SQL)
+def choice_scoring(spark, sf):
+    k = F.col("p_partkey")
+    each = lambda f: F.array(*[f(j) for j in range(4)])
+    df = table(spark, sf, "part").select(
+        each(lambda j: ((k * 37 + j * 101) % 211 + 1) / 10.0).alias("choice_nll"),
+        each(lambda j: F.lit((j + 1) / 2.0)).alias("choice_nll_completion"),
+        each(lambda j: F.lit(j + 2)).alias("n_tokens"),
+        each(lambda j: (k + j) % 5 + 3).alias("n_chars"),
+        (k % 4).cast("int").alias("truth_index"),
+        F.when(F.col("p_size") % 10 != 0, F.col("p_brand")).alias("choice_group"),
+    )
+    return choice.choice_scores(choice.choice_metrics(df)).withColumn("value", rounded("value"))
+
+
+# --- instruction following ------------------------------------------------------------------
+
+_IF_RULES = {
+    "punctuation:no_comma": ({}, "not contains(t, ',')"),
+    "length_constraints:number_words": ({"relation": "at least", "num_words": "300"}, r"len(regexp_extract_all(t, '[\p{L}\p{M}\p{N}_]+')) >= 300"),
+    "keywords:existence": ({"keywords": '["the", "and"]'}, "contains(lower(t), 'the') and contains(lower(t), 'and')"),
+    "keywords:frequency": ({"relation": "less than", "keyword": "tion", "frequency": "20"}, "len(regexp_extract_all(lower(t), 'tion')) < 20"),
+    "keywords:letter_frequency": ({"let_relation": "at least", "letter": "a", "let_frequency": "100"}, "len(lower(t)) - len(replace(lower(t), 'a', '')) >= 100"),
+    "detectable_content:number_placeholders": ({"num_placeholders": "1"}, r"len(regexp_extract_all(t, '\[.*?\]')) >= 1"),
+    "detectable_format:number_highlighted_sections": ({"num_highlights": "1"}, r"len(list_filter(regexp_extract_all(t, '\*[^\n\*]*\*'), lambda h: regexp_matches(h, '[^*\s]'))) >= 1"),
+    "detectable_format:title": ({}, r"regexp_matches(t, '<<[^\n]*[^\n<>\s][^\n]*>>')"),
+    "combination:two_responses": ({}, "false"),
+    "startend:quotation": ({}, "len(t) > 1 and starts_with(t, '\"') and ends_with(t, '\"')"),
+    "startend:end_checker": ({"end_phrase": "of."}, r"ends_with(lower(regexp_replace(t, '\s+$', '')), 'of.')"),
+    "length_constraints:number_paragraphs": ({"num_paragraphs": "1"}, "not contains(t, '***')"),
+}
+
+
+@query(
+    "instructions",
+    "with d as (select coalesce(text, '') as t from documents) "
+    + " union all ".join(rf"select '{k}' as instruction, cast(count(*) filter (where regexp_matches(t, '\S') and {sql}) as bigint) as followed from d" for k, (_, sql) in _IF_RULES.items()),
+)
+def instructions(spark, sf):
+    t = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf, "documents").select(t.alias("t"))
+    wide = docs.agg(*[F.count_if(ifeval.follows(k, F.col("t"), **args)).alias(k) for k, (args, _) in _IF_RULES.items()])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(k).alias("instruction"), F.col(f"`{k}`").alias("followed")) for k in _IF_RULES])))
+
+
+# --- planning and rows ----------------------------------------------------------------------
+
+
+@query(
+    "tag_pairs",
+    """with m as (select n_name, case when n_nationkey % 5 = 0 then 'any' else 's' || (n_nationkey % 3) end as tag from nation),
+t as (select c_custkey, case when c_custkey % 7 = 0 then 'any' else 's' || (c_custkey % 4) end as tag from customer)
+select n_name, count(*) as tasks from m join t on m.tag = 'any' or t.tag = 'any' or m.tag = t.tag group by n_name""",
+)
+def tag_pairs(spark, sf):
+    tag = lambda k, every, n: F.when(k % every == 0, " Any ").otherwise(F.concat(F.lit("s"), text(k % n)))
+    m = table(spark, sf, "nation").select("n_name", tag(F.col("n_nationkey"), 5, 3).alias("model_tag"))
+    t = table(spark, sf, "customer").select("c_custkey", tag(F.col("c_custkey"), 7, 4).alias("task_tag"))
+    return planning.tag_pairs(m, t).groupBy("n_name").agg(F.count(F.lit(1)).alias("tasks"))
+
+
+@query("group_pairs", "select r_name as group_name, n_name as model, s_suppkey as task from region join nation on n_regionkey = r_regionkey join supplier on s_suppkey % 5 = r_regionkey")
+def group_pairs(spark, sf):
+    groups = table(spark, sf, "region").select(F.col("r_name").alias("group_name"), F.col("r_regionkey").alias("model_tag"), F.col("r_regionkey").cast("bigint").alias("task_tag"))
+    models = table(spark, sf, "nation").select(F.col("n_name").alias("model"), F.col("n_regionkey").alias("model_tag"))
+    tasks = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("task"), (F.col("s_suppkey") % 5).alias("task_tag"))
+    return planning.group_pairs(groups, models, tasks)
+
+
+@query("resume", "select doc_id, lang from documents where doc_id not in (select doc_id from labels)")
+def resume(spark, sf):
+    return rows.resume(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels"), "doc_id")
+
+
+@query(
+    "few_shot",
+    """with s as (select p_brand, string_agg(p_name, chr(10) || chr(10) order by p_partkey) as prefix from (select *, row_number() over (partition by p_brand order by p_partkey) as n from part) where n <= 3 group by p_brand)
+select p_partkey, prefix from part join s using (p_brand)""",
+)
+def few_shot(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
+    return rows.few_shot(part, part, "p_brand", "p_partkey", "p_name", 3).select("p_partkey", "prefix")
+
+
+@query(
+    "next_turns",
+    "select conv_id, turn, lead(role) over w as next_role, length(lead(text) over w) as n from conversations window w as (partition by conv_id order by turn)",
+)
+def next_turns(spark, sf):
+    return rows.next_turns(table(spark, sf, "conversations"), "conv_id", "turn").select("conv_id", "turn", "next_role", F.length("observation").cast("bigint").alias("n"))
+
+
+@query("chat_prompts", "select conv_id, sha256(coalesce(string_agg(text, chr(10) || chr(10) order by turn), '')) as prompt_sha256 from conversations group by conv_id")
+def chat_prompts(spark, sf):
+    chats = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("chat"))
+    return chats.select("conv_id", F.sha2(rows.messages_to_prompt(F.col("chat")), 256).alias("prompt_sha256"))
+
+
+@query("row_numbers", "select doc_id, row_number() over (order by source, doc_id) - 1 as row from documents")
+def row_numbers(spark, sf):
+    return rows.row_numbers(table(spark, sf, "documents").select("source", "doc_id"), ["source", "doc_id"]).select("doc_id", "row")
+
+
+@query("latest_phase", "select user_id, max_by(event_type, (ts, event_id)) as event_type, max_by(value, (ts, event_id)) as value from events group by user_id")
+def latest_phase(spark, sf):
+    log = table(spark, sf, "events").select("user_id", "event_type", "value", F.struct("ts", "event_id").alias("version"))
+    return planning.latest(log, ["user_id"], "version").select("user_id", "event_type", "value")
+
+
+@query("upsert_models", "select n_name as name, case when n_nationkey % 2 = 0 then n_regionkey + 10 else n_regionkey end as size, n_nationkey % 3 = 0 and n_nationkey % 2 = 1 as grading_only from nation")
+def upsert_models(spark, sf):
+    k = F.col("n_nationkey")
+    old = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("size"), (k % 3 == 0).alias("grading_only"))
+    new = table(spark, sf, "nation").where(k % 2 == 0).select(F.col("n_name").alias("name"), (F.col("n_regionkey") + 10).alias("size"), F.lit(False).alias("grading_only"))
+    return planning.upsert_models(old, new)
+
+
+@query("windowed_counts", "select time_bucket(interval '1 day', ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
+def windowed(spark, sf):
+    return windowed_counts(table(spark, sf, "events")).withColumn("total", F.round("total", 4))
+
+
+@query("event_props", "select event_type, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as k, count(*) as n from events group by event_type")
+def event_props(spark, sf):
+    k = F.from_json("props", "k bigint")["k"]
+    return table(spark, sf, "events").groupBy("event_type").agg(F.sum(k).alias("k"), F.count(F.lit(1)).alias("n"))
+
+
+@query("durations", "select o_orderkey, (o_orderkey % 3) * 86400 + (o_orderkey % 24) * 3600 + (o_orderkey % 60) * 60 + o_orderkey % 50 as seconds from orders")
+def durations(spark, sf):
+    k = F.col("o_orderkey")
+    t = F.concat(F.when(k % 3 > 0, F.concat(text(k % 3), F.lit("-"))).otherwise(""), text(k % 24), F.lit(":"), F.lpad(text(k % 60), 2, "0"), F.lit(":"), F.lpad(text(k % 50), 2, "0"))
+    return table(spark, sf, "orders").select("o_orderkey", rows.duration_seconds(t).alias("seconds"))
+
+
+@query("event_shares", "select event_type, round(count(*) / sum(count(*)) over (), 6) as share from events group by event_type")
+def event_shares(spark, sf):
+    return metrics.shares(table(spark, sf, "events"), "event_type").withColumn("share", rounded("share"))
+
+
+@query("breakdown", "select 'breakdown (' || l_returnflag || ')' as name, cast(count(*) as double) as value from lineitem group by l_returnflag")
+def breakdown(spark, sf):
+    return metrics.breakdown(table(spark, sf, "lineitem").select(F.array("l_returnflag").alias("evaluation_details")))
