@@ -35,7 +35,7 @@ from .components import components
 SIZE, PERCENT = 5, 80
 #: Part of a set that the first test reads beyond the plain prefix.
 EXTRA = 0.05
-#: Bytes of survivors' ids up to which they are broadcast; beyond, an ordinary join.
+#: Bytes up to which a written table is broadcast; beyond, an ordinary join.
 BROADCAST_BYTES = 64 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,6 +69,11 @@ def shingle_sets(texts: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndar
     return r[keep], x[keep]
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows of 8-byte columns are few enough."""
+    return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
+
+
 def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
@@ -157,11 +162,11 @@ def _filters(x: str, y: str, percent: int):
 
 def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between class representatives that connect all that are similar."""
-    tokens = reps.select("doc", "least", F.explode("probe").alias("token"))
+    tokens = reps.select("doc", F.explode("probe").alias("token"))
     shared = materialize(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
-    survivors = materialize(tokens.join(shared, "token").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"), F.first("least").alias("least")).where("hits >= least").select("doc"), "survivors")
-    small = survivors.count() * 16 <= BROADCAST_BYTES
-    sets = materialize(_sets(docs.join(F.broadcast(survivors) if small else survivors, "doc", "left_semi"), size), "sets")
+    hits = tokens.join(shared, "token").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
+    survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
+    sets = materialize(_sets(docs.join(_sized(survivors), "doc", "left_semi"), size), "sets")
 
     exploded = sets.select("doc", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     frequency = materialize(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequency")
@@ -203,10 +208,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["n", "s1", "s2"]
     filled = base.where("n > 0 and doc is not null")
     classes = materialize(filled.groupBy(*key).agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "classes")
+    classes = _sized(classes)
     reps = filled.join(classes, key, "left").where("rep is null or rep = doc").select("doc", "least", "probe")
     group = materialize(components(_links(docs, reps, size, percent)), "groups")
     members = base.select("doc", *key).join(classes, key, "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc")).otherwise(F.col("doc")))
-    return members.join(group.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    return members.join(_sized(group.withColumnRenamed("node", "rep")), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
