@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.parsers import parse, reasoning
-from .operators import choice, graders, ifeval, metrics, rows
+from .operators import choice, datasets, graders, ifeval, metrics, rows
 from .plans import planning
 from .session import table
 from .streaming.pipeline import windowed_counts
@@ -382,3 +382,40 @@ def event_shares(spark, sf):
 @query("breakdown", "select 'breakdown (' || l_returnflag || ')' as name, cast(count(*) as double) as value from lineitem group by l_returnflag")
 def breakdown(spark, sf):
     return metrics.breakdown(table(spark, sf, "lineitem").select(F.array("l_returnflag").alias("evaluation_details")))
+
+
+@query(
+    "dataset_choice",
+    """with q as (select p_partkey as row, 'Question:' || chr(10) || trim(p_name) || chr(10) || 'Choices:' || chr(10) || 'A. ' || p_brand || chr(10) || 'B. ' || p_type || chr(10) || 'C. ' || p_size || chr(10) || 'Answer:' as user, chr(cast(65 + p_partkey % 3 as int)) as truth from part)
+select row, truth as ground_truth, sha256(user) as user_sha256, 'A,B,C' as labels from q""",
+)
+def dataset_choice(spark, sf):
+    texts = F.array("p_brand", "p_type", text(F.col("p_size")))
+    df = table(spark, sf, "part").select(F.col("p_partkey").alias("row"), F.col("p_name").alias("question"), F.array(*map(F.lit, "123")).alias("labels"), texts.alias("texts"), text(F.col("p_partkey") % 3 + 1).alias("answer"))
+    out = datasets.science_choice(df)
+    return out.select("row", "ground_truth", F.sha2(F.element_at("chat_input", 2)["content"], 256).alias("user_sha256"), F.array_join("scoring_completions", ",").alias("labels"))
+
+
+@query(
+    "failure_classes",
+    """select c_custkey, case when s = 429 then 'rate_limited' when s in (401, 403) then 'auth' when s = 408 then 'timeout' when s >= 500 then 'server_error' when s >= 400 then 'bad_request' else 'network' end as error_code,
+  s in (408, 409, 425, 429) or s >= 500 as retriable from (select c_custkey, 395 + c_custkey % 120 as s from customer)""",
+)
+def failure_classes(spark, sf):
+    df = table(spark, sf, "customer").select("c_custkey", rows.failure_class(395 + F.col("c_custkey") % 120).alias("f"))
+    return df.select("c_custkey", "f.error_code", "f.retriable")
+
+
+@query("instruction_report", """with d as (select coalesce(text, '') as t from documents),
+f as (select unnest(['punctuation:no_comma', 'keywords:frequency']) as id, unnest([not contains(t, ',') and regexp_matches(t, '\S'), len(regexp_extract_all(lower(t), 'tion')) >= 5 and regexp_matches(t, '\S')]) as ok from d)
+select 0 as tier, split_part(id, ':', 1) as id, count(*) as total, cast(sum(cast(ok as int)) as bigint) as correct from f group by 2 union all select 1, id, count(*), cast(sum(cast(ok as int)) as bigint) from f group by 2""")
+def instruction_report(spark, sf):
+    kwargs = F.expr("array(map('-', '-'), map('relation', 'at least', 'keyword', 'tion', 'frequency', '5'))")
+    df = table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("response"), F.array(F.lit("punctuation:no_comma"), F.lit("keywords:frequency")).alias("instruction_ids"), kwargs.alias("kwargs"))
+    return ifeval.report(ifeval.grade(df))
+
+
+@query("sampled_rows", "select p_partkey as row, p_name from part where p_partkey < 100")
+def sampled_rows(spark, sf):
+    """The small variant of a dataset: rows numbered below 100, a limit that is the feature."""
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("row"), "p_name").where(F.col("row") < 100)
