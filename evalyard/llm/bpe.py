@@ -15,8 +15,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from ._text import slices
 
 SHORT = 256
-CACHE = 300_000
+#: Entries of each cache of a worker, and the longest text that enters one.
+CACHE, CHUNK = 300_000, 64
 NONE = 1 << 60
 #: The public byte-level pre-token pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -53,16 +56,20 @@ class ByteBpe:
         for t, i in vocab.items():
             if len(t) == 1:
                 self.byte_id[letters[t]] = i
-        #: (left id, right id) -> (rank, merged id)
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        #: (left id, right id) -> rank, and -> merged id
+        self.rank: dict[tuple[int, int], int] = {}
+        self.merged: dict[tuple[int, int], int] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.rank[vocab[a], vocab[b]] = rank
+            self.merged[vocab[a], vocab[b]] = vocab[a + b]
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         #: Two adjacent white-space characters; without them each space before a word starts a chunk.
         self.double = re.compile(r"\s\s")
+        #: Ids as bytes of whole chunks, and of the words of chunks that have several.
         self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         size = max(self.tokens) + 1
         self.piece_len = np.zeros(size, np.int64)
         for i, t in self.tokens.items():
@@ -72,52 +79,65 @@ class ByteBpe:
 
     def word(self, data: bytes) -> list[int]:
         """Token ids of one pre-token."""
-        ids = [self.byte_id[b] for b in data]
+        ids = [*map(self.byte_id.__getitem__, data)]
         if len(ids) > SHORT:
             return self._long(ids)
-        merge = self.merge
-        ranks = [merge.get(p, (NONE,))[0] for p in zip(ids, ids[1:])]
+        rank, merged = self.rank.get, self.merged
+        ranks = [*map(rank, zip(ids, ids[1:]), repeat(NONE))]
         while ranks:
             least = min(ranks)
             if least == NONE:
                 break
             k = ranks.index(least)
-            ids[k : k + 2] = [merge[ids[k], ids[k + 1]][1]]
+            ids[k] = merged[ids[k], ids.pop(k + 1)]
             del ranks[k]
             if k < len(ranks):
-                ranks[k] = merge.get((ids[k], ids[k + 1]), (NONE,))[0]
+                ranks[k] = rank((ids[k], ids[k + 1]), NONE)
             if k:
-                ranks[k - 1] = merge.get((ids[k - 1], ids[k]), (NONE,))[0]
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), NONE)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
-        n, merge = len(ids), self.merge
+        n, rank = len(ids), self.rank
         after, before, alive = [*range(1, n), -1], [-1, *range(n - 1)], [True] * n
-        heap = [(m[0], i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merge.get((ids[i], ids[i + 1])))]
+        heap = [(rank[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]
         heapq.heapify(heap)
         while heap:
             _, i, a, b = heapq.heappop(heap)
             j = after[i]
             if not alive[i] or j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], after[i] = merge[a, b][1], False, after[j]
+            ids[i], alive[j], after[i] = self.merged[a, b], False, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for x in (before[i], i):
-                if x >= 0 and (y := after[x]) >= 0 and (m := merge.get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (m[0], x, ids[x], ids[y]))
+                if x >= 0 and (y := after[x]) >= 0 and (p := (ids[x], ids[y])) in rank:
+                    heapq.heappush(heap, (rank[p], x, *p))
         return [t for t, ok in zip(ids, alive) if ok]
 
+    def _encoded(self, word: str) -> bytes:
+        return array("i", self.word(word.encode("utf-8", "replace"))).tobytes()
+
     def chunk(self, text: str) -> bytes:
-        """Ids of ordinary text as int32 bytes, through the cache when the text is short."""
+        """Ids of ordinary text as int32 bytes, through the caches when the text is short."""
         if (found := self.cache.get(text)) is not None:
             return found
-        ids = [t for w in self.pattern.findall(text) for t in self.word(w.encode("utf-8", "replace"))]
-        out = np.asarray(ids, np.int32).tobytes()
-        if len(text) <= 64:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[text] = out
+        parts = self.pattern.findall(text)
+        if len(text) > CHUNK:
+            return b"".join(map(self._encoded, parts))
+        if len(parts) == 1:
+            out = self._encoded(text)
+        else:
+            known = self.words
+            for w in parts:
+                if w not in known:
+                    if len(known) >= CACHE:
+                        known.clear()
+                    known[w] = self._encoded(w)
+            out = b"".join([known.get(w) or self._encoded(w) for w in parts])
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        self.cache[text] = out
         return out
 
     def _plain(self, text: str) -> list[bytes]:
