@@ -61,7 +61,15 @@ def _identity(c: Column) -> Column:
     return c
 
 
-# The phrases that introduce an answer.
+# Tags and phrases that introduce or wrap an answer.
+ANSWER_TAG = r"<answer>(.*?)</answer>"
+THINK_OPEN, THINK_CLOSE = r"<think[^>]*>", r"</think[^>]*>"
+TOOL_OPEN, TOOL_CALL = r"<tool_call>(.*)", r"<tool_call>(.*?)</tool_call>"
+PYTHON_BLOCK = r"```python3?\n(.*?)```"
+ANY_PYTHON_BLOCK = r"```(?:python|py)?\s*\n(.*?)```"
+DEFINITION, TOP_LEVEL = r"^(?:def |async def |class )", r"(?:def |async def |class |import |from \S+ import )"
+CORRECT_ANSWER = (r"the\s+correct\s+answer\s+is\s*\(?\s*([ABCD])", r"\(([ABCD])\)")
+LETTER_BEFORE_END = r"\b([A-Za-z])[)\n]"
 ANSWER_IS = r"the (?:correct )?answer is "
 LETTER_IS = r"\bthe answer is\b[\s:：-]*[\(\[]?\s*([A-Z])\s*[\)\]]?"
 
@@ -80,12 +88,12 @@ def _so_last(c: Column) -> Column:
 
 @parser("answer_tag")
 def _answer_tag(c: Column) -> Column:
-    return blank_to_null(strip(found(c, r"<answer>(.*?)</answer>", flags="is")))
+    return blank_to_null(strip(found(c, ANSWER_TAG, flags="is")))
 
 
 @parser("think_suffix", "think_tag")
 def _think_suffix(c: Column) -> Column:
-    return blank_to_null(strip(F.element_at(F.split(c, regex(r"</think[^>]*>", "i"), -1), -1)))
+    return blank_to_null(strip(F.element_at(F.split(c, regex(THINK_CLOSE, "i"), -1), -1)))
 
 
 @parser("the_answer_is")
@@ -114,17 +122,17 @@ def _gsm8k(c: Column) -> Column:
 @parser("code-think")
 def _code_think(c: Column) -> Column:
     tail = F.when(F.contains(c, F.lit("</think>")), F.regexp_replace(c, r"(?s)\A.*?</think>", "")).otherwise(c)
-    return last_found(tail, r"```python3?\n(.*?)```", flags="s")
+    return last_found(tail, PYTHON_BLOCK, flags="s")
 
 
 @parser("longbench-v2", "the-correct-answer-is")
 def _longbench(c: Column) -> Column:
-    return F.upper(F.coalesce(found(c, r"the\s+correct\s+answer\s+is\s*\(?\s*([ABCD])", flags="i"), found(c, r"\(([ABCD])\)", flags="i")))
+    return F.upper(F.coalesce(*[found(c, p, flags="i") for p in CORRECT_ANSWER]))
 
 
 def aptbench_choice(c: Column) -> Column:
     """First letter before a closing bracket or line end, without asterisks."""
-    return found(F.replace(c, F.lit("*"), F.lit("")), r"\b([A-Za-z])[)\n]")
+    return found(F.replace(c, F.lit("*"), F.lit("")), LETTER_BEFORE_END)
 
 
 def aptbench_summary(c: Column) -> Column:
@@ -137,16 +145,16 @@ def reasoning(c: Column) -> Column:
 
     reasoning, answer, tool_calls, unclosed_think_tag, unclosed_tool_call, multiple_think_blocks.
     """
-    block, close = r"<think[^>]*>(.*?)</think[^>]*>", r"</think[^>]*>"
+    block, close = THINK_OPEN + "(.*?)" + THINK_CLOSE, THINK_CLOSE
     blocks = all_found(c, block, flags="is")
     closed, orphan = F.size(blocks) > 0, c.rlike(regex(close, "i"))
-    opened = c.rlike(regex(r"<think[^>]*>", "i"))
-    tools = all_found(c, r"<tool_call>(.*?)</tool_call>", flags="is")
-    open_tool = found(c, r"<tool_call>(.*)", flags="is")
+    opened = c.rlike(regex(THINK_OPEN, "i"))
+    tools = all_found(c, TOOL_CALL, flags="is")
+    open_tool = found(c, TOOL_OPEN, flags="is")
     has_tools = F.size(tools) > 0
-    thought = F.when(closed, strip(F.try_element_at(blocks, F.lit(1)))).when(orphan, strip(found(c, r"\A(.*?)" + close, flags="is"))).when(opened, strip(found(c, r"<think[^>]*>(.*)", flags="is")))
+    thought = F.when(closed, strip(F.try_element_at(blocks, F.lit(1)))).when(orphan, strip(found(c, r"\A(.*?)" + close, flags="is"))).when(opened, strip(found(c, THINK_OPEN + "(.*)", flags="is")))
     rest = F.when(closed, found(c, r"\A.*?" + block + r"(.*)\z", 2, "is")).when(orphan, found(c, r"\A.*?" + close + r"(.*)\z", 1, "is"))
-    plain = F.when(has_tools, F.regexp_replace(c, regex(r"<tool_call>.*?</tool_call>", "is"), ""))
+    plain = F.when(has_tools, F.regexp_replace(c, regex(TOOL_CALL, "is"), ""))
     known = closed | orphan | opened
     fields = F.struct(
         thought.alias("reasoning"),
@@ -224,21 +232,21 @@ def choice_text(text: str | None) -> str | None:
     text = (text or "").strip()
     if not text:
         return None
-    parts = re.split(r"</think[^>]*>", text, flags=re.I)
+    parts = re.split(THINK_CLOSE, text, flags=re.I)
     return _choice_in(parts[-1].strip()) or _choice_in(text)
 
 
 def code_text(text: str | None) -> str | None:
     """Last Python block with a top-level definition (else the last), without top-level example lines."""
-    blocks = re.findall(r"```python3?\n(.*?)```", text or "", re.S)
+    blocks = re.findall(PYTHON_BLOCK, text or "", re.S)
     if not blocks:
         return None
-    best = next((b for b in reversed(blocks) if re.search(r"^(?:def |async def |class )", b, re.M)), blocks[-1])
+    best = next((b for b in reversed(blocks) if re.search(DEFINITION, b, re.M)), blocks[-1])
     keep, inside = [], False
     for line in best.split("\n"):
         top = bool(line) and not line[0].isspace()
         if top:
-            inside = bool(re.match(r"(?:def |async def |class |import |from \S+ import )", line))
+            inside = bool(re.match(TOP_LEVEL, line))
         if inside or (not line.strip() and keep):
             keep.append(line)
     return re.sub(r"(?:\n[^\S\n]*)+\Z", "", "\n".join(keep)) or best
@@ -248,7 +256,7 @@ def completion_text(text: str | None) -> str | None:
     """Code of a completion: what follows the think block, then the first Python fence if any."""
     if text is None:
         return None
-    fenced = re.compile(r"```(?:python|py)?\s*\n(.*?)```", re.S)
+    fenced = re.compile(ANY_PYTHON_BLOCK, re.S)
     if "</think>" in text:
         text = text.split("</think>", 1)[1].lstrip("\n")
     elif text.lstrip().startswith("<think>") and not fenced.search(text):
@@ -269,7 +277,7 @@ VISIBLE_FINAL = (
 
 def visible_final_text(text: str | None) -> str | None:
     """Choice letter of the visible part of a generation, by the last explicit statement, else a lone letter."""
-    text = re.split(r"</think[^>]*>", text or "", flags=re.I)[-1].strip()
+    text = re.split(THINK_CLOSE, text or "", flags=re.I)[-1].strip()
     hits = [(m.start(), -k, m[1].upper()) for k, p in enumerate(VISIBLE_FINAL) for m in re.finditer(p, text, re.I)]
     if hits:
         return max(hits)[2]

@@ -161,6 +161,13 @@ def hle(df: DataFrame) -> DataFrame:
     return df.withColumn("correct", F.transform("answers", lambda g: _flag(ok(g))))
 
 
+# How roles, assignments and number lists are written.
+ROLE_LINE = r"\b([A-Za-z]+)\b.*?\b(knight|knave)\b"
+ROLE_AFTER_NAME = r"\b.*?\b(knight|knave)\b"
+ASSIGNED = r"\s*=\s*([-+]?\d*\.?\d+)"
+LIST_MARKS = r"[,\s]+"
+EXPRESSION = r"[\d+\-*/().\s]+"
+
 # Retrieval task names by how their expected values are matched.
 RULER_SINGLE = ("niah_single_1", "niah_single_2", "niah_single_3", "niah_multikey_1", "niah_multikey_2", "niah_multikey_3")
 RULER_EACH = ("niah_multivalue", "niah_multiquery", "ruler_fwe", "ruler_cwe")
@@ -188,12 +195,12 @@ def ruler(df: DataFrame) -> DataFrame:
 @grader("knights-and-knaves", "kk")
 def knights_and_knaves(df: DataFrame) -> DataFrame:
     """All named roles equal; a name without a stated role fails. ``names`` lists whom to look for."""
-    line = r"\b([A-Za-z]+)\b.*?\b(knight|knave)\b"
+    line = ROLE_LINE
     lines = F.filter(F.split("ground_truth", "\n"), lambda x: x.rlike(regex(line, "i")))
     truth = F.map_from_entries(F.transform(lines, lambda x: F.struct(found(x, line, 1, "i").alias("k"), F.lower(found(x, line, 2, "i")).alias("v"))))
 
     def role(g: Column, name: Column) -> Column:
-        p = F.concat(F.lit(r"(?dUiu)\b"), quoted(name), F.lit(r"\b.*?\b(knight|knave)\b"))
+        p = F.concat(F.lit(r"(?dUiu)\b"), quoted(name), F.lit(ROLE_AFTER_NAME))
         return F.lower(F.nullif(F.call_function("regexp_extract", g, p, F.lit(1)), F.lit("")))
 
     out = df.withColumn("_truth", truth)
@@ -205,7 +212,7 @@ def knights_and_knaves(df: DataFrame) -> DataFrame:
 @grader("sum-puzzle", "sum")
 def sum_puzzle(df: DataFrame) -> DataFrame:
     """The last assignments to x and to y equal the truth's."""
-    last = lambda g, v: F.try_element_at(F.regexp_extract_all(g, F.lit(regex(rf"(?<!\w){v}\s*=\s*([-+]?\d*\.?\d+)")), F.lit(1)), F.lit(-1)).try_cast("double")
+    last = lambda g, v: F.try_element_at(F.regexp_extract_all(g, F.lit(regex(rf"(?<!\w){v}" + ASSIGNED)), F.lit(1)), F.lit(-1)).try_cast("double")
     ok = lambda g: (last(g, "x") == F.col("ground_truth.x")) & (last(g, "y") == F.col("ground_truth.y"))
     return df.withColumn("correct", F.transform("answers", lambda g: _flag(ok(g))))
 
@@ -216,7 +223,7 @@ def order_puzzle(df: DataFrame) -> DataFrame:
     con = F.col("ground_truth.constraints")
 
     def right(g: Column) -> Column:
-        parts = F.transform(F.split(strip(g), regex(r"[,\s]+"), -1), lambda v: v.try_cast("int"))
+        parts = F.transform(F.split(strip(g), regex(LIST_MARKS), -1), lambda v: v.try_cast("int"))
         day = lambda item: F.nullif(F.array_position(parts, item), F.lit(0).cast("bigint")) - 1
         before = lambda a, b: F.coalesce(day(a) < day(b), F.lit(False))
         fits = F.coalesce(F.array_sort(parts) == F.sequence(F.lit(0), con["n"] - 1), F.lit(False))
@@ -249,7 +256,7 @@ def arithmetic(text: str) -> float | None:
             return _OPERATIONS[type(node.op)](a, b)
         raise ValueError
 
-    if not re.fullmatch(r"[\d+\-*/().\s]+", text) or len(text) > 1000:
+    if not re.fullmatch(EXPRESSION, text) or len(text) > 1000:
         return None
     try:
         return value(ast.parse(text.strip(), mode="eval").body)

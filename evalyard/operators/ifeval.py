@@ -16,6 +16,16 @@ from ..functions.text import all_found, quoted, regex, strip
 
 Args = Callable[[str], Column]
 _CHECKS: dict[str, Callable[[Column, Args], Column]] = {}
+# Patterns that define the rules.
+BULLET_LINES = (r"^\s*\*[^\*].*$", r"^\s*-.*$")
+HIGHLIGHTS = (r"\*[^\n\*]*\*", r"\*\*[^\n\*]*\*\*")
+PARAGRAPH_MARK = r"\s?\*\*\*\s?"
+PLACEHOLDER = r"\[.*?\]"
+POSTSCRIPTS = {"P.P.S": r"\s*p\.\s?p\.\s?s.*$", "P.S.": r"\s*p\.\s?s\..*$"}
+SECTION = (r"\s?", r"\s?\d+\s?")
+TITLE = r"<<[^\n]+>>"
+RESPONSE_MARK = r"\*{6}"
+WORD = r"\w+"
 UNAVAILABLE = {
     "language:response_language": "needs a language detector",
     "length_constraints:number_sentences": "needs a sentence tokeniser",
@@ -81,12 +91,12 @@ def _letters(v, a):
 
 @check("length_constraints:number_words")
 def _words(v, a):
-    return _compare(_count(v, r"\w+"), a, "num_words")
+    return _compare(_count(v, WORD), a, "num_words")
 
 
 @check("length_constraints:number_paragraphs")
 def _paragraphs(v, a):
-    parts = F.split(v, regex(r"\s?\*\*\*\s?"), -1)
+    parts = F.split(v, regex(PARAGRAPH_MARK), -1)
     n = F.size(parts)
     inner = F.forall(F.slice(parts, F.lit(2), F.greatest(n - 2, F.lit(0))), _filled)
     ends = F.when(n > 1, (~_filled(F.element_at(parts, 1))).cast("int") + (~_filled(F.element_at(parts, -1))).cast("int")).otherwise((~_filled(F.element_at(parts, 1))).cast("int"))
@@ -104,19 +114,19 @@ def _nth(v, a):
 
 @check("detectable_content:number_placeholders")
 def _placeholders(v, a):
-    return _count(v, r"\[.*?\]") >= _int(a, "num_placeholders")
+    return _count(v, PLACEHOLDER) >= _int(a, "num_placeholders")
 
 
 @check("detectable_content:postscript")
 def _postscript(v, a):
     low, mark = F.lower(v), a("postscript_marker")
     other = F.regexp_like(low, F.concat(F.lit(r"(?dUm)\s*"), quoted(F.lower(mark)), F.lit(".*$")))
-    return F.when(mark == "P.P.S", low.rlike(regex(r"\s*p\.\s?p\.\s?s.*$", "m"))).when(mark == "P.S.", low.rlike(regex(r"\s*p\.\s?s\..*$", "m"))).otherwise(other)
+    return F.when(mark == "P.P.S", low.rlike(regex(POSTSCRIPTS["P.P.S"], "m"))).when(mark == "P.S.", low.rlike(regex(POSTSCRIPTS["P.S."], "m"))).otherwise(other)
 
 
 @check("detectable_format:number_bullet_lists")
 def _bullets(v, a):
-    return _count(v, r"^\s*\*[^\*].*$", "m") + _count(v, r"^\s*-.*$", "m") == _int(a, "num_bullets")
+    return sum(_count(v, p, "m") for p in BULLET_LINES) == _int(a, "num_bullets")
 
 
 @check("detectable_format:constrained_response")
@@ -127,12 +137,12 @@ def _constrained(v, a):
 @check("detectable_format:number_highlighted_sections")
 def _highlights(v, a):
     kept = lambda p: F.size(F.filter(all_found(v, p, 0), lambda h: _filled(F.regexp_replace(h, r"^\*+|\*+$", ""))))
-    return kept(r"\*[^\n\*]*\*") + kept(r"\*\*[^\n\*]*\*\*") >= _int(a, "num_highlights")
+    return sum(map(kept, HIGHLIGHTS)) >= _int(a, "num_highlights")
 
 
 @check("detectable_format:multiple_sections")
 def _sections(v, a):
-    return F.regexp_count(v, F.concat(F.lit(r"(?dU)\s?"), a("section_spliter"), F.lit(r"\s?\d+\s?"))) >= _int(a, "num_sections")
+    return F.regexp_count(v, F.concat(F.lit(regex(SECTION[0])), a("section_spliter"), F.lit(SECTION[1]))) >= _int(a, "num_sections")
 
 
 @F.pandas_udf(T.BooleanType())
@@ -151,12 +161,12 @@ def _is_json(s):
 
 @check("detectable_format:title")
 def _title(v, a):
-    return F.exists(all_found(v, r"<<[^\n]+>>", 0), lambda t: _filled(F.regexp_replace(t, r"^<+|>+$", "")))
+    return F.exists(all_found(v, TITLE, 0), lambda t: _filled(F.regexp_replace(t, r"^<+|>+$", "")))
 
 
 @check("combination:two_responses")
 def _two(v, a):
-    parts = F.split(v, r"\*{6}", -1)
+    parts = F.split(v, RESPONSE_MARK, -1)
     full = F.filter(parts, _filled)
     inner = F.forall(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), _filled)
     return inner & (F.size(full) == 2) & (strip(F.element_at(full, 1)) != strip(F.element_at(full, -1)))
