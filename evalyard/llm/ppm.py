@@ -38,9 +38,9 @@ from ._text import mix64, slices, words
 ORDER = 4
 START, END = 0xFE, 0xFF
 #: Most entries of a broadcast head, and the longest word in it.
-HEAD_GRAMS, HEAD_WORDS, HEAD_WORD_BYTES = 1 << 21, 1 << 20, 64
-#: Distinct entries that a task gathers before it passes them on.
-FLUSH = 1 << 21
+HEAD_GRAMS, HEAD_WORDS, HEAD_WORD_BYTES = 1 << 23, 1 << 20, 64
+#: Distinct entries that a task gathers before it passes them on, and bytes of text that it works on at once.
+FLUSH, PIECE = 3 << 19, 1 << 19
 
 
 def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -51,17 +51,17 @@ def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
     first = int(texts.offset and texts.buffers()[1] and np.frombuffer(texts.buffers()[1], np.int32)[texts.offset])
     whole = np.full(int(size.sum()) + n * (order + 1), START, np.uint8)
-    row = np.repeat(np.arange(n), size + 1)
-    at = np.arange(len(row)) + (row + 1) * order  # where each symbol lies once the start bytes are in
+    row = np.repeat(np.arange(n, dtype=np.int32), size + 1)
+    at = np.arange(len(row), dtype=np.int32) + (row + 1) * np.int32(order)  # where each symbol lies once the start bytes are in
     ends = np.cumsum(size + 1) - 1
     whole[at[ends]] = END
     inner = np.ones(len(row), bool)
     inner[ends] = False
     whole[at[inner]] = data[first : first + int(size.sum())]
-    wide = whole.astype(np.int64)
-    packed = np.zeros(len(wide) - order, np.int64)
+    packed = np.zeros(len(whole) - order, np.int64)
     for j in range(order + 1):
-        packed = (packed << 8) | wide[j : len(wide) - order + j]
+        packed <<= 8
+        packed |= whole[j : len(whole) - order + j]
     return row, packed[at - order]
 
 
@@ -70,18 +70,18 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys.astype(np.int64)
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
         self.levels: list[np.ndarray] = []
-        left = np.arange(len(keys))
-        while len(left):
-            slot = np.full(1 << self.bits, -1, np.int32)
-            h = self._slots(self.keys[left], len(self.levels))
+        left = np.arange(len(keys), dtype=np.int32)
+        while len(left):  # about a fifth of a level's keys go on to the next, smaller one
+            slot = np.full(1 << max(4, int(np.ceil(np.log2(len(left) * 2)))), -1, np.int32)
+            h = self._slots(self.keys[left], len(self.levels), len(slot))
             slot[h] = left  # the last of equal slots stays
             self.levels.append(slot)
             left = left[slot[h] != left]
 
-    def _slots(self, keys: np.ndarray, level: int) -> np.ndarray:
-        return (mix64(keys.view(np.uint64) + np.uint64(level * 0x9E3779B9)) >> np.uint64(64 - self.bits)).astype(np.int64)
+    @staticmethod
+    def _slots(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        return (mix64(keys.view(np.uint64) + np.uint64(level * 0x9E3779B9)) & np.uint64(size - 1)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Position of each key, -1 for those that aren't there."""
@@ -89,7 +89,7 @@ class Lookup:
         out = np.full(len(keys), -1, np.int64)
         todo = np.arange(len(keys))
         for level, slot in enumerate(self.levels):
-            got = slot[self._slots(keys[todo], level)].astype(np.int64)
+            got = slot[self._slots(keys[todo], level, len(slot))].astype(np.int64)
             hit = got >= 0
             hit[hit] = self.keys[got[hit]] == keys[todo[hit]]
             out[todo[hit]] = got[hit]
@@ -113,7 +113,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting = [], 0
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, limit=PIECE):
                 held = b.column("held_out").to_numpy(zero_copy_only=False)
                 for side in (False, True):
                     own = b.column("text").filter(pa.array(held == side))
@@ -141,7 +141,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting = [], 0
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, limit=PIECE):
                 _, code, dictionary = words(b.column("text"))
                 count = np.bincount(code, minlength=len(dictionary))
                 used = count > 0
@@ -224,7 +224,7 @@ def _look_up(docs: DataFrame, head_grams: pa.Table, head_words: pa.Table, unit:
         known_cost = np.log10(known_n + 0.1) - unit
         rid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, limit=PIECE):
                 n, text = len(b), b.column("text")
                 row, code, dictionary = words(text)
                 found = word_at.find(hashes(dictionary))
