@@ -11,9 +11,11 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/
 BEFORE, INSIDE, AFTER = 24, 48, 16
 WIDTH = BEFORE + INSIDE + AFTER
 SYMBOLS = 100
+#: Candidates that the network judges at once, so that its arrays don't follow the text's length.
+AT_ONCE = 512
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -187,12 +191,15 @@ def scan_text(text: str | None, net: Network) -> list[tuple[int, str, int, float
     text = text or ""
     base = base_spans(text)
     taken = sorted((s, e) for s, _, e in base)
+    starts, reach = [s for s, _ in taken], [*accumulate((e for _, e in taken), max)]
     more = [(m.start(), "cnn", m.end()) for m in CANDIDATE.finditer(text)] if any(c in text for c in string.digits) else []
-    more = [c for c in more if not any(s < c[2] and c[0] < e for s, e in taken)]
+    # a candidate stays if no rule match that begins before its end reaches beyond its start
+    more = [c for c in more if not (k := bisect_left(starts, c[2])) or reach[k - 1] <= c[0]]
     every = base + more
     if not every:
         return []
-    score = net.probability(np.stack([window(text, s, e) for s, _, e in every]))
+    parts = (every[i : i + AT_ONCE] for i in range(0, len(every), AT_ONCE))
+    score = np.concatenate([net.probability(np.stack([window(text, s, e) for s, _, e in part])) for part in parts])
     found = [(s, k, e, float(p)) for (s, k, e), p in zip(every, score) if k != "cnn" or p >= net.threshold]
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[1])))
 
