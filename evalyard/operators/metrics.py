@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import regex, strip
+
 NAN = float("nan")
 
 
@@ -103,6 +105,24 @@ def flag_ratio(df: DataFrame, by: str, prefix: str = "accuracy/") -> DataFrame:
     return per.select(F.concat(F.lit(prefix), F.col(by)).alias("name"), F.when(F.col("n") > 0, F.col("ok") / F.col("n")).otherwise(F.lit(NAN)).alias("value"))
 
 
+def unigram_f(text: Column, truth: Column) -> Column:
+    """F of the distinct words that two texts share; white space and full stops part words."""
+    words = lambda c: F.array_distinct(F.filter(F.split(c, regex(r"[\s.]+"), -1), lambda w: w != ""))
+    shared = F.size(F.array_intersect(words(text), words(truth)))
+    p, r = F.try_divide(shared, F.size(words(text))), F.try_divide(shared, F.size(words(truth)))
+    return F.coalesce(2 * (p * r) / (p + r + 1e-8), F.lit(0.0))
+
+
+def unigram_overlap(df: DataFrame, by: str = "difficulty") -> DataFrame:
+    """Scores named ``group rouge-1``: 100 × the mean F of each row's first pick against its truth.
+
+    Rows whose first pick or truth is null or blank are left out; a group without others has no score.
+    """
+    pairs = df.select(by, F.try_element_at("picked", F.lit(1)).alias("p"), F.col("ground_truth").cast("string").alias("t"))
+    pairs = pairs.where((F.length(strip(F.col("p"))) > 0) & (F.length(strip(F.col("t"))) > 0))
+    return pairs.groupBy(by).agg((F.avg(unigram_f(F.col("p"), F.col("t"))) * 100).alias("value")).select(F.concat(F.col(by), F.lit(" rouge-1")).alias("name"), "value")
+
+
 def shares(df: DataFrame, column: str) -> DataFrame:
     """Each value's share of the rows."""
     per = df.groupBy(column).count()

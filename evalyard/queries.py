@@ -406,7 +406,22 @@ def failure_classes(spark, sf):
     return df.select("c_custkey", "f.error_code", "f.retriable")
 
 
-@query("instruction_report", """with d as (select coalesce(text, '') as t from documents),
+_OVERLAP_WORDS = r"list_distinct(list_filter(regexp_split_to_array({}, '[\s.]+'), lambda w: w <> ''))"
+
+
+@query(
+    "unigram_overlap",
+    f"""with t as (select p_brand, {_OVERLAP_WORDS.format("p_name || '. ' || p_type")} as h, {_OVERLAP_WORDS.format("p_type || ' ' || p_brand")} as r from part),
+f as (select p_brand, len(list_intersect(h, r)) as o, len(h) as nh, len(r) as nr from t)
+select p_brand || ' rouge-1' as name, round(100 * avg(2 * ((o / nh) * (o / nr)) / (o / nh + o / nr + 1e-8)), 6) as value from f group by p_brand""",
+)
+def unigram_overlap(spark, sf):
+    picked = F.array(F.concat("p_name", F.lit(". "), "p_type"))
+    df = table(spark, sf, "part").select("p_brand", picked.alias("picked"), F.concat("p_type", F.lit(" "), "p_brand").alias("ground_truth"))
+    return metrics.unigram_overlap(df, "p_brand").withColumn("value", rounded("value"))
+
+
+@query("instruction_report", r"""with d as (select coalesce(text, '') as t from documents),
 f as (select unnest(['punctuation:no_comma', 'keywords:frequency']) as id, unnest([not contains(t, ',') and regexp_matches(t, '\S'), len(regexp_extract_all(lower(t), 'tion')) >= 5 and regexp_matches(t, '\S')]) as ok from d)
 select 0 as tier, split_part(id, ':', 1) as id, count(*) as total, cast(sum(cast(ok as int)) as bigint) as correct from f group by 2 union all select 1, id, count(*), cast(sum(cast(ok as int)) as bigint) from f group by 2""")
 def instruction_report(spark, sf):

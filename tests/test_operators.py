@@ -33,6 +33,12 @@ def test_half_sample_std_is_the_limit_of_resampling(spark):
     assert abs(got - math.sqrt(sum((m - mu) ** 2 for m in means) / len(means))) < 1e-12
 
 
+def test_unigram_overlap(spark):
+    rows_ = [("a", ["the cat. the dog", "x"], "the cat"), ("a", ["none"], "of it"), ("a", [None], "x"), ("a", [" "], "x"), ("b", [], "x"), ("b", ["x"], None), ("c", ["same same"], "same")]
+    got = {r["name"]: r["value"] for r in metrics.unigram_overlap(frame(spark, rows_, "difficulty string, picked array<string>, ground_truth string")).collect()}
+    assert got == {"a rouge-1": pytest.approx(100 * 0.8 / 2, abs=1e-4), "c rouge-1": pytest.approx(100, abs=1e-4)}
+
+
 def test_multiple_choice_fallbacks(spark):
     cases = [("Answer - B", "B"), (r"\boxed{ (C) }", "C"), ("first (A) then (D)", "D"), ("x" * 700 + " E", "E"), ("The answer is A" + " word" * 200, None), ("it is 2", "B"), ("?", "?"), ("", None), (None, None), ("the answer is b", "B")]
     df = frame(spark, [([c for c, _ in cases], "2x")], "generations array<string>, ground_truth string")
