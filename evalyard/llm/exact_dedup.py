@@ -13,6 +13,7 @@ Scale: a level is one aggregation with map-side combining and one join on the na
 that hold over 1/``HOT`` of a level's rows are at most ``HOT`` many, so their names are
 broadcast and those rows aren't shuffled; every other key has a bounded share of the rows.
 Only level 0 moves text, and at most twice. Names are written to the shared folder between levels.
+Rows are told apart by a written number, not by their id, which may repeat or be null.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, row_keys
 
 BLOCK_CHARS = 4096
 HOT = 1000
@@ -55,75 +56,91 @@ def _named(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
 
 
 def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(doc, n_blocks, text_sha256 of every row; doc, n_blocks, name of each row that may have an equal).
+    """(doc, doc_id, n_blocks, text_sha256 of every row; doc, doc_id, n_blocks, name of each row that may have an equal).
 
-    ``docs`` has ``doc`` (unique) and ``text``. Rows that aren't in the second result are unique.
+    ``docs`` has ``doc`` (a written number of each row), ``doc_id`` and ``text``. Rows that aren't in the second result are unique.
     """
     norm = normalised(F.col("text"))
     parts = F.regexp_extract_all(norm, F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
-    cut = docs.select("doc", F.sha2(norm, 256).alias("text_sha256"), F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit(""))).alias("parts"))
-    blocks = cut.select("doc", "text_sha256", F.size("parts").alias("n_blocks"), F.posexplode("parts").alias("idx", "block"))
+    cut = docs.select("doc", "doc_id", F.sha2(norm, 256).alias("text_sha256"), F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit(""))).alias("parts"))
+    blocks = cut.select("doc", "doc_id", "text_sha256", F.size("parts").alias("n_blocks"), F.posexplode("parts").alias("idx", "block"))
     # bytes bound the blocks from above, so at most HOT keys can pass the threshold drawn from them
     bound = F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / block_chars))
     total = docs.agg(F.sum(bound)).first()[0] or 0
     size = F.count(F.lit(1)).alias("n")
-    named = materialize(_named(blocks, ["block"], total).select("doc", "idx", "n_blocks", "name", "uses", F.when(F.col("idx") == 0, F.col("text_sha256")).alias("text_sha256")), "names0")
-    every = named.where("idx = 0").select("doc", "n_blocks", "text_sha256")
+    named = materialize(_named(blocks, ["block"], total).select("doc", "doc_id", "idx", "n_blocks", "name", "uses", F.when(F.col("idx") == 0, F.col("text_sha256")).alias("text_sha256")), "names0")
+    every = named.where("idx = 0").select("doc", "doc_id", "n_blocks", "text_sha256")
 
     def left_over(level: DataFrame) -> DataFrame:
         """Rows of the documents without a name of their own."""
         single = level.where("uses = 1").select("doc").distinct()
         return level.join(single, "doc", "left_anti")
 
-    level = left_over(named).select("doc", "idx", "n_blocks", "name", F.col("n_blocks").alias("left"))
+    level = left_over(named).select("doc", "doc_id", "idx", "n_blocks", "name", F.col("n_blocks").alias("left"))
     found = []
     while True:
         level = materialize(level, "level")
-        found.append(level.where("left = 1").select("doc", "n_blocks", "name"))
+        found.append(level.where("left = 1").select("doc", "doc_id", "n_blocks", "name"))
         level = level.where("left > 1")
         count = level.agg(size).first()["n"]
         if not count:
             break
         half = (F.col("idx") / 2).cast("int")
-        pairs = level.groupBy("doc", half.alias("idx"), "n_blocks", "left").agg(
+        pairs = level.groupBy("doc", "doc_id", half.alias("idx"), "n_blocks", "left").agg(
             F.max(F.when(F.col("idx") % 2 == 0, F.col("name"))).alias("first"), F.max(F.when(F.col("idx") % 2 == 1, F.col("name"))).alias("second")
         )
         # an odd last name stands alone; documents of another length never meet it in the end
         pairs = pairs.withColumn("second", F.coalesce("second", F.struct(F.lit(None).cast(docs.schema["doc"].dataType).alias("doc"), F.lit(-1).alias("idx"))))
         named = _named(pairs, ["first", "second"], count // 2)
-        level = left_over(materialize(named.select("doc", "idx", "n_blocks", "name", "uses", F.ceil(F.col("left") / 2).cast("int").alias("left")), "pairs")).select("doc", "idx", "n_blocks", "name", "left")
+        level = left_over(materialize(named.select("doc", "doc_id", "idx", "n_blocks", "name", "uses", F.ceil(F.col("left") / 2).cast("int").alias("left")), "pairs")).select("doc", "doc_id", "idx", "n_blocks", "name", "left")
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
     return every, out
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, keep_id (smallest doc_id of equal texts), group_size, kept, text_sha256; one row per input row.
+def _members(docs: DataFrame, block_chars: int) -> tuple[DataFrame, DataFrame]:
+    """(``identities``' first result; doc, keep, group_size of each row that has an equal).
 
-    Null and blank texts: null is the empty text; a text of white space only is one space.
-    ``id_col`` is a unique non-null number or string, as in ``documents``; an empty table gives an
-    empty result; columns other than the two named are ignored.
+    ``keep`` is the row to keep, by smallest doc_id (null last), then smallest doc.
     """
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     every, shared = identities(docs, block_chars)
     key = ["n_blocks", "name"]
-    groups = shared.groupBy(*key).agg(F.min("doc").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc"))
+    groups = shared.groupBy(*key).agg(first.alias("keep"), F.count(F.lit(1)).alias("group_size"))
     groups = materialize(groups.where("group_size > 1"), "groups")
-    members = shared.join(groups, key).select("doc", "keep_id", "group_size")
+    return every, shared.join(groups, key).select("doc", "keep", "group_size")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, keep_id (smallest doc_id of equal texts), group_size, kept, text_sha256; one row per input row.
+
+    Null and blank texts: null is the empty text; a text of white space only is one space.
+    ``id_col`` is a number or string. Rows that repeat an id each count in ``group_size``, and each
+    has ``kept`` = (doc_id = keep_id), as in the SQL; a null id counts too, its ``kept`` is null,
+    and ``keep_id`` is null only where all ids of the group are. An empty table gives an empty
+    result; columns other than the two named are ignored.
+    """
+    docs, key = row_keys(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    every, members = _members(docs.withColumnRenamed(key, "doc"), block_chars)
     return every.join(members, "doc", "left").select(
-        F.col("doc").alias("doc_id"),
-        F.coalesce("keep_id", "doc").alias("keep_id"),
+        "doc_id",
+        F.coalesce("keep.doc_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
-        (F.coalesce("keep_id", "doc") == F.col("doc")).alias("kept"),
+        (F.coalesce("keep.doc_id", "doc_id") == F.col("doc_id")).alias("kept"),
         "text_sha256",
     )
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
-    gone = exact_groups(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with exactly one row of each group of equal texts, all columns kept.
+
+    It is a row with the smallest doc_id, or one with a null id where the group has no other.
+    """
+    rows, key = row_keys(docs)
+    _, members = _members(rows.select(F.col(key).alias("doc"), "doc_id", "text"), BLOCK_CHARS)
+    gone = members.where("doc <> keep.doc").select(F.col("doc").alias(key))
+    return rows.join(gone, key, "left_anti").select(docs.columns)
 
 
 SQL = r"""

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, row_keys
 from ._text import mix64, slices, words
 from .components import components
 
@@ -215,11 +215,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return members.join(_sized(group.withColumnRenamed("node", "rep")), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the smallest id of each component, all columns kept."""
-    found = near_duplicates(docs, **options)
-    gone = found.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with exactly one row of each component of rows, all columns kept.
+
+    Rows are told apart by a written number: repeats of an id and null ids link by their texts
+    like all others. The row kept has the smallest id (null last). Wordless rows link to nothing;
+    of those that repeat an id one is left.
+    """
+    rows, key = row_keys(docs)
+    found = near_duplicates(rows, id_col=key, **options).withColumnRenamed("doc_id", key)
+    found = materialize(found.join(rows.select(key, F.col(id_col).alias("id")), key), "found")
+    wordless = F.col("n_shingles") == 0
+    group = [F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("id")), F.when(wordless & F.col("id").isNull(), F.col(key))]
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))
+    kept = found.groupBy(*(g.alias(f"by{k}") for k, g in enumerate(group))).agg(first[key].alias(key)).select(key)
+    gone = found.select(key).join(kept, key, "left_anti")
+    return rows.join(gone, key, "left_anti").select(docs.columns)
 
 
 SQL = r"""

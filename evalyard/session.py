@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -36,14 +37,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keys(df: DataFrame) -> tuple[DataFrame, str]:
+    """(``df`` written once with a number of each row's own, that column's name): repeats and null ids stay apart."""
+    key, taken = "row_key", {c.lower() for c in df.columns}
+    while key in taken:
+        key += "_"
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), "rows", compression="zstd"), key
+
+
 def sweep(spark: SparkSession) -> None:
     """Remove what this application's ``materialize`` calls have left in the shared folder."""
     jvm = spark.sparkContext._jvm

@@ -38,3 +38,24 @@ def test_empty(spark):
 def test_no_python_in_plan(spark):
     plan = queries.QUERIES["op5_exact_dedup"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_and_null_ids(spark):
+    long = "abcde fgh " * 1000  # three blocks of the standard size
+    rows = [(5, "a b"), (5, "a b"), (5, "a  b"), (9, "a b"), (None, "a b"), (7, long), (7, long), (7, "other"), (8, long + "z"), (None, "n"), (None, "n"), (None, long), (None, None), (3, "")]
+    df = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id bigint, text string, row_key int")
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), []).append(d)
+    want = []
+    for t, own in groups.items():
+        keep = min((d for d in own if d is not None), default=None)
+        want += [(d, keep, len(own), None if d is None else d == keep, hashlib.sha256(t.encode()).hexdigest()) for d in own]
+    for size in (exact_dedup.BLOCK_CHARS, 4):
+        got = exact_dedup.exact_groups(df, block_chars=size).collect()
+        assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
+    kept = exact_dedup.deduplicate(df)
+    assert kept.columns == df.columns
+    least = {t: min((d for d in own if d is not None), default=None) for t, own in groups.items()}
+    left = [(re.sub(r"[\x20\x09-\x0D]+", " ", r.text or ""), r.doc_id) for r in kept.collect()]
+    assert sorted(map(repr, left)) == sorted(map(repr, least.items()))

@@ -83,3 +83,15 @@ def test_components_of_a_path_and_a_star(spark):
     rng.shuffle(edges)
     got = dict(map(tuple, components(spark.createDataFrame([e[:: rng.choice([1, -1])] for e in edges], "a bigint, b bigint")).collect()))
     assert got == {i: 100 for i in range(100, 131)} | {k: 5 for k in (5, *range(200, 230))}
+
+
+def test_one_of_each_with_repeated_rows_and_null_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = " ".join([*base[:-1], "zz"])
+    text = " ".join(base)
+    rows = [(5, text), (5, text), (9, near), (None, near), (7, "one two"), (7, "one two"), (7, "three"), (None, "n n"), (None, "n n"), (2, ""), (2, None), (4, " "), (None, ""), (None, "")]
+    df = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id bigint, text string, row_key int")
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(repr((r.doc_id, (r.text or "").strip())) for r in kept.collect())
+    assert got == sorted(map(repr, [(5, text), (7, "one two"), (7, "three"), (None, "n n"), (2, ""), (4, ""), (None, ""), (None, "")]))
