@@ -19,6 +19,7 @@ from ._text import LOWER
 # Sentences of public licences, by identifier.
 SENTENCES = {
     "apache-short": "Licensed under the Apache License, Version 2.0",
+    "apache-header": 'Licensed under the Apache License, Version 2.0 (the "License")',
     "apache-you": "you may not use this file except in compliance with the License",
     "apache-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "apache-warranty": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied',
@@ -51,6 +52,7 @@ SENTENCES = {
 }
 # Ordered rules (license, sentence identifiers in a row); the first that fits takes the sentences.
 RULES = (
+    ("Apache-2.0", ("apache-header", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
     ("Apache-2.0", ("apache-short", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary")),
@@ -62,6 +64,7 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl2-free",)),
     ("GPL-3.0-only", ("gpl3-short",)),
     ("GPL-3.0-only", ("gpl3-short-2",)),
+    ("Apache-2.0", ("apache-header",)),
     ("Apache-2.0", ("apache-short",)),
     ("MIT", ("mit-short",)),
     ("MIT", ("mit-short-2",)),
