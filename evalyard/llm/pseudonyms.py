@@ -28,13 +28,23 @@ _PATTERN = re.compile(
     r"""(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"""
     r"""|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"""
     r"""|(?P<phone>\+(?:1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])|(?!1[^0-9])[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,4}(?![0-9])))"""
-    r"""|(?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![\w-]|[./][0-9]))"""
+    r"""|(?P<national>(?<![\w.+-])(?:1[\x20.-])?(?:\([2-9][0-9]{2}\)[\x20.-]?[2-9][0-9]{2}[\x20.-][0-9]{4}|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}|[2-9][0-9]{2}\.[2-9][0-9]{2}\.[0-9]{4})(?!\w|[.-][0-9]))"""
+    r"""|(?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?!(?![Tt][0-9]{2}|Z(?!\w))[\w-]|[./][0-9]))"""
     r"""|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"""
     r"""|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))"""
     r"""|(?P<card>(?<![\w.])[0-9](?:[\x20-]?[0-9]){12,18}(?![\w]))""",
     re.ASCII,
 )
 _NEEDS = re.compile(r"[0-9@]")
+# Length of each country's IBANs.
+IBAN_LENGTHS = {
+    c: int(n)
+    for n, cs in (
+        x.split(":")
+        for x in "15:NO|16:BE|18:DK FO FI GL NL SD|19:MK SI|20:AT BA EE KZ XK LT LU|21:HR LV LI CH|22:BH BG CR GE DE IE ME RS GB VA|23:GI IL IQ TL AE|24:AD CZ MD PK RO SA SK ES SE TN VG|25:LY PT ST|26:IS TR|27:FR GR IT MR MC SM|28:AL AZ BY CY DO GT HU LB PL|29:BR EG PS QA UA|30:JO KW MU|31:MT SC|32:LC".split("|")
+    )
+    for c in cs.split()
+}
 
 
 class Feistel:
@@ -78,6 +88,30 @@ def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+def _card_ends(s: str) -> list[int]:
+    """Ends of a card number that ``s`` may begin with, at the ends of its digit groups; the likeliest first.
+
+    A usual layout comes first, so a security code or date behind it changes nothing; then the longest.
+    """
+    sizes, ends, count = (), {}, 0
+    usual = []
+    for g in re.finditer("[0-9]+", s):
+        count += len(g[0])
+        sizes += (len(g[0]),)
+        if 13 <= count <= 19:
+            ends[g.end()] = count
+            if sizes in ((4, 4, 4, 4), (4, 6, 5)) or (len(sizes) == 1 and count in (15, 16)):
+                usual.append(g.end())
+    return usual + [e for e in sorted(ends, reverse=True) if e not in usual]
+
+
+def _iban_ends(s: str) -> list[int]:
+    """Ends of an IBAN that ``s`` may begin with, at its spaces; the country's length first, then the longest."""
+    ends = [m.start() for m in re.finditer(" |$", s)]
+    length = IBAN_LENGTHS.get(s[:2])
+    return sorted(ends, key=lambda e: (len(s[:e].replace(" ", "")) != length, -e))
+
+
 def _refill(old: str, chars: str, kept: str = "0123456789") -> str:
     """``old`` with its characters of ``kept`` replaced in turn."""
     it = iter(chars)
@@ -95,8 +129,13 @@ class Pseudonyms:
             net = self.nets[tweak, size] = Feistel(self.key, tweak, size)
         return net.permute(x, self.back)
 
-    def _digits(self, tweak: str, digits: str) -> str:
-        return str(self._permute(tweak, 10 ** len(digits), int(digits))).zfill(len(digits))
+    def _digits(self, tweak: str, digits: str, form=None) -> str:
+        """Permuted digits; with ``form``, within the values that share its result, by walking on."""
+        out = digits
+        while True:
+            out = str(self._permute(tweak, 10 ** len(out), int(out))).zfill(len(out))
+            if form is None or form(out) == form(digits):
+                return out
 
     def _mixed(self, tweak: str, text: str) -> str:
         """Letters stay letters of their case, digits stay digits, other characters stay."""
@@ -120,7 +159,9 @@ class Pseudonyms:
         digits = re.sub("[ -]", "", s)
         if int(digits[-1]) != luhn(digits[:-1]) or len(set(digits)) == 1:
             return None
-        body = self._digits("card", digits[:-1])
+        # a long number whose usual beginnings are no cards stays such a number, so it is read alike again
+        form = (lambda b: [b[k - 1] == str(luhn(b[: k - 1])) for k in (15, 16)]) if len(digits) > 16 else None
+        body = self._digits("card", digits[:-1], form)
         return _refill(s, body + str(luhn(body)))
 
     def iban(self, s: str) -> str | None:
@@ -138,8 +179,17 @@ class Pseudonyms:
         digits = re.sub("[^0-9]", "", rest)
         if not 7 <= len(digits) <= 14:
             return None
+        if country[:2] == "+1" and len(country + digits) == 12:  # one notation's split after the country code isn't another's
+            digits = (country + digits)[2:]
+            new = self._digits("phone+1", digits, lambda d: d[0] > "1" and d[3] > "1")
+            return "+1" + _refill(s[2:], new)
         return country + _refill(rest, self._digits("phone" + country, digits))
 
+    def national(self, s: str) -> str | None:
+        """A North American number without its +: the pseudonym that it has with +1."""
+        at = 1 if s[0] == "1" else 0
+        return s[:at] + self.phone("+1" + s[at:])[2:]
+
     def ssn(self, s: str) -> str | None:
         area, group, serial = map(int, s.split("-"))
         if area in (0, 666) or area >= 900 or not group or not serial:
@@ -183,13 +233,18 @@ class Pseudonyms:
             if _NEEDS.search(line):
                 new, done, pos = [], 0, 0
                 while m := _PATTERN.search(line, pos):
-                    value = getattr(self, m.lastgroup)(m[0])
-                    if value is None:  # not valid: look on from the next character run
+                    kind, found = m.lastgroup, m[0]
+                    ends = _card_ends(found) if kind == "card" else _iban_ends(found) if kind == "iban" else [len(found)]
+                    for end in ends:
+                        if (value := getattr(self, kind)(found[:end])) is not None:
+                            break
+                    else:  # not valid: look on from the next character run
                         pos = m.start() + 1
                         continue
                     new += [line[done : m.start()], value]
-                    spans.append((m.lastgroup, at + m.start(), at + m.end()))
-                    done = pos = m.end()
+                    end += m.start()
+                    spans.append(("phone" if kind == "national" else kind, at + m.start(), at + end))
+                    done = pos = end
                 out.append("".join([*new, line[done:]]))
             else:
                 out.append(line)

@@ -61,3 +61,36 @@ def test_query_and_edges(spark):
     got = P.digest(P.pseudonymise(df, KEY)).collect()
     assert len(got) == 5 and {r.doc_id: r.text for r in got}[1] is None
     assert P.pseudonymise(df.limit(0), KEY).count() == 0
+
+
+def test_values_before_other_digits_and_words():
+    names, back = P.Pseudonyms(KEY), P.Pseudonyms(KEY, back=True)
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    alone = names.replace("4111 1111 1111 1111")[0]
+    # every security code, as one in ten makes a longer valid number
+    for tail in [f" {k:03d}" for k in range(40)] + [" 12/27", "-123", " 12"]:
+        for card in ("4111 1111 1111 1111", "4111111111111111"):
+            new, spans = names.replace(card + tail)
+            assert spans == [("card", 0, len(card))] and digits(new[: len(card)]) == digits(alone) and new.endswith(tail)
+            assert back.replace(new)[0] == card + tail
+    long = [b + str(P.luhn(b)) for b in (f"62{k:016d}" for k in range(100, 160))]
+    for card in long:
+        grouped = " ".join(card[i : i + 4] for i in range(0, 19, 4))
+        for text in (card, grouped):
+            new = names.replace(text)[0]
+            assert new != text and back.replace(new)[0] == text
+    for iban, tail in (("BE68 5390 0754 7034", " DATE"), ("BE68 5390 0754 7034", " 2024"), ("GB82 WEST 1234 5698 7654 32", " EUR")):
+        new, spans = names.replace(iban + tail)
+        assert spans == [("iban", 0, len(iban))] and new[: len(iban)] == names.replace(iban)[0] and back.replace(new)[0] == iban + tail
+
+
+def test_dates_with_times_and_national_phones():
+    names, back = P.Pseudonyms(KEY), P.Pseudonyms(KEY, back=True)
+    new, spans = names.replace("2024-05-06T10:00:00Z 2024-05-06 2024-05-06Thursday")
+    assert [k for k, _, _ in spans] == ["date", "date"] and new[:10] == new[21:31] and new[10:20] == "T10:00:00Z"
+    digits = lambda s: re.sub("[^0-9]", "", s)[-10:]
+    want = digits(names.replace("+1 377 555 0271")[0])
+    for text in ("(377) 555-0271", "377-555-0271", "377.555.0271", "1-377-555-0271", "+1 (377) 555-0271", "+13775550271"):
+        new, spans = names.replace(text)
+        assert spans == [("phone", 0, len(text))] and digits(new) == want and back.replace(new)[0] == text, text
+    assert not names.replace("a 377-555-02711 b 077-555-0271 c 377-555-0271-9 d")[1]
