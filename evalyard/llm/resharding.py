@@ -137,12 +137,41 @@ def reshard(rows: DataFrame, old: Column, old_shards: int, new_shards: int, capa
     return placed.join(F.broadcast(counts), ["shard", "old", "block"]).withColumn("slot", F.col("base") + F.col("nth") - 1).drop("base", "nth")
 
 
-def rewrite(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> None:
+def rewrite(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> None:
     """Write the files that the plan affects: for each shard that lost or got rows, its new content under ``path/shard=k``.
 
-    Shards that neither give nor take keep their old files and aren't written.
+    Shards that neither give nor take keep their old files and aren't written. ``key`` names a column
+    of both tables that is each row's own. Without it rows meet by id, size and checksum, nulls
+    included, one to one; shards that hold such repeats of another shard's rows are written too, so
+    no row is lost or written twice whichever of the repeats a shard gets. ``docs`` may be what lies
+    under ``path`` now; its columns shard and slot are replaced.
     """
+    docs = docs.drop("shard", "slot")
+    same = [key] if key else ["doc", "size", "text_crc32"]
     moved = plan.where("old <> shard")
-    affected = moved.select(F.col("shard").alias("hit")).union(moved.select("old")).distinct()
-    part = plan.join(F.broadcast(affected), F.col("shard") == F.col("hit"), "left_semi").select(F.col("doc").alias(id_col), "shard", "slot")
-    docs.join(part, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+    affected = moved.select(F.col("shard").alias("hit")).union(moved.select("old"))
+    if not key:
+        spread = plan.groupBy(*same).agg(F.array_distinct(F.flatten(F.array(F.collect_set("shard"), F.collect_set("old")))).alias("shards")).where("size(shards) > 1")
+        affected = affected.union(spread.select(F.explode("shards")))
+    hit = sorted(r.hit for r in affected.distinct().collect())  # shards only
+    part = plan.select(*(F.col(c).alias(f"to_{c}") for c in same), "shard", "slot")
+    if key:
+        rows = docs.withColumn(f"to_{key}", F.col(key))
+    else:
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        rows = docs.withColumns({"to_doc": F.col(id_col), "to_size": (F.octet_length(text) + OVERHEAD).cast("bigint"), "to_text_crc32": F.crc32(text.cast("binary"))})
+        each = Window.partitionBy(*(f"to_{c}" for c in same))
+        part = part.withColumn("to_nth", F.row_number().over(each.orderBy("shard", "slot")))
+        rows = rows.withColumn("to_nth", F.row_number().over(each.orderBy(text_col)))
+        same = [*same, "nth"]
+    part = part.where(F.col("shard").isin(hit))
+    part = part.select(*(F.col(f"to_{c}").alias(f"plan_{c}") for c in same), "shard", "slot")
+    joined = rows.join(part, [F.col(f"to_{c}").eqNullSafe(F.col(f"plan_{c}")) for c in same]).drop(*(f"{k}_{c}" for c in same for k in ("to", "plan")))
+    # written before the target is touched: the rows may come from its own files
+    joined = materialize(joined, "rewritten")
+    joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    full = {r.shard for r in joined.select("shard").distinct().collect()}
+    context = docs.sparkSession.sparkContext
+    for k in set(hit) - full:  # a shard that has lost all its rows
+        gone = context._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={k}")
+        gone.getFileSystem(context._jsc.hadoopConfiguration()).delete(gone, True)

@@ -71,3 +71,23 @@ def test_near_equal_with_a_hot_shard_nulls_and_repeats(spark, tmp_path):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert resharding.reshard(resharding.sized(df), F.lit(0), 1, 3).count() == 0
+
+
+def test_rewrite_in_place_writes_the_rows_of_the_plan(spark, tmp_path):
+    from evalyard.session import row_keys
+
+    rows = [(i, "x" * (i % 40), i % 3) for i in range(600)] + [(7, None, 0)] * 3 + [(7, "aa", 1), (7, "aa", 2), (None, "n", 2), (None, "n", 2), (None, "m", 0)] + [(i, "y", 4) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, home int")
+    for key in (None, "row_key"):
+        docs = row_keys(df)[0] if key else df
+        carry = {"home": F.col("home")} | ({key: F.col(key)} if key else {})
+        # shard 3 neither gives nor takes, shard 4 loses all
+        plan = resharding.reshard(resharding.sized(docs, carry=carry), F.col("home"), 5, 3, blocks=8)
+        out = str(tmp_path / f"out{key}")
+        start = docs.select("doc_id", "text", *([key] if key else []), F.lit(0).alias("slot"), F.col("home").alias("shard"))
+        start.union(start.limit(1).withColumn("shard", F.lit(3))).write.partitionBy("shard").parquet(out)
+        resharding.rewrite(spark.read.parquet(out).where("shard <> 3"), plan, out, key=key)
+        got = [(r.doc_id, len(r.text or "") + 8, r.shard, r.slot) for r in spark.read.parquet(out).where("shard <> 3").collect()]
+        want = [(r.doc, r.size, r.shard, r.slot) for r in plan.collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+        assert spark.read.parquet(out).where("shard = 3").count() == 1
