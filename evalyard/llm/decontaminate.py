@@ -6,25 +6,34 @@ may jump at each position, a bucket keyed by the block at the window's end selec
 patterns that can occur there, and a direct comparison confirms the occurrence.
 
 Documents stay where they are: one pass of ``mapInArrow`` over the scan, no shuffle. The
-benchmark travels in blocks of bounded size; more blocks mean more passes, never a larger
-broadcast.
+benchmark travels in blocks of bounded size; more blocks mean more passes over rows that are
+numbered first, never a larger broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import materialize, row_keys
 from ._text import LOWER
 
 WINDOW = 13
-#: Bytes of benchmark text that one pass broadcasts.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text that one pass broadcasts; a worker's tables take some 10 times as much, 20 while they are built, once a worker.
+BLOCK_BYTES = 8 << 20
 #: Lower-cases A-Z and turns each ASCII character outside 0-9, a-z into a space.
 _WORDS = bytes(32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in LOWER)
+#: Text positions that the tables take in at once.
+_PIECE = 1 << 16
 #: Shortest pattern of a length class and the block size that its tables use.
 _CLASSES = ((32, 8), (16, 6), (8, 3), (3, 2))
 
@@ -35,142 +44,207 @@ def normalise(text: str | None) -> bytes:
     return b" " + b" ".join(found) + b" " if found else b""
 
 
-def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
-    found = normalise(text).split()
-    return [b" " + b" ".join(found[i : i + size]) + b" " for i in range(max(1, len(found) - size + 1))] if found else []
-
-
 class WuManber:
-    """Tables for the patterns of one length class; ``m`` is the shortest pattern's length."""
+    """Tables for the patterns of one length class; ``m`` is the shortest pattern's length.
 
-    def __init__(self, patterns: list[bytes], block: int):
-        self.m = m = min(map(len, patterns))
+    A pattern is a range of ``blob``. The shift table is a byte for each value of a block's hash: blocks
+    that share a value share the least shift, so a jump never passes an occurrence. Patterns are
+    sorted by the hash of the block at ``m``; equal ones are one pattern with several owners.
+    """
+
+    def __init__(self, blob: bytes, start: np.ndarray, stop: np.ndarray, owner: np.ndarray, block: int):
+        self.m = m = int((stop - start).min())
         self.block = block = min(block, m)
-        self.default = m - block + 1
-        self.shift: dict[bytes, int] = {}
-        self.bucket: dict[bytes, dict[bytes, list[bytes]]] = {}
-        for p in patterns:
-            for end in range(block, m + 1):
-                b = p[end - block : end]
-                self.shift[b] = min(self.shift.get(b, self.default), m - end)
-            self.bucket.setdefault(p[m - block : m], {}).setdefault(p[:block], []).append(p)
-
-    def find(self, text: bytes) -> Iterator[tuple[int, bytes]]:
-        m, block, shift, default = self.m, self.block, self.shift.get, self.default
+        self.blob, self.default = blob, min(m - block + 1, 255)
+        self.mask = (1 << max(16, min(24, int(2 * len(start)).bit_length() + 3))) - 1
+        self.shift = bytearray([self.default]) * (self.mask + 1)
+        order, shift, mask = np.sort(start), self.shift, self.mask
+        for low in range(0, len(blob) - block + 1, _PIECE):
+            # a text position lies deepest in the pattern that starts first among those that hold it
+            at = np.arange(low, min(low + _PIECE, len(blob) - block + 1))
+            first = order[np.minimum(np.searchsorted(order, at + block - m), len(order) - 1)]
+            inside = (first <= at) & (first >= at + block - m)
+            for q, s in zip(at[inside].tolist(), (m - block - at + first)[inside].tolist()):
+                h = hash(blob[q : q + block]) & mask
+                if s < shift[h]:
+                    shift[h] = s
+        ends = np.fromiter((hash(blob[s + m - block : s + m]) for s in array("q", start)), np.int64, len(start))
+        self.start, self.stop, self.owners, keys = array("q"), array("q"), [], array("q")
+        known: dict[bytes, int] = {}
+        for k in array("q", np.lexsort((owner, ends))):
+            p = blob[start[k] : stop[k]]
+            if not keys or keys[-1] != ends[k]:
+                known = {}
+            if p not in known:
+                known[p] = len(keys)
+                keys.append(int(ends[k]))
+                self.start.append(int(start[k]))
+                self.stop.append(int(stop[k]))
+                self.owners.append(int(owner[k]))
+            else:  # a tuple only where a window is shared
+                had = self.owners[known[p]]
+                had = had if isinstance(had, tuple) else (had,)
+                if had[-1] != owner[k]:
+                    self.owners[known[p]] = (*had, int(owner[k]))
+        self.keys = keys
+
+    def find(self, text: bytes) -> Iterator[tuple[int, int]]:
+        """(position, pattern number) of every occurrence."""
+        m, block, shift, mask, keys, blob = self.m, self.block, self.shift, self.mask, self.keys, self.blob
         end, n = m, len(text)
         while end <= n:
-            tail = text[end - block : end]
-            if jump := shift(tail, default):
+            h = hash(text[end - block : end])
+            if jump := shift[h & mask]:
                 end += jump
                 continue
-            start = end - m
-            for p in self.bucket[tail].get(text[start : start + block], ()):
-                if text.startswith(p, start):
-                    yield start, p
+            k = bisect_left(keys, h)
+            while k < len(keys) and keys[k] == h:
+                if text.startswith(blob[self.start[k] : self.stop[k]], end - m):
+                    yield end - m, k
+                k += 1
             end += 1
 
 
 class Searcher:
     """All length classes over the windows of ``items`` = [(item id as text, text)]."""
 
-    def __init__(self, items: list[tuple[str, str | None]], size: int = WINDOW):
-        self.owners: dict[bytes, set[str]] = {}
-        for item, text in items:
-            for w in windows(text, size):
-                self.owners.setdefault(w, set()).add(item)
-        self.words = {w: w.count(b" ") - 1 for w in self.owners}
-        rest, self.tables = set(self.owners), []
+    def __init__(self, items: list[tuple[str | None, str | None]], size: int = WINDOW):
+        blob = bytearray()
+        self.names = [i for i, _ in items]
+        start, stop, owner = array("q"), array("q"), array("q")
+        for k, (_, text) in enumerate(items):
+            norm = normalise(text)
+            gaps = [len(blob) + j for j, c in enumerate(norm) if c == 32]
+            for j in range(max(1, len(gaps) - size) if gaps else 0):
+                start.append(gaps[j])
+                stop.append(gaps[min(j + size, len(gaps) - 1)] + 1)
+                owner.append(k)
+            blob += norm
+        start, stop, owner = (np.frombuffer(a, np.int64) if a else np.zeros(0, np.int64) for a in (start, stop, owner))
+        self.tables, most = [], np.inf
         for least, block in _CLASSES:
-            if own := sorted(p for p in rest if len(p) >= least):
-                self.tables.append(WuManber(own, block))
-                rest.difference_update(own)
+            own = (stop - start >= least) & (stop - start < most)
+            if own.any():
+                self.tables.append(WuManber(bytes(blob), start[own], stop[own], owner[own], block))
+            most = least
 
-    def search(self, text: str | None) -> tuple[int, list[tuple[int, int]], list[str]]:
-        """(words, merged hit ranges of word positions with exclusive ends, sorted items that occur)."""
+    def search(self, text: str | None) -> tuple[int, list[tuple[int, int]], list[str | None]]:
+        """(words, merged hit ranges of word positions with exclusive ends, sorted items that occur, null last)."""
         norm = normalise(text)
-        found = sorted({hit for t in self.tables for hit in t.find(norm)})
-        at, word, merged, items = 0, 0, [], set()
-        for start, p in found:
-            word += norm.count(b" ", at, start)
-            at = start
-            stop = word + self.words[p]
+        found = sorted((at, t.stop[k] - t.start[k], i, k) for i, t in enumerate(self.tables) for at, k in t.find(norm))
+        last, word, merged, items = 0, 0, [], set()
+        for at, length, i, k in found:
+            word += norm.count(b" ", last, at)
+            last = at
+            stop = word + norm.count(b" ", at, at + length) - 1
             if merged and word <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], stop)
             else:
                 merged.append([word, stop])
-            items |= self.owners[p]
-        return max(0, norm.count(b" ") - 1), [tuple(x) for x in merged], sorted(items)
+            had = self.tables[i].owners[k]
+            items.update(self.names[x] for x in (had if isinstance(had, tuple) else (had,)))
+        return max(0, norm.count(b" ") - 1), [tuple(x) for x in merged], sorted(items, key=lambda x: (x is None, x or ""))
+
 
+_SCHEMA = "array<struct<start:bigint,end:bigint>>"
+_HITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+#: The searcher that this worker built last, and its name: tasks of one pass share it.
+_built: tuple[str, Searcher] | None = None
 
-_SCHEMA = "n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>"
-_ARROW = [("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))]
 
+def _searcher(name: str, items: list[tuple[str | None, str | None]], size: int) -> Searcher:
+    global _built
+    if _built is None or _built[0] != name:
+        _built = None  # the old tables go before new ones are built
+        _built = (name, Searcher(items, size))
+    return _built[1]
 
-def _scan(docs: DataFrame, items: list[tuple[str, str | None]], size: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+def _scan(docs: DataFrame, text: str, shared, size: int, rows: str) -> DataFrame:
+    """``docs`` without ``text`` unless ``rows`` is "all", plus found_words, found_hits and found_items; rows "hit" are those with hits."""
+    keep = [c for c in docs.columns if rows == "all" or c != text]
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = Searcher(shared.value, size)
+        searcher = _searcher(name, shared.value, size)
         for b in batches:
-            rows = [searcher.search(t.as_py()) for t in b.column(1)]
-            cols = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_ARROW)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", *(n for n, _ in _ARROW)])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, {_SCHEMA}")
+            found = [searcher.search(t.as_py()) for t in b.column(text)]
+            cols = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), _HITS, pa.list_(pa.string())))]
+            out = pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *cols], [*keep, "found_words", "found_hits", "found_items"])
+            yield out.filter(pa.array([bool(f[1]) for f in found], pa.bool_())) if rows == "hit" else out
 
+    schema = T.StructType([docs.schema[c] for c in keep] + T.StructType.fromDDL(f"found_words bigint, found_hits {_SCHEMA}, found_items array<string>").fields)
+    return docs.mapInArrow(run, schema)
 
-def find_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Occurrences of benchmark windows: doc_id, n_words, hits (ranges of word positions), items.
 
-    A null or wordless text has no words and no hits; repeated rows give repeated results; an
-    empty benchmark hits nothing. Input columns other than the two named are ignored.
-    The benchmark is read in ``ceil(bytes / block_bytes)`` blocks, one pass over the documents each.
-    """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    bench = bench.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null")
+def _search(docs: DataFrame, text: str, bench: DataFrame, size: int, block_bytes: int, rows: str) -> DataFrame:
+    """``_scan`` of all benchmark blocks: one pass, or several that meet by a written number of each row."""
+    bench = bench.select(F.col("item_id").cast("string").alias("item"), "text")
     total = bench.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
+    context = docs.sparkSession.sparkContext
+    if blocks == 1:
+        return _scan(docs, text, context.broadcast([tuple(r) for r in bench.collect()]), size, rows)
+    docs, key = row_keys(docs)
     passes = []
     for k in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else bench
-        passes.append(_scan(docs, [tuple(r) for r in part.collect()], size))
-    if blocks == 1:
-        return passes[0]
-    every = passes[0]
-    for p in passes[1:]:
-        every = every.unionByName(p)
-    # one row per pass and document meets here; overlapping ranges from different passes merge
-    every = every.groupBy("doc_id").agg(
-        F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        # one block at a time is on the driver and on the workers
+        shared = context.broadcast([tuple(r) for r in bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()])
+        passes.append(materialize(_scan(docs.select(key, text), text, shared, size, "hit"), "pass"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, passes).groupBy(key).agg(
+        F.array_sort(F.flatten(F.collect_list("found_hits"))).alias("found_hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("found_items")))).alias("found_items"),
     )
     merged = F.expr("""
-        aggregate(hits, cast(array() as array<struct<start:bigint,end:bigint>>), (a, x) ->
+        aggregate(found_hits, cast(array() as array<struct<start:bigint,end:bigint>>), (a, x) ->
           if(size(a) > 0 and element_at(a, -1).end >= x.start,
              concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))),
              concat(a, array(x))))""")
-    return every.withColumn("hits", merged)
+    none = _scan(docs, text, context.broadcast([]), size, rows).drop("found_hits", "found_items")  # counts the words
+    return none.join(every.withColumn("found_hits", merged), key, "left").drop(key).withColumns({"found_hits": F.coalesce("found_hits", F.array().cast(_SCHEMA)), "found_items": F.coalesce("found_items", F.array().cast("array<string>"))})
+
+
+def find_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Occurrences of benchmark windows: doc_id, n_words, hits (ranges of word positions), items; a row for each row of ``docs``.
+
+    A null or wordless text has no words and no hits; repeated rows give repeated results, rows
+    with a null id their own; an empty benchmark hits nothing. Items that repeat an id count once;
+    those without an id are one null at the end of ``items``. Columns other than the two named
+    are ignored. The benchmark is read in ``ceil(bytes / block_bytes)`` blocks, one pass over the
+    documents each; the number of blocks doesn't change the result.
+    """
+    found = _search(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", bench, size, block_bytes, "narrow")
+    return found.select("doc_id", F.col("found_words").alias("n_words"), F.col("found_hits").alias("hits"), F.col("found_items").alias("items"))
+
+
+def _hit(hits: str) -> Column:
+    return F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
+
+
+def contaminated(n_words: str, hits: str) -> Column:
+    """The 5 % rule."""
+    return (F.size(hits) > 0) & (20 * _hit(hits) >= F.col(n_words))
 
 
 def contamination(found: DataFrame) -> DataFrame:
     """Digest of ``find_benchmark``: counts, hash of the items, and the 5 % rule."""
-    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "items").select(
+    return found.select(
         "doc_id",
         "n_words",
-        "n_hit",
+        _hit("hits").alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        contaminated("n_words", "hits").alias("contaminated"),
     )
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents, all columns kept; rows with a null id stay."""
-    bad = contamination(find_benchmark(docs, bench)).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+def decontaminate(docs: DataFrame, bench: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without contaminated rows, all columns kept, whatever their names; null and repeated ids are judged row by row."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    found = _search(docs.toDF(*names), text, bench, WINDOW, block_bytes, "all")
+    return found.where(~contaminated("found_words", "found_hits")).select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
 
 
 SQL = r"""
