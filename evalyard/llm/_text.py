@@ -7,10 +7,30 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import row_keys
 
 #: Maps the bytes A-Z to a-z and leaves every other byte alone.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SLICE_BYTES = 2 << 20
+#: Bytes up to which a written table is broadcast; beyond, an ordinary join.
+BROADCAST_BYTES = 64 << 20
+
+
+def sized(table: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows of 8-byte columns are few enough."""
+    return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
+
+
+def row_identity(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """(rows, column that tells them apart): the id where it is an integer that no rows share or lack, else a written number."""
+    if docs.schema[id_col].dataType.typeName() in ("long", "integer"):
+        shared = docs.groupBy(F.col(id_col).alias("id")).count().where("id is null or count > 1")
+        if shared.isEmpty():
+            return docs, id_col
+    return row_keys(docs)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

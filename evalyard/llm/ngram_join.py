@@ -20,6 +20,7 @@ Jaccard similarity of their sets is 0.8 or more. The result names each document'
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, row_keys
-from ._text import mix64, slices, words
+from ..session import materialize
+from ._text import mix64, row_identity, sized, slices, words
 from .components import components
 
 SIZE, PERCENT = 5, 80
 #: Part of a set that the first test reads beyond the plain prefix.
 EXTRA = 0.05
-#: Bytes up to which a written table is broadcast; beyond, an ordinary join.
-BROADCAST_BYTES = 64 << 20
+#: Entries of a posting list beyond which shapes are compared before entries.
+LONG = 48
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,11 +70,6 @@ def shingle_sets(texts: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndar
     return r[keep], x[keep]
 
 
-def _sized(table: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if its counted rows of 8-byte columns are few enough."""
-    return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
-
-
 def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
@@ -166,7 +162,7 @@ def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFra
     shared = materialize(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
     hits = tokens.join(shared, "token").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
     survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
-    sets = materialize(_sets(docs.join(_sized(survivors), "doc", "left_semi"), size), "sets")
+    sets = materialize(_sets(docs.join(sized(survivors), "doc", "left_semi"), size), "sets")
 
     exploded = sets.select("doc", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     frequency = materialize(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequency")
@@ -186,14 +182,31 @@ def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFra
 
     group = materialize(components(links), "components")
     placed = entries.join(group.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    per = placed.groupBy("token", "component").count().groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("k"))
-    mixed = materialize(placed.join(materialize(per.where("k > 1").select("token", "largest"), "tokens"), "token"), "mixed")
+    per = placed.groupBy("token", "component").count().groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("k"), F.sum("count").alias("size"))
+    mixed = materialize(placed.join(materialize(per.where("k > 1").select("token", "largest", "size"), "tokens"), "token"), "mixed")
+    return links.unionByName(_verified(distinct(_across(mixed, percent)), sets, percent))
+
+
+def _across(mixed: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs x, y of entries of a token in different components.
+
+    The filters see only an entry's (n, pos, own), its shape. Lists of over ``LONG`` entries therefore join
+    their distinct shapes first, within length classes; entries meet only where their shapes
+    pass. Documents that share a template but can't be similar have few shapes, none of which passes.
+    """
     rest = mixed.where("component <> largest")
-    across = rest.alias("x").join(
-        mixed.alias("y"),
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.largest")) | (F.col("x.doc") < F.col("y.doc"))) & _filters("x", "y", percent),
-    )
-    return links.unionByName(_verified(distinct(across), sets, percent))
+    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.largest")) | (F.col("x.doc") < F.col("y.doc")))
+    short = rest.where(f"size <= {LONG}").alias("x").join(mixed.where(f"size <= {LONG}").alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _filters("x", "y", percent))
+    # lengths that may link differ by a factor of 100 / percent at most, so by one class at most
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
+    shapes = mixed.where(f"size > {LONG}").select("token", "n", "pos", "own").distinct().withColumn("band", band)
+    wide = shapes.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    fits = shapes.alias("x").join(wide.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & _filters("x", "y", percent))
+    fits = fits.select(F.col("x.token").alias("token"), *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("n", "pos", "own")))
+    meet = lambda s: (F.col(f"{s}.token") == F.col("f.token")) & (F.col(f"{s}.n") == F.col(f"f.{s}_n")) & (F.col(f"{s}.pos") == F.col(f"f.{s}_pos")) & (F.col(f"{s}.own") == F.col(f"f.{s}_own"))
+    long = rest.where(f"size > {LONG}").alias("x").join(fits.alias("f"), meet("x")).join(mixed.where(f"size > {LONG}").alias("y"), meet("y") & apart)
+    ends = [F.struct(F.col("x.doc").alias("doc")).alias("x"), F.struct(F.col("y.doc").alias("doc")).alias("y")]
+    return short.select(*ends).unionByName(long.select(*ends))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -208,11 +221,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["n", "s1", "s2"]
     filled = base.where("n > 0 and doc is not null")
     classes = materialize(filled.groupBy(*key).agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "classes")
-    classes = _sized(classes)
+    classes = sized(classes)
     reps = filled.join(classes, key, "left").where("rep is null or rep = doc").select("doc", "least", "probe")
     group = materialize(components(_links(docs, reps, size, percent)), "groups")
     members = base.select("doc", *key).join(classes, key, "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc")).otherwise(F.col("doc")))
-    return members.join(_sized(group.withColumnRenamed("node", "rep")), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    return members.join(sized(group.withColumnRenamed("node", "rep")), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -222,15 +235,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     like all others. The row kept has the smallest id (null last). Wordless rows link to nothing;
     of those that repeat an id one is left.
     """
-    rows, key = row_keys(docs)
-    found = near_duplicates(rows, id_col=key, **options).withColumnRenamed("doc_id", key)
-    found = materialize(found.join(rows.select(key, F.col(id_col).alias("id")), key), "found")
-    wordless = F.col("n_shingles") == 0
-    group = [F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("id")), F.when(wordless & F.col("id").isNull(), F.col(key))]
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))
-    kept = found.groupBy(*(g.alias(f"by{k}") for k, g in enumerate(group))).agg(first[key].alias(key)).select(key)
-    gone = found.select(key).join(kept, key, "left_anti")
-    return rows.join(gone, key, "left_anti").select(docs.columns)
+    rows, key = row_identity(docs, id_col)
+    if key == id_col:  # wordless rows are components of their own, and the least id names each
+        gone = near_duplicates(rows, id_col=key, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
+    else:
+        found = near_duplicates(rows, id_col=key, **options).withColumnRenamed("doc_id", key)
+        found = materialize(found.join(rows.select(key, F.col(id_col).alias("id")), key), "found")
+        wordless = F.col("n_shingles") == 0
+        group = [F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("id")), F.when(wordless & F.col("id").isNull(), F.col(key))]
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))
+        kept = found.groupBy(*(g.alias(f"by{k}") for k, g in enumerate(group))).agg(first[key].alias(key)).select(key)
+        gone = found.select(F.col(key).alias("gone")).join(kept, F.col("gone") == F.col(key), "left_anti")
+    gone = sized(materialize(gone, "gone"))
+    return rows.join(gone, rows[key] == gone["gone"], "left_anti").select(docs.columns)
 
 
 SQL = r"""

@@ -20,7 +20,7 @@ def test_small_blocks_and_edges(spark, monkeypatch, hot):
     texts = ["".join(rng.choices("ab ", k=rng.randint(0, 9))) for _ in range(60)]
     texts += ["", None, " ", "\n\t", "x\ny", "x \x0b y", "x\xa0y", "abcd" * 40, "abcd" * 40, "abcd" * 39, "é" * 33 + "z", "é" * 33 + "y", "é" * 33 + "z"] + ["hot text here"] * 20
     df = spark.createDataFrame([(i * 7 % 1009, t, 0, "q") for i, t in enumerate(texts)], "doc_id bigint, text string, idx int, name string")
-    got = {r[0]: tuple(r)[1:] for r in exact_dedup.exact_groups(df, block_chars=4).collect()}
+    got = {r[0]: tuple(r)[1:] for r in exact_dedup.exact_groups(df, block_bytes=4).collect()}
     groups = {}
     for i, t in enumerate(texts):
         groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), []).append(i * 7 % 1009)
@@ -51,8 +51,8 @@ def test_repeated_rows_and_null_ids(spark):
     for t, own in groups.items():
         keep = min((d for d in own if d is not None), default=None)
         want += [(d, keep, len(own), None if d is None else d == keep, hashlib.sha256(t.encode()).hexdigest()) for d in own]
-    for size in (exact_dedup.BLOCK_CHARS, 4):
-        got = exact_dedup.exact_groups(df, block_chars=size).collect()
+    for size in (exact_dedup.BLOCK_BYTES, 4):
+        got = exact_dedup.exact_groups(df, block_bytes=size).collect()
         assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
     kept = exact_dedup.deduplicate(df)
     assert kept.columns == df.columns

@@ -65,6 +65,29 @@ def test_brute_force_near_copies_and_edges(spark):
     assert kept.columns == df.columns and kept.count() == len({c for _, c in got.values()})
 
 
+def test_long_lists_meet_by_shape(spark, monkeypatch):
+    rng = random.Random(8)
+    entries = [(t, d, n := rng.randint(90, 130), rng.randint(0, 20), rng.randint(1, 30), rng.choice([0, 0, d]), 0) for t in range(4) for d in range(40 if t else 10)]
+    frame = spark.createDataFrame([(*e, 40 if e[0] else 10) for e in entries], "token int, doc int, n bigint, own bigint, pos bigint, component int, largest int, size bigint")
+
+    def pairs(long):
+        monkeypatch.setattr(ngram_join, "LONG", long)
+        return sorted(tuple(sorted((r.x.doc, r.y.doc))) for r in ngram_join._across(frame, 80).collect())
+
+    assert pairs(1000) == pairs(20) == pairs(0) != []
+    monkeypatch.undo()
+    # a template that 20,000 documents share without links: one shape, no pairs
+    same_shape = spark.range(20_000).selectExpr("0 as token", "id as doc", "119L as n", "15L as own", "16L as pos", "id as component", "0L as largest", "20000L as size")
+    assert ngram_join._across(same_shape, 80).count() == 0
+
+
+def test_template_pages_without_links(spark):
+    shared = [f"s{i}" for i in range(108)]
+    rows = [(k, " ".join(shared + [f"u{k}x{i}" for i in range(15)])) for k in range(600)]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k for k, _ in rows}
+
+
 def test_empty(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
@@ -90,7 +113,7 @@ def test_one_of_each_with_repeated_rows_and_null_ids(spark):
     near = " ".join([*base[:-1], "zz"])
     text = " ".join(base)
     rows = [(5, text), (5, text), (9, near), (None, near), (7, "one two"), (7, "one two"), (7, "three"), (None, "n n"), (None, "n n"), (2, ""), (2, None), (4, " "), (None, ""), (None, "")]
-    df = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id bigint, text string, row_key int")
+    df = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id bigint, text string, gone int")
     kept = ngram_join.one_of_each(df)
     assert kept.columns == df.columns
     got = sorted(repr((r.doc_id, (r.text or "").strip())) for r in kept.collect())
