@@ -6,13 +6,13 @@ cyclic boosting: round after round, every feature in turn adds a shallow tree fi
 gradient in its bins, then the pairs with the strongest remaining signal do the same on two
 features. Training sees at most ``SAMPLE`` labelled rows, chosen by hash, whatever the size of the corpus.
 
-Features are taken from whole texts in one ``mapInArrow`` pass and written once; labels join
-the narrow feature rows, never the texts.
+Features are taken from whole texts where they are scanned: once for the sample's rows, and once,
+with the scores, for all rows. Nothing is shuffled but the sample.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -21,9 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
-from ._text import slices, words
+from ._text import sized, slices, words
 
 #: Most labelled rows that training reads: those with the smallest hash of their id.
 SAMPLE = 20_000
@@ -78,19 +78,20 @@ def features(texts: pa.Array) -> np.ndarray:
     return np.stack([out[f] for f in FEATURES], axis=1).astype(float)
 
 
-def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and x (array<double>) of every row, written once to the shared folder."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def _mapped(docs: DataFrame, text: str, keep: list[str], column: T.StructField, made: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """The columns ``keep`` of every row and one made from its text, slice by slice in the scan's own tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch):
-                x = features(b.column(1))
-                ends = pa.array((np.arange(len(b) + 1) * x.shape[1]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["doc_id", "x"])
+            for b in slices(batch, text):
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), made(b.column(text))], [*keep, column.name])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return materialize(docs.mapInArrow(run, f"doc_id {kind}, x array<double>"), "features")
+    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), column]))
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    ends = pa.array((np.arange(len(x) + 1) * x.shape[1]).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, pa.array(x.ravel()))
 
 
 @dataclass
@@ -194,39 +195,42 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def fit(table: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Additive:
-    """Train on at most ``sample`` labelled rows that aren't held out. Null ids or labels are passed over."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Additive:
+    """Train on at most ``sample`` labelled rows that aren't held out. Null ids or labels are passed over.
+
+    Only the texts of those rows are turned into features; their ids go to the scan.
+    """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", "quality")
     # a hash threshold first: each task then sends its part of the sample, not a whole one
     share = min(1.0, 1.2 * sample / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = table.join(known, "doc_id").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id", "x", "quality").limit(sample).select("x", "quality").collect()
+    chosen = docs.select("doc_id", "text").join(sized(known), "doc_id")
+    table = _mapped(chosen, "text", ["doc_id", "quality"], T.StructField("x", T.ArrayType(T.DoubleType())), lambda t: _lists(features(t)))
+    rows = table.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id", "x", "quality").limit(sample).select("x", "quality").collect()
     return train(np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES)), np.array([r.quality for r in rows], float))
 
 
-def score(table: DataFrame, model: Additive) -> DataFrame:
-    """doc_id and score (0 to 1) of every feature row, by bin lookups and additions."""
-    shared = table.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column("x").flatten().to_numpy().reshape(len(b), len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(shared.value.score(x))], ["doc_id", "score"])
-
-    return table.mapInArrow(run, f"doc_id {table.schema['doc_id'].dataType.simpleString()}, score double")
+def score(docs: DataFrame, text: str, model: Additive, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``score`` (0 to 1) of every row, by bin lookups and additions."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return _mapped(docs, text, keep, T.StructField("score", T.DoubleType()), lambda t: pa.array(shared.value.score(features(t))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``.
+    """doc_id, held_out, score and predicted of every row of ``docs``; other columns are ignored.
 
-    Null and empty texts score like any other; a null id is never held out; repeated rows repeat.
+    Null and empty texts score like any other; a null id is never held out; repeated rows repeat;
+    without labels every score is 0.5; an empty table gives an empty result.
     """
-    table = feature_table(docs)
-    scored = score(table, fit(table, labels, sample))
+    scored = score(docs.select("doc_id", "text"), "text", fit(docs, labels, sample), ["doc_id"])
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects, all columns kept."""
-    bad = classify(docs, labels).where("predicted = 0").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the rows that the classifier rejects, all columns kept, whatever their names; one pass, no shuffle.
+
+    Each row is judged by its text, so repeats of a text share their fate; ties at 0.5 stay.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    scored = score(docs.toDF(*names), names[docs.columns.index("text")], fit(docs, labels), names)
+    return scored.where("score >= 0.5").select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
