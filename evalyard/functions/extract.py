@@ -2,45 +2,65 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .text import all_found, found, regex, strip
 
-# Think tags in the order they are looked for.
-THINK_TAGS = ("think", "think_fast", "think_faster")
+# Think tags in the order they are looked for, and an empty block that reasoning may begin with.
+THINK_TAGS = ("ifm|think", "ifm|think_fast", "ifm|think_faster", "think", "think_fast", "think_faster")
+EMPTY_THINK = r"\A<think(?:_fast|_faster)?>\s*</think(?:_fast|_faster)?>\s*"
+
+
+# What a formula's layout is replaced by, in order.
+PLAIN_FORMS = (("\n", ""), ("\\!", ""), ("\\\\", "\\"), ("tfrac", "frac"), ("dfrac", "frac"), ("\\left", ""), ("\\right", ""), ("^{\\circ}", ""), ("^\\circ", ""), ("\\$", ""), ("\\%", ""))
+
+
+def _json_text(c: Column) -> Column:
+    """A string as JSON text."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"\A\[|\]\z", "")
+
+
+def _call(block: Column, number: Column, prefix: str) -> Column:
+    p = F.from_json(block, "name string, arguments string")
+    return F.struct(F.concat(F.lit(prefix), number.cast("string")).alias("id"), p["name"].alias("name"), F.coalesce(p["arguments"], F.lit("{}")).alias("arguments"))
+
+
+def _tagged_call(block: Column, number: Column) -> Column:
+    """A call written as a name and key and value elements; values that are JSON stay JSON, others become strings."""
+    pairs = F.map_entries(argument_pairs(block, r"ifm\|"))
+    body = F.array_join(F.transform(pairs, lambda e: F.concat(_json_text(e["key"]), F.lit(":"), F.when(F.try_parse_json(e["value"]).isNotNull(), e["value"]).otherwise(_json_text(e["value"])))), ",")
+    return F.struct(F.concat(F.lit("call_ifm_"), number.cast("string")).alias("id"), strip(F.substring_index(block, "<ifm|arg_key>", 1)).alias("name"), F.concat(F.lit("{"), body, F.lit("}")).alias("arguments"))
 
 
 def tool_calls(c: Column) -> Column:
-    """Calls in tool_call blocks that hold JSON with a name: array of id, name, arguments (JSON text)."""
+    """Calls in tool-call blocks, as JSON with a name or, in ifm blocks, as tagged elements: array of id, name, arguments (JSON text)."""
     blocks = all_found(c, r"<tool_call>\s*(.*?)\s*</tool_call>", flags="s")
-    parsed = F.transform(blocks, lambda b, i: F.struct(i.alias("i"), F.from_json(b, "name string, arguments string").alias("p")))
-    kept = F.filter(parsed, lambda x: F.length(x["p"]["name"]) > 0)
-    return F.transform(kept, lambda x: F.struct(F.concat(F.lit("call_"), x["i"].cast("string")).alias("id"), x["p"]["name"].alias("name"), F.coalesce(x["p"]["arguments"], F.lit("{}")).alias("arguments")))
+    tagged = all_found(c, r"<ifm\|tool_call>\s*(.*?)\s*</ifm\|tool_call>", flags="s")
+    first = F.transform(blocks, lambda b, i: _call(b, i, "call_"))
+    second = F.transform(tagged, lambda b, i: F.when(F.startswith(b, F.lit("{")), _call(b, i, "call_ifm_")).otherwise(_tagged_call(b, i)))
+    return F.filter(F.concat(first, second), lambda x: F.length(x["name"]) > 0)
 
 
-def argument_pairs(c: Column) -> Column:
+def argument_pairs(c: Column, prefix: str = "") -> Column:
     """Key and value elements of an XML-style call as a map; a repeated key keeps its last value."""
-    p = r"<arg_key>\s*(.*?)\s*</arg_key>\s*<arg_value>\s*(.*?)\s*</arg_value>"
+    kind = rf"(?:<{prefix}arg_type>\s*.*?\s*</{prefix}arg_type>\s*)?"
+    p = rf"<{prefix}arg_key>\s*(.*?)\s*</{prefix}arg_key>\s*{kind}<{prefix}arg_value>\s*(.*?)\s*</{prefix}arg_value>"
     pairs = F.arrays_zip(all_found(c, p, 1, "s").alias("k"), all_found(c, p, 2, "s").alias("v"))
     last = F.reverse(pairs)
-    names = F.array_distinct(F.transform(last, lambda x: x["k"]))
+    names = F.array_distinct(F.transform(pairs, lambda x: x["k"]))
     return F.map_from_entries(F.transform(names, lambda n: F.struct(n, F.element_at(F.filter(last, lambda x: x["k"] == n), 1)["v"])))
 
 
 def split_think(c: Column) -> Column:
     """Struct of reasoning and answer at the first closing tag of the first kind that occurs; no tag: all is answer."""
-    trim = lambda x: F.regexp_replace(x, r"\A\n+|\n+\z", "")
+    edges = lambda x: F.regexp_replace(x, r"\A\n+|\n+\z", "")
+    trim = lambda x: edges(F.regexp_replace(edges(x), EMPTY_THINK, ""))
     text = F.coalesce(c, F.lit(""))
     out = F.struct(F.lit("").alias("reasoning"), text.alias("answer"))
     for tag in reversed(THINK_TAGS):
         before = F.substring_index(text, f"</{tag}>", 1)
-        after = F.regexp_replace(text, rf"(?s)\A.*?</{tag}>\n*", "")
+        after = F.regexp_replace(text, rf"(?s)\A.*?</\Q{tag}\E>\n*", "")
         inner = F.when(F.contains(before, F.lit(f"<{tag}>")), F.substring_index(before, f"<{tag}>", -1)).otherwise(before)
         out = F.when(F.contains(text, F.lit(f"</{tag}>")), F.struct(trim(inner).alias("reasoning"), after.alias("answer"))).otherwise(out)
     return out
@@ -62,7 +82,7 @@ def function_body(c: Column, name: str) -> Column:
 def normal_formula(c: Column) -> Column:
     """A formula's text without spacing, units and sizing marks, with full fraction and root braces."""
     out = F.coalesce(found(strip(c), r"\A\\text\{(.+?)\}\z"), strip(c))
-    for old, new in (("\n", ""), ("\\!", ""), ("\\\\", "\\"), ("tfrac", "frac"), ("dfrac", "frac"), ("\\left", ""), ("\\right", ""), ("^{\\circ}", ""), ("^\\circ", ""), ("\\$", ""), ("\\%", "")):
+    for old, new in PLAIN_FORMS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(out, r"\\text\{ .*\z", "")
     out = F.regexp_replace(out, r"(^|[ {])\.(?=\d)", "$10.")
@@ -80,21 +100,6 @@ def tuple_parts(c: Column) -> Column:
     return F.when(inner.isNotNull() & F.contains(inner, F.lit(",")), F.transform(F.split(inner, ","), strip)).otherwise(F.array(strip(c)))
 
 
-def unigram_f(reference: str | None, candidate: str | None) -> float | None:
-    """F score of shared lower-case words; None when either side has none."""
-    a, b = (Counter(re.findall(r"\w+", (t or "").lower())) for t in (reference, candidate))
-    if not a or not b:
-        return None
-    shared = sum((a & b).values())
-    return 2 * shared / (sum(a.values()) + sum(b.values()))
-
-
-@F.pandas_udf(T.DoubleType())
-def overlap_score(reference: pd.Series, candidate: pd.Series) -> pd.Series:
-    """Word overlap of each pair; null where a side has no words, so averages pass over it."""
-    return pd.Series([unigram_f(a, b) for a, b in zip(reference, candidate)], dtype="float64")
-
-
 def job_parts(c: Column) -> Column:
     """Name and instance of a job name ``name--instance``; NULL for another form."""
     p = regex(r"\A(.+)--([^-]+)\z")

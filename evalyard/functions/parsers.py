@@ -74,16 +74,19 @@ ANSWER_IS = r"the (?:correct )?answer is "
 LETTER_IS = r"\bthe answer is\b[\s:：-]*[\(\[]?\s*([A-Z])\s*[\)\]]?"
 
 
+def _up_to_last(tail: Column) -> Column:
+    """What stands on the tail's first line but for its last character; NULL for an empty line."""
+    return found(tail, r"\A(.*)(?=.)")
+
+
 @parser("so_the_answer_is")
 def _so(c: Column) -> Column:
-    tail = found(c, ANSWER_IS + r"(?s:(.*))", flags="i")
-    return F.when(tail.isNotNull(), F.regexp_extract(tail, regex(r"(.*)(?=.)"), 1))
+    return _up_to_last(found(c, ANSWER_IS + r"(?s:(.*))", flags="i"))
 
 
 @parser("so_the_answer_is_last")
 def _so_last(c: Column) -> Column:
-    tail = found(c, r"(?s:.*)" + ANSWER_IS + r"(?s:(.*))", flags="i")
-    return F.when(tail.isNotNull(), F.regexp_extract(tail, regex(r"(.*)(?=.)"), 1))
+    return _up_to_last(found(c, r"(?s:.*)" + ANSWER_IS + r"(?s:(.*))", flags="i"))
 
 
 @parser("answer_tag")
@@ -121,7 +124,7 @@ def _gsm8k(c: Column) -> Column:
 
 @parser("code-think")
 def _code_think(c: Column) -> Column:
-    tail = F.when(F.contains(c, F.lit("</think>")), F.regexp_replace(c, r"(?s)\A.*?</think>", "")).otherwise(c)
+    tail = F.regexp_replace(c, regex(r"\A.*?</think>", "is"), "")
     return last_found(tail, PYTHON_BLOCK, flags="s")
 
 
@@ -174,7 +177,7 @@ def boxed_text(text: str | None) -> str | None:
     """Body of the last boxed group; unbalanced braces give the whole text, no group NULL."""
     if text is None:
         return None
-    starts = [m.end() for m in re.finditer(r"\\(?:boxed|fbox)\s?\{", text, re.I)]
+    starts = [m.end() for m in re.finditer(r"\\(?:boxed|fbox)\s*\{", text, re.I)]
     if not starts:
         return None
     depth = 1
@@ -185,29 +188,22 @@ def boxed_text(text: str | None) -> str | None:
     return text
 
 
-# Patterns of choice answers, with the choice and the emphasis marks named.
-_CHOICE = {"{choice}": r"[\(\[]?\s*([A-E1-5])\s*[\)\]]?", "{marks}": r"(?:\*\*|__|`)?"}
-CHOICE_TAGS = (r"<(?:final\s*)?answer>\s*{choice}\s*</(?:final\s*)?answer>", r"\\(?:boxed|fbox)\s*\{\s*([A-E1-5])\s*\}")
+# Patterns of choice answers.
+CHOICE_TAGS = (r"<(?:final\s*)?answer>\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*</(?:final\s*)?answer>", r"\\(?:boxed|fbox)\s*\{\s*([A-E1-5])\s*\}")
 CHOICE_LINES = (
-    r"^\s*(?:final[.:]?\s*)?answer\b\s*[:：-]?\s*(?:is\s*)?{marks}\s*(?:option\s*)?{choice}\s*{marks}\s*(?:[.!?])?\s*$",
-    r"^\s*(?:the\s+)?choice\s+is\s+{marks}\s*(?:option\s*)?{choice}\s*{marks}\s*(?:[.!?])?\s*$",
-    r"^\s*{marks}\s*{choice}\s*{marks}\s*(?:[.!?])?\s*$",
+    r"^\s*(?:final[.:]?\s*)?answer\b\s*[:：-]?\s*(?:is\s*)?(?:\*\*|__|`)?\s*(?:option\s*)?[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?\s*(?:[.!?])?\s*$",
+    r"^\s*(?:the\s+)?choice\s+is\s+(?:\*\*|__|`)?\s*(?:option\s*)?[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?\s*(?:[.!?])?\s*$",
+    r"^\s*(?:\*\*|__|`)?\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?\s*(?:[.!?])?\s*$",
 )
 CHOICE_HINTS = (
-    r"\b(?:final[.:]?\s*)?answer\b\s*[:：-]?\s*(?:is\s*)?{marks}\s*(?:option\s*)?{choice}\s*{marks}",
-    r"\b(?:the\s+)?choice\s+is\s+{marks}\s*(?:option\s*)?{choice}\s*{marks}",
-    r"\b(?:match(?:es|ed)?|coincides?\s+with|corresponds?\s+to|gives?|yields?|confirms?)\s+(?:option|choice)\s*{marks}\s*{choice}\s*{marks}",
-    r"\bonly\s+(?:option\s*)?{marks}\s*{choice}\s*{marks}",
-    r"\b(?:option|choice)\s*{marks}\s*{choice}\s*{marks}\s+(?:is|would\s+be|remains?|works?|fits?|correct|best|right|compatible|consistent|larger)\b",
-    r"\b{marks}\s*{choice}\s*{marks}\s+is\s+(?:correct|best|right|compatible|consistent)\b",
+    r"\b(?:final[.:]?\s*)?answer\b\s*[:：-]?\s*(?:is\s*)?(?:\*\*|__|`)?\s*(?:option\s*)?[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?",
+    r"\b(?:the\s+)?choice\s+is\s+(?:\*\*|__|`)?\s*(?:option\s*)?[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?",
+    r"\b(?:match(?:es|ed)?|coincides?\s+with|corresponds?\s+to|gives?|yields?|confirms?)\s+(?:option|choice)\s*(?:\*\*|__|`)?\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?",
+    r"\bonly\s+(?:option\s*)?(?:\*\*|__|`)?\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?",
+    r"\b(?:option|choice)\s*(?:\*\*|__|`)?\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?\s+(?:is|would\s+be|remains?|works?|fits?|correct|best|right|compatible|consistent|larger)\b",
+    r"\b(?:\*\*|__|`)?\s*[\(\[]?\s*([A-E1-5])\s*[\)\]]?\s*(?:\*\*|__|`)?\s+is\s+(?:correct|best|right|compatible|consistent)\b",
 )
-
-
-def _compiled(patterns: tuple[str, ...]) -> list[re.Pattern[str]]:
-    return [re.compile(re.sub(r"\{(?:choice|marks)\}", lambda m: _CHOICE[m[0]], p), re.I) for p in patterns]
-
-
-_TAGS, _LINES, _HINTS = map(_compiled, (CHOICE_TAGS, CHOICE_LINES, CHOICE_HINTS))
+_TAGS, _LINES, _HINTS = ([re.compile(p, re.I) for p in group] for group in (CHOICE_TAGS, CHOICE_LINES, CHOICE_HINTS))
 
 
 def _letter(symbol: str) -> str:
@@ -217,7 +213,7 @@ def _letter(symbol: str) -> str:
 def _choice_in(text: str, lines: int = 96, tail: int = 4096) -> str | None:
     kept = [s for s in map(str.strip, text.splitlines()) if s]
     # the first line may only hold an explicit answer; later lines count from the end
-    for line, patterns in [(kept[0], _TAGS + _LINES)] * bool(kept) + [(x, _TAGS + _LINES + _HINTS) for x in reversed(kept[-lines:])]:
+    for line, patterns in [(x, _TAGS + _LINES) for x in kept[:1]] + [(x, _TAGS + _LINES + _HINTS) for x in reversed(kept[-lines:])]:
         for p in patterns:
             if m := p.search(line):
                 return _letter(m[1])
@@ -266,28 +262,38 @@ def completion_text(text: str | None) -> str | None:
     return text if text.strip() else None
 
 
-# Families of final-answer phrases; the match that starts last wins.
+# Tags that close hidden reasoning, phrases that state a choice, and lines that are one.
+HIDDEN_CLOSE = ("</ifm|think>", "</ifm|think_fast>", "</ifm|think_faster>", "</think>", "</think_fast>", "</think_faster>")
 VISIBLE_FINAL = (
-    r"\bfinal\s+answer\b\s*(?:is)?\s*[:：]?\s*(?:\*\*|__)?\s*[\(\[]?\s*([A-D])\b",
-    r"\banswer\b\s*(?:is)?\s*[:：]\s*(?:\*\*|__)?\s*[\(\[]?\s*([A-D])\b",
-    r"\bthe\s+(?:correct\s+)?answer\s+is\s*(?:\*\*|__)?\s*[\(\[]?\s*([A-D])\b",
-    r"\\boxed\s*\{\s*(?:\\text\s*\{)?\s*([A-D])\b",
+    r"\\boxed\s*\{\s*([A-Z])\s*\}",
+    r"\b(?:the\s+)?(?:final\s+|correct\s+)?answer[*_`]*\s*(?:is|:|-)[*_`]*\s*(?:option\s+|choice\s+)?[*_`]*[\(\[]?([A-Z])\b",
+    r"\b(?:the\s+)?(?:final\s+|correct\s+)?(?:answer\s+)?(?:option|choice)[*_`]*\s*(?:(?:is|:|-)[*_`]*\s*)?[*_`]*[\(\[]?([A-Z])\b",
+    r"\b(?:I\s+)?(?:choose|select)\s+(?:option\s+|choice\s+)?[*_`]*[\(\[]?([A-Z])\b",
 )
+LEADING_CHOICE = r"\s*[*_`]*[\(\[]?([A-Z])[\)\]]?[*_`]*(?:[.:\-\u2013\u2014][*_`]*|\s)"
+LINE_CHOICE = r"(?:^|\n)\s*[*_`]*[\(\[]?([A-Z])[\)\].:][*_`]*(?:\s|$)"
+LAST_LINES = (r"(?:^|\n)\s*[*_`]*[\(\[]?([A-Z])[\)\].:][*_`]*[^\n]*\s*$", r"(?:^|\n)\s*[*_`]*[\(\[]?([A-Z])[\)\].]?[*_`]*\s*$")
 
 
 def visible_final_text(text: str | None) -> str | None:
-    """Choice letter of the visible part of a generation, by the last explicit statement, else a lone letter."""
-    text = re.split(THINK_CLOSE, text or "", flags=re.I)[-1].strip()
-    hits = [(m.start(), -k, m[1].upper()) for k, p in enumerate(VISIBLE_FINAL) for m in re.finditer(p, text, re.I)]
-    if hits:
-        return max(hits)[2]
-    lines = [s.strip(" *_`") for s in text.splitlines() if s.strip()]
-    lone = [m[1].upper() for s in lines if (m := re.fullmatch(r"[\(\[]?([A-D])[\)\].:]?", s, re.I))]
-    if len(set(lone)) == 1:
-        return lone[-1]
-    if lines and (m := re.match(r"[\(\[]?([A-D])[\)\].:]\s", lines[0])):
-        return m[1]
-    return None
+    """Choice letter of the visible part of a generation.
+
+    The statement that begins last counts; without any the letter that begins the text, then the only
+    letter that begins lines, then one on the last line. After a closing tag what was hidden never counts.
+    """
+    text = (text or "").strip()
+    at, size = max((text.rfind(t), len(t)) for t in HIDDEN_CLOSE)
+    text = text[at + size :].strip() if at >= 0 else text
+    stated = [(m.start(), -k, m[1]) for k, p in enumerate(VISIBLE_FINAL) for m in re.finditer(p, text, re.I)]
+    if stated:
+        return max(stated)[2].upper()
+    if m := re.match(LEADING_CHOICE, text, re.I):
+        return m[1].upper()
+    lines = {x.upper() for x in re.findall(LINE_CHOICE, text, re.I)}
+    if len(lines) == 1:
+        return lines.pop()
+    ends = (m[1].upper() for p in LAST_LINES if (m := re.search(p, text, re.I)))
+    return next(ends, None)
 
 
 _WALKERS = {
@@ -295,7 +301,7 @@ _WALKERS = {
     ("mc_answer", "multiple_choice_answer", "think_tag_mc"): choice_text,
     ("code",): code_text,
     ("code_completion", "humaneval"): completion_text,
-    ("gpqa_aa_visible_final",): visible_final_text,
+    ("gpqa_aa_visible_final", "hle_aa_choice"): visible_final_text,
 }
 _FUNCTION = {n: f for names, f in _WALKERS.items() for n in names}
 

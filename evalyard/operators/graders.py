@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsers import aptbench_choice, aptbench_summary
+from ..functions.numbers import same_answer
+from ..functions.parsers import aptbench_choice, aptbench_summary, parse_all
 from ..functions.text import digit_to_letter, found, last_found, quoted, regex, strip
+from . import judges, subtasks
 
 _GRADERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 _UNAVAILABLE: dict[str, str] = {}
@@ -118,47 +120,91 @@ def exact_match(df: DataFrame) -> DataFrame:
     return df.withColumn("correct", F.transform("answers", lambda g: _flag(F.exists(options, lambda o: F.startswith(g, o)))))
 
 
-# Places where a number is stated, by priority.
-NUMBER_PATTERNS = (
-    r"(?:final\s+)?answer\s*(?:is)?\s*[:=]?\s*\$?(-?\d[\d,]*(?:\.\d+)?)",
-    r"\\boxed\s*\{\s*\$?(-?\d[\d,]*(?:\.\d+)?)\s*\}",
-    r"####\s*\$?(-?\d[\d,]*(?:\.\d+)?)",
-    r"=\s*\$?(-?\d[\d,]*(?:\.\d+)?)\s*\.?\s*$",
-)
-
-
-def stated_number(text: Column) -> Column:
-    """The stated number of a text (last match of the first pattern that occurs, else the last number)."""
-    clean = F.regexp_replace(text, r"\\\$|\\,|\*\*|\\!|\$", "")
-    found_ = [last_found(clean, p, 1, "im") for p in NUMBER_PATTERNS] + [last_found(clean, r"(-?\d[\d,]*(?:\.\d+)?)")]
-    return F.try_to_number(F.replace(F.coalesce(*found_), F.lit(","), F.lit("")), F.lit("S99999999999999999999.9999999999")).cast("double")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _numeric(answers: pd.Series, truths: pd.Series) -> pd.Series:
+    return pd.Series([[int(any(same_answer(a, t) for t in ts)) for a in xs] for xs, ts in zip(answers, truths)], dtype=object)
 
 
 @grader("math-verify", "math_verify")
 def math_numeric(df: DataFrame) -> DataFrame:
-    """Numeric tier: fractions and decimals compare by value within 1e-9; other truths by stripped text."""
-    frac = r"\A\s*(?:\\d?frac\{(-?\d+)\}\{(\d+)\}|(-?\d+)\s*/\s*(\d+))\s*\z"
-
-    def value(c: Column) -> Column:
-        top = F.coalesce(found(c, frac, 1), F.lit(""))
-        num = F.when(top != "", top).otherwise(F.coalesce(found(c, frac, 3), F.lit("")))
-        den = F.when(top != "", found(c, frac, 2)).otherwise(found(c, frac, 4))
-        ratio = F.try_divide(F.nullif(num, F.lit("")).try_cast("double"), den.try_cast("double"))
-        return F.coalesce(ratio, stated_number(c))
+    """Numeric tier: a generation is right if a place that states its answer has the value of one of the truths.
 
+    Fractions and decimals compare by value within 1e-9; truths that aren't numbers by their formula's
+    text. A bare integer never stands for a fraction's part, and text never for a number.
+    """
     truth = F.col("ground_truth")
-    ok = lambda g: F.coalesce(F.abs(value(g) - value(truth)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(value(truth))), strip(g) == strip(truth))
-    out = df.withColumn("correct", F.transform("answers", lambda g: _flag(ok(g))))
-    return out.withColumn("partial_accuracy", F.aggregate("correct", F.lit(0.0), lambda a, x: a + x) / F.size("correct"))
+    truths = truth if df.schema["ground_truth"].dataType.typeName() == "array" else F.array(truth)
+    out = df.withColumn("correct", _numeric("answers", truths))
+    return out.withColumn("partial_accuracy", F.aggregate("correct", F.lit(0.0), lambda a, x: a + x) / F.size("correct")).withColumn("any_accuracy", F.exists("correct", lambda x: x == 1).cast("double"))
 
 
 @grader("hle")
 def hle(df: DataFrame) -> DataFrame:
-    """By ``answer_type``: a choice letter after "Answer:" (else the first letter), or equal trimmed lower-case text."""
-    letter = lambda g: F.upper(F.coalesce(found(g, r"answer\s*:\s*\W*([A-Za-z])\b", flags="i"), found(g, r"([A-Za-z])")))
+    """By ``answer_type``: a choice letter after "Answer:" (else the first letter); else the judge's verdict where
+    ``judge_replies`` are there, or equal trimmed lower-case text. Another type is an error."""
+    letter = lambda g: F.upper(F.coalesce(found(g, r"answer:\s*([A-Za-z])", flags="i"), found(g, r"([A-Za-z])")))
     truth = F.col("ground_truth")
-    ok = lambda g: F.when(F.col("answer_type") == "multipleChoice", letter(g) == F.upper(strip(truth))).otherwise(F.lower(strip(g)) == F.lower(strip(truth)))
-    return df.withColumn("correct", F.transform("answers", lambda g: _flag(ok(g))))
+    choice = F.transform("answers", lambda g: _flag(letter(g) == F.upper(strip(truth))))
+    exact = F.transform("answers", lambda g: _flag(F.lower(strip(g)) == F.lower(strip(truth))))
+    if "judge_replies" in df.columns:
+        exact = F.transform(judges.mapping_verdicts("judge_replies"), _flag)
+    unknown = F.raise_error(F.concat(F.lit("unknown answer_type "), F.col("answer_type"))).cast("array<int>")
+    return df.withColumn("correct", F.when(F.col("answer_type") == "multipleChoice", choice).when(F.col("answer_type") == "exactMatch", exact).otherwise(unknown))
+
+
+def _needs_replies(df: DataFrame, name: str) -> None:
+    if "judge_replies" not in df.columns:
+        raise RuntimeError(f"grader {name!r} is unavailable without judge_replies: this library calls no judge")
+
+
+@grader("hle_aa")
+def hle_aa(df: DataFrame) -> DataFrame:
+    """Choices by the last visible statement; else the last verdict of each reply. A reply without one
+    counts as wrong and ``judge_failed`` says so; a choice row has no such failures."""
+    is_choice = F.col("answer_type") == "multipleChoice"
+    picked = F.transform(parse_all("hle_aa_choice", "answers"), lambda p: _flag(p == F.upper(strip(F.col("ground_truth")))))
+    _needs_replies(df, "hle_aa")
+    verdicts = judges.last_verdicts("judge_replies")
+    out = df.withColumn("correct", F.when(is_choice, picked).otherwise(F.transform(verdicts, _flag)))
+    return out.withColumn("judge_failed", ~is_choice & F.exists(verdicts, lambda v: v.isNull()))
+
+
+@grader("lcr_aa")
+def lcr_aa(df: DataFrame) -> DataFrame:
+    """Replies that are just CORRECT; an answer that is empty, unclosed or only reasoning is wrong without a judge.
+
+    Optional ``unclosed`` (array<boolean>) and ``reasoning`` (array<string>) columns. Adds grading_source.
+    """
+    _needs_replies(df, "lcr_aa")
+    unclosed = F.col("unclosed") if "unclosed" in df.columns else F.array().cast("array<boolean>")
+    thoughts = F.col("reasoning") if "reasoning" in df.columns else F.array().cast("array<string>")
+    parsed = F.col("parsed_generations") if "parsed_generations" in df.columns else F.col("answers")
+    why = F.transform(parsed, lambda p, i: deterministic_incorrect(p, F.get(unclosed, i), F.array_contains(thoughts, F.get(F.col("generations"), i))))
+    out = df.withColumn("grading_source", F.transform(why, lambda w: F.coalesce(w, F.lit("judge"))))
+    return out.withColumn("correct", F.zip_with("grading_source", "judge_replies", lambda w, r: _flag((w == "judge") & (judges.word_label(r) == "CORRECT"))))
+
+
+@grader("boxed-llm-as-judge", "llm_as_judge", "llm_as_judge_lcr")
+def judged(df: DataFrame) -> DataFrame:
+    _needs_replies(df, "llm_as_judge")
+    return df.withColumn("correct", F.transform("judge_replies", lambda r: _flag(judge_verdict(r))))
+
+
+@grader("math-verify-llm-as-judge", "math_verify_llm_as_judge")
+def math_judged(df: DataFrame) -> DataFrame:
+    """Right by the numeric tier, or else by the judge's verdict."""
+    _needs_replies(df, "math-verify-llm-as-judge")
+    out = math_numeric(df)
+    return out.withColumn("correct", F.zip_with("correct", "judge_replies", lambda c, r: F.greatest(c, _flag(judge_verdict(r)))))
+
+
+@grader("humaneval", "humaneval-plus-daytona", "mbpp-daytona", "lcbv6-daytona", "mbpp-local", "mbpp_local")
+def code_runs(df: DataFrame) -> DataFrame:
+    """Runs made elsewhere against the row's tests: ``runs`` (for each generation an array of stdout, exit_code, timeout) and ``tests`` (output, testtype)."""
+    if "runs" not in df.columns:
+        raise RuntimeError("code graders are unavailable without runs: this library doesn't run generated code")
+    out = df.withColumn("verdicts", judges.run_verdicts("runs", "tests"))
+    return out.withColumn("correct", F.transform("verdicts", lambda v: _flag(v == "pass")))
 
 
 # How roles, assignments and number lists are written.
@@ -288,50 +334,12 @@ def aptbench(df: DataFrame) -> DataFrame:
     return df.withColumn("picked", F.transform("answers", pick)).withColumn("correct", F.transform("picked", lambda p: _flag(p == F.col("ground_truth").cast("string"))))
 
 
-def normalise_answer(c: Column) -> Column:
-    """Drop a final full stop, commas, backslashes, line feeds and quotes; lower-case and trim."""
-    return strip(F.lower(F.regexp_replace(F.regexp_replace(c, r"\.\z", ""), r'[,\\\n"]', "")))
-
-
-def last_question(prompt: Column) -> Column:
-    """The last question of a few-shot prompt, up to its answer mark."""
-    return strip(F.substring_index(F.element_at(F.split(prompt, regex(r"\nQ:\s*|\bQ:\s*"), -1), -1), "\nA:", 1))
-
-
-def word_sort(text: Column, words: Column) -> Column:
-    """Words of ``words`` in the order of their last occurrence in ``text``."""
-    seen = F.filter(F.split(text, regex(r"[^\w]+"), -1), lambda w: F.array_contains(words, w))
-    return F.array_join(F.reverse(F.array_distinct(F.reverse(seen))), " ")
-
-
-# How each subtask's answer is found.
-BBH_PATTERNS = {
-    "boolean_expressions": r"\b(True|False)\b",
-    "causal_judgement": r"\b(Yes|No|yes|no)\b",
-    "formal_fallacies": r"\b(invalid|valid)\b",
-    "navigate": r"\b(Yes|No|yes|no)\b",
-    "sports_understanding": r"\b(yes|no|Yes|No)\b",
-    "web_of_lies": r"\b(Yes|No|yes|no)\b",
-    "object_counting": r"(-?\d+)",
-    "multistep_arithmetic_two": r"(-?\d+)",
-}
-
-
 @grader("bbh")
 def bbh(df: DataFrame) -> DataFrame:
-    """Per-subtask extraction, then normalised equality. Choice subtasks look for (A); an unknown subtask is wrong."""
-    task, truth = F.col("meta.subtask"), F.col("ground_truth")
-    stated = lambda g: F.coalesce(found(g, r"answer is\s+(.*?)(?:\.|$)", flags="im"), g)
-
-    def pick(g: Column) -> Column:
-        out = F.when(truth.rlike(r"^\([A-Z]\)$"), last_found(g, r"(\([A-Z]\))"))
-        for name, p in BBH_PATTERNS.items():
-            out = out.when(task == name, F.coalesce(last_found(stated(g), p), last_found(g, p)))
-        return out.when(task == "word_sorting", word_sort(stated(g), F.split(truth, " "))).when(task == "dyck_languages", F.try_element_at(F.filter(F.regexp_extract_all(g, F.lit(r"([)\]}>\s]+)"), F.lit(1)), lambda x: x.rlike(r"[)\]}>]")), F.lit(-1)))
-
-    squeeze = lambda c: F.when(task == "dyck_languages", F.regexp_replace(c, r"\s+", "")).otherwise(normalise_answer(c))
-    out = df.withColumn("picked", F.transform("answers", pick))
-    return out.withColumn("correct", F.transform("picked", lambda p: _flag(squeeze(p) == squeeze(truth))))
+    """Each subtask's own extraction, choices and word lists from the prompt, then normalised equality; an unknown subtask is wrong."""
+    prompt = F.col("completion_input") if "completion_input" in df.columns else F.lit(None).cast("string")
+    out = df.withColumn("_g", subtasks.graded("meta.subtask", prompt, "answers", "ground_truth"))
+    return out.withColumns({"picked": F.col("_g.picked"), "correct": F.col("_g.correct")}).drop("_g")
 
 
 def judge_verdict(reply: Column) -> Column:
@@ -344,17 +352,7 @@ def judge_verdict(reply: Column) -> Column:
 
 def deterministic_incorrect(answer: Column, unclosed: Column, from_reasoning: Column) -> Column:
     """Reason why an answer is wrong without a judge: empty, unclosed think block, or only reasoning; else NULL."""
-    return F.when(F.coalesce(F.length(strip(answer)), F.lit(0)) == 0, "empty").when(F.coalesce(unclosed, F.lit(False)), "unclosed_think_tag").when(F.coalesce(from_reasoning, F.lit(False)), "reasoning_substituted")
-
-
-def same_output(got: Column, want: Column) -> Column:
-    """Line-wise comparison of program output: trimmed lines equal as text or as numbers."""
-    lines = lambda c: F.split(F.regexp_replace(c, r"\s+\z", ""), "\n", -1)
-    a, b = lines(got), lines(want)
-    pair = F.arrays_zip(a.alias("a"), b.alias("b"))
-    return (F.size(a) == F.size(b)) & F.forall(pair, lambda p: F.coalesce((strip(p["a"]) == strip(p["b"])) | (p["a"].try_cast("double") == p["b"].try_cast("double")), F.lit(False)))
+    return F.when(F.coalesce(F.length(strip(answer)), F.lit(0)) == 0, "empty_final").when(F.coalesce(unclosed, F.lit(False)), "unclosed_think_tag").when(F.coalesce(from_reasoning, F.lit(False)), "reasoning_substituted_for_empty_final")
 
 
-unavailable("needs a judge endpoint", "math-verify-llm-as-judge", "math_verify_llm_as_judge", "boxed-llm-as-judge", "llm_as_judge", "llm_as_judge_lcr", "lcr_aa", "hle_aa")
 unavailable("needs a symbolic algebra package", "sympy-llm-as-judge", "sympy_llm_as_judge")
-unavailable("runs generated code, which this library doesn't", "humaneval", "humaneval-plus-daytona", "mbpp-daytona", "lcbv6-daytona", "mbpp-local", "mbpp_local")

@@ -6,8 +6,11 @@ A row has a response, ``instruction_ids array<string>`` and ``kwargs array<map<s
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +47,7 @@ def check(name: str):
 
 
 def list_instructions() -> list[str]:
-    return sorted([*_CHECKS, *UNAVAILABLE])
+    return sorted([*_CHECKS, JSON, *UNAVAILABLE])
 
 
 def _int(args: Args, name: str) -> Column:
@@ -57,7 +60,7 @@ def _list(args: Args, name: str) -> Column:
 
 
 def _count(v: Column, pattern: str, flags: str = "") -> Column:
-    return F.size(all_found(v, pattern, 0, flags))
+    return F.regexp_count(v, F.lit(regex(pattern, flags)))
 
 
 def _compare(n: Column, args: Args, limit: str, relation: str = "relation") -> Column:
@@ -145,18 +148,22 @@ def _sections(v, a):
     return F.regexp_count(v, F.concat(F.lit(regex(SECTION[0])), a("section_spliter"), F.lit(SECTION[1]))) >= _int(a, "num_sections")
 
 
-@F.pandas_udf(T.BooleanType())
-def _is_json(s):
-    import json
+JSON = "detectable_format:json_format"
+FENCE = r"^```(?:json|Json|JSON)?|```$"
 
-    def ok(x):
-        try:
-            json.loads(x)
-            return True
-        except (ValueError, TypeError):
-            return False
 
-    return s.map(ok)
+def _parses(text: str | None) -> bool:
+    try:
+        json.loads(text or "")
+        return True
+    except ValueError:
+        return False
+
+
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def _json_flags(texts: pd.Series) -> pd.Series:
+    """Whether each text, without a fence around it, is JSON. The built-in parser passes over what follows a value."""
+    return pd.Series([None if xs is None else [_parses(re.sub(FENCE, "", (x or "").strip()).strip()) for x in xs] for xs in texts], dtype=object)
 
 
 @check("detectable_format:title")
@@ -197,15 +204,11 @@ def follows(instruction: str, response: Column, **args) -> Column:
     """Whether a response follows one instruction with fixed arguments (lists as JSON text)."""
     if instruction in UNAVAILABLE:
         raise RuntimeError(f"{instruction} is unavailable: {UNAVAILABLE[instruction]}")
-    if instruction == "detectable_format:json_format":
-        return _is_json(_unfenced(response))
+    if instruction == JSON:
+        return F.element_at(_json_flags(F.array(response)), 1)
     return F.coalesce(_filled(response) & _CHECKS[instruction](response, lambda k: F.lit(args.get(k))), F.lit(False))
 
 
-def _unfenced(v: Column) -> Column:
-    return strip(F.regexp_replace(strip(v), r"^```(?:json|Json|JSON)?|```$", ""))
-
-
 def variants(response: Column) -> list[Column]:
     """A response with and without its first and last line and its asterisks: the eight loose readings."""
     lines = F.split(response, "\n", -1)
@@ -215,20 +218,23 @@ def variants(response: Column) -> list[Column]:
     return plain + [F.replace(p, F.lit("*"), F.lit("")) for p in plain]
 
 
-def _dispatch(value: Column, name: Column, args: Column) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("boolean"))
+def _dispatch(value: Column, is_json: Column, name: Column, args: Column) -> Column:
+    out = F.when(name == JSON, is_json)
     for k, f in _CHECKS.items():
         out = out.when(name == k, f(value, lambda a: args[a]))
     return F.coalesce(_filled(value) & out.otherwise(F.raise_error(F.concat(F.lit("unavailable instruction "), name)).cast("boolean")), F.lit(False))
 
 
 def grade(df: DataFrame, response: str = "response") -> DataFrame:
-    """Adds strict and loose (array<boolean>, one flag per instruction)."""
-    v = F.col(response)
-    flags = lambda value: F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(value, i, k))
-    readings = F.array(*variants(v))
-    loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists(readings, lambda r: _dispatch(r, i, k)))
-    return df.withColumn("strict", flags(v)).withColumn("loose", loose)
+    """Adds strict and loose (array<boolean>, one flag per instruction). A null response follows nothing."""
+    texts = F.array(*variants(F.col(response)))
+    # only rows that ask for JSON pay for its parser
+    flags = _json_flags(F.when(F.array_contains("instruction_ids", JSON), texts))
+    out = df.withColumn("_json", flags).withColumn("_texts", F.zip_with(texts, F.coalesce("_json", F.array().cast("array<boolean>")), lambda t, j: F.struct(t.alias("t"), j.alias("j"))))
+    first = F.element_at("_texts", 1)
+    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(first["t"], first["j"], i, k))
+    loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists("_texts", lambda r: _dispatch(r["t"], r["j"], i, k)))
+    return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_texts")
 
 
 def accuracy_scores(graded: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import strip
+from ..session import materialize
 
 
 def messages_to_prompt(chat: Column) -> Column:
@@ -44,10 +45,14 @@ def normalise_records(df: DataFrame, order: list[str] | None = None) -> DataFram
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str = "row") -> DataFrame:
-    """Gapless numbers from 0 in the given order, without one task for all rows: ranges are counted, then offset."""
+    """Gapless numbers from 0 in the given order, without one task for all rows: ranges are counted, then offset.
+
+    The sorted ranges are written once, so that counting and numbering see the same ones. Rows that
+    tie in ``order`` get neighbouring numbers in no fixed order.
+    """
     part = F.spark_partition_id().alias("_part")
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", part)
-    ranged = ranged.withColumn("_nth", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33))
+    ranged = materialize(ranged.withColumn("_nth", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33)), "ranges")
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))

@@ -11,14 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import query_cases
 from .functions.parsers import parse, reasoning
 from .operators import choice, datasets, graders, ifeval, metrics, rows
 from .plans import planning
 from .session import table
 from .streaming.pipeline import windowed_counts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(query_cases.QUERIES)
+SQL: dict[str, str] = dict(query_cases.SQL)
 
 
 def query(name: str, sql: str | None = None):
@@ -121,14 +122,14 @@ def hle_dispatch(spark, sf):
     "parse_numbers",
     r"""with n as (select o_orderkey, o_orderkey % 3 as kind, cast(o_orderkey % 1000 as varchar) as n from orders)
 select o_orderkey, case kind when 0 then n when 1 then '{' || n || '}' else n || '.' end as gsm8k, case when kind = 1 then n end as boxed,
-  case when kind = 2 then n end as so, cast(n as double) as number from n""",
+  case when kind = 2 then n end as so from n""",
 )
 def parse_numbers(spark, sf):
     n = text(F.col("o_orderkey") % 1000)
     kind = F.col("o_orderkey") % 3
     out = F.when(kind == 0, F.concat(F.lit("work: 4 + 5\n#### "), n)).when(kind == 1, F.concat(F.lit("so \\boxed{"), n, F.lit("}"))).otherwise(F.concat(F.lit("Hence 7. The answer is "), n, F.lit(".")))
     df = table(spark, sf, "orders").select("o_orderkey", out.alias("t"))
-    return df.select("o_orderkey", parse("gsm8k_base", "t").alias("gsm8k"), parse("boxed", "t").alias("boxed"), parse("so_the_answer_is", "t").alias("so"), graders.stated_number(F.col("t")).alias("number"))
+    return df.select("o_orderkey", parse("gsm8k_base", "t").alias("gsm8k"), parse("boxed", "t").alias("boxed"), parse("so_the_answer_is", "t").alias("so"))
 
 
 @query(
@@ -163,27 +164,26 @@ def exact_match(spark, sf):
     """select p_partkey, cast(p_partkey % 3 <> 0 as int) as sums, cast(p_partkey % 4 = 1 as int) as roles, cast(p_partkey % 2 = 0 as int) as orders, cast(p_partkey % 5 < 2 as int) as countdown from part""",
 )
 def puzzles(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey")
+    df = table(spark, sf, "part").select("p_partkey")
     k = F.col("p_partkey")
     x, y = k % 17, k % 11
+
+    def graded(df: DataFrame, name: str, column: str, **given: Column) -> DataFrame:
+        return graders.grade(df.withColumns(given), name).withColumn(column, F.element_at("correct", 1)).drop("correct", "answers", *given)
+
     sums = F.concat(F.lit("x = 99, then x="), text(x), F.lit(" and y = "), text(F.when(k % 3 == 0, y + 1).otherwise(y)))
-    a = part.select("p_partkey", F.array(sums).alias("generations"), F.struct(x.alias("x"), y.alias("y")).alias("ground_truth"))
-    a = graders.grade(a, "sum-puzzle").select("p_partkey", F.element_at("correct", 1).alias("sums"))
+    df = graded(df, "sum-puzzle", "sums", generations=F.array(sums), ground_truth=F.struct(x.alias("x"), y.alias("y")))
 
     said = F.when(k % 4 == 0, "Ann is a knight.").when(k % 4 == 1, "I say Ann is a Knight.\nSo Bo, then, is a knave.").when(k % 4 == 2, "Ann is a knave. Bo is a knave").otherwise("Ann and Bo")
-    b = part.select("p_partkey", F.array(said).alias("generations"), F.lit("Ann is a knight\nBo is a knave").alias("ground_truth"), F.array(F.lit("Ann"), F.lit("Bo")).alias("names"))
-    b = graders.grade(b, "kk").select("p_partkey", F.element_at("correct", 1).alias("roles"))
+    df = graded(df, "kk", "roles", generations=F.array(said), ground_truth=F.lit("Ann is a knight\nBo is a knave"), names=F.array(F.lit("Ann"), F.lit("Bo")))
 
     con = """named_struct('constraints', named_struct('n', 3, 'not_sold', array(map('0', 2)),
       'sold_before', array(named_struct('pivot', 2, 'sold_before_pivot', array(0))), 'sold_after', array(named_struct('pivot', 0, 'sold_after_pivot', array(1))),
-      'sold_between', array(named_struct('pivot', 1, 'sold_before_pivot', 0, 'sold_after_pivot', 2)))) as ground_truth"""
-    c = part.select("p_partkey", F.array(F.when(k % 2 == 0, F.lit("0, 1, 2")).otherwise(F.lit("2, 1, 0"))).alias("generations"), F.expr(con))
-    c = graders.grade(c, "order").select("p_partkey", F.element_at("correct", 1).alias("orders"))
+      'sold_between', array(named_struct('pivot', 1, 'sold_before_pivot', 0, 'sold_after_pivot', 2))))"""
+    df = graded(df, "order", "orders", generations=F.array(F.when(k % 2 == 0, F.lit("0, 1, 2")).otherwise(F.lit("2, 1, 0"))), ground_truth=F.expr(con))
 
     eq = F.element_at(F.array(*map(F.lit, ("(1+2+3)*4", "4*3*2*1", "4*3*2", "1+2+3+4", "(1+2+3)*4 = 24"))), (k % 5 + 1).cast("int"))
-    d = part.select("p_partkey", F.array(eq).alias("generations"), F.struct(F.lit(24).alias("target"), F.array(*map(F.lit, (1, 2, 3, 4))).alias("numbers")).alias("ground_truth"))
-    d = graders.grade(d, "countdown").select("p_partkey", F.element_at("correct", 1).alias("countdown"))
-    return a.join(b, "p_partkey").join(c, "p_partkey").join(d, "p_partkey")
+    return graded(df, "countdown", "countdown", generations=F.array(eq), ground_truth=F.struct(F.lit(24).alias("target"), F.array(*map(F.lit, (1, 2, 3, 4))).alias("numbers")))
 
 
 _NOT_WORD = r"[^\p{L}\p{M}\p{N}_]"
@@ -193,7 +193,7 @@ _NOT_WORD = r"[^\p{L}\p{M}\p{N}_]"
     "ruler",
     rf"""with b as (select item_id, list_filter(regexp_extract_all(text, '[a-z]+'), lambda w: len(w) > 3)[1:3] as want from benchmark),
 d as (select doc_id, lower(coalesce(text, '')) as t, ['niah_single_1', 'niah_multivalue', 'ruler_qa_squad'][cast(doc_id % 3 + 1 as int)] as task, want
-      from documents join b on item_id = doc_id % 40 where len(want) = 3),
+      from documents join b on item_id = doc_id % (select max(item_id) + 1 from benchmark) where len(want) = 3),
 f as (select task, case task when 'niah_single_1' then [cast(regexp_matches(t, '(^|{_NOT_WORD})' || want[1] || '({_NOT_WORD}|$)') as int)]
    when 'niah_multivalue' then list_transform(want, lambda v: cast(contains(t, v) as int))
    else [cast(len(list_filter(want, lambda v: contains(t, v))) > 0 as int)] end as flags from d)
@@ -203,26 +203,20 @@ def ruler(spark, sf):
     words = F.slice(F.filter(F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0)), lambda w: F.length(w) > 3), 1, 3)
     want = table(spark, sf, "benchmark").select("item_id", words.alias("ground_truth")).where(F.size("ground_truth") == 3)
     task = F.element_at(F.array(*map(F.lit, ("niah_single_1", "niah_multivalue", "ruler_qa_squad"))), (F.col("doc_id") % 3 + 1).cast("int"))
-    docs = table(spark, sf, "documents").select("doc_id", F.array("text").alias("generations"), task.alias("ruler_task"), (F.col("doc_id") % 40).alias("item_id"))
+    items = table(spark, sf, "benchmark").agg(F.max("item_id") + 1).first()[0]
+    docs = table(spark, sf, "documents").select("doc_id", F.array("text").alias("generations"), task.alias("ruler_task"), (F.col("doc_id") % items).alias("item_id"))
     graded = graders.grade(docs.join(want, "item_id"), "ruler")
     return metrics.flag_ratio(graded, "ruler_task").withColumn("value", rounded("value"))
 
 
-@query(
-    "aptbench_bbh",
-    """select c_custkey, cast(c_custkey % 2 = 0 as int) as apt, case c_custkey % 3 when 0 then 1 when 1 then cast(c_custkey % 2 = 0 as int) else 1 end as bbh from customer""",
-)
-def aptbench_bbh(spark, sf):
-    k = F.col("c_custkey")
-    cust = table(spark, sf, "customer").select("c_custkey")
-    a = cust.select("c_custkey", F.array(F.when(k % 2 == 0, "**B**) because").otherwise("C)\n")).alias("generations"), F.lit("B").alias("ground_truth"), F.lit("default").alias("extractor"))
-    a = graders.grade(a, "aptbench").select("c_custkey", F.element_at("correct", 1).alias("apt"))
-    task = F.element_at(F.array(*map(F.lit, ("word_sorting", "navigate", "dyck_languages"))), (k % 3 + 1).cast("int"))
-    said = F.when(k % 3 == 0, "first b a. So the answer is a b c.").when(k % 3 == 1, F.when(k % 2 == 0, "So the answer is Yes.").otherwise("So the answer is No.")).otherwise("after ( comes ) ] }")
-    truth = F.when(k % 3 == 0, "a b c").when(k % 3 == 1, "Yes").otherwise(") ] }")
-    b = cust.select("c_custkey", F.array(said).alias("generations"), truth.alias("ground_truth"), F.struct(task.alias("subtask")).alias("meta"))
-    b = graders.grade(b, "bbh").select("c_custkey", F.element_at("correct", 1).alias("bbh"))
-    return a.join(b, "c_custkey")
+@query("aptbench", """select c_custkey, case c_custkey % 5 when 0 then 1 when 1 then 0 when 2 then 1 when 3 then 0 else 1 end as result from customer""")
+def aptbench(spark, sf):
+    """Choice letters and summaries, the extraction chosen by row."""
+    said = ("**B**) because", "C)\n", "so\nthe choice A\nB)", "no letter", "B] then ]")
+    k = (F.col("c_custkey") % 5 + 1).cast("int")
+    pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), k)
+    df = table(spark, sf, "customer").select("c_custkey", F.array(pick(said)).alias("generations"), pick(("B", "B", "A", "B", "B")).alias("ground_truth"), pick(("default",) * 4 + ("extract_answer_summ_ans",)).alias("extractor"))
+    return graders.grade(df, "aptbench").select("c_custkey", F.element_at("correct", 1).alias("result"))
 
 
 # --- choice scoring -------------------------------------------------------------------------

@@ -29,9 +29,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or one set here when it is unset (tests)."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``; on a local master one is set here when it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = os.path.join(tempfile.gettempdir(), f"evalyard-{os.getuid()}")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -31,7 +31,5 @@ def test_formulas(spark):
     assert pick(spark, E.tuple_parts(F.col("t")), "(1, 2]", "x") == [["1", "2"], ["x"]]
 
 
-def test_overlap(spark):
-    df = spark.createDataFrame([("a b c", "A b"), ("", "x"), (None, None)], "a string, b string")
-    assert [r[0] for r in df.select(E.overlap_score("a", "b")).collect()] == [0.8, None, None]
+def test_job_names(spark):
     assert tuple(pick(spark, E.job_parts(F.col("t")), "m-1--7")[0]) == ("m-1", "7")
