@@ -38,6 +38,35 @@ def suffix_logprob(offsets: Column, logprobs: Column, start: Column, end: Column
     return F.when(bad, F.raise_error(F.lit("no finite suffix tokens")).cast("double")).otherwise(total)
 
 
+def is_choice_row(df: DataFrame) -> Column:
+    """Rows for choice scoring: their mode says so, and completions and a prompt are there."""
+    some = [F.col(c).isNotNull() for c in ("scoring_prompt_prefixes", "scoring_prompt_prefix", "completion_input") if c in df.columns]
+    if not {"scoring_mode", "scoring_completions"} <= set(df.columns) or not some:
+        return F.lit(False)
+    return F.coalesce((F.col("scoring_mode") == "choice_scoring") & F.col("scoring_completions").isNotNull() & F.greatest(*some), F.lit(False))
+
+
+def token_counts(values: Column, choices: Column) -> Column:
+    """Counts given as JSON values or texts: as many as choices, each a positive whole number; true, 1.9 or 0 is an error."""
+    number = lambda v: F.when(~F.lower(v).isin("true", "false"), v.try_cast("double"))
+    good = lambda v: F.coalesce((number(v) > 0) & (number(v) == F.floor(number(v))) & (number(v) < 2**31), F.lit(False))
+    fits = (F.size(values) == choices) & F.forall(values, good)
+    return F.when(fits, F.transform(values, lambda v: number(v).cast("int"))).otherwise(F.raise_error(F.lit("token counts must be positive whole numbers, one for each choice")).cast("array<int>"))
+
+
+def suffix_start(prompt: Column, completion: Column, fallback: Column) -> Column:
+    """Where a completion begins in its prompt, with its space if there is one; ``fallback`` where the prompt ends otherwise."""
+    spaced = F.concat(F.lit(" "), completion)
+    return F.when(F.endswith(prompt, spaced), F.length(prompt) - F.length(spaced)).when(F.endswith(prompt, completion), F.length(prompt) - F.length(completion)).otherwise(fallback)
+
+
+def counted_suffix_logprob(logprobs: Column, count: Column, tail: Column) -> Column:
+    """Sum of the ``count`` log-probabilities before the last ``tail`` ones, where no offsets are given; an error if one is missing."""
+    kept = F.slice(logprobs, F.greatest(F.size(logprobs) - tail - count, F.lit(0)) + 1, F.greatest(count, F.lit(0)))
+    bad = (F.size(logprobs) - tail < count) | F.exists(kept, lambda p: p.isNull() | F.isnan(p) | (F.abs(p) == float("inf")))
+    return F.when(bad, F.raise_error(F.lit("no finite suffix tokens")).cast("double")).otherwise(F.aggregate(kept, F.lit(0.0), lambda a, p: a + p))
+
+
 def choice_metrics(df: DataFrame) -> DataFrame:
     """Adds picks, flags and values to rows of choice_nll, choice_nll_completion, n_tokens, n_chars and truth_index.
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import regex, strip
 from .choice import labels
-from .rows import clean_text, seeded_shuffle
+from .rows import clean_text, row_numbers, seeded_shuffle
 
 # The instructions that benchmark prompts begin with.
 ASSISTANT = "You are a helpful assistant."
@@ -21,6 +22,14 @@ FINAL_ONLY = "Provide only your final answer."
 SHOT_INTRO = "The following are multiple choice questions (with answers) about %s. "
 STEP_BY_STEP = 'Think step by step and then finish your answer with "the answer is (X)" where X is the correct letter choice.'
 LETTER_ONLY = "Answer with only the correct letter."
+PROGRAMMER = "You are an expert Python programmer."
+COMPLETE_FUNCTION = "Complete the implementation for the following Python function:\n\n```python\n%s\n```\n\nWrap your complete implementation in a python code block (i.e. ```python\nyour code here```)."
+ABOUT = "The following are multiple choice questions about %s.\n\n"
+ABOUT_ANSWERED = "The following are multiple choice questions (with answers) about %s."
+REASON_THEN_LETTER = "You are a helpful assistant. To answer the user's question, you first think about the reasoning process and then provide the user with the answer. The reasoning process and answer are enclosed within <reasoning> </reasoning> and <answer> </answer> tags, respectively, i.e., <reasoning> reasoning process here </reasoning><answer> answer here </answer>. Provide a single letter (A, B, C, ...) as the answer, for example, <answer> C </answer>. Now the user asks you to answer a multiple choice question.\n\nUser: %s\nAssistant:\n<reasoning>"
+LETTER_IN_TAGS = "%s\nProvide a single letter (A, B, C, ...) as the answer enclosed within the <answer> </answer> tags. For example, <answer> C </answer>."
+THINK_THEN_BOX = "The user asks a question, and the Assistant solves it. The assistant first thinks about the reasoning process in the mind and then provides the user with the final answer. The reasoning process and answer are enclosed within <think> </think> and <answer> </answer> tags, respectively, i.e., <think> reasoning process here </think><answer> answer here </answer>. In the answer, box your final answer using \\boxed{} notation. Now the user asks you to solve a math reasoning problem.\n\nUser:%s\nAssistant: <think>"
+NAMED = "\nThe function should be named `%s`."
 
 
 def message(role: str, content: Column) -> Column:
@@ -81,13 +90,21 @@ def shuffled_choice(df: DataFrame, seed: int = 0) -> DataFrame:
     return _core(df, F.lit(f"{ASSISTANT}\n\n{CHOOSE}\n\n"), user, F.char(64 + at))
 
 
-def category_choice(test: DataFrame, validation: DataFrame, order: str = "row") -> DataFrame:
-    """Rows of category, question, options, answer (and cot in ``validation``), with each category's worked examples before them."""
+def filled_in(pattern: str, value: Column) -> Column:
+    """A fixed text with a value in the place of its mark."""
+    before, after = pattern.split("%s")
+    return F.concat(F.lit(before), value, F.lit(after))
+
+
+def category_choice(test: DataFrame, validation: DataFrame, order: str = "row", k: int = 5) -> DataFrame:
+    """Rows of category, question, options, answer (and cot in ``validation``), with the first ``k`` worked examples of their category before them."""
+    nth = F.row_number().over(Window.partitionBy("category").orderBy(order))
+    validation = validation.withColumn("_nth", nth).where(F.col("_nth") <= k)
     topic = F.replace(F.col("category"), F.lit("_"), F.lit(" "))
     ask = F.concat(F.lit("Question:\n"), strip(F.col("question")), F.lit("\nOptions:\n"), option_lines(F.col("options")), F.lit("\nAnswer: "))
     worked = F.struct(order, F.concat(ask, F.regexp_replace("cot", r"\AA: ", "")).alias("full"), F.concat(ask, F.col("answer")).alias("short"))
     shots = validation.select("category", worked.alias("s")).groupBy("category").agg(F.array_sort(F.collect_list("s")).alias("_s"))
-    df = test.join(F.broadcast(shots), "category", "left").withColumn("_s", F.coalesce("_s", F.array()))
+    df = test.join(shots, "category", "left").withColumn("_s", F.coalesce("_s", F.array()))
     intro = F.concat(F.lit(SHOT_INTRO.split("%s")[0]), topic, F.lit(SHOT_INTRO.split("%s")[1]))
     whole = lambda part, end: F.array_join(F.concat(F.transform("_s", lambda s: s[part]), F.array(end)), "\n\n")
     return df.select(
@@ -99,6 +116,76 @@ def category_choice(test: DataFrame, validation: DataFrame, order: str = "row")
     ).withColumns(scoring_columns(F.col("_n"))).drop("_n")
 
 
+def reasoning_choice(df: DataFrame) -> DataFrame:
+    """Rows of category, question, options and answer: zero-shot prompts that ask for reasoning and a letter in tags."""
+    topic = F.replace(F.col("category"), F.lit("_"), F.lit(" "))
+    quiz = F.concat(filled_in(ABOUT, topic), strip(F.col("question")), F.lit("\n"), option_lines(F.col("options")))
+    return df.select("row", filled_in(REASON_THEN_LETTER, quiz).alias("completion_input"), F.array(message("user", filled_in(LETTER_IN_TAGS, quiz))).alias("chat_input"), F.col("answer").alias("ground_truth"))
+
+
+def reasoning_problem(df: DataFrame) -> DataFrame:
+    """Core rows with completion prompts that begin a thought; the problem is the first user message, else the old prompt."""
+    return df.withColumn("completion_input", filled_in(THINK_THEN_BOX, _problem()))
+
+
+def function_completion(df: DataFrame) -> DataFrame:
+    """Rows of prompt, test and entry_point: the prompt alone, a chat that asks to complete it, and a truth of all three as JSON."""
+    truth = F.to_json(F.struct("test", "entry_point", "prompt"))
+    chat = F.array(message("system", F.lit(PROGRAMMER)), message("user", filled_in(COMPLETE_FUNCTION, F.col("prompt"))))
+    return df.select("row", F.col("prompt").alias("completion_input"), chat.alias("chat_input"), truth.alias("ground_truth"))
+
+
+def subject_choice(df: DataFrame, shots: DataFrame, k: int = 5) -> DataFrame:
+    """Rows of subject, question, choices, answer (from 0) and correct_answer, with their subject's first ``k`` shots (same shape, by row).
+
+    The chat has each shot as a question and a reply; the truth is the corrected letter.
+    """
+    name = F.lower(F.replace("subject", F.lit("_"), F.lit(" ")))
+    body = F.concat("question", F.lit("\n"), option_lines(F.col("choices")), F.lit("\nAnswer:"))
+    nth = F.row_number().over(Window.partitionBy("subject").orderBy("row"))
+    shot = F.struct("nth", body.alias("ask"), F.char(65 + F.col("answer")).alias("letter"))
+    before = shots.withColumn("nth", nth).where(F.col("nth") <= k).groupBy("subject").agg(F.array_sort(F.collect_list(shot)).alias("_s"))
+    df = df.join(before, "subject", "left").withColumn("_s", F.coalesce("_s", F.array()))
+    intro = filled_in(ABOUT_ANSWERED, name)
+    worked = F.transform("_s", lambda s: F.concat(s["ask"], F.lit(" "), s["letter"], F.lit("\n\n")))
+    talk = F.flatten(F.transform("_s", lambda s: F.array(message("user", s["ask"]), message("assistant", s["letter"]))))
+    return df.select(
+        "row",
+        F.concat(intro, F.lit("\n\n"), F.array_join(worked, ""), body).alias("completion_input"),
+        F.concat(F.array(message("system", intro)), talk, F.array(message("user", body))).alias("chat_input"),
+        corrected_letter(F.col("answer"), F.col("correct_answer")).alias("ground_truth"),
+    )
+
+
+def without_quotes(prompt: Column) -> Column:
+    """A docstring's content."""
+    return strip(F.regexp_replace(strip(prompt), r'\A"""|"""\z', ""))
+
+
+def description(prompt: Column) -> Column:
+    """What a docstring says before its first assert."""
+    return strip(F.regexp_replace(without_quotes(prompt), regex(r"\nassert\s.*", "s"), ""))
+
+
+def function_prompts(df: DataFrame, suffix: str = "") -> DataFrame:
+    """Rows of prompt and entry_point: completion_input that ends in the function's open head, completion_prefix, and the chat's request."""
+    head = F.concat(F.lit("def "), "entry_point", F.lit("("))
+    ask = F.concat(without_quotes(F.col("prompt")), filled_in(NAMED, F.col("entry_point")), F.lit(f"\n\n{suffix}" if suffix else ""))
+    return df.withColumns({"completion_input": F.concat("prompt", F.lit("\n"), head), "completion_prefix": head, "chat_input": F.array(message("user", ask))})
+
+
+def task_name(c: Column, prefix: str = "") -> Column:
+    """A name of lower-case letters, digits and single underscores; & is "and"."""
+    plain = F.regexp_replace(F.replace(F.lower(c), F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", "_")
+    return F.concat(F.lit(prefix), F.regexp_replace(plain, "^_+|_+$", ""))
+
+
+def judged_query(prompt: Column) -> Column:
+    """The question of a long prompt: after its last question mark line, without the closing answer mark."""
+    question = F.regexp_replace(F.substring_index(prompt, "\n=== QUESTION ===\n", -1), r"\n\nAnswer:\z", "")
+    return F.regexp_replace(question, r"\A[ \n]+|[ \n]+\z", "")
+
+
 def text_questions(df: DataFrame) -> DataFrame:
     """Rows without an image, by answer type: a choice prompt, or a request for the final answer only."""
     df = df.where("image is null or image = ''")
@@ -126,11 +213,14 @@ def topic_choice(df: DataFrame, options: list[str]) -> DataFrame:
     return out.withColumns(scoring_columns(F.col("_n"))).drop("_n")
 
 
+def _problem() -> Column:
+    user = F.try_element_at(F.filter("chat_input", lambda m: m["role"] == "user"), F.lit(1))["content"]
+    return F.coalesce(user, F.regexp_replace("completion_input", rf"\A\Q{ASSISTANT}\E\n\n", ""))
+
+
 def few_shot_problem(df: DataFrame, preamble: str) -> DataFrame:
     """Completion prompts for problems: the preamble, the first user message (else the old prompt), and a solution mark."""
-    user = F.try_element_at(F.filter("chat_input", lambda m: m["role"] == "user"), F.lit(1))["content"]
-    problem = F.coalesce(user, F.regexp_replace("completion_input", rf"\A\Q{ASSISTANT}\E\n\n", ""))
-    return df.withColumn("completion_input", F.concat(F.lit(preamble), F.lit("Problem: "), problem, F.lit("\nSolution:")))
+    return df.withColumn("completion_input", F.concat(F.lit(preamble), F.lit("Problem: "), _problem(), F.lit("\nSolution:")))
 
 
 def choice_target(target: Column, choices: Column) -> Column:
@@ -154,7 +244,5 @@ def short_checks(df: DataFrame, column: str, most: int = 10_000) -> DataFrame:
 
 def by_number(df: DataFrame, column: str) -> DataFrame:
     """Rows numbered by the digits at the end of an identifier."""
-    from .rows import row_numbers
-
     keyed = df.withColumn("_k", F.regexp_extract(column, r"(\d+)\z", 1).cast("bigint"))
     return row_numbers(keyed, ["_k", column]).drop("_k")

@@ -127,6 +127,53 @@ def merge_settings(base: Column, override: Column) -> Column:
     return F.map_concat(old, override)
 
 
+def merge_nested(base: dict, override: dict) -> dict:
+    """Settings merged key by key, mappings in mappings too; the inputs stay as they are."""
+    both = {k: merge_nested(base[k], v) for k, v in override.items() if isinstance(v, dict) and isinstance(base.get(k), dict)}
+    return base | override | both
+
+
+# Parameters that every chat endpoint takes by name.
+STANDARD_PARAMETERS = (
+    "audio", "frequency_penalty", "function_call", "functions", "logit_bias", "logprobs", "max_completion_tokens", "max_tokens", "messages", "metadata", "modalities", "model", "n", "parallel_tool_calls", "prediction", "presence_penalty",
+    "reasoning_effort", "response_format", "seed", "service_tier", "stop", "store", "stream", "stream_options", "temperature", "tool_choice", "tools", "top_logprobs", "top_p", "user",
+)
+
+
+def split_parameters(settings: Column, standard: tuple[str, ...] = STANDARD_PARAMETERS) -> Column:
+    """Struct of the standard parameters of a map and of the others; a cache salt in it is an error."""
+    checked = F.when(F.map_contains_key(settings, "cache_salt"), F.raise_error(F.lit("cache_salt can't be set directly")).cast("map<string,string>")).otherwise(settings)
+    return F.struct(F.map_filter(checked, lambda k, v: k.isin(*standard)).alias("standard"), F.map_filter(checked, lambda k, v: ~k.isin(*standard)).alias("extra"))
+
+
+def secret_safe(settings: Column, secret: tuple[str, ...] = ("api_key", "cache_salt")) -> Column:
+    """A map of settings with the values of secret keys replaced by their SHA-256."""
+    return F.transform_values(settings, lambda k, v: F.when(k.isin(*secret), F.sha2(v, 256)).otherwise(v))
+
+
+def prefixed(prompt: Column, prefix: Column) -> Column:
+    """The prefix, a blank line and the prompt; the prompt alone where there is no prefix."""
+    return F.when(F.length(prefix) > 0, F.concat(prefix, F.lit("\n\n"), prompt)).otherwise(prompt)
+
+
+def parallel_fields(structs: Column, fields: list[str]) -> dict[str, Column]:
+    """An array of structs as parallel arrays, one for each field, in order; nulls keep their place."""
+    return {f: F.transform(structs, lambda s, f=f: s[f]) for f in fields}
+
+
+def sharded(df: DataFrame, rank: int, world: int, key: str = "row") -> DataFrame:
+    """The rows of one of ``world`` equal shards by their number."""
+    if not 0 <= rank < world:
+        raise ValueError("rank must be below the world size")
+    return df.where(F.pmod(F.col(key), F.lit(world)) == rank)
+
+
+def by_prompt(rows: DataFrame, responses: DataFrame, version: str) -> DataFrame:
+    """Rows with the response to their prompt, the newest by ``version`` where a prompt has several."""
+    last = responses.groupBy("prompt").agg(F.max_by("response", version).alias("response"))
+    return rows.join(last, "prompt")
+
+
 def failure_class(status: Column) -> Column:
     """Error code and whether a retry can help, from an HTTP status."""
     code = F.when(status == 429, "rate_limited").when(status.isin(401, 403), "auth").when(status == 408, "timeout").when(status >= 500, "server_error").when(status >= 400, "bad_request").otherwise("network")

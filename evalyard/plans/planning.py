@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
+#: Models that ``every_pair`` takes; they go to every task.
+MOST_MODELS = 10_000
 PENDING, GENERATED, DONE, FAILED = 0, 1, 2, -1
 
 
@@ -61,6 +63,50 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.unionByName(new.join(old.select(key), key, "left_anti"))
 
 
+def insert_replace(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """New rows in the place of old ones of the same key, whole."""
+    return old.join(new.select(key), key, "left_anti").unionByName(new)
+
+
+def every_pair(models: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Each model with each task, which is the result itself; the few models go to the tasks' partitions."""
+    names = [r.model for r in models.select("model").distinct().orderBy("model").limit(MOST_MODELS + 1).collect()]
+    if len(names) > MOST_MODELS:
+        raise ValueError(f"more than {MOST_MODELS} models")
+    return tasks.select(F.explode(F.array(*map(F.lit, names)).cast("array<string>")).alias("model"), "task")
+
+
+def with_judges(events: DataFrame, tasks: DataFrame, models: DataFrame) -> DataFrame:
+    """Events with their task's grader and the endpoint of the judge that it names, null where it names none or an unknown one."""
+    known = tasks.select("task", "grader", "judge")
+    return events.join(known, "task").join(models.select(F.col("model").alias("judge"), "endpoint"), "judge", "left")
+
+
+def active(models: DataFrame, flag: str = "grading_only") -> DataFrame:
+    """Models that aren't for grading only; a null flag counts as unset."""
+    return models.where(~F.coalesce(F.col(flag).cast("boolean"), F.lit(False)))
+
+
+def serving_key(*parts: Column) -> Column:
+    """A 12-digit key of the settings that a served model depends on, nulls counted."""
+    return F.left(F.sha2(F.to_json(F.array(*[F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts])), 256), F.lit(12))
+
+
+def jobs_of_models(models: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Models with the jobs that serve them, by serving key; a model without a job keeps a null."""
+    return models.join(jobs.select("serving_key", "job").distinct(), "serving_key", "left")
+
+
+def progress(df: DataFrame, by: str, order: str, done: str, width: int = 20) -> DataFrame:
+    """Share of done rows in each of ``width`` equal stretches of a group's rows in order: group, stretch (from 0), share."""
+    from pyspark.sql.window import Window
+
+    w = Window.partitionBy(by).orderBy(order)
+    n = F.count(F.lit(1)).over(Window.partitionBy(by))
+    cut = df.select(by, F.col(done).cast("int").alias("_d"), F.floor((F.row_number().over(w) - 1) * width / n).alias("stretch"))
+    return cut.groupBy(by, "stretch").agg(F.avg("_d").alias("share"))
+
+
 def phase_counts(events: DataFrame) -> DataFrame:
     """completed (done or failed), successful and open events."""
     p = F.col("phase")

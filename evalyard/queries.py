@@ -428,3 +428,151 @@ def instruction_report(spark, sf):
 def sampled_rows(spark, sf):
     """The small variant of a dataset: rows numbered below 100, a limit that is the feature."""
     return table(spark, sf, "part").select(F.col("p_partkey").alias("row"), "p_name").where(F.col("row") < 100)
+
+
+# --- builders and planning over whole tables ------------------------------------------------
+
+
+@query("dataset_reasoning", """select p_partkey as row, chr(cast(65 + p_partkey % 2 as int)) as ground_truth, sha256('The following are multiple choice questions about ' || replace(p_type, '_', ' ') || '.' || chr(10) || chr(10) || trim(p_name) || chr(10) || 'A. ' || p_brand || chr(10) || 'B. ' || p_size || chr(10) || 'Provide a single letter (A, B, C, ...) as the answer enclosed within the <answer> </answer> tags. For example, <answer> C </answer>.') as chat_sha256 from part""")
+def dataset_reasoning(spark, sf):
+    df = table(spark, sf, "part").select(F.col("p_partkey").alias("row"), F.col("p_type").alias("category"), F.col("p_name").alias("question"), F.array("p_brand", text(F.col("p_size"))).alias("options"), F.char(65 + F.col("p_partkey") % 2).alias("answer"))
+    return datasets.reasoning_choice(df).select("row", "ground_truth", F.sha2(F.element_at("chat_input", 1)["content"], 256).alias("chat_sha256"))
+
+
+@query("dataset_functions", """select p_partkey as row, p_name as completion_input, sha256('Complete the implementation for the following Python function:' || chr(10) || chr(10) || '```python' || chr(10) || p_name || chr(10) || '```' || chr(10) || chr(10) || 'Wrap your complete implementation in a python code block (i.e. ```python' || chr(10) || 'your code here```).') as chat_sha256, p_type as test, p_brand as entry_point from part""")
+def dataset_functions(spark, sf):
+    df = table(spark, sf, "part").select(F.col("p_partkey").alias("row"), F.col("p_name").alias("prompt"), F.col("p_type").alias("test"), F.col("p_brand").alias("entry_point"))
+    truth = F.from_json("ground_truth", "test string, entry_point string, prompt string")
+    return datasets.function_completion(df).select("row", "completion_input", F.sha2(F.element_at("chat_input", 2)["content"], 256).alias("chat_sha256"), truth["test"].alias("test"), truth["entry_point"].alias("entry_point"))
+
+
+@query("dataset_subjects", """with q as (select p_partkey, p_brand, p_name || chr(10) || 'A. ' || p_type || chr(10) || 'B. ' || p_size || chr(10) || 'Answer:' as body, chr(cast(65 + p_partkey % 2 as int)) as letter from part),
+s as (select p_brand, string_agg(body || ' ' || letter || chr(10) || chr(10), '' order by p_partkey) as shots, count(*) as n from (select *, row_number() over (partition by p_brand order by p_partkey) as nth from q) where nth <= 2 group by p_brand)
+select p_partkey as row, case p_partkey % 3 when 0 then 'D' else letter end as ground_truth, 2 * n + 2 as turns, sha256('The following are multiple choice questions (with answers) about ' || lower(p_brand) || '.' || chr(10) || chr(10) || shots || body) as prompt_sha256 from q join s using (p_brand)""")
+def dataset_subjects(spark, sf):
+    k = F.col("p_partkey")
+    df = table(spark, sf, "part").select(k.alias("row"), F.col("p_brand").alias("subject"), F.col("p_name").alias("question"), F.array("p_type", text(F.col("p_size"))).alias("choices"), (k % 2).cast("int").alias("answer"), F.when(k % 3 == 0, "D").alias("correct_answer"))
+    return datasets.subject_choice(df, df, 2).select("row", "ground_truth", F.size("chat_input").cast("bigint").alias("turns"), F.sha2("completion_input", 256).alias("prompt_sha256"))
+
+
+@query("dataset_five_shot", """with q as (select p_partkey, p_brand, p_size, 'Question:' || chr(10) || trim(p_name) || chr(10) || 'Options:' || chr(10) || 'A. ' || p_type || chr(10) || 'B. ' || p_size || chr(10) || 'Answer: ' as ask, chr(cast(65 + p_partkey % 2 as int)) as letter from part),
+s as (select p_brand, string_agg(ask || 'step ' || p_size, chr(10) || chr(10) order by p_partkey) || chr(10) || chr(10) as shots from (select *, row_number() over (partition by p_brand order by p_partkey) as nth from q) where nth <= 5 group by p_brand)
+select p_partkey as row, letter as ground_truth, sha256('The following are multiple choice questions (with answers) about ' || p_brand || '. Think step by step and then finish your answer with "the answer is (X)" where X is the correct letter choice.' || chr(10) || shots || ask || 'Let''s think step by step.') as prompt_sha256 from q join s using (p_brand)""")
+def dataset_five_shot(spark, sf):
+    k = F.col("p_partkey")
+    df = table(spark, sf, "part").select(k.alias("row"), F.col("p_brand").alias("category"), F.col("p_name").alias("question"), F.array("p_type", text(F.col("p_size"))).alias("options"), F.char(65 + k % 2).alias("answer"), F.concat(F.lit("A: step "), text(F.col("p_size"))).alias("cot"))
+    return datasets.category_choice(df, df).select("row", "ground_truth", F.sha2("completion_input", 256).alias("prompt_sha256"))
+
+
+@query("dataset_problems", r"""select p_partkey as row, case when p_partkey % 2 = 0 then 'Solve.Problem: ' || p_name || chr(10) || 'Solution:' else 'Solve.Problem: ' || p_type || chr(10) || 'Solution:' end as few, ends_with(few, 'Solution:') as marked,
+  'User:' || case when p_partkey % 2 = 0 then p_name else p_type end || chr(10) || 'Assistant: <think>' as ending from part""")
+def dataset_problems(spark, sf):
+    """Few-shot and reasoning prompts of the same problems; odd rows have no user message."""
+    k = F.col("p_partkey")
+    chat = F.array(F.struct(F.lit("system").alias("role"), F.lit("s").alias("content")), F.struct(F.when(k % 2 == 0, "user").otherwise("note").alias("role"), F.col("p_name").alias("content")))
+    df = table(spark, sf, "part").select(k.alias("row"), F.concat(F.lit("You are a helpful assistant.\n\n"), "p_type").alias("completion_input"), chat.alias("chat_input"))
+    few = datasets.few_shot_problem(df, "Solve.").select("row", F.col("completion_input").alias("few"))
+    whole = datasets.reasoning_problem(df).select("row", F.regexp_extract("completion_input", r"(?s)(User:.*)\z", 1).alias("ending"))
+    return few.join(whole, "row").withColumn("marked", F.endswith("few", F.lit("Solution:")))
+
+
+@query("every_pair", "select n_name as model, s_suppkey as task from nation cross join supplier")
+def every_pair(spark, sf):
+    return planning.every_pair(table(spark, sf, "nation").select(F.col("n_name").alias("model")), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("task")))
+
+
+@query("new_events", "select n_name as model, s_suppkey as task, 0 as phase from nation join supplier on s_nationkey = n_nationkey where s_suppkey % 3 <> 0")
+def new_events(spark, sf):
+    pairs = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("model"), F.col("s_suppkey").alias("task"))
+    return planning.new_events(pairs, pairs.where(F.col("task") % 3 == 0))
+
+
+@query("phase_counts", "select count(*) filter (where k in (2, -1)) as completed, count(*) filter (where k = 2) as successful, count(*) filter (where k not in (2, -1)) as open from (select o_orderkey % 4 - 1 as k from orders)")
+def phase_counts(spark, sf):
+    return planning.phase_counts(table(spark, sf, "orders").select((F.col("o_orderkey") % 4 - 1).alias("phase")))
+
+
+@query("judge_lookup", "select s_suppkey as task, 'g' || (s_suppkey % 4) as grader, case when s_suppkey % 4 < 2 then n_name end as judge, case when s_suppkey % 4 = 0 then n_regionkey end as endpoint from supplier join nation on s_nationkey = n_nationkey")
+def judge_lookup(spark, sf):
+    k = F.col("s_suppkey")
+    nation = table(spark, sf, "nation")
+    named = table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    # every second judge isn't registered under its name
+    tasks = named.select(k.alias("task"), F.concat(F.lit("g"), text(k % 4)).alias("grader"), F.when(k % 4 == 0, F.col("n_name")).when(k % 4 == 1, F.concat("n_name", F.lit("?"))).alias("judge"))
+    out = planning.with_judges(tasks.select("task"), tasks, nation.select(F.col("n_name").alias("model"), F.col("n_regionkey").alias("endpoint")))
+    return out.select("task", "grader", F.regexp_replace("judge", r"\?$", "").alias("judge"), "endpoint")
+
+
+@query("insert_replace", "select c_custkey, case when c_custkey % 2 = 0 then 'new' else c_mktsegment end as c_mktsegment from customer")
+def insert_replace(spark, sf):
+    old = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return planning.insert_replace(old, old.where("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lit("new")), "c_custkey")
+
+
+@query("insert_ignore", "select c_custkey, case when c_custkey % 2 = 0 then c_mktsegment else 'new' end as c_mktsegment from customer")
+def insert_ignore(spark, sf):
+    old = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return planning.insert_ignore(old.where("c_custkey % 2 = 0"), old.withColumn("c_mktsegment", F.lit("new")), "c_custkey")
+
+
+@query("active_models", "select n_name from nation where n_nationkey % 3 <> 0")
+def active_models(spark, sf):
+    k = F.col("n_nationkey") % 3
+    return planning.active(table(spark, sf, "nation").select("n_name", F.when(k == 0, 1).when(k == 1, 0).alias("grading_only"))).select("n_name")
+
+
+@query("jobs_of_models", "select c_custkey, case when c_nationkey % 2 = 0 then c_nationkey end as job from customer")
+def jobs_of_models(spark, sf):
+    key = planning.serving_key(F.col("c_nationkey"), F.lit(None))
+    models = table(spark, sf, "customer").select("c_custkey", key.alias("serving_key"))
+    jobs = table(spark, sf, "customer").where("c_nationkey % 2 = 0").select(key.alias("serving_key"), F.col("c_nationkey").alias("job"))
+    return planning.jobs_of_models(models, jobs).select("c_custkey", "job")
+
+
+@query("prompt_responses", "select c.c_custkey, last.response from customer c join (select c_nationkey, max_by('r' || c_custkey, c_custkey) as response from customer where c_custkey % 3 > 0 group by c_nationkey) last using (c_nationkey)")
+def prompt_responses(spark, sf):
+    df = table(spark, sf, "customer").select("c_custkey", text(F.col("c_nationkey")).alias("prompt"), F.concat(F.lit("r"), text(F.col("c_custkey"))).alias("response"))
+    return rows.by_prompt(df.select("c_custkey", "prompt"), df.where("c_custkey % 3 > 0"), "c_custkey").select("c_custkey", "response")
+
+
+@query("progress", "select o_orderpriority, stretch, round(avg(d), 6) as share from (select o_orderpriority, case when o_orderstatus = 'F' then 1 else 0 end as d, cast(floor((row_number() over (partition by o_orderpriority order by o_orderkey) - 1) * 20 / count(*) over (partition by o_orderpriority)) as bigint) as stretch from orders) group by all")
+def progress(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", (F.col("o_orderstatus") == "F").alias("done"))
+    return planning.progress(df, "o_orderpriority", "o_orderkey", "done").withColumn("share", rounded("share"))
+
+
+@query("sharded_rows", "select o_orderkey from orders where o_orderkey % 7 = 3")
+def sharded_rows(spark, sf):
+    return rows.sharded(table(spark, sf, "orders").select("o_orderkey"), 3, 7, "o_orderkey")
+
+
+@query("merged_grades", "select o_orderkey as row, case when o_orderkey % 2 = 0 then o_orderstatus end as stored, case when o_orderkey % 2 = 1 then o_totalprice end as live from orders")
+def merged_grades(spark, sf):
+    df = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row"), F.col("o_orderstatus").alias("stored"), F.col("o_totalprice").alias("live"))
+    return rows.merge_grades(df.where("row % 2 = 0").drop("live"), df.where("row % 2 = 1").drop("stored"))
+
+
+@query("new_messages", "select conv_id, turn, cast(greatest(n - coalesce(lag(n) over (partition by conv_id order by turn), 0), 0) as bigint) as n_new from (select conv_id, turn, turn % 3 + turn as n from conversations)")
+def new_messages(spark, sf):
+    n = (F.col("turn") % 3 + F.col("turn")).cast("int")
+    df = table(spark, sf, "conversations").select("conv_id", "turn", F.transform(F.sequence(F.lit(0), n), lambda i: text(i)).alias("messages"))
+    df = df.withColumn("messages", F.slice("messages", 1, F.size("messages") - 1))
+    return rows.new_messages(df, "conv_id", "turn", "messages").select("conv_id", "turn", F.size("new").cast("bigint").alias("n_new"))
+
+
+@query("ordered_distinct", "select p_partkey, 'c a b' as words from part")
+def ordered_distinct(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", F.array_join(rows.ordered_distinct_last(F.array(*map(F.lit, "abcab"))), " ").alias("words"))
+
+
+@query("shared_tokens", "select sha256(l_returnflag || chr(0) || l_linestatus)[1:12] as token, count(*) as n from lineitem group by 1")
+def shared_tokens(spark, sf):
+    return table(spark, sf, "lineitem").groupBy(planning.pair_token(F.col("l_returnflag"), F.col("l_linestatus")).alias("token")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("instruction_scores", r"""with f as (select coalesce(text, '') as t from documents), g as (select not contains(t, ',') and regexp_matches(t, '\S') as a, not contains(t, ';') and regexp_matches(t, '\S') and len(regexp_extract_all(lower(t), 'tion')) >= 5 as x, len(regexp_extract_all(lower(t), 'tion')) >= 5 and regexp_matches(t, '\S') as b from f)
+select 'strict_prompt_accuracy' as name, round(avg(cast(a and b as int)), 6) as value from g union all select 'strict_instruction_accuracy', round(avg((cast(a as int) + cast(b as int)) / 2.0), 6) from g""")
+def instruction_scores(spark, sf):
+    kwargs = F.expr("array(map('-', '-'), map('relation', 'at least', 'keyword', 'tion', 'frequency', '5'))")
+    df = table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("response"), F.array(F.lit("punctuation:no_comma"), F.lit("keywords:frequency")).alias("instruction_ids"), kwargs.alias("kwargs"))
+    return ifeval.accuracy_scores(ifeval.grade(df)).where("name like 'strict%'").withColumn("value", rounded("value"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import extract
 from .functions.parsers import parse, parse_all, reasoning
-from .operators import choice, graders, ifeval, judges, rows
+from .operators import choice, datasets, graders, ifeval, judges, rows
+from .plans import planning
 from .session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,3 +296,22 @@ cases("long_durations", [("1-02:03:04", 93784), ("00:00:10", 10), ("100:00:00",
 
 _TRUTHS = [(None, "B", 1), (0, "B", 0), (None, "1", 1), (None, " y", 1), (1, None, 1), (None, "A", 0), (None, "0", 0), (None, " x", 0)]
 cases("truth_indexes", [(None if i is None else i, t, w) for i, t, w in _TRUTHS], lambda df: df.withColumn("result", choice.truth_index(F.col("i").cast("int"), F.col("t"), F.array(F.lit("A"), F.lit("B")), F.array(F.lit(" x"), F.lit(" y")))), ["i", "t"], "int")
+
+cases("token_counts", [('["2", "2.0"]', "2,2"), ("[1, 3.0]", "1,3"), ("[10, 7]", "10,7")], lambda df: df.withColumn("result", F.array_join(choice.token_counts(F.from_json("t", "array<string>"), F.lit(2)).cast("array<string>"), ",")), ["t"])
+cases("suffix_starts", [("Q: Answer: A", "A", 10), ("Q: AnswerA", "A", 9), ("Q: B", "A", 99), ("A", "A", 0), ("Q  A", " A", 1), ("", "A", 99)], lambda df: df.withColumn("result", choice.suffix_start(F.col("p"), F.col("c"), F.lit(99))), ["p", "c"], "int")
+cases("counted_suffixes", [(2, 0, -3.0), (1, 1, -1.0), (3, 0, -3.5), (2, 1, -1.5), (0, 0, 0.0)], lambda df: df.withColumn("result", choice.counted_suffix_logprob(F.array(*map(F.lit, (-0.5, -1.0, -2.0))), F.col("n"), F.col("tail"))), ["n", "tail"], "double")
+cases("offset_suffixes", [(0, 9, -1.75), (7, 9, -0.25), (6, 7, -0.5), (3, 7, -1.5)], lambda df: df.withColumn("result", choice.suffix_logprob(F.array(*map(F.lit, (0, 6, 7))), F.array(*map(F.lit, (-1.0, -0.5, -0.25))), F.col("a"), F.col("b"))), ["a", "b"], "double")
+cases("choice_rows", [("choice_scoring", "p", "x", True), ("choice_scoring", None, None, False), ("choice_scoring", None, "x", True), ("chat", "p", "x", False), (None, "p", "x", False)], lambda df: df.withColumn("scoring_completions", F.array(F.lit("A"))).withColumn("result", choice.is_choice_row(df.withColumn("scoring_completions", F.lit(1)))), ["scoring_mode", "scoring_prompt_prefix", "completion_input"], "boolean")
+cases("scoring_prompts", [("Answer: ", "A", "Answer: A"), ("x\n", " B", "x B"), ("", "C", " C")], lambda df: df.withColumn("result", F.element_at(choice.prompts(F.col("p"), F.array("c")), 1)), ["p", "c"])
+cases("prompt_prefixes", [("q", "p", "p\n\nq"), ("q", "", "q"), ("q", None, "q"), ("", "p", "p\n\n")], lambda df: df.withColumn("result", rows.prefixed(F.col("q"), F.col("p"))), ["q", "p"])
+_kv = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+cases("split_parameters", [('{"temperature": "1", "top_k": "5"}', "temperature=1|top_k=5"), ('{"min_p": "0"}', "|min_p=0"), ('{"seed": "1", "n": "2"}', "n=2,seed=1|"), ("{}", "|")], _part(lambda t: F.concat_ws("|", _kv(rows.split_parameters(F.from_json(t, "map<string,string>"))["standard"]), _kv(rows.split_parameters(F.from_json(t, "map<string,string>"))["extra"]))), ["t"])
+cases("secret_safe", [('{"api_key": "abc", "name": "m"}', "api_key=ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad,name=m"), ("{}", "")], _part(lambda t: _kv(rows.secret_safe(F.from_json(t, "map<string,string>")))), ["t"])
+cases("merged_settings", [('{"a": "1", "b": "2"}', '{"b": "3"}', "a=1,b=3"), ("{}", '{"x": "y"}', "x=y"), ('{"x": "y"}', "{}", "x=y")], lambda df: df.withColumn("result", _kv(rows.merge_settings(F.from_json("a", "map<string,string>"), F.from_json("b", "map<string,string>")))), ["a", "b"])
+cases("task_names", [("Social Science & Law (High School)", "ar_social_science_and_law_high_school"), ("__a__", "ar_a"), ("", "ar_"), ("A-B", "ar_a_b")], _part(lambda t: datasets.task_name(t, "ar_")), ["t"])
+cases("judged_queries", [("doc\n=== QUESTION ===\nWhy?\n\nAnswer:", "Why?"), ("plain \n", "plain"), ("a\n=== QUESTION ===\nb\n=== QUESTION ===\n c", "c"), ("", "")], _part(datasets.judged_query), ["t"])
+cases("descriptions", [('"""\nWrite f.\nassert f(1) == 2\n"""', "Write f."), ("no quotes", "no quotes"), ('"""\nassert x\n"""', "assert x"), ("a\nassert b\nassert c", "a")], _part(datasets.description), ["t"])
+cases("source_texts", [(" a [note] b ", "a b"), ("T [title] x", "T. x"), (None, ""), ("[a]", "")], _part(datasets.source_text), ["t"])
+cases("choice_targets", [("b", "b"), ("0", "a"), (" 2 ", "1"), ("1", "1")], _part(lambda t: datasets.choice_target(t, F.array(F.lit("a"), F.lit("b"), F.lit("1")))), ["t"])
+cases("corrected_letters", [(0, "C", "C"), (0, "3", "D"), (1, None, "B"), (2, "E", "C"), (2, " a ", "C"), (2, "", "C")], lambda df: df.withColumn("result", datasets.corrected_letter(F.col("a").cast("int"), F.col("c"))), ["a", "c"])
+cases("normal_tags", [(" Any ", "any"), ("", "any"), (None, "any"), (" x ", "x"), ("anyone", "anyone")], _part(planning.normal_tag), ["t"])
