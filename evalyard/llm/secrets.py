@@ -1,9 +1,9 @@
 """Secret scans: rule matches, and a character convolutional network over every candidate.
 
 The network sees a candidate with the text around it. It is trained here, in numpy, on
-labelled findings; its scores are calibrated on held-out findings, where the threshold is the
-largest that keeps a required recall. The few thousand weights are broadcast and one
-``mapInArrow`` pass scans the documents.
+labelled findings; its scores are calibrated on held-out findings, and on others the threshold is
+set, the largest that keeps a required recall. Long candidates are seen piece by piece. The few
+thousand weights are broadcast and one ``mapInArrow`` pass scans the documents.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 import random
 import re
 import string
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no look
 KINDS = ("assign", "access", "hex", "cnn")
-#: What the network judges beyond the rules: unbroken runs that mix letters and digits.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{16,}")
+#: What the network judges beyond the rules: unbroken runs of 12 or more that mix letters and digits, and all of 20 or more.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?:(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{12,}|[A-Za-z0-9+/_=.-]{20,})")
 BEFORE, INSIDE, AFTER = 24, 48, 16
 WIDTH = BEFORE + INSIDE + AFTER
 SYMBOLS = 100
@@ -50,13 +50,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """The parts of a candidate that the network sees at once: all of it, or halves that overlap, the last at its end."""
+    if end - start <= INSIDE:
+        return [(start, end)]
+    at = [*range(start, end - INSIDE, INSIDE // 2), end - INSIDE]
+    return [(s, s + INSIDE) for s in at]
+
+
 def window(text: str, start: int, end: int) -> np.ndarray:
-    """Symbol codes of a candidate and its surroundings; 0 pads, a long candidate keeps its head and tail."""
-    inside = text[start:end]
-    if len(inside) > INSIDE:
-        inside = inside[: INSIDE - 16] + inside[-16:]
-    raw = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0") + inside.ljust(INSIDE, "\0") + text[end : end + AFTER].ljust(AFTER, "\0")
-    code = np.frombuffer(raw.encode("utf-32-le"), np.uint32)
+    """Symbol codes of a piece and its surroundings; 0 pads."""
+    raw = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0") + text[start:end].ljust(INSIDE, "\0") + text[end : end + AFTER].ljust(AFTER, "\0")
+    code = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where(code == 0, 0, np.where((code >= 32) & (code < 127), code - 31, np.where(code < 32, 97, 98))).astype(np.int64)
 
 
@@ -90,7 +95,7 @@ class Network:
         return 1 / (1 + np.exp(-(self.slope * self.logits(x) + self.shift)))
 
 
-def labelled_findings(n: int = 6000, seed: int = 11) -> list[tuple[str, int, int, int]]:
+def labelled_findings(n: int = 9000, seed: int = 11) -> list[tuple[str, int, int, int]]:
     """Labelled findings (text, start, end, label) from a seeded generator: 1 is a live-looking secret.
 
     Half are secrets of many shapes after assignments, headers, options or plain words; half are
@@ -112,6 +117,10 @@ def labelled_findings(n: int = 6000, seed: int = 11) -> list[tuple[str, int, int
         lambda: pick("0123456789abcdef", 24, 64),
         lambda: ".".join("eyJ" * (k == 0) + pick(letters + string.digits + "_-", 20, 40) for k in range(3)),
         lambda: pick(letters + string.digits + "_-", 22, 50),
+        lambda: pick(letters + string.digits, 12, 20),
+        lambda: pick(letters, 20, 44),
+        lambda: "/".join(word(1, 3) for _ in range(rng.randint(1, 4))) + "/" + pick(letters + string.digits, 28, 60) + "/" + word(1, 3),
+        lambda: rng.choice(["key", "sig", "access", "live", "prod"]) + rng.choice("-_=") + pick(b64, 24, 90),
     ]
     others = [
         lambda: word(5, 9) + str(rng.randint(0, 999)),
@@ -126,6 +135,14 @@ def labelled_findings(n: int = 6000, seed: int = 11) -> list[tuple[str, int, int
         lambda: "".join(w.capitalize() for w in (word(2, 3), word(2, 3), word(2, 3))) + str(rng.randint(0, 99)),
         lambda: "-".join(word(1, 3) for _ in range(5)) + "-" + str(rng.randint(1, 99)),
         lambda: "=" * rng.randint(14, 40) + "1a",
+        lambda: rng.choice("=-_.") * rng.randint(20, 80),
+        lambda: word(9, 14).capitalize(),
+        lambda: rng.choice("-_./").join(word(1, 4) for _ in range(rng.randint(4, 12))),
+        lambda: "".join(rng.choices(string.digits, k=rng.randint(20, 30))),
+        lambda: "-".join("".join(rng.choices(string.digits, k=rng.randint(2, 5))) for _ in range(rng.randint(4, 6))),
+        lambda: f"{word(2, 4)}.{word(2, 3)}{rng.randint(1, 999)}",
+        lambda: f"{word(1, 2)}{rng.randint(1, 99)}-{word(1, 2)}{rng.randint(1, 99)}.{word(1, 2)}.{rng.choice(['com', 'org', 'net'])}/{word(1, 3)}",
+        lambda: f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}/{rng.choice(['a', 'x'])}{rng.randint(8, 32)}",
     ]
     prefix = ["", "", "key: ", "Authorization: Bearer ", "export KEY=", '"value": "', "--auth ", "use ", "see ", "file ", "id ", "version "]
     out = []
@@ -139,12 +156,13 @@ def labelled_findings(n: int = 6000, seed: int = 11) -> list[tuple[str, int, int
 
 
 def train(findings: list[tuple[str, int, int, int]], recall: float = 0.98, epochs: int = 6, seed: int = 3, size: int = 8, filters: int = 24, kernel: int = 5) -> Network:
-    """Fit on four fifths of the findings, calibrate and set the threshold on the last fifth."""
+    """Fit on three fifths of the findings, calibrate on the fourth, and set the threshold, which keeps ``recall``, on the last."""
     rng = np.random.default_rng(seed)
-    x = np.stack([window(t, s, e) for t, s, e, _ in findings])
+    some = [(t, *(p := pieces(s, e))[int(rng.integers(len(p)))]) for t, s, e, _ in findings]
+    x = np.stack([window(*f) for f in some])
     y = np.array([f[3] for f in findings], float)
     order = rng.permutation(len(y))
-    held, fit = order[: len(y) // 5], order[len(y) // 5 :]
+    held, last, fit = order[: len(y) // 5], order[len(y) // 5 : 2 * len(y) // 5], order[2 * len(y) // 5 :]
     p = {"embed": rng.normal(0, 0.5, (SYMBOLS, size)), "conv": rng.normal(0, (2 / (kernel * size)) ** 0.5, (kernel, size, filters)), "bias": np.zeros(filters), "out": rng.normal(0, 0.1, 2 * filters), "out_bias": np.zeros(())}
     m, v, step = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
     lo, hi = BEFORE, BEFORE + INSIDE - kernel + 1
@@ -176,9 +194,8 @@ def train(findings: list[tuple[str, int, int, int]], recall: float = 0.98, epoch
     for _ in range(200):  # Platt scaling by gradient steps
         q = 1 / (1 + np.exp(-(a * score + b)))
         a, b = a - 0.05 * float(np.mean((q - y[held]) * score)), b - 0.5 * float(np.mean(q - y[held]))
-    prob = np.sort(1 / (1 + np.exp(-(a * score[y[held] == 1] + b))))
-    cut = float(prob[int((1 - recall) * len(prob))]) if len(prob) else 0.5
-    return Network(**p, slope=a, shift=b, threshold=max(0.5, cut) if float(np.mean(prob >= 0.5)) >= recall else cut)
+    prob = np.sort(1 / (1 + np.exp(-(a * net.logits(x[last[y[last] == 1]]) + b))))
+    return Network(**p, slope=a, shift=b, threshold=float(prob[int((1 - recall) * len(prob))]) if len(prob) else 0.5)
 
 
 @lru_cache(maxsize=1)
@@ -187,19 +204,23 @@ def default_network() -> Network:
 
 
 def scan_text(text: str | None, net: Network) -> list[tuple[int, str, int, float | None]]:
-    """(start, kind, end, probability) by start, then kind; rule matches carry the network's opinion too."""
+    """(start, kind, end, probability) by start, then kind; rule matches carry the network's opinion too.
+
+    A span's probability is that of its likeliest piece.
+    """
     text = text or ""
     base = base_spans(text)
     taken = sorted((s, e) for s, _, e in base)
     starts, reach = [s for s, _ in taken], [*accumulate((e for _, e in taken), max)]
-    more = [(m.start(), "cnn", m.end()) for m in CANDIDATE.finditer(text)] if any(c in text for c in string.digits) else []
-    # a candidate stays if no rule match that begins before its end reaches beyond its start
-    more = [c for c in more if not (k := bisect_left(starts, c[2])) or reach[k - 1] <= c[0]]
+    # a candidate goes only if one rule match holds all of it
+    more = [(s, "cnn", e) for s, e in (m.span() for m in CANDIDATE.finditer(text)) if not (k := bisect_right(starts, s)) or reach[k - 1] < e]
     every = base + more
     if not every:
         return []
-    parts = (every[i : i + AT_ONCE] for i in range(0, len(every), AT_ONCE))
-    score = np.concatenate([net.probability(np.stack([window(text, s, e) for s, _, e in part])) for part in parts])
+    score = np.zeros(len(every))
+    seen = ((k, p) for k, (s, _, e) in enumerate(every) for p in pieces(s, e))
+    while part := list(islice(seen, AT_ONCE)):
+        np.maximum.at(score, [k for k, _ in part], net.probability(np.stack([window(text, *p) for _, p in part])))
     found = [(s, k, e, float(p)) for (s, k, e), p in zip(every, score) if k != "cnn" or p >= net.threshold]
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[1])))
 
