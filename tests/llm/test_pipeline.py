@@ -35,3 +35,18 @@ def test_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_stages_with_nulls_repeats_and_clashing_columns(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (2, base.replace("w5 ", "zz ")), (None, base), (None, None), (3, None), (4, ""), (5, " \n"), (6, "x " * 3000), (None, "only this")]
+    docs = spark.createDataFrame([(d, t, "en", "s", k, "c") for k, (d, t) in enumerate(rows)], "doc_id bigint, text string, lang string, score string, gone int, c0 string")
+    left = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, left, SF)
+        assert out.columns == docs.columns
+        assert stage(spark, left.limit(0), SF).count() == 0
+    kept = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_exact_copies(spark, docs, SF), SF).collect()
+    assert sorted(r.gone for r in kept if r.text and r.text.startswith("w0")) in ([0], [1])
+    assert sum(not (r.text or "").strip() for r in kept) == 2 and len(kept) == 5
+    assert corpus_pipeline.encode(spark, docs, SF).count() == len(rows)

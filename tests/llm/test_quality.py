@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -28,6 +30,44 @@ def test_features_edges():
     assert quality.features(pa.array([], pa.string())).shape == (0, len(quality.FEATURES))
 
 
+def plain_features(text):
+    """One text at a time, one character and word at a time."""
+    text = text or ""
+    raw, low = text.encode(), "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = [w for w in re.split("[\x20\x09-\x0d]+", low) if w]
+    kind = lambda b: next((k for k, chars in quality._CLASS.items() if b in chars), "other")
+    kinds = [kind(b) for b in raw]
+    size, n = max(1, len(raw)), max(1, len(words))
+    out = {"log_bytes": math.log1p(len(raw))} | {k: kinds.count(k) / size for k in quality._CLASS}
+    out["word_bytes"] = sum(len(w.encode()) for w in words) / n
+    out["distinct"] = len(set(words)) / n
+    out["repeat"] = sum(a == b for a, b in zip(words, words[1:])) / n
+    out["top_word"] = max((words.count(w) for w in set(words)), default=0) / n
+    out["shape_change"] = sum(a != b for a, b in zip(kinds, kinds[1:])) / size
+    return [out[f] for f in quality.FEATURES]
+
+
+def plain_score(model, x):
+    def cell(edges, v):
+        return sum(e <= v for e in edges)
+
+    total = model.intercept + sum(t[cell(e, v)] for e, t, v in zip(model.edges, model.tables, x))
+    total += sum(t[cell(model.pair_edges[a], x[a])][cell(model.pair_edges[b], x[b])] for (a, b), t in zip(model.pairs, model.pair_tables))
+    return 1 / (1 + math.exp(-max(-30, min(30, total))))
+
+
+def test_scores_against_plain_lookups(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.score for r in quality.score(docs, "text", model, ["doc_id"]).collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        x = plain_features(t)
+        assert np.allclose(x, quality.features(pa.array([t]))[0])
+        assert abs(got[d] - plain_score(model, x)) < 1e-9
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, len(quality.FEATURES)))
