@@ -2,7 +2,12 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All stages but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, whatever further columns there are.
+
+Every stage judges rows, not ids: repeated ids and null ids stay apart and each row has its own
+fate. A null text counts as empty; empty and blank texts are scored by the first stage, equal to
+each other in the second (empty and blank aren't), linked to nothing in the third, never
+contaminated, and encoded as no tokens or as their white space. Empty tables give empty results.
 """
 
 from __future__ import annotations
