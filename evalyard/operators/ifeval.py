@@ -29,12 +29,20 @@ SECTION = (r"\s?", r"\s?\d+\s?")
 TITLE = r"<<[^\n]+>>"
 RESPONSE_MARK = r"\*{6}"
 WORD = r"\w+"
-UNAVAILABLE = {
-    "language:response_language": "needs a language detector",
-    "length_constraints:number_sentences": "needs a sentence tokeniser",
-    "change_case:capital_word_frequency": "needs a word tokeniser",
-    "change_case:english_capital": "needs a language detector",
-    "change_case:english_lowercase": "needs a language detector",
+# Shortened words whose full stop ends no sentence.
+ABBREVIATIONS = ("Dr", "Mr", "Mrs", "Ms", "Prof", "Sr", "Jr", "St", "vs", "Inc", "Ltd", "Co", "No", "e.g", "i.e", "U.S", "a.m", "p.m")
+SENTENCE_END = (
+    r"(?:[!?][.!?]*|(?<!\.|\b(?:[A-Z]|" + "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS) + r"))\.(?!\.)|(?<!\.)\.{2,}(?!\S*\s+[a-z]))"
+    r"""["')\]\u201d\u2019]*\s+(?=\S)"""
+)
+_MARKS = r"""\s,;:@#$%&?!"()\[\]{}<>"""
+CAPITAL_WORD = rf"(?<![^{_MARKS}])(?=[^{_MARKS}]*\p{{Lu}})[^{_MARKS}\p{{Ll}}]+(?![^{_MARKS}])"
+CONTRACTION = r"(?i)(?<=\w)(n't|(?<!n)'(?:s|m|d|ll|re|ve))(?!\w)"
+#: Rules that ask for a text's language, which nothing here detects; each with the part that is decided without it.
+LANGUAGE: dict[str, Callable[[Column], Column]] = {
+    "language:response_language": lambda v: F.lit(True),
+    "change_case:english_capital": lambda v: (F.upper(v) == v) & (F.lower(v) != v),
+    "change_case:english_lowercase": lambda v: (F.lower(v) == v) & (F.upper(v) != v),
 }
 
 
@@ -47,7 +55,7 @@ def check(name: str):
 
 
 def list_instructions() -> list[str]:
-    return sorted([*_CHECKS, JSON, *UNAVAILABLE])
+    return sorted([*_CHECKS, JSON, *LANGUAGE])
 
 
 def _int(args: Args, name: str) -> Column:
@@ -97,6 +105,12 @@ def _words(v, a):
     return _compare(_count(v, WORD), a, "num_words")
 
 
+@check("length_constraints:number_sentences")
+def _sentences(v, a):
+    """Ends of sentences that more text follows, and the last sentence."""
+    return _compare(_count(strip(v), SENTENCE_END) + 1, a, "num_sentences")
+
+
 @check("length_constraints:number_paragraphs")
 def _paragraphs(v, a):
     parts = F.split(v, regex(PARAGRAPH_MARK), -1)
@@ -195,15 +209,26 @@ def _quoted(v, a):
     return (F.length(s) > 1) & F.startswith(s, F.lit('"')) & F.endswith(s, F.lit('"'))
 
 
+@check("change_case:capital_word_frequency")
+def _capitals(v, a):
+    """Words without small letters; a hyphenated word is one, a contraction two."""
+    return _compare(_count(F.regexp_replace(v, CONTRACTION, " $1"), CAPITAL_WORD), a, "capital_frequency", "capital_relation")
+
+
 @check("punctuation:no_comma")
 def _no_comma(v, a):
     return ~F.contains(v, F.lit(","))
 
 
+def _undecided(value: Column, decided: Column) -> Column:
+    """False where a language rule fails without a look at the language, null where the language decides."""
+    return F.when(F.coalesce(_filled(value) & decided, F.lit(False)), F.lit(None).cast("boolean")).otherwise(False)
+
+
 def follows(instruction: str, response: Column, **args) -> Column:
-    """Whether a response follows one instruction with fixed arguments (lists as JSON text)."""
-    if instruction in UNAVAILABLE:
-        raise RuntimeError(f"{instruction} is unavailable: {UNAVAILABLE[instruction]}")
+    """Whether a response follows one instruction with fixed arguments (lists as JSON text); null where its language decides."""
+    if instruction in LANGUAGE:
+        return _undecided(response, LANGUAGE[instruction](response))
     if instruction == JSON:
         return F.element_at(_json_flags(F.array(response)), 1)
     return F.coalesce(_filled(response) & _CHECKS[instruction](response, lambda k: F.lit(args.get(k))), F.lit(False))
@@ -222,11 +247,19 @@ def _dispatch(value: Column, is_json: Column, name: Column, args: Column) -> Col
     out = F.when(name == JSON, is_json)
     for k, f in _CHECKS.items():
         out = out.when(name == k, f(value, lambda a: args[a]))
-    return F.coalesce(_filled(value) & out.otherwise(F.raise_error(F.concat(F.lit("unavailable instruction "), name)).cast("boolean")), F.lit(False))
+    known = F.coalesce(_filled(value) & out.otherwise(F.raise_error(F.concat(F.lit("unknown instruction "), name)).cast("boolean")), F.lit(False))
+    language = F.when(F.lit(False), F.lit(False))
+    for k, f in LANGUAGE.items():
+        language = language.when(name == k, _undecided(value, f(value)))
+    return F.when(name.isin(*LANGUAGE), language).otherwise(known)
 
 
 def grade(df: DataFrame, response: str = "response") -> DataFrame:
-    """Adds strict and loose (array<boolean>, one flag per instruction). A null response follows nothing."""
+    """Adds strict and loose (array<boolean>, one flag per instruction). A null response follows nothing.
+
+    Where a text's language decides, the flag is null; the scores and reports pass over such flags.
+    An unknown instruction is an error.
+    """
     texts = F.array(*variants(F.col(response)))
     # only rows that ask for JSON pay for its parser
     flags = _json_flags(F.when(F.array_contains("instruction_ids", JSON), texts))
@@ -238,20 +271,20 @@ def grade(df: DataFrame, response: str = "response") -> DataFrame:
 
 
 def accuracy_scores(graded: DataFrame) -> DataFrame:
-    """strict and loose × prompt and instruction accuracy."""
+    """strict and loose × prompt and instruction accuracy over decided flags; a prompt that an undecided flag leaves open isn't counted."""
     aggs = []
     for m in ("strict", "loose"):
         aggs.append(F.avg(F.forall(m, lambda x: x).cast("double")).alias(f"{m}_prompt_accuracy"))
-        aggs.append((F.sum(F.size(F.filter(m, lambda x: x))) / F.sum(F.size(m))).alias(f"{m}_instruction_accuracy"))
+        aggs.append((F.sum(F.size(F.filter(m, lambda x: x))) / F.sum(F.size(F.filter(m, lambda x: x.isNotNull())))).alias(f"{m}_instruction_accuracy"))
     wide = graded.agg(*aggs)
     return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in wide.columns])))
 
 
 def report(graded: DataFrame, mode: str = "strict") -> DataFrame:
-    """Accuracy by instruction family (before the colon) and by instruction: tier, id, total, correct."""
+    """Accuracy by instruction family (before the colon) and by instruction: tier, id, total (decided flags), correct."""
     each = graded.select(F.explode(F.arrays_zip("instruction_ids", mode)).alias("x")).select(F.col("x.instruction_ids").alias("id"), F.col(f"x.{mode}").cast("int").alias("ok"))
     tiers = each.select(F.explode(F.array(F.struct(F.lit(0).alias("tier"), F.substring_index("id", ":", 1).alias("id")), F.struct(F.lit(1).alias("tier"), F.col("id").alias("id")))).alias("t"), "ok")
-    return tiers.groupBy("t.tier", "t.id").agg(F.count(F.lit(1)).alias("total"), F.sum("ok").alias("correct"))
+    return tiers.groupBy("t.tier", "t.id").agg(F.count("ok").alias("total"), F.coalesce(F.sum("ok"), F.lit(0)).alias("correct"))
 
 
 def symmetric_conflicts(edges: DataFrame) -> DataFrame:

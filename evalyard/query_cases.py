@@ -241,7 +241,10 @@ _INSTRUCTIONS = [
     ("detectable_format:constrained_response", {"options": '["yes", "no"]'}, "well yes", 1), ("detectable_format:constrained_response", {"options": '["yes", "no"]'}, "maybe", 0), ("detectable_format:number_highlighted_sections", {"num_highlights": "2"}, "*a* and *b*", 1), ("detectable_format:number_highlighted_sections", {"num_highlights": "2"}, "*a* * *", 0),
     ("detectable_format:multiple_sections", {"section_spliter": "Section", "num_sections": "2"}, "Section 1 a Section 2 b", 1), ("detectable_format:multiple_sections", {"section_spliter": "Section", "num_sections": "2"}, "Section a", 0), ("detectable_format:json_format", {}, '```json\n{"a": [1, null]}\n```', 1), ("detectable_format:json_format", {}, '{"a": 1} x', 0),
     ("detectable_format:title", {}, "<<T>> x", 1), ("detectable_format:title", {}, "<< >>", 0), ("combination:two_responses", {}, "a\n******\nb", 1), ("combination:two_responses", {}, "a******a", 0), ("combination:repeat_prompt", {"prompt_to_repeat": "Say  it"}, " say  it then", 1), ("combination:repeat_prompt", {"prompt_to_repeat": "Say  it"}, "no", 0),
-    ("startend:end_checker", {"end_phrase": "The End"}, 'so "the end" ', 1), ("startend:end_checker", {"end_phrase": "The End"}, "the end!", 0), ("startend:quotation", {}, ' "a" ', 1), ("startend:quotation", {}, '"', 0), ("punctuation:no_comma", {}, "a b", 1), ("punctuation:no_comma", {}, "a, b", 0), ("punctuation:no_comma", {}, " ", 0),
+    ("startend:end_checker", {"end_phrase": "The End"}, 'so "the end" ', 1), ("startend:end_checker", {"end_phrase": "The End"}, "the end!", 0), ("startend:quotation", {}, ' "a" ', 1), ("startend:quotation", {}, '"', 0), 
+    ("length_constraints:number_sentences", {"relation": "at least", "num_sentences": "3"}, 'He said "Go." Then Dr. J. Roe left... and came! So', 1), ("length_constraints:number_sentences", {"relation": "less than", "num_sentences": "3"}, "One. Two! Three?", 0), ("length_constraints:number_sentences", {"relation": "less than", "num_sentences": "2"}, " Version 2.0 (e.g. of it) ", 1),
+    ("change_case:capital_word_frequency", {"capital_relation": "at least", "capital_frequency": "5"}, "DON'T NATO, (USA) 3D 42 don't", 1), ("change_case:capital_word_frequency", {"capital_relation": "less than", "capital_frequency": "2"}, "WELL-KNOWN as ABC-def GHI.", 0), ("change_case:english_capital", {}, "ALL of it", 0), ("change_case:english_capital", {}, "ALL OF IT", None),
+    ("change_case:english_lowercase", {}, "42", 0), ("change_case:english_lowercase", {}, "all of it", None), ("language:response_language", {"language": "en"}, "all of it", None), ("language:response_language", {"language": "en"}, " ", 0), ("punctuation:no_comma", {}, "a b", 1), ("punctuation:no_comma", {}, "a, b", 0), ("punctuation:no_comma", {}, " ", 0),
 ]
 
 

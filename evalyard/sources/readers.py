@@ -7,16 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import regex, strip
+from ..operators.rows import row_numbers
 
 
-def numbered_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """file, line (from 0) and value of each non-blank line; lines are numbered within one read of each file.
+def ordered_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """value of each non-blank line with its order: file, block (start of the split in the file) and nth (within one task).
 
-    Files are read whole by one task each (``wholetext``), which is what fixes their line order.
+    Files are read in splits, so no task or string holds a whole file.
     """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=recursive).select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n", -1).alias("lines"))
-    rows = files.select("file", F.posexplode("lines").alias("line", "value"))
-    return rows.where(F.length(strip(F.col("value"))) > 0)
+    lines = spark.read.text(path, recursiveFileLookup=recursive)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), "value")
+    return lines.where(F.length(strip(F.col("value"))) > 0)
+
+
+def unreadable_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(all files that ``path`` matches, those of them that may not be read), sorted; only names reach the driver."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for s in fs.globStatus(at) or []]
+    files = [f for s in found for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+    names = sorted(f.getPath().toString() for f in files if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+    read = jvm.org.apache.hadoop.fs.permission.FsAction.READ
+
+    def closed(name: str) -> bool:
+        try:
+            fs.access(jvm.org.apache.hadoop.fs.Path(name), read)
+            return False
+        except Exception as e:
+            if "AccessControlException" in str(e):
+                return True
+            raise
+
+    return names, [n for n in names if closed(n)]
+
+
+def readable_files(spark: SparkSession, path: str) -> list[str]:
+    """The readable files that ``path`` matches; no match and no readable file are errors."""
+    names, closed = unreadable_files(spark, path)
+    if not names:
+        raise FileNotFoundError(f"no files at {path!r}")
+    if len(closed) == len(names):
+        raise PermissionError(f"no readable files at {path!r}: {', '.join(closed)}")
+    return sorted(set(names) - set(closed))
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -27,22 +60,32 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return parsed.where("r._bad is null").select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
+def _prefix(spark: SparkSession, path: str, schema: T.StructType, index: str) -> DataFrame:
+    """Lines up to the first malformed one, with their record ``r`` and number: numbered once, then cut by one minimum."""
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    rows = ordered_lines(spark, path).withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    rows = row_numbers(rows, ["file", "block", "nth"], index)
+    cut = rows.where("r._bad is not null").agg(F.min(index).alias("_cut"))
+    return rows.join(F.broadcast(cut)).where(F.col("_cut").isNull() | (F.col(index) < F.col("_cut")))
+
+
 def read_prefix(spark: SparkSession, path: str, schema: T.StructType, index: str = "row_index") -> DataFrame:
     """Records up to the first malformed line of the first bad file, in file and line order, numbered from 0.
 
-    The cut is one row (file, line); the numbering adds per-file offsets to positions in a file.
+    Large files are read in splits; blank lines aren't counted.
     """
-    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = numbered_lines(spark, path).withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
-    cut = rows.where("r._bad is not null").agg(F.min(F.struct("file", "line")).alias("cut"))
-    rows = rows.join(F.broadcast(cut)).where("cut is null or struct(file, line) < cut")
-    from pyspark.sql.window import Window
+    return _prefix(spark, path, schema, index).select(index, *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
-    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    offsets = sizes.select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
-    nth = F.row_number().over(Window.partitionBy("file").orderBy("line")) - 1
-    return rows.join(F.broadcast(offsets), "file").select((F.col("_from") + nth).alias(index), *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+
+def repair(spark: SparkSession, path: str, schema: T.StructType, out: str) -> int:
+    """Write the lines that ``read_prefix`` keeps, in order, to the new folder ``out``; returns how many.
+
+    The files at ``path`` stay as they are, since shared stores can't cut a file in place; later
+    appends go to ``out``.
+    """
+    kept = _prefix(spark, path, schema, "_line")
+    kept.repartitionByRange("_line").sortWithinPartitions("_line").select("value").write.text(out)
+    return spark.read.text(out).count()
 
 
 def completed_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +95,8 @@ def completed_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def count_records(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).where(F.length(strip(F.col("value"))) > 0).count()
+    """Non-blank lines of the readable files; no match and no readable file are errors."""
+    return spark.read.text(readable_files(spark, path)).where(F.length(strip(F.col("value"))) > 0).count()
 
 
 def read_csv(spark: SparkSession, path: str, required: list[str]) -> DataFrame:

@@ -145,6 +145,8 @@ def test_instruction_grading(spark):
         ("length_constraints:number_paragraphs", {"num_paragraphs": "2"}, "a\n***\nb ***", "a *** *** b"),
         ("detectable_format:title", {}, "<<T>> x", "<< >>"),
         ("startend:quotation", {}, ' "a" ', '"'),
+        ("length_constraints:number_sentences", {"relation": "at least", "num_sentences": "2"}, "Dr. J. Roe came. So", "Dr. J. Roe... came."),
+        ("change_case:capital_word_frequency", {"capital_relation": "at least", "capital_frequency": "2"}, "IT'S", "WELL-KNOWN"),
     ],
 )
 def test_instruction_rules(spark, rule, args, yes, no):
@@ -152,6 +154,18 @@ def test_instruction_rules(spark, rule, args, yes, no):
     assert [r[0] for r in df.select(ifeval.follows(rule, F.col("t"), **args)).collect()] == [True, False]
 
 
+def test_language_rules_leave_scores_to_the_others(spark):
+    ids = ["change_case:english_capital", "language:response_language", "punctuation:no_comma"]
+    df = frame(spark, [("ABC DE", ids, [{}] * 3), ("abc, d", ids, [{}] * 3), ("", ids, [{}] * 3), (None, ids, [{}] * 3)], "response string, instruction_ids array<string>, kwargs array<map<string,string>>")
+    got = ifeval.grade(df)
+    assert [r.strict for r in got.collect()] == [[None, None, True], [False, None, False], [False] * 3, [False] * 3]
+    score = {r["name"]: r["value"] for r in ifeval.accuracy_scores(got).collect()}
+    assert score["strict_prompt_accuracy"] == 0 and score["strict_instruction_accuracy"] == pytest.approx(1 / 9)
+    assert {r.id: (r.total, r.correct) for r in ifeval.report(got).collect() if r.tier} == {ids[0]: (3, 0), ids[1]: (2, 0), ids[2]: (4, 1)}
+    with pytest.raises(Exception, match="unknown instruction"):
+        ifeval.grade(df.withColumn("instruction_ids", F.array(F.lit("no:such")))).collect()
+
+
 def test_planning(spark):
     groups = frame(spark, [("g", "a", "b"), ("h", "a", "b")], "group_name string, model_tag string, task_tag string")
     models, tasks = frame(spark, [("m", "a")], "model string, model_tag string"), frame(spark, [("t", "b")], "task string, task_tag string")

@@ -20,6 +20,35 @@ def test_prefix_and_lenient_scans(spark, tmp_path):
     assert readers.count_records(spark, path) == 6
 
 
+def test_prefix_over_splits_repair_and_unreadable_files(spark, tmp_path, monkeypatch):
+    src = tmp_path / "src"
+    src.mkdir()
+    line = '{"row": %d, "t": "x"}\n'
+    (src / "a.jsonl").write_text("".join(line % i + "\n" * (i % 3) for i in range(900)))
+    (src / "b.jsonl").write_text("".join(line % i for i in range(900, 1200)) + "{bad\n" + line % 7)
+    (src / "c.jsonl").write_text(line % 8)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert sorted((r.row_index, r.row) for r in readers.read_prefix(spark, f"{src}/*.jsonl", SCHEMA).collect()) == [(i, i) for i in range(1200)]
+        assert readers.repair(spark, f"{src}/*.jsonl", SCHEMA, f"{tmp_path}/out") == 1200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.row for r in readers.read_records(spark, f"{tmp_path}/out", SCHEMA).collect()) == list(range(1200))
+    assert readers.read_prefix(spark, f"{tmp_path}/out", SCHEMA).count() == 1200
+    assert [n.rsplit("/", 1)[1] for n in readers.readable_files(spark, f"{src}/*.jsonl")] == ["a.jsonl", "b.jsonl", "c.jsonl"]
+    with pytest.raises(FileNotFoundError):
+        readers.count_records(spark, f"{src}/*.none")
+    names = readers.unreadable_files(spark, f"{src}/*.jsonl")[0]
+    monkeypatch.setattr(readers, "unreadable_files", lambda s, p: (names, names[:1]))
+    assert readers.count_records(spark, f"{src}/*.jsonl") == 303
+    monkeypatch.setattr(readers, "unreadable_files", lambda s, p: (names, names))
+    with pytest.raises(PermissionError):
+        readers.count_records(spark, f"{src}/*.jsonl")
+
+
 def test_csv_results_and_uri(spark, tmp_path):
     (tmp_path / "r.csv").write_text("Model,Overall Acc,Multi-Turn,Rank\nm,50.5%,10%,1\nn,1%,2%,2\n")
     df = readers.read_csv(spark, f"{tmp_path}/r.csv", ["Model"])
