@@ -30,10 +30,27 @@ SENTENCES = {
     "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
     "mit-warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT',
+    "mit-liable": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
     "gpl3-short": "This work is licensed under the GNU General Public License, version 3",
     "gpl3-short-2": "Licensed under the GNU General Public License, version 3",
     "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl-see": "See the GNU General Public License for more details",
+    "lgpl3-free": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl3-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl2-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "lgpl-see": "See the GNU Lesser General Public License for more details",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3-see": "See the GNU Affero General Public License for more details",
+    "lgpl3-short": "Licensed under the GNU Lesser General Public License, version 3",
+    "agpl3-short": "Licensed under the GNU Affero General Public License, version 3",
+    "gpl2-short": "Licensed under the GNU General Public License, version 2",
+    "epl2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2-http": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0/",
+    "epl2-v": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl1": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
     "cc-by-nc-short": "Licensed under CC BY-NC 4.0",
     "cc-by-short": "Licensed under CC BY 4.0",
@@ -41,12 +58,26 @@ SENTENCES = {
     "cc-by-long": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "cc-by-sa-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc-sa-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nd-long": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-nc-nd-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
     "bsd-redistribute": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-disclaim": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED',
+    "bsd-liable": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
     "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    "mpl-copy-https": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-warranty": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS',
+    "isc-liable": "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "boost": "Distributed under the Boost Software License, Version 1.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
     "reserved": "All rights reserved",
 }
@@ -54,16 +85,45 @@ SENTENCES = {
 RULES = (
     ("Apache-2.0", ("apache-header", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
     ("Apache-2.0", ("apache-short", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
+    ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaim", "bsd-liable")),
+    ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-disclaim", "bsd-liable")),
+    ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaim")),
+    ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-disclaim")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary")),
+    ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty", "mit-liable")),
+    ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liable")),
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
+    ("AGPL-3.0-or-later", ("agpl3-free", "gpl-hope", "agpl3-see")),
+    ("LGPL-3.0-or-later", ("lgpl3-free", "lgpl-hope", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl3-program", "gpl-hope", "lgpl-see")),
+    ("LGPL-2.1-or-later", ("lgpl21-free", "lgpl-hope", "lgpl-see")),
+    ("LGPL-2.0-or-later", ("lgpl2-free", "lgpl-hope")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-see")),
+    ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope", "gpl-see")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
     ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope")),
+    ("MPL-2.0", ("mpl", "mpl-copy")),
+    ("MPL-2.0", ("mpl", "mpl-copy-https")),
+    ("ISC", ("isc", "isc-warranty", "isc-liable")),
+    ("Zlib", ("zlib-as-is", "zlib-liable", "zlib-grant")),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-program",)),
+    ("LGPL-2.1-or-later", ("lgpl21-free",)),
+    ("LGPL-2.0-or-later", ("lgpl2-free",)),
     ("GPL-3.0-or-later", ("gpl-free",)),
     ("GPL-2.0-or-later", ("gpl2-free",)),
     ("GPL-3.0-only", ("gpl3-short",)),
     ("GPL-3.0-only", ("gpl3-short-2",)),
+    ("GPL-2.0-only", ("gpl2-short",)),
+    ("LGPL-3.0-only", ("lgpl3-short",)),
+    ("AGPL-3.0-only", ("agpl3-short",)),
+    ("EPL-2.0", ("epl2",)),
+    ("EPL-2.0", ("epl2-http",)),
+    ("EPL-2.0", ("epl2-v",)),
+    ("EPL-1.0", ("epl1",)),
     ("Apache-2.0", ("apache-header",)),
     ("Apache-2.0", ("apache-short",)),
     ("MIT", ("mit-short",)),
@@ -72,11 +132,16 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-short",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-long",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-short",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-long",)),
     ("CC-BY-4.0", ("cc-by-short",)),
     ("CC-BY-4.0", ("cc-by-long",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-long",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-long",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-long",)),
     ("CC0-1.0", ("cc0",)),
     ("MPL-2.0", ("mpl",)),
     ("ISC", ("isc",)),
+    ("BSL-1.0", ("boost",)),
     ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("reserved",)),
 )

@@ -105,7 +105,13 @@ DISCLAIMER = """
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
 AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
 IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
-DISCLAIMED.
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
 """
 MIT = """MIT License
 
@@ -142,8 +148,63 @@ GNU General Public License for more details.
 GPL2 = GPL3.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
 
 
+AGPL3 = GPL3.replace("GNU General Public", "GNU Affero General Public").replace("GNU\nGeneral", "GNU\nAffero General").replace("See the\nGNU General", "See the\nGNU Affero General")
+LGPL3 = GPL3.replace("This program is", "This library is").replace("GNU General", "GNU Lesser General")
+LGPL21 = GPL2.replace("This program is", "This library is").replace("GNU General", "GNU Lesser General").replace("version 2 of", "version 2.1 of")
+EPL2 = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+
+SPDX-License-Identifier: EPL-2.0
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+
+
+def test_rules_name_known_sentences_and_use_all():
+    used = {k for _, run in licenses.RULES for k in run}
+    assert used == set(licenses.SENTENCES)
+    assert len({" ".join(map(str, licenses.segments(v))) for v in licenses.SENTENCES.values()}) == len(licenses.SENTENCES)
+
+
 def test_verbatim_public_headers():
-    cases = {"Apache-2.0": (APACHE, 5), "BSD-2-Clause": (BSD + DISCLAIMER, 3), "BSD-3-Clause": (BSD + ENDORSE + DISCLAIMER, 4), "MIT": (MIT, 4), "GPL-3.0-or-later": (GPL3, 2), "GPL-2.0-or-later": (GPL2, 2)}
+    cases = {
+        "Apache-2.0": (APACHE, 5),
+        "BSD-2-Clause": (BSD + DISCLAIMER, 5),
+        "BSD-3-Clause": (BSD + ENDORSE + DISCLAIMER, 6),
+        "MIT": (MIT, 5),
+        "GPL-3.0-or-later": (GPL3, 3),
+        "GPL-2.0-or-later": (GPL2, 3),
+        "AGPL-3.0-or-later": (AGPL3, 3),
+        "LGPL-3.0-or-later": (LGPL3, 3),
+        "LGPL-2.1-or-later": (LGPL21, 3),
+        "EPL-2.0": (EPL2, 1),
+        "MPL-2.0": (MPL, 2),
+        "ISC": (ISC, 3),
+        "Zlib": (ZLIB, 3),
+    }
     scanner = licenses.Scanner()
     for name, (text, n) in cases.items():
         for mark in ("", "# ", " * ", "// "):
