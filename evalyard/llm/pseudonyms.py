@@ -10,6 +10,7 @@ them. One ``mapInArrow`` pass over the scan.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from datetime import date
@@ -29,7 +30,7 @@ _PATTERN = re.compile(
     r"""|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"""
     r"""|(?P<phone>\+(?:1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])|(?!1[^0-9])[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,4}(?![0-9])))"""
     r"""|(?P<national>(?<![\w.+-])(?:1[\x20.-])?(?:\([2-9][0-9]{2}\)[\x20.-]?[2-9][0-9]{2}[\x20.-][0-9]{4}|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}|[2-9][0-9]{2}\.[2-9][0-9]{2}\.[0-9]{4})(?!\w|[.-][0-9]))"""
-    r"""|(?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?!(?![Tt][0-9]{2}|Z(?!\w))[\w-]|[./][0-9]))"""
+    r"""|(?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!(?![Tt][0-9]{2}|Z(?!\w))[\w-]|[./][0-9]))"""
     r"""|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"""
     r"""|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))"""
     r"""|(?P<card>(?<![\w.])[0-9](?:[\x20-]?[0-9]){12,18}(?![\w]))""",
@@ -52,9 +53,7 @@ class Feistel:
 
     def __init__(self, key: bytes, tweak: str, size: int):
         self.size, self.tweak, self.key = size, tweak.encode(), key
-        self.a = 1
-        while self.a * self.a < size:
-            self.a = max(self.a + 1, (self.a + -(-size // self.a)) // 2)
+        self.a = math.isqrt(size - 1) + 1  # halves of nearly equal size
         self.b = -(-size // self.a)
 
     def _round(self, i: int, half: int) -> int:

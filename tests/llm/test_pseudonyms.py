@@ -1,5 +1,7 @@
+import hashlib
+import random
 import re
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 
@@ -19,6 +21,12 @@ def test_feistel_is_a_permutation(size):
     assert [net.permute(y, back=True) for y in got] == list(range(size))
 
 
+@pytest.mark.parametrize("size", [97, 73049, 1 << 32, 10**15])
+def test_neighbours_part(size):
+    net = P.Feistel(KEY, "t", size)
+    assert len({(net.permute(x) - x) % size for x in range(90)}) > 40 and abs(net.a - net.b) <= 1
+
+
 def test_formats_validity_and_links():
     body = "453201511283036"
     card = body + str(P.luhn(body))
@@ -94,3 +102,164 @@ def test_dates_with_times_and_national_phones():
         new, spans = names.replace(text)
         assert spans == [("phone", 0, len(text))] and digits(new) == want and back.replace(new)[0] == text, text
     assert not names.replace("a 377-555-02711 b 077-555-0271 c 377-555-0271-9 d")[1]
+
+
+# --- a slow second version: every start, kind and end, with plain loops -----------------------
+
+ALNUM = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+WORD = ALNUM + "_"
+DIGITS = "0123456789"
+
+
+def is_form(s, form):
+    """``form``: d a digit, n a digit from 2, other characters themselves."""
+    return len(s) == len(form) and all((c in DIGITS if f == "d" else c in "23456789" if f == "n" else c == f) for c, f in zip(s, form))
+
+
+def cut_ok(s, at, marks):
+    """Single ``marks`` between digits, digits at both ends."""
+    return s[:1] in DIGITS and s[-1:] in DIGITS and all(c in DIGITS or (c in marks and s[k - 1] in DIGITS and s[k + 1] in DIGITS) for k, c in enumerate(s)) and at
+
+
+def shape(kind, s, before, after):
+    digits = "".join(c for c in s if c in DIGITS)
+    if kind == "email":
+        local, _, domain = s.partition("@")
+        labels = domain.split(".")
+        return bool(local) and local[0] in ALNUM and all(c in WORD + ".+-" for c in local) and len(labels) > 1 and all(x and all(c in ALNUM + "-" for c in x) for x in labels) and before not in WORD + ".+-"
+    if kind == "iban":
+        plain, at, ok = s.replace(" ", ""), 0, s[-1:] != " "
+        for k, c in enumerate(s):
+            if c == " ":
+                ok = ok and at % 4 == 0 and at and s[k - 1] != " "
+            else:
+                at += 1
+        return bool(ok) and 12 <= len(plain) <= 35 and plain[:2].isupper() and plain[2:4].isdigit() and all(c in ALNUM[:36] for c in plain) and before not in WORD and after[:1] not in WORD
+    if kind == "national":
+        body = s[2:] if s[0] == "1" and s[1:2] in (" ", ".", "-") else s
+        forms = [f"(ndd){a}ndd{b}dddd" for a in ("", " ", ".", "-") for b in " .-"] + ["ndd-ndd-dddd", "ndd.ndd.dddd"]
+        return any(is_form(body, f) for f in forms) and before not in WORD + ".+-" and after[:1] not in WORD and not (after[:1] in ".-" and after[1:2] in DIGITS and after[1:2])
+    if kind == "date":
+        ends = is_form(after[:3], "Tdd") or is_form(after[:3], "tdd") or (after[:1] == "Z" and after[1:2] not in WORD) or (after[:1] not in WORD + "-" and not (after[:1] in "./" and after[1:2] in DIGITS and after[1:2]))
+        return any(is_form(s, f) for f in ("dddd-dd-dd", "dd/dd/dddd", "dd.dd.dddd")) and before not in WORD + ".-" and ends
+    if kind == "ssn":
+        return is_form(s, "ddd-dd-dddd") and before not in WORD + "-" and after[:1] not in WORD + "-"
+    if kind == "ip":
+        parts = s.split(".")
+        return len(parts) == 4 and all(1 <= len(p) <= 3 and all(c in DIGITS for c in p) for p in parts) and before not in WORD + "." and after[:1] not in WORD and not (after[:1] == "." and after[1:2] in DIGITS and after[1:2])
+    return cut_ok(s, 13 <= len(digits) <= 19, " -") and before not in WORD + "." and after[:1] not in WORD
+
+
+def passes_luhn(s):
+    digits = [int(c) for c in s if c in DIGITS]
+    return len(set(digits)) > 1 and sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def valid_end(kind, s):
+    """Length of the value that a longest shape begins with; 0 for none."""
+    if kind == "card":
+        ends = [k for k in range(1, len(s) + 1) if s[k - 1] in DIGITS and s[k : k + 1] not in DIGITS or k == len(s)]
+        sizes = lambda k: tuple(map(len, s[:k].replace("-", " ").split()))
+        usual = [k for k in ends if sizes(k) in ((4, 4, 4, 4), (4, 6, 5), (15,), (16,))]
+        ok = [k for k in usual + ends[::-1] if 13 <= sum(sizes(k)) <= 19 and passes_luhn(s[:k])]
+    elif kind == "iban":
+        ends = [k for k in range(1, len(s) + 1) if s[k : k + 1] in ("", " ")]
+        plain = lambda k: s[:k].replace(" ", "")
+        value = lambda p: int("".join(str(ALNUM.index(c)) for c in p[4:] + p[:4]))
+        ok = [k for k in sorted(ends, key=lambda k: (len(plain(k)) != P.IBAN_LENGTHS.get(s[:2]), -k)) if 15 <= len(plain(k)) <= 34 and value(plain(k)) % 97 == 1]
+    elif kind == "date":
+        parts = [int(x) for x in re.split("[-/.]", s)]
+        orders = [parts] if s[4] == "-" else [parts[::-1]] if s[2] == "." else [[parts[2], parts[0], parts[1]], parts[::-1]]
+        month = lambda y, m: [31, 29 if y % 4 == 0 and (y % 100 or y % 400 == 0) else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][m - 1]
+        ok = [len(s)] if any(1900 <= y < 2100 and 1 <= m <= 12 and 1 <= d <= month(y, m) for y, m, d in orders) else []
+    elif kind == "ssn":
+        ok = [len(s)] if s[:3] not in ("000", "666") and s[0] != "9" and s[4:6] != "00" and s[7:] != "0000" else []
+    elif kind == "ip":
+        ok = [len(s)] if all(str(int(p)) == p and int(p) < 256 for p in s.split(".")) else []
+    else:
+        ok = [len(s)]
+    return ok[0] if ok else 0
+
+
+def slow_spans(text):
+    out, pos = [], 0
+    while pos < len(text):
+        step = 1
+        for kind in () if text[pos] not in ALNUM + "(" else ("email", "iban", "national", "date", "ssn", "ip", "card"):
+            before = text[pos - 1] if pos else "\n"
+            longest = next((e for e in range(min(len(text), pos + 130), pos, -1) if shape(kind, text[pos:e], before, text[e : e + 3].ljust(3, "\n"))), 0)
+            if longest:
+                if n := valid_end(kind, text[pos:longest]):
+                    out.append(("phone" if kind == "national" else kind, pos, pos + n))
+                    step = n
+                break
+        pos += step
+    return out
+
+
+def slow_permute(tweak, size, x):
+    """The walk through the rounds, halves joined anew each time."""
+    a = next(k for k in range(max(1, int(size**0.5) - 2), size + 2) if k * k >= size)
+    b = -(-size // a)
+    while True:
+        for i in range(P.ROUNDS):
+            left, right = x % a, x // a
+            half = left if i % 2 else right
+            f = int.from_bytes(hashlib.blake2b(f"{tweak}|{size}|{i}|{half}".encode(), key=KEY, digest_size=32).digest(), "big")
+            x = left + a * ((right + f) % b) if i % 2 else (left + f) % a + a * right
+        if x < size:
+            return x
+
+
+def samples(n, seed):
+    rnd = random.Random(seed)
+    d = lambda k: "".join(rnd.choice(DIGITS) for _ in range(k))
+
+    def card():
+        body = d(rnd.choice((12, 14, 15, 15, 15, 18)))
+        s = body + (str(P.luhn(body)) if rnd.random() < 0.7 else d(1))
+        mark = rnd.choice(("", " ", "-"))
+        return mark.join(s[k : k + 4] for k in range(0, len(s), 4))
+
+    def iban():
+        country, length = rnd.choice((("GB", 22), ("DE", 22), ("BE", 16), ("NO", 15)))
+        body = d(length - 4)
+        check = 98 - P.iban_rest(country + "00" + body) if rnd.random() < 0.7 else 11
+        s = f"{country}{check:02d}{body}"
+        return s if rnd.random() < 0.5 else " ".join(s[k : k + 4] for k in range(0, len(s), 4))
+
+    makers = [
+        card, iban, lambda: f"{rnd.choice('ab')}{d(2)}.x@m{d(1)}.org", lambda: f"{rnd.choice((1899, 1900, 2024, 2100))}-{rnd.choice(('02', '13', '11'))}-{rnd.choice(('29', '30', '31'))}", lambda: f"{rnd.choice(('02', '30'))}{rnd.choice('/.')}{rnd.choice(('11', '31'))}/2024",
+        lambda: f"{rnd.choice(('02', '30'))}.11.2023", lambda: f"{rnd.choice(('000', '123', '666', '900'))}-{d(2)}-{d(4)}", lambda: ".".join(str(rnd.randrange(290)) for _ in range(4)), lambda: f"({rnd.randrange(100, 999)}) {rnd.randrange(100, 999)}-{d(4)}", lambda: f"{rnd.randrange(100, 999)}-{rnd.randrange(100, 999)}-{d(4)}",
+        lambda: rnd.choice(("word", "Ab", "EUR", "x_1", d(3), d(8), "é")),
+    ]
+    return ["".join(rnd.choice(makers)() + rnd.choice((" ", " ", ", ", "\n", "; ", ".", "-", "x", "T10", "Z")) for _ in range(12)) for _ in range(n)]
+
+
+def test_spans_against_a_slow_finder(spark):
+    names = P.Pseudonyms(KEY)
+    kinds = set()
+    for text in samples(120, 5):
+        spans = names.replace(text)[1]
+        assert spans == slow_spans(text), text
+        kinds |= {k for k, _, _ in spans}
+    assert kinds == set(P.KINDS)
+
+
+def test_values_against_slow_permutations():
+    names = P.Pseudonyms(KEY)
+    first = date(1900, 1, 1)
+    days = [first + timedelta(k) for k in range((date(2100, 1, 1) - first).days)]
+    numbers = [f"{a:03d}" for a in range(1, 900) if a != 666]
+    for k in range(60):
+        day = days[(k * 7919) % len(days)]
+        assert names.replace(day.isoformat())[0] == days[slow_permute("date", len(days), days.index(day))].isoformat()
+        ip = (k * 2654435761) % 2**32
+        dotted = lambda x: ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
+        assert names.replace(dotted(ip))[0] == dotted(slow_permute("ip", 2**32, ip))
+        area, group, serial = numbers[(k * 97) % len(numbers)], 1 + k % 99, 1 + k * 163 % 9999
+        new = slow_permute("ssn", len(numbers) * 99 * 9999, (numbers.index(area) * 99 + group - 1) * 9999 + serial - 1)
+        assert names.replace(f"{area}-{group:02d}-{serial:04d}")[0] == f"{numbers[new // 9999 // 99]}-{new // 9999 % 99 + 1:02d}-{new % 9999 + 1:04d}"
+        body = f"{4 * 10**14 + k * 982451653:015d}"
+        moved = str(slow_permute("card", 10**15, int(body))).zfill(15)
+        assert names.replace(body + str(P.luhn(body)))[0][:15] == moved and passes_luhn(names.replace(body + str(P.luhn(body)))[0])
