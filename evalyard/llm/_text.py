@@ -14,7 +14,11 @@ from ..session import row_keys
 
 #: Maps the bytes A-Z to a-z and leaves every other byte alone.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Lower-cases A-Z and turns each ASCII character outside 0-9, a-z into a space.
+ALNUM_WORDS = bytes(32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in LOWER)
 SLICE_BYTES = 2 << 20
+#: Keys with over 1/HOT of all rows are fewer than HOT: they are joined by broadcast.
+HOT = 1000
 #: Bytes up to which a written table is broadcast; beyond, an ordinary join.
 BROADCAST_BYTES = 64 << 20
 
@@ -24,6 +28,22 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
 
 
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined to written ``keyed``, which has one row a key and the number ``count`` of rows with it.
+
+    Keys with over 1/``HOT`` of all rows are fewer than ``HOT`` and go by broadcast, the others by shuffle,
+    so that no task gets more than such a share.
+    """
+    most = (keyed.agg(F.sum(count)).first()[0] or 0) // HOT
+    hot = keyed.where(F.col(count) > most).select(F.col(key).alias("_hot"), *(c for c in keyed.columns if c != key))
+    if most == 0 or hot.isEmpty():
+        return rows.join(keyed, key)
+    hot = F.broadcast(hot)
+    often = rows.join(hot, rows[key] == hot["_hot"]).drop("_hot")
+    seldom = rows.join(hot.select("_hot"), rows[key] == hot["_hot"], "left_anti").join(keyed.where(F.col(count) <= most), key)
+    return often.unionByName(seldom)
+
+
 def row_identity(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     """(rows, column that tells them apart): the id where it is an integer that no rows share or lack, else a written number."""
     if docs.schema[id_col].dataType.typeName() in ("long", "integer"):

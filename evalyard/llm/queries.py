@@ -17,6 +17,7 @@ from . import ngram_join as _ngram
 from . import ppm as _ppm
 from . import pseudonyms as _pseudonyms
 from . import quality as _quality
+from . import resampling as _resampling
 from . import resharding as _shards
 from . import secrets as _secrets
 
@@ -91,3 +92,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_resampling", _resampling.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
