@@ -76,12 +76,12 @@ def lower_ascii(texts: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(texts.type, len(texts), [valid, offsets, pa.py_buffer(data.to_pybytes().translate(LOWER))], offset=texts.offset)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    r"""Words ``[^\x20\x09-\x0D]+`` of lower-cased texts: (row of each word, code of each word, dictionary).
+def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    r"""Words ``[^\x20\x09-\x0D]+`` of (lower-cased) texts: (row of each word, code of each word, dictionary).
 
     The dictionary may hold an empty string that no code refers to.
     """
-    lists = pc.ascii_split_whitespace(lower_ascii(texts))
+    lists = pc.ascii_split_whitespace(lower_ascii(texts) if lower else pa.concat_arrays([pc.fill_null(texts, "")]))
     coded = lists.flatten().dictionary_encode()
     code = coded.indices.to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))

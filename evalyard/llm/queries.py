@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from . import pseudonyms as _pseudonyms
 from . import quality as _quality
 from . import resampling as _resampling
 from . import resharding as _shards
+from . import runs as _runs
 from . import secrets as _secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +100,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_resampling", _resampling.SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The contract's repeats: in a tenth of the documents the words from one place on repeat a stretch."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))])
+
+
+@query("op13_runs", _runs.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _runs.digest(_runs.periodic_runs(table(spark, sf_dir, "documents"), source=_planted))
