@@ -28,19 +28,21 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str | list[str], count: str) -> DataFrame:
     """``rows`` joined to written ``keyed``, which has one row a key and the number ``count`` of rows with it.
 
     Keys with over 1/``HOT`` of all rows are fewer than ``HOT`` and go by broadcast, the others by shuffle,
     so that no task gets more than such a share.
     """
+    keys = [key] if isinstance(key, str) else key
     most = (keyed.agg(F.sum(count)).first()[0] or 0) // HOT
-    hot = keyed.where(F.col(count) > most).select(F.col(key).alias("_hot"), *(c for c in keyed.columns if c != key))
+    hot = keyed.where(F.col(count) > most).select(*(F.col(k).alias(f"_hot_{k}") for k in keys), *(c for c in keyed.columns if c not in keys))
     if most == 0 or hot.isEmpty():
-        return rows.join(keyed, key)
-    hot = F.broadcast(hot)
-    often = rows.join(hot, rows[key] == hot["_hot"]).drop("_hot")
-    seldom = rows.join(hot.select("_hot"), rows[key] == hot["_hot"], "left_anti").join(keyed.where(F.col(count) <= most), key)
+        return rows.join(keyed, keys)
+    names = [f"_hot_{k}" for k in keys]
+    same = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
+    often = rows.join(F.broadcast(hot), same).drop(*names)
+    seldom = rows.join(F.broadcast(hot.select(*names)), same, "left_anti").join(keyed.where(F.col(count) <= most), keys)
     return often.unionByName(seldom)
 
 

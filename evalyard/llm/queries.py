@@ -19,6 +19,7 @@ from . import ngram_join as _ngram
 from . import ppm as _ppm
 from . import pseudonyms as _pseudonyms
 from . import quality as _quality
+from . import repeats as _repeats
 from . import resampling as _resampling
 from . import resharding as _shards
 from . import runs as _runs
@@ -115,3 +116,8 @@ def _planted(doc_id: int | None, n: int) -> np.ndarray | None:
 @query("op13_runs", _runs.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _runs.digest(_runs.periodic_runs(table(spark, sf_dir, "documents"), source=_planted))
+
+
+@query("op12_repeats", _repeats.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repeats.digest(_repeats.remove_repeats(table(spark, sf_dir, "documents")))
