@@ -28,12 +28,12 @@ from ..session import materialize, row_keys
 from ._text import LOWER
 
 WINDOW = 13
-#: Bytes of benchmark text that one pass broadcasts; a worker's tables take some 10 times as much, 20 while they are built, once a worker.
+#: Bytes of benchmark text that one pass broadcasts; a worker's tables take some 10 times as much, 24 while they are built, once a worker.
 BLOCK_BYTES = 8 << 20
 #: Lower-cases A-Z and turns each ASCII character outside 0-9, a-z into a space.
 _WORDS = bytes(32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in LOWER)
 #: Text positions that the tables take in at once.
-_PIECE = 1 << 16
+_PIECE = 1 << 11
 #: Shortest pattern of a length class and the block size that its tables use.
 _CLASSES = ((32, 8), (16, 6), (8, 3), (3, 2))
 
@@ -64,7 +64,7 @@ class WuManber:
             at = np.arange(low, min(low + _PIECE, len(blob) - block + 1))
             first = order[np.minimum(np.searchsorted(order, at + block - m), len(order) - 1)]
             inside = (first <= at) & (first >= at + block - m)
-            for q, s in zip(at[inside].tolist(), (m - block - at + first)[inside].tolist()):
+            for q, s in zip(array("q", at[inside].tobytes()), array("q", (m - block - at + first)[inside].tobytes())):
                 h = hash(blob[q : q + block]) & mask
                 if s < shift[h]:
                     shift[h] = s

@@ -62,10 +62,13 @@ def test_tables_against_plain_search_and_memory():
         n, hits, found = searcher.search(text)
         want = brute(text, items)
         assert (n, sum(e - s for s, e in hits), len(found)) == want[:3]
-    big = [(str(k), " ".join(rng.choices(words, k=1000))) for k in range(12)]
-    tracemalloc.start()
-    D.Searcher(big)
-    assert tracemalloc.get_traced_memory()[1] < 30 * sum(len(t) for _, t in big)
+    for n in (12, 17, 160):  # 72 KB, 100 KB, 1 MB
+        big = [(str(k), " ".join(rng.choices(words, k=1000))) for k in range(n)]
+        tracemalloc.start()
+        D.Searcher(big)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 30 * sum(len(t) for _, t in big)
 
 
 def test_empty_tables(spark):
