@@ -10,38 +10,31 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .configs import Task, load_task
 from .functions.parsers import parse_all
-from .operators import graders, metrics, rows
+from .operators import graders, rows
 from .session import get_session
-from .sources import writers
+from .sources import readers, writers
 
 
 def grade_task(task: Task, generations: DataFrame) -> DataFrame:
-    """Parsed and graded rows of a task's generations."""
-    return graders.grade(generations.withColumn("parsed_generations", parse_all(task.parser, "generations")), task.grader)
+    """Parsed and graded rows of a task's generations; rows without generations are graded by what they have."""
+    if "generations" in generations.columns:
+        generations = generations.withColumn("parsed_generations", parse_all(task.parser, "generations"))
+    if (tokenizer := task.meta.get("truncate_tokenizer")) and task.grader == "ruler":
+        generations = graders.within_budgets(generations, tokenizer)
+    return graders.grade(generations, task.grader)
 
 
 def score_task(task: Task, graded: DataFrame) -> DataFrame:
-    """Overall scores, and each group's with its value before the name."""
-    out = metrics.scores(graded, task.average_over, task.pass_at)
-    for column in task.by:
-        each = metrics.scores(graded, task.average_over, task.pass_at, by=[[column]])
-        out = out.unionByName(each.select(F.concat_ws(" ", F.coalesce(F.col(column).cast("string"), F.lit("unknown")), F.col("name")).alias("name"), "value"))
-    return out
+    """The scores of the task's grader: overall, and each group's with its value before the name where the grader has flags."""
+    return graders.score(graded, task.grader, graders.Options(task.average_over, task.pass_at, task.by))
 
 
 def run(spark: SparkSession, task: Task, generations: str, grades: str, scores: str) -> None:
     """Grade what isn't graded yet, append it, and write the scores of all grades."""
-    from pyspark.errors import AnalysisException
-
-    todo = spark.read.json(generations)
-    try:
-        todo = rows.resume(todo, spark.read.json(grades).select("row"))
-    except AnalysisException:
-        pass  # no grades yet
+    todo = rows.resume(spark.read.json(generations), readers.completed_ids(spark, grades))
     writers.append_records(grade_task(task, todo), grades)
     writers.write_scores(score_task(task, spark.read.json(grades)), scores)
 

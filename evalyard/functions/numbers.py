@@ -71,27 +71,26 @@ def boxed_body(text: str) -> str | None:
 
 def stated_values(text: str | None) -> Iterator[Fraction]:
     """Values at the places that state an answer: a boxed body, the last bold span with a number, what follows the
-    last marker; only where there are none of these the end of a sentence, then the last number of all."""
+    last marker; unless there is a box or a marker also the end of a sentence, else the last number of all (a bold
+    heading with a number doesn't hide a plain answer)."""
     text = text or ""
     if (whole := whole_value(text)) is not None:
         yield whole
         return
-    some = False
+    sure = False
     if (body := boxed_body(text)) is not None:
         dollars = re.findall(rf"\$\s*({NUMBER})", body)
         for v in [Fraction(d.replace(",", "")) for d in dollars] or values_in(body):
-            some = True
             yield v
     for span in reversed(_bold.findall(text)):
         if found := values_in(span):
-            some = True
             yield found[-1]
             break
     if marks := list(_marker.finditer(text)):
         if found := values_in(text[marks[-1].end() : marks[-1].end() + MARKER_REACH]):
-            some = True
+            sure = True
             yield found[0]
-    if some or body is not None:
+    if sure or body is not None:
         return
     clean = plain(text.replace("**", ""))
     if ends := _sentence.findall(clean):

@@ -20,6 +20,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, regex(r"^\s+|\s+\z"), "")
 
 
+def rstrip(c: Column) -> Column:
+    """Trim all Unicode white space at the end."""
+    return F.regexp_replace(c, regex(r"\s+\z"), "")
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -1,8 +1,10 @@
-"""Row graders: expressions that turn generations and a truth into ``correct array<int>``.
+"""Graders by name: a row plan that judges generations and an aggregate plan that scores the judged rows.
 
-``grade(df, name)`` adds the columns of the named grader; ``unavailable`` names raise with the
-reason. Inputs that carry ``error`` get ``[0]``, and rows marked ``input_too_long`` one zero per
-generation, before any grader looks at them.
+``grade(df, name)`` adds the columns of the named grader's row plan, mostly ``correct array<int>``;
+``score(graded, name)`` gives its own scores (name, value), with its own rule for what no rows give.
+``unavailable`` names raise with the reason. Inputs that carry ``error`` get ``[0]``, and rows marked
+``input_too_long`` one zero per generation, before any grader looks at them. Packages add graders by entry
+points of the group ``GROUP``, loaded when a name isn't known here.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ import ast
 import operator
 import re
 from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cache
+from importlib.metadata import entry_points
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,37 +25,85 @@ from pyspark.sql import types as T
 from ..functions.numbers import same_answer
 from ..functions.parsers import aptbench_choice, aptbench_summary, parse_all
 from ..functions.text import digit_to_letter, found, last_found, quoted, regex, strip
-from . import judges, subtasks
+from . import choice, ifeval, judges, metrics, subtasks
 
-_GRADERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
+Rows = Callable[[DataFrame], DataFrame]
+GROUP = "evalyard.graders"
+
+
+@dataclass(frozen=True)
+class Options:
+    """What a task asks of a score: the counts of generations to average over, those of pass@k, and columns to group by."""
+
+    average_over: tuple[int, ...] = (1,)
+    pass_at: tuple[int, ...] = (1,)
+    by: tuple[str, ...] = ()
+
+
+Scores = Callable[[DataFrame, Options], DataFrame]
+
+
+def accuracy_scores(zero_is_nan: bool = False) -> Scores:
+    """The scores of ``correct`` flags; without rows or flags (``zero_is_nan``: or without a correct one) they are NaN."""
+    return lambda graded, o: metrics.named_scores(graded, o.average_over, o.pass_at, o.by, zero_is_nan)
+
+
+@dataclass(frozen=True)
+class Grader:
+    """``rows`` judges, ``scores`` aggregates what ``rows`` gave; ``flags`` says whether rows have ``correct``."""
+
+    rows: Rows
+    scores: Scores = field(default_factory=accuracy_scores)
+    flags: bool = True
+
+
+_GRADERS: dict[str, Grader] = {}
 _UNAVAILABLE: dict[str, str] = {}
 
 
-def grader(*names: str):
+def register(grader: Grader, *names: str) -> None:
+    for n in names:
+        if n in _GRADERS:
+            raise ValueError(f"grader {n!r} is already registered")
+        _UNAVAILABLE.pop(n, None)
+        _GRADERS[n] = grader
+
+
+def grader(*names: str, scores: Scores | None = None, flags: bool = True):
     def keep(f):
-        for n in names:
-            if n in _GRADERS or n in _UNAVAILABLE:
-                raise ValueError(f"grader {n!r} is already registered")
-            _GRADERS[n] = f
+        register(Grader(f, scores or accuracy_scores(), flags), *names)
         return f
 
     return keep
 
 
 def unavailable(reason: str, *names: str) -> None:
-    _UNAVAILABLE.update(dict.fromkeys(names, reason))
+    _UNAVAILABLE.update({n: reason for n in names if n not in _GRADERS})
+
+
+def load_entry_points() -> None:
+    """Register the graders that installed packages name; one that can't be loaded is unavailable, with its error."""
+    for point in entry_points(group=GROUP):
+        if point.name not in _GRADERS:
+            try:
+                register(point.load(), point.name)
+            except ImportError as e:
+                unavailable(f"{point.value} can't be imported ({e})", point.name)
 
 
 def list_graders() -> list[str]:
-    return sorted([*_GRADERS, *_UNAVAILABLE])
+    load_entry_points()
+    return sorted({*_GRADERS, *_UNAVAILABLE})
 
 
-def get_grader(name: str) -> Callable[[DataFrame], DataFrame]:
+def get_grader(name: str) -> Grader:
+    if name not in _GRADERS:
+        load_entry_points()
+    if name in _GRADERS:
+        return _GRADERS[name]
     if name in _UNAVAILABLE:
         raise RuntimeError(f"grader {name!r} is unavailable: {_UNAVAILABLE[name]}")
-    if name not in _GRADERS:
-        raise KeyError(f"unknown grader {name!r}; known: {', '.join(list_graders())}")
-    return _GRADERS[name]
+    raise KeyError(f"unknown grader {name!r}; known: {', '.join(list_graders())}")
 
 
 def answers() -> Column:
@@ -65,7 +118,10 @@ def with_answers(df: DataFrame) -> DataFrame:
 
 
 def grade(df: DataFrame, name: str) -> DataFrame:
-    out = get_grader(name)(with_answers(df))
+    found = get_grader(name)
+    out = found.rows(with_answers(df) if "generations" in df.columns else df)
+    if not found.flags:
+        return out
     special = F.lit(None).cast("array<int>")
     if "input_too_long" in df.columns:
         special = F.when(F.col("input_too_long"), F.transform("generations", lambda g: F.lit(0)))
@@ -74,6 +130,11 @@ def grade(df: DataFrame, name: str) -> DataFrame:
     return out.withColumn("correct", F.coalesce(special, "correct"))
 
 
+def score(graded: DataFrame, name: str, options: Options = Options()) -> DataFrame:
+    """name and value of each of a grader's scores over rows that ``grade`` gave."""
+    return get_grader(name).scores(graded, options).select("name", F.col("value").cast("double").alias("value"))
+
+
 def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False)).cast("int")
 
@@ -198,7 +259,7 @@ def math_judged(df: DataFrame) -> DataFrame:
     return out.withColumn("correct", F.zip_with("correct", "judge_replies", lambda c, r: F.greatest(c, _flag(judge_verdict(r)))))
 
 
-@grader("humaneval", "humaneval-plus-daytona", "mbpp-daytona", "lcbv6-daytona", "mbpp-local", "mbpp_local")
+@grader("humaneval", "humaneval-plus-daytona", "mbpp-daytona", "lcbv6-daytona", "mbpp-local", "mbpp_local", scores=accuracy_scores(zero_is_nan=True))
 def code_runs(df: DataFrame) -> DataFrame:
     """Runs made elsewhere against the row's tests: ``runs`` (for each generation an array of stdout, exit_code, timeout) and ``tests`` (output, testtype)."""
     if "runs" not in df.columns:
@@ -220,10 +281,40 @@ RULER_EACH = ("niah_multivalue", "niah_multiquery", "ruler_fwe", "ruler_cwe")
 RULER_ANY = ("ruler_qa_squad", "ruler_qa_hotpot")
 
 
-@grader("ruler")
+#: Tokens of a generation that each retrieval task looks at; tasks without an entry see all of it.
+RULER_TOKENS = dict.fromkeys((*RULER_SINGLE, "niah_multiquery", "niah_multivalue"), 128) | {"ruler_cwe": 120, "ruler_fwe": 50, "ruler_vt": 30}
+
+
+def within_budgets(df: DataFrame, tokenizer: str, task: str = "ruler_task") -> DataFrame:
+    """``answers`` cut to the tokens that each row's task allows, by the vocabulary file ``tokenizer``, which every executor must see."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, budget: pd.Series) -> pd.Series:
+        coder = _tokenizer(tokenizer)
+        cut = lambda t, n: t if not t or pd.isna(n) else coder.decode(coder.encode(t, add_special_tokens=False).ids[: int(n)], skip_special_tokens=True)
+        return pd.Series([[cut(t, n) for t in ts] for ts, n in zip(texts, budget)], dtype=object)
+
+    budgets = F.create_map(*[F.lit(x) for pair in RULER_TOKENS.items() for x in pair])
+    return with_answers(df).withColumn("answers", run("answers", F.try_element_at(budgets, F.col(task))))
+
+
+@cache
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _ruler_scores(graded: DataFrame, options: Options) -> DataFrame:
+    return accuracy_scores()(graded, options).unionByName(metrics.flag_ratio(graded.where("ruler_task is not null"), "ruler_task"))
+
+
+@grader("ruler", scores=_ruler_scores)
 def ruler(df: DataFrame) -> DataFrame:
-    """Retrieval tasks: one whole-word flag, one flag for any value, or a flag for each expected value."""
+    """Retrieval tasks: one whole-word flag, one flag for any value, or a flag for each expected value. ``ground_truth`` is a text or a list."""
     want, task = F.col("ground_truth"), F.col("ruler_task")
+    if df.schema["ground_truth"].dataType.typeName() != "array":
+        want = F.array(want)
 
     def flags(g: Column) -> Column:
         g = F.coalesce(g, F.lit(""))
@@ -327,11 +418,32 @@ def countdown(df: DataFrame) -> DataFrame:
     return df.withColumn("correct", _countdown("answers", "ground_truth.target", "ground_truth.numbers"))
 
 
-@grader("aptbench")
+# The benchmark's domains and categories by how a subtask's name begins; the first that fits counts.
+APT_CLASSES = (("env_setup/", "SWE", "EnvSetup"), ("issue_fix/", "SWE", "IssueFix"), ("deepresearch/openend_", "DR", "Open-ended"), ("deepresearch/", "DR", "Closed-ended"))
+APT_OVERLAP = ("deepresearch/summ_ans_en", "deepresearch/summ_ans_zh")
+
+
+def apt_class(difficulty: Column) -> Column:
+    """Struct of domain and category of a subtask, ``unknown`` for another name."""
+    pick = lambda k: F.coalesce(*[F.when(F.startswith(difficulty, F.lit(c[0])), F.lit(c[k])) for c in APT_CLASSES], F.lit("unknown"))
+    return F.struct(pick(1).alias("domain"), pick(2).alias("category"))
+
+
+def _apt_scores(graded: DataFrame, options: Options) -> DataFrame:
+    """Accuracies over all rows, domains, categories and subtasks in one pass, and word overlap of the summaries."""
+    name = F.coalesce("difficulty", F.lit("unknown"))
+    rows = graded.withColumns({"difficulty": name, "domain": apt_class(name)["domain"], "category": apt_class(name)["category"]})
+    every = metrics.named_scores(rows, options.average_over, options.pass_at, ["domain", "category", "difficulty", *options.by], overall="overall")
+    return every.where(~F.contains("name", F.lit("bootstrap_std"))).unionByName(metrics.unigram_overlap(rows.where(F.col("difficulty").isin(*APT_OVERLAP))))
+
+
+@grader("aptbench", scores=_apt_scores)
 def aptbench(df: DataFrame) -> DataFrame:
-    """Equality of the extracted answer with the truth's text; ``extractor`` names the extraction."""
-    pick = lambda g: F.when(F.col("extractor") == "extract_answer_summ_ans", aptbench_summary(g)).otherwise(aptbench_choice(g))
-    return df.withColumn("picked", F.transform("answers", pick)).withColumn("correct", F.transform("picked", lambda p: _flag(p == F.col("ground_truth").cast("string"))))
+    """Equality of the extracted answer with the truth's text; ``extractor`` names the extraction. Only parsed answers count where they are given."""
+    said = F.col("parsed_generations") if "parsed_generations" in df.columns else F.col("answers")
+    summary = F.col("extractor") == "extract_answer_summ_ans" if "extractor" in df.columns else F.lit(False)
+    pick = lambda g: F.when(summary, aptbench_summary(g)).otherwise(aptbench_choice(g))
+    return df.withColumn("picked", F.transform(said, pick)).withColumn("correct", F.transform("picked", lambda p: _flag(p == F.col("ground_truth").cast("string"))))
 
 
 @grader("bbh")
@@ -356,3 +468,29 @@ def deterministic_incorrect(answer: Column, unclosed: Column, from_reasoning: Co
 
 
 unavailable("needs a symbolic algebra package", "sympy-llm-as-judge", "sympy_llm_as_judge")
+
+
+@grader("ifeval", "if_eval", scores=lambda graded, o: ifeval.accuracy_scores(graded), flags=False)
+def instructions(df: DataFrame) -> DataFrame:
+    """Flags of each instruction of a row's first answer, strict and loose; rows with an ``error`` or too long an input follow nothing."""
+    said = F.try_element_at("answers", F.lit(1)) if "answers" in df.columns else F.col("response")
+    for lost in ({"error"} & set(df.columns)):
+        said = F.when(F.col(lost).isNull(), said)
+    for lost in ({"input_too_long"} & set(df.columns)):
+        said = F.when(~F.coalesce(lost, F.lit(False)), said)
+    if "instruction_ids" not in df.columns and "instruction_id_list" in df.columns:
+        df = df.withColumnRenamed("instruction_id_list", "instruction_ids")
+    kind = df.schema["kwargs"].dataType
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.MapType):  # as JSON readers give them
+        df = df.withColumn("kwargs", F.transform("kwargs", lambda k: F.from_json(F.to_json(k), "map<string,string>")))
+    return ifeval.grade(df.withColumn("_said", said), "_said").drop("_said")
+
+
+@grader("choice_scoring", "multiple_choice_nll", scores=lambda graded, o: choice.choice_scores(graded), flags=False)
+def choices(df: DataFrame) -> DataFrame:
+    """Picks and values of each row's choices, from likelihoods that are there or from raw responses (see ``choice.from_responses``)."""
+    if "choice_nll" not in df.columns:
+        df = choice.from_responses(df)
+    if "choice_group" not in df.columns:
+        df = df.withColumn("choice_group", F.lit(None).cast("string"))
+    return choice.choice_metrics(df)

@@ -271,12 +271,12 @@ def grade(df: DataFrame, response: str = "response") -> DataFrame:
 
 
 def accuracy_scores(graded: DataFrame) -> DataFrame:
-    """strict and loose × prompt and instruction accuracy over decided flags; a prompt that an undecided flag leaves open isn't counted."""
+    """strict and loose × prompt and instruction accuracy over decided flags, NaN without any; a prompt that an undecided flag leaves open isn't counted."""
     aggs = []
     for m in ("strict", "loose"):
-        aggs.append(F.avg(F.forall(m, lambda x: x).cast("double")).alias(f"{m}_prompt_accuracy"))
-        aggs.append((F.sum(F.size(F.filter(m, lambda x: x))) / F.sum(F.size(F.filter(m, lambda x: x.isNotNull())))).alias(f"{m}_instruction_accuracy"))
-    wide = graded.agg(*aggs)
+        aggs.append(F.avg(F.forall(m, lambda x: x).cast("double")))
+        aggs.append(F.try_divide(F.sum(F.size(F.filter(m, lambda x: x))), F.sum(F.size(F.filter(m, lambda x: x.isNotNull())))))
+    wide = graded.agg(*[F.coalesce(a, F.lit(float("nan"))).alias(f"{m}_{k}_accuracy") for a, (m, k) in zip(aggs, ((m, k) for m in ("strict", "loose") for k in ("prompt", "instruction")))])
     return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in wide.columns])))
 
 

@@ -76,6 +76,18 @@ def scores(df: DataFrame, average_over: Sequence[int] = (1,), pass_k: Sequence[i
     return wide.select(*columns, pairs.alias("s")).select(*columns, "s.name", "s.value")
 
 
+def named_scores(df: DataFrame, average_over: Sequence[int] = (1,), pass_k: Sequence[int] = (1,), by: Sequence[str] = (), zero_is_nan: bool = False, overall: str = "") -> DataFrame:
+    """name and value of the scores over all rows and of each value of each column of ``by``, in one pass over the rows.
+
+    A group's name goes before its scores' (null: ``unknown``), ``overall`` before those of all rows.
+    """
+    keys = [f"_by{i}" for i in range(len(by))]
+    df = df.withColumns({k: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for k, c in zip(keys, by)})  # null now says: not grouped
+    found = scores(df, average_over, pass_k, [[], *([k] for k in keys)], zero_is_nan)
+    label = F.coalesce(*map(F.col, keys), F.lit(overall)) if keys else F.lit(overall)
+    return found.select(F.when(label != "", F.concat(label, F.lit(" "), "name")).otherwise(F.col("name")).alias("name"), "value")
+
+
 def macro_micro(df: DataFrame, values: Sequence[str], group: str) -> DataFrame:
     """Micro averages over rows and macro averages over the means of non-null groups; names stay bare without groups."""
     per = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(v).alias(v) for v in values], *[F.sum(v).alias(f"_{v}") for v in values])

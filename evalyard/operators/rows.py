@@ -174,7 +174,16 @@ def by_prompt(rows: DataFrame, responses: DataFrame, version: str) -> DataFrame:
     return rows.join(last, "prompt")
 
 
-def failure_class(status: Column) -> Column:
-    """Error code and whether a retry can help, from an HTTP status."""
-    code = F.when(status == 429, "rate_limited").when(status.isin(401, 403), "auth").when(status == 408, "timeout").when(status >= 500, "server_error").when(status >= 400, "bad_request").otherwise("network")
-    return F.struct(code.alias("error_code"), (status.isNull() | status.isin(408, 409, 425, 429) | (status >= 500)).alias("retriable"))
+def failure_class(status: Column, kind: Column | None = None) -> Column:
+    """Error code and whether a retry can help, from an HTTP status (null: none) and perhaps a ``kind``, ``malformed`` or ``timeout``, which goes first."""
+    kind = F.lit(None).cast("string") if kind is None else kind
+    code = (
+        F.when(kind == "malformed", "malformed_response")
+        .when(kind == "timeout", "request_timeout")
+        .when(status == 429, "rate_limited")
+        .when(status == 408, "request_timeout")
+        .when(status.between(500, 599), "backend_5xx")
+        .when(status.between(400, 499), "backend_4xx")
+        .otherwise("endpoint_unreachable")
+    )
+    return F.struct(code.alias("error_code"), (code != "backend_4xx").alias("retriable"))

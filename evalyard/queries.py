@@ -7,6 +7,7 @@ that both engines share; each SQL states the expected result independently where
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,24 +190,27 @@ def puzzles(spark, sf):
 _NOT_WORD = r"[^\p{L}\p{M}\p{N}_]"
 
 
-@query(
-    "ruler",
-    rf"""with b as (select item_id, list_filter(regexp_extract_all(text, '[a-z]+'), lambda w: len(w) > 3)[1:3] as want from benchmark),
+_RULER = rf"""b as (select item_id, list_filter(regexp_extract_all(text, '[a-z]+'), lambda w: len(w) > 3)[1:3] as want from benchmark),
 d as (select doc_id, lower(coalesce(text, '')) as t, ['niah_single_1', 'niah_multivalue', 'ruler_qa_squad'][cast(doc_id % 3 + 1 as int)] as task, want
       from documents join b on item_id = doc_id % (select max(item_id) + 1 from benchmark) where len(want) = 3),
 f as (select task, case task when 'niah_single_1' then [cast(regexp_matches(t, '(^|{_NOT_WORD})' || want[1] || '({_NOT_WORD}|$)') as int)]
    when 'niah_multivalue' then list_transform(want, lambda v: cast(contains(t, v) as int))
-   else [cast(len(list_filter(want, lambda v: contains(t, v))) > 0 as int)] end as flags from d)
-select 'accuracy/' || task as name, round(sum(list_sum(flags)) / sum(len(flags)), 6) as value from f group by task""",
-)
-def ruler(spark, sf):
+   else [cast(len(list_filter(want, lambda v: contains(t, v))) > 0 as int)] end as flags from d)"""
+_RULER_SELECT = "select 'accuracy/' || task as name, round(sum(list_sum(flags)) / sum(len(flags)), 6) as value from f group by task"
+
+
+def ruler_rows(spark, sf):
     words = F.slice(F.filter(F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0)), lambda w: F.length(w) > 3), 1, 3)
     want = table(spark, sf, "benchmark").select("item_id", words.alias("ground_truth")).where(F.size("ground_truth") == 3)
     task = F.element_at(F.array(*map(F.lit, ("niah_single_1", "niah_multivalue", "ruler_qa_squad"))), (F.col("doc_id") % 3 + 1).cast("int"))
     items = table(spark, sf, "benchmark").agg(F.max("item_id") + 1).first()[0]
     docs = table(spark, sf, "documents").select("doc_id", F.array("text").alias("generations"), task.alias("ruler_task"), (F.col("doc_id") % items).alias("item_id"))
-    graded = graders.grade(docs.join(want, "item_id"), "ruler")
-    return metrics.flag_ratio(graded, "ruler_task").withColumn("value", rounded("value"))
+    return graders.grade(docs.join(want, "item_id"), "ruler")
+
+
+@query("ruler", f"with {_RULER} {_RULER_SELECT}")
+def ruler(spark, sf):
+    return metrics.flag_ratio(ruler_rows(spark, sf), "ruler_task").withColumn("value", rounded("value"))
 
 
 @query("aptbench", """select c_custkey, case c_custkey % 5 when 0 then 1 when 1 then 0 when 2 then 1 when 3 then 0 else 1 end as result from customer""")
@@ -233,11 +237,10 @@ select 'micro_avg/' || metric as name, round(avg(x), 6) as value from w group by
 """
 
 
-@query("choice_scoring", _CHOICE_SQL)
-def choice_scoring(spark, sf):
+def choice_rows(spark, sf):
     k = F.col("p_partkey")
     each = lambda f: F.array(*[f(j) for j in range(4)])
-    df = table(spark, sf, "part").select(
+    return table(spark, sf, "part").select(
         each(lambda j: ((k * 37 + j * 101) % 211 + 1) / 10.0).alias("choice_nll"),
         each(lambda j: F.lit((j + 1) / 2.0)).alias("choice_nll_completion"),
         each(lambda j: F.lit(j + 2)).alias("n_tokens"),
@@ -245,7 +248,73 @@ def choice_scoring(spark, sf):
         (k % 4).cast("int").alias("truth_index"),
         F.when(F.col("p_size") % 10 != 0, F.col("p_brand")).alias("choice_group"),
     )
-    return choice.choice_scores(choice.choice_metrics(df)).withColumn("value", rounded("value"))
+
+
+@query("choice_scoring", _CHOICE_SQL)
+def choice_scoring(spark, sf):
+    return choice.choice_scores(choice.choice_metrics(choice_rows(spark, sf))).withColumn("value", rounded("value"))
+
+
+@query(
+    "scores_of_tasks",
+    f"""with {_MC}, {_RULER},
+x as (select *, list_sum(flags) / len(flags) as share from f),
+s as (select avg(ok / 4.0) as a, stddev_samp(ok / 4.0) * sqrt((1 - floor(count(*) / 2) / count(*)) / floor(count(*) / 2)) as d, avg(1 - greatest(4 - ok, 0) / 4.0 * greatest(4 - ok - 1, 0) / 3.0) as p from r),
+c as (select * from ({_CHOICE_SQL}))
+select 'letters' as task, 'accuracy (avg over 4)' as name, round(a, 6) as value from s union all select 'letters', 'bootstrap_std (avg over 4)', round(d, 6) from s union all select 'letters', 'accuracy (pass@2)', round(p, 6) from s
+union all select 'retrieval', 'accuracy (avg over 1)', round(avg(flags[1]), 6) from x union all select 'retrieval', 'accuracy (pass@1)', round(avg(share), 6) from x
+union all select 'retrieval', name, value from ({_RULER_SELECT})
+union all select 'choices', name, value from c""",
+)
+def scores_of_tasks(spark, sf):
+    """Three tasks of different graders, each scored by its own grader's aggregate, in one plan."""
+    tasks = [
+        ("letters", "multiple-choice", graders.grade(gen_mc(spark, sf), "multiple-choice"), graders.Options((4,), (2,))),
+        ("retrieval", "ruler", ruler_rows(spark, sf), graders.Options()),
+        ("choices", "choice_scoring", graders.grade(choice_rows(spark, sf), "choice_scoring"), graders.Options()),
+    ]
+    every = [graders.score(graded, name, options).select(F.lit(task).alias("task"), "name", rounded("value").alias("value")) for task, name, graded, options in tasks]
+    return reduce(DataFrame.unionByName, every)
+
+
+_RESPONSES_SQL = """
+with c as (select p_partkey as k, p_brand, p_partkey % 2 = 0 as offs, unnest(range(0, 3)) as j from part),
+v as (select k, j, offs, ((k * 31 + j * 57) % 160 + 1) / 16.0 as a, ((k + j) % 8 + 1) / 16.0 as b, 1.0 + j / 4.0 as alone from c),
+p as (select k, case when k % 11 = 0 then 'the indices aren''t those of the choices' when k % 11 = 1 and not offs then 'the count of generated tokens doesn''t fit the texts' when k % 11 = 2 then 'a log-probability is missing or isn''t finite' when k % 11 = 3 then 'no responses' end as problem from (select distinct k, offs from c))
+select k as p_partkey, any_value(problem) as problem,
+  case when any_value(problem) is null then string_agg(cast(cast((a + b) * 16 as int) as varchar), ',' order by j) end as sixteenths,
+  case when any_value(problem) is null then cast(arg_min(j, (a + b, j)) as int) end as picked,
+  case when any_value(problem) is null then cast(arg_min(j, (a + b - alone, j)) as int) end as picked_compl
+from v join p using (k) group by k
+"""
+
+
+def choice_responses_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Graded rows of three choices from raw responses, a record a choice: with offsets for even keys, counts of tokens for odd ones; some can't be used."""
+    k, j = F.col("p_partkey"), F.col("j")
+    even = k % 2 == 0
+    base = table(spark, sf, "part").select("p_partkey", F.concat("p_brand", F.lit(" \n")).alias("scoring_prompt_prefix"), F.array(*map(F.lit, ("a", "bb", "ccc"))).alias("scoring_completions"), F.when(~even, F.array(F.lit(2), F.lit(2), F.lit(2))).alias("scoring_completion_n_tokens"), (k % 3).cast("int").alias("ground_truth_index"))
+    base = base.withColumn("_p", choice.scoring_prompts(F.col("scoring_completions"), F.col("scoring_prompt_prefix"))).withColumns({"prompts": F.col("_p.prompts"), "alone": F.col("_p.alone")}).drop("_p")
+    each = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    a, b = ((k * 31 + j * 57) % 160 + 1) / 16.0, ((k + j) % 8 + 1) / 16.0
+    start, end = F.length(F.get("prompts", j)) - 2 - j, F.length(F.get("prompts", j))
+    full = each.select(
+        "p_partkey",
+        F.when((k % 11 == 0) & (j == 1), 0).otherwise(j).alias("index"),
+        F.concat(F.get("prompts", j), F.lit("!")).alias("text"),
+        F.array(F.lit(None).cast("double"), F.when((k % 11 != 2) | (j != 2), -a), -b, F.lit(-9.0)).alias("token_logprobs"),
+        F.when(even, F.array(F.lit(0), start, start + 1, end)).alias("text_offset"),
+        F.when(k % 11 == 1, 2).otherwise(3).alias("completion_tokens"),
+    )
+    alone = each.select("p_partkey", j.alias("index"), F.get("alone", j).alias("text"), F.array(F.lit(None).cast("double"), F.lit(-0.5), -0.5 - j / 4.0).alias("token_logprobs"), F.when(even, F.array(F.lit(0), F.lit(7), F.lit(8))).alias("text_offset"), F.lit(0).alias("completion_tokens"))
+    rows_ = choice.with_responses(base, full.where(k % 11 != 3), "p_partkey", choice.FULL, "prompts")
+    return graders.grade(choice.with_responses(rows_, alone, "p_partkey", choice.ALONE, "alone"), "choice_scoring")
+
+
+@query("choice_responses", _RESPONSES_SQL)
+def choice_responses(spark, sf):
+    sixteenths = F.array_join(F.transform("choice_nll", lambda x: (x * 16).cast("int").cast("string")), ",")
+    return choice_responses_rows(spark, sf).select("p_partkey", F.col("choice_problem").alias("problem"), F.when(F.col("choice_problem").isNull(), sixteenths).alias("sixteenths"), "picked", "picked_compl")
 
 
 # --- instruction following ------------------------------------------------------------------
@@ -392,11 +461,11 @@ def dataset_choice(spark, sf):
 
 @query(
     "failure_classes",
-    """select c_custkey, case when s = 429 then 'rate_limited' when s in (401, 403) then 'auth' when s = 408 then 'timeout' when s >= 500 then 'server_error' when s >= 400 then 'bad_request' else 'network' end as error_code,
-  s in (408, 409, 425, 429) or s >= 500 as retriable from (select c_custkey, 395 + c_custkey % 120 as s from customer)""",
+    """select c_custkey, case when k = 1 then 'malformed_response' when k = 2 or s = 408 then 'request_timeout' when s = 429 then 'rate_limited' when s // 100 = 5 then 'backend_5xx' when s // 100 = 4 then 'backend_4xx' else 'endpoint_unreachable' end as error_code,
+  k in (1, 2) or s in (408, 429) or s // 100 <> 4 as retriable from (select c_custkey, 395 + c_custkey % 220 as s, c_custkey % 7 as k from customer)""",
 )
 def failure_classes(spark, sf):
-    df = table(spark, sf, "customer").select("c_custkey", rows.failure_class(395 + F.col("c_custkey") % 120).alias("f"))
+    df = table(spark, sf, "customer").select("c_custkey", rows.failure_class(395 + F.col("c_custkey") % 220, F.get(F.array(F.lit(None), F.lit("malformed"), F.lit("timeout")), (F.col("c_custkey") % 7).cast("int"))).alias("f"))
     return df.select("c_custkey", "f.error_code", "f.retriable")
 
 

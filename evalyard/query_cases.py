@@ -139,6 +139,7 @@ MATH_CASES = [
     (r"\boxed{\left( 3, \frac{\pi}{2} \right)}", r"(3, \frac{\pi}{2})", 1), ("[2,5)", "[2,5)", 1), ("1200", "2220", 0), ("#### 42", "42", 1), ("Answer: 7 apples, not 9", "7", 1), ("the answer is 5. Check: 5 + 6 = 11", "11", 0),
     ("0.3333333333333333", "1/3", 1), ("0.33", "1/3", 0), (r"\boxed{-\frac12}", "-0.5", 1), ("The total is 12 dollars.", "12", 1), ("First 3, then 4, last 5", "5", 1), ("First 3, then 4, last 5", "4", 0), ("-7", "7", 0), ("no number", "5", 0), ("", "5", 0), (None, "5", 0), (r"\sqrt{51}", r"\sqrt{51}", 1), (r"\boxed{50\%}", "50", 1),
     ("1/0", "5", 0), (r"so \boxed{1}", "1.0", 1),
+    ("**Step 2:** Simplify.\nThe total is 7.", "7", 1), ("**Step 1:** add 3 and 4.\n**Step 2:** check.\nSo x = 7", "7", 1), ("**Step 2:** Simplify.\nThe total is 7.", "9", 0), (r"**Step 2:** so \boxed{7} units, 8 left", "8", 0),
 ]
 cases("grade_math", MATH_CASES, lambda df: first_flag("math-verify")(as_generation(df)), ["g", "ground_truth"], "int")
 
@@ -297,15 +298,24 @@ cases("job_names", [("m-1--7", "m-1 7"), ("a--b--c", "a--b c"), ("plain", ""), (
 cases("clean_texts", [("  a ", "a"), ("\u00a0", None), ("", None), (None, None), ("a\n", "a")], _part(rows.clean_text), ["t"])
 cases("long_durations", [("1-02:03:04", 93784), ("00:00:10", 10), ("100:00:00", 360000), ("1:2:3", None), ("x", None), ("", None), (None, None)], _part(rows.duration_seconds), ["t"], "bigint")
 
-_TRUTHS = [(None, "B", 1), (0, "B", 0), (None, "1", 1), (None, " y", 1), (1, None, 1), (None, "A", 0), (None, "0", 0), (None, " x", 0)]
-cases("truth_indexes", [(None if i is None else i, t, w) for i, t, w in _TRUTHS], lambda df: df.withColumn("result", choice.truth_index(F.col("i").cast("int"), F.col("t"), F.array(F.lit("A"), F.lit("B")), F.array(F.lit(" x"), F.lit(" y")))), ["i", "t"], "int")
+# A text of digits is matched like other text: it names a label or a completion, never an index.
+_TRUTHS = [(None, "B", "AB", 1), (0, "B", "AB", 0), (None, "1", "12", 0), (None, "2", "12", 1), (None, " y", "AB", 1), (None, "y", "AB", 1), (None, "x ", "AB", 0), (1, None, "AB", 1), (None, "A", "AB", 0), (None, " B\n", "AB", 1), (None, "y", "y?", 0)]
+cases("truth_indexes", _TRUTHS, lambda df: df.withColumn("result", choice.truth_index(F.col("i").cast("int"), F.array("t"), F.split("l", ""), F.array(F.lit(" x"), F.lit(" y")))), ["i", "t", "l"], "int")
+cases("truth_candidates", [("z,B,A", 1), ("A", 0), ("q,x", 0), ("y,A", 1)], lambda df: df.withColumn("result", choice.truth_index(F.lit(None).cast("int"), F.split("t", ","), F.array(F.lit("A"), F.lit("B")), F.array(F.lit(" x"), F.lit(" y")))), ["t"], "int")
 
 cases("token_counts", [('["2", "2.0"]', "2,2"), ("[1, 3.0]", "1,3"), ("[10, 7]", "10,7")], lambda df: df.withColumn("result", F.array_join(choice.token_counts(F.from_json("t", "array<string>"), F.lit(2)).cast("array<string>"), ",")), ["t"])
 cases("suffix_starts", [("Q: Answer: A", "A", 10), ("Q: AnswerA", "A", 9), ("Q: B", "A", 99), ("A", "A", 0), ("Q  A", " A", 1), ("", "A", 99)], lambda df: df.withColumn("result", choice.suffix_start(F.col("p"), F.col("c"), F.lit(99))), ["p", "c"], "int")
 cases("counted_suffixes", [(2, 0, -3.0), (1, 1, -1.0), (3, 0, -3.5), (2, 1, -1.5), (0, 0, 0.0)], lambda df: df.withColumn("result", choice.counted_suffix_logprob(F.array(*map(F.lit, (-0.5, -1.0, -2.0))), F.col("n"), F.col("tail"))), ["n", "tail"], "double")
 cases("offset_suffixes", [(0, 9, -1.75), (7, 9, -0.25), (6, 7, -0.5), (3, 7, -1.5)], lambda df: df.withColumn("result", choice.suffix_logprob(F.array(*map(F.lit, (0, 6, 7))), F.array(*map(F.lit, (-1.0, -0.5, -0.25))), F.col("a"), F.col("b"))), ["a", "b"], "double")
 cases("choice_rows", [("choice_scoring", "p", "x", True), ("choice_scoring", None, None, False), ("choice_scoring", None, "x", True), ("chat", "p", "x", False), (None, "p", "x", False)], lambda df: df.withColumn("scoring_completions", F.array(F.lit("A"))).withColumn("result", choice.is_choice_row(df.withColumn("scoring_completions", F.lit(1)))), ["scoring_mode", "scoring_prompt_prefix", "completion_input"], "boolean")
-cases("scoring_prompts", [("Answer: ", "A", "Answer: A"), ("x\n", " B", "x B"), ("", "C", " C")], lambda df: df.withColumn("result", F.element_at(choice.prompts(F.col("p"), F.array("c")), 1)), ["p", "c"])
+cases("scoring_prompts", [("Answer: ", "A", "Answer: A"), ("x\n", " B", "x  B"), ("", "C", " C"), ("x ", "C ", "x C "), (" x", "\tD", " x \tD")], lambda df: df.withColumn("result", F.element_at(choice.prompts(F.col("p"), F.array("c")), 1)), ["p", "c"])
+cases(
+    "choice_prompts",
+    [("p ", None, None, "p a|p  b|Answer: a|Answer:  b"), ("p", "q \nr", "So: ", "q a|r  b|So: a|So:  b"), (None, "q\nr\n", None, "q a|r  b|Answer: a|Answer:  b")],
+    lambda df: df.withColumn("s", choice.scoring_prompts(F.array(F.lit("a"), F.lit(" b")), F.col("p"), F.when(F.col("ps").isNotNull(), F.split(F.regexp_replace("ps", "\n$", ""), "\n")), F.col("cp"))).withColumn("result", F.array_join(F.concat("s.prompts", "s.alone"), "|")),
+    ["p", "ps", "cp"],
+)
+cases("choice_rows_plain", [("choice_scoring", "x", True), ("choice_scoring", None, False), ("chat", "x", False), (None, "x", False)], lambda df: (lambda one: one.withColumn("result", choice.is_choice_row(one)))(df.withColumn("scoring_completions", F.array(F.lit("A")))), ["scoring_mode", "completion_input"], "boolean")
 cases("prompt_prefixes", [("q", "p", "p\n\nq"), ("q", "", "q"), ("q", None, "q"), ("", "p", "p\n\n")], lambda df: df.withColumn("result", rows.prefixed(F.col("q"), F.col("p"))), ["q", "p"])
 _kv = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 cases("split_parameters", [('{"temperature": "1", "top_k": "5"}', "temperature=1|top_k=5"), ('{"min_p": "0"}', "|min_p=0"), ('{"seed": "1", "n": "2"}', "n=2,seed=1|"), ("{}", "|")], _part(lambda t: F.concat_ws("|", _kv(rows.split_parameters(F.from_json(t, "map<string,string>"))["standard"]), _kv(rows.split_parameters(F.from_json(t, "map<string,string>"))["extra"]))), ["t"])

@@ -13,13 +13,24 @@ from ..operators.rows import row_numbers
 def ordered_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """value of each non-blank line with its order: file, block (start of the split in the file) and nth (within one task).
 
-    Files are read in splits, so no task or string holds a whole file.
+    Files are read in splits, so no task or string holds a whole file. Unreadable files are passed over; without
+    any file there are no lines.
     """
-    lines = spark.read.text(path, recursiveFileLookup=recursive)
+    paths = path if recursive else sorted(set.difference(*map(set, unreadable_files(spark, path))))
+    if not paths:
+        return spark.createDataFrame([], "file string, block bigint, nth bigint, value string")
+    lines = spark.read.text(paths, recursiveFileLookup=recursive)
     lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), "value")
     return lines.where(F.length(strip(F.col("value"))) > 0)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path``, which may be a pattern, matches anything."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
 def unreadable_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """(all files that ``path`` matches, those of them that may not be read), sorted; only names reach the driver."""
     jvm = spark.sparkContext._jvm
@@ -89,7 +100,9 @@ def repair(spark: SparkSession, path: str, schema: T.StructType, out: str) -> in
 
 
 def completed_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct row ids of a results file, by the first ``"row": n`` of each line, without parsing JSON."""
+    """Distinct row ids of a results file, by the first ``"row": n`` of each line, without parsing JSON; none where there is no file yet."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "row bigint")
     p = r'"row"\s*:\s*(\d+)'
     return spark.read.text(path).where(F.col("value").rlike(p)).select(F.regexp_extract("value", p, 1).cast("bigint").alias("row")).distinct()
 

@@ -107,10 +107,11 @@ def test_code_runs_and_reasons():
 def test_choice_pieces(spark):
     one = spark.range(1)
     assert one.select(choice.labels(F.lit(3))).first()[0] == ["A", "B", "C"]
-    at = lambda i, t: one.select(choice.truth_index(F.lit(i), F.lit(t), F.array(F.lit("A"), F.lit("B")), F.array(F.lit(" x"), F.lit(" y")))).first()[0]
-    assert at(None, "B") == 1 and at(0, "B") == 0 and at(None, "1") == 1 and at(None, " y") == 1
-    with pytest.raises(Exception, match="no choice"):
-        at(None, "C")
+    at = lambda i, t: one.select(choice.truth_index(F.lit(i), F.array(F.lit(t)), F.array(F.lit("A"), F.lit("B")), F.array(F.lit(" x"), F.lit(" y")))).first()[0]
+    assert at(None, "B") == 1 and at(0, "B") == 0 and at(None, "y") == 1 and at(None, " y") == 1
+    for other in ("C", "1", "0"):  # digits as text are no index
+        with pytest.raises(Exception, match="no choice"):
+            at(None, other)
     df = frame(spark, [([0, 6, 7], [None, -0.5, -0.125])], "o array<int>, p array<double>")
     got = df.select(choice.suffix_logprob(F.col("o"), F.col("p"), F.lit(7), F.lit(9))).first()[0]
     assert got == -0.125

@@ -101,3 +101,13 @@ def test_phase_machine(spark, tmp_path):
     stream = pipeline.phases(pipeline.watch(spark, f"{tmp_path}/in", "event string, seq int, to int"))
     pipeline.run_available(stream, lambda df, _: got.update({r.event: (r.phase, r.moves) for r in df.collect()}), f"{tmp_path}/ck")
     assert got == {"e": (2, 2), "f": (-1, 1), "g": (1, 1)}
+
+
+def test_files_that_are_missing_or_closed(spark, tmp_path, monkeypatch):
+    assert readers.completed_ids(spark, str(tmp_path / "none.jsonl")).count() == 0 and not readers.exists(spark, f"{tmp_path}/*.jsonl")
+    assert readers.read_prefix(spark, f"{tmp_path}/*.jsonl", SCHEMA).count() == 0
+    for name in "ab":
+        (tmp_path / f"{name}.jsonl").write_text('{"row": 1, "text": "%s"}\n' % name)
+    found = readers.unreadable_files
+    monkeypatch.setattr(readers, "unreadable_files", lambda s, p: (found(s, p)[0], [n for n in found(s, p)[0] if n.endswith("a.jsonl")]))
+    assert [r.row_index for r in readers.read_prefix(spark, f"{tmp_path}/*.jsonl", SCHEMA).collect()] == [0]
