@@ -8,36 +8,50 @@ Jaccard similarity of their sets is 0.8 or more. The result names each document'
    linked sets share at least ``l`` of them. ``l`` grows with the set, so a document must share
    as many as the smallest set that it can link to asks for. Most documents end here, after
    moving a quarter of their shingles.
-3. Survivors' shingles are ordered rare first, by document frequency. Shingles of one document
-   come before all others and match nothing, so only the rest of the prefix is indexed.
-4. Candidates must share an indexed prefix shingle and pass the length and positional filters.
-   First each posting list is compared with one hub, its document with the fewest shingles of
-   its own; then, with the components known so far, the pairs of a list that lie in different
-   components are. A large group of near copies thus costs as many pairs as it has members,
-   and no link between components is lost.
-5. Each candidate pair is verified once: suffix filter, then the exact intersection.
+3. Shingles that occur in exactly the same documents are one token with a weight, so a shared line or
+   passage is one token. Tokens are ordered rare first, by document frequency; shingles of one document
+   come before all others and match nothing.
+4. Length and positional filters deal prefix tokens out to lists: a list holds one token and one narrow class of
+   lengths. The longer document of a pair looks from its whole prefix, the shorter one is found by a shorter
+   prefix, so that a pair meets only where both can still share enough.
+5. Each list is compared with one hub first; then, with the components known so far, what lies in
+   different components is. A large group of near copies thus costs as many pairs as it has members.
+6. A list that stays long is not compared pair by pair: its documents go to longer lists of keys, one for
+   each further prefix token that they can share, up to ``DEPTH`` tokens. Documents whose tokens so far
+   are enough to link go to the one of them with the smallest set: if any of them are linked by these tokens alone, they are with it.
+7. Each candidate pair is verified once: by its first common token, a suffix filter behind it, then the exact overlap.
+
+What stays: documents that share most of ``DEPTH``-token combinations without links are compared in lists that have
+shrunk with each token, but are compared.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ._text import mix64, row_identity, sized, slices, words
+from ._text import join_counted, mix64, row_identity, sized, slices, words
 from .components import components
 
 SIZE, PERCENT = 5, 80
 #: Part of a set that the first test reads beyond the plain prefix.
 EXTRA = 0.05
-#: Entries of a posting list beyond which shapes are compared before entries.
+#: Documents outside a list's largest component up to which its pairs are compared.
 LONG = 48
+#: Most prefix tokens that a list's key is made of.
+DEPTH = 4
+#: An entry's deeper keys cost so many comparisons each.
+PAYS = 4
+#: Ratio of the lengths within a class.
+CLASS = 1.05
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,103 +124,183 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc {kind}, tokens array<bigint>")
 
 
-def hamming_bound(a: np.ndarray, b: np.ndarray, most: int, depth: int = 3) -> int:
-    """Suffix filter: a lower bound of the symmetric difference of two sorted sets, by halving at medians."""
+def hamming_bound(a: np.ndarray, b: np.ndarray, most: int, depth: int = 3, wa: np.ndarray | None = None, wb: np.ndarray | None = None) -> int:
+    """Suffix filter: a lower bound of the symmetric difference of two sorted sets, by halving at medians.
+
+    ``wa`` and ``wb`` are the weights summed up to each element, 0 first; without them all elements weigh one.
+    """
+    wa = np.arange(len(a) + 1) if wa is None else wa
+    wb = np.arange(len(b) + 1) if wb is None else wb
     if not len(a) or not len(b) or not depth:
-        return abs(len(a) - len(b))
+        return abs(int(wa[-1] - wa[0]) - int(wb[-1] - wb[0]))
     mid = len(b) // 2
     at = int(np.searchsorted(a, b[mid]))
     same = at < len(a) and a[at] == b[mid]
-    left, right = (a[:at], b[:mid]), (a[at + same :], b[mid + 1 :])
-    rest = abs(len(right[0]) - len(right[1])) + (not same)
-    low = hamming_bound(*left, most - rest, depth - 1)
+    alone = 0 if same else int(wb[mid + 1] - wb[mid])
+    left = (a[:at], b[:mid]), (wa[: at + 1], wb[: mid + 1])
+    right = (a[at + same :], b[mid + 1 :]), (wa[at + same :], wb[mid + 1 :])
+    rest = abs(int(right[1][0][-1] - right[1][0][0]) - int(right[1][1][-1] - right[1][1][0])) + alone
+    low = hamming_bound(*left[0], most - rest, depth - 1, *left[1])
     if low + rest > most:
         return low + rest
-    return low + (not same) + hamming_bound(*right, most - low - (not same), depth - 1)
+    return low + alone + hamming_bound(*right[0], most - low - alone, depth - 1, *right[1])
+
 
+def needed(na: int, nb: int, percent: int = PERCENT) -> int:
+    """Least overlap of sets of two sizes that link."""
+    return -(-percent * (na + nb) // (100 + percent))
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    na, nb = len(a), len(b)
-    need = -(-percent * (na + nb) // (100 + percent))
-    if min(na, nb) < need or hamming_bound(a, b, na + nb - 2 * need) > na + nb - 2 * need:
+
+def linked(na: int, a: np.ndarray, wa: np.ndarray, nb: int, b: np.ndarray, wb: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two documents link, by their tokens in one order of all tokens, rare first, and the tokens' weights."""
+    need = needed(na, nb, percent)
+    first, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(first):
+        return False
+    # behind the first common token: what is left must overlap enough, and the suffix filter may already rule it out
+    i, j = int(at.min()), int(to.min())
+    sa, sb = np.argsort(a[i:]), np.argsort(b[j:])
+    ca, cb = np.concatenate([[0], np.cumsum(wa[i:][sa])]), np.concatenate([[0], np.cumsum(wb[j:][sb])])
+    most = int(ca[-1] + cb[-1]) - 2 * need
+    if most < 0 or hamming_bound(a[i:][sa], b[j:][sb], most, 3, ca, cb) > most:
         return False
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= percent * (na + nb - shared)
+    return int(wa[at].sum()) >= need
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """The linked ones of distinct pairs (a, b)."""
-    joined = pairs.join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb")), "b")
+    side = lambda s: profiles.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("tokens").alias(f"t{s}"), F.col("weights").alias(f"w{s}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ta, tb = b.column("ta"), b.column("tb")
-            ok = [similar(x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), percent) for x, y in zip(ta, tb)]  # in the order they were sorted
+            sides = [(b.column(f"n{s}").to_numpy(), b.column(f"t{s}"), b.column(f"w{s}")) for s in "ab"]
+            ok = [linked(int(na), ta.values.to_numpy(), wa.values.to_numpy(), int(nb), tb.values.to_numpy(), wb.values.to_numpy(), percent) for na, ta, wa, nb, tb, wb in zip(*sides[0], *sides[1])]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    kind = sets.schema["doc"].dataType.simpleString()
-    return joined.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
+    kind = profiles.schema["doc"].dataType.simpleString()
+    return joined.select("a", "b", *(f"{c}{s}" for s in "ab" for c in "ntw")).mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _filters(x: str, y: str, percent: int):
-    """Length and positional filters on two prefix entries (n, pos, own)."""
-    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    need = F.ceil(percent * (nx + ny) / (100 + percent) - 1e-9)
-    reach = F.least(nx - F.col(f"{x}.pos"), ny - F.col(f"{y}.pos")) + 1
-    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & (F.least(reach, nx - F.col(f"{x}.own"), ny - F.col(f"{y}.own")) >= need)
+def _profiles(sets: DataFrame, percent: int) -> DataFrame:
+    """doc, n, and the common tokens rare first with their weights and ``rests``, the weight from each token to the end.
 
+    Documents without a token whose rest could still make a link are left out.
+    """
+    exploded = sets.select("doc", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
+    # the documents of a shingle by their number and two sums of hashes without carry
+    who = [F.bit_xor(F.xxhash64("doc", F.lit(k))) for k in range(2)]
+    where = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.xxhash64(F.count(F.lit(1)), *who).alias("name")).where("df > 1")
+    where = materialize(where, "where")
+    common = join_counted(exploded, where, "token", "df").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("common"))
 
-def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between class representatives that connect all that are similar."""
-    tokens = reps.select("doc", F.explode("probe").alias("token"))
-    shared = materialize(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
-    hits = tokens.join(shared, "token").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
-    survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
-    sets = materialize(_sets(docs.join(sized(survivors), "doc", "left_semi"), size), "sets")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            docs, sizes, out = b.column("doc"), b.column("n").to_pylist(), []
+            for k, (n, x) in enumerate(zip(sizes, b.column("common"))):
+                name = x.values.field("name").to_numpy()
+                start = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+                weight = np.diff(np.append(start, len(name)))
+                rest = np.cumsum(weight[::-1])[::-1]
+                if 100 * rest[0] >= percent * n:
+                    out.append((k, n, name[start], weight, rest))
+            rows = pa.array([k for k, *_ in out], pa.int32())
+            yield pa.RecordBatch.from_arrays([docs.take(rows), pa.array([n for _, n, *_ in out], pa.int64()), *(pa.array([r[c] for r in out], pa.list_(pa.int64())) for c in (2, 3, 4))], ["doc", "n", "tokens", "weights", "rests"])
 
-    exploded = sets.select("doc", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
-    frequency = materialize(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequency")
-    ordered = exploded.join(frequency, "token").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
-    own = (F.col("n") - F.size("common")).alias("own")
-    prefix = F.col("n") - F.ceil(percent * F.col("n") / 100 - 1e-9) + 1
-    indexed = ordered.select("doc", "n", own, "common", prefix.alias("prefix")).where("prefix > own")
-    entries = indexed.select("doc", "n", "own", F.posexplode(F.expr("transform(slice(common, 1, cast(prefix - own as int)), x -> x.token)")).alias("at", "token"))
-    entries = materialize(entries.select("token", "doc", "n", "own", (F.col("own") + F.col("at") + 1).alias("pos")), "entries")
+    kind = sets.schema["doc"].dataType.simpleString()
+    return common.mapInArrow(run, f"doc {kind}, n bigint, tokens array<bigint>, weights array<bigint>, rests array<bigint>")
 
-    def distinct(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
-    hubs = materialize(entries.groupBy("token").agg(F.min(F.struct("own", "doc", "n", "pos")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1").select("token", "h.*"), "hubs")
-    stars = entries.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.doc") != F.col("y.doc")) & _filters("x", "y", percent))
-    links = materialize(_verified(distinct(stars), sets, percent), "links")
+def _need(x: Column, y: Column, percent: int) -> Column:
+    return F.ceil(percent * (x + y) / (100 + percent) - 1e-9)
 
-    group = materialize(components(links), "components")
-    placed = entries.join(group.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    per = placed.groupBy("token", "component").count().groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("k"), F.sum("count").alias("size"))
-    mixed = materialize(placed.join(materialize(per.where("k > 1").select("token", "largest", "size"), "tokens"), "token"), "mixed")
-    return links.unionByName(_verified(distinct(_across(mixed, percent)), sets, percent))
 
+def _class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(CLASS) + 1e-9).cast("int")
 
-def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs x, y of entries of a token in different components.
 
-    The filters see only an entry's (n, pos, own), its shape. Lists of over ``LONG`` entries therefore join
-    their distinct shapes first, within length classes; entries meet only where their shapes
-    pass. Documents that share a template but can't be similar have few shapes, none of which passes.
+def _entries(profiles: DataFrame, percent: int) -> DataFrame:
+    """key, doc, n, finds, class, at, left, used, most, need: prefix tokens dealt out to lists; ``left`` more follow in the prefix.
+
+    ``finds``: the entry looks for sets no longer than its own, else it is one to be found. ``used`` is the weight of the
+    key's tokens, ``most`` bounds the overlap with a document that shares none before, ``need`` is the least that a link in this list asks for.
     """
-    rest = mixed.where("component <> largest")
-    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.largest")) | (F.col("x.doc") < F.col("y.doc")))
-    short = rest.where(f"size <= {LONG}").alias("x").join(mixed.where(f"size <= {LONG}").alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _filters("x", "y", percent))
-    # lengths that may link differ by a factor of 100 / percent at most, so by one class at most
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
-    shapes = mixed.where(f"size > {LONG}").select("token", "n", "pos", "own").distinct().withColumn("band", band)
-    wide = shapes.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    fits = shapes.alias("x").join(wide.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & _filters("x", "y", percent))
-    fits = fits.select(F.col("x.token").alias("token"), *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("n", "pos", "own")))
-    meet = lambda s: (F.col(f"{s}.token") == F.col("f.token")) & (F.col(f"{s}.n") == F.col(f"f.{s}_n")) & (F.col(f"{s}.pos") == F.col(f"f.{s}_pos")) & (F.col(f"{s}.own") == F.col(f"f.{s}_own"))
-    long = rest.where(f"size > {LONG}").alias("x").join(fits.alias("f"), meet("x")).join(mixed.where(f"size > {LONG}").alias("y"), meet("y") & apart)
-    ends = [F.struct(F.col("x.doc").alias("doc")).alias("x"), F.struct(F.col("y.doc").alias("doc")).alias("y")]
-    return short.select(*ends).unionByName(long.select(*ends))
+    n = F.col("n")
+    low = F.greatest(F.ceil(percent * n / 100 - 1e-9), F.lit(1))
+    finds = profiles.withColumn("class", F.explode(F.sequence(_class(low), _class(n)))).withColumns({"finds": F.lit(True), "need": _need(n, F.greatest(low, F.floor(F.pow(F.lit(CLASS), F.col("class").cast("double"))) - 1), percent)})
+    found = profiles.withColumns({"class": _class(n), "finds": F.lit(False), "need": _need(n, n, percent)}).select(finds.columns)
+    both = finds.unionByName(found)
+    inside = F.slice("tokens", F.lit(1), F.size(F.filter("rests", lambda r: r >= F.col("need"))))
+    each = both.select("doc", "n", "class", "finds", "need", "weights", "rests", F.size(inside).alias("_in"), F.posexplode(inside).alias("at", "token"))
+    return each.select(F.xxhash64("token", "class").alias("key"), "doc", "n", "finds", "class", "at", (F.col("_in") - F.col("at") - 1).alias("left"), F.get("weights", F.col("at")).alias("used"), F.get("rests", F.col("at")).alias("most"), "need")
+
+
+def _deeper(long: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The lists' entries under keys of one more token."""
+    joined = long.select("key", "doc", "finds", "class", "at", "used", "need").join(profiles.select("doc", "n", "tokens", "weights", "rests"), "doc")
+    last = F.size(F.filter("rests", lambda r: F.col("used") + r >= F.col("need")))
+    each = joined.withColumn("_in", last).where(F.col("_in") > F.col("at") + 1).withColumn("to", F.explode(F.sequence(F.col("at") + 1, F.col("_in") - 1)))
+    own = lambda c: F.get(c, F.col("to"))
+    return each.select(F.xxhash64("key", own("tokens")).alias("key"), "doc", "n", "finds", "class", F.col("to").alias("at"), (F.col("_in") - F.col("to") - 1).alias("left"), (F.col("used") + own("weights")).alias("used"), (F.col("used") + own("rests")).alias("most"), "need")
+
+
+def _pairs(x: DataFrame, y: DataFrame, percent: int, also=None) -> DataFrame:
+    """(a, b) of a list's entries that the length and positional filters leave: ``x`` finds ``y``."""
+    nx, ny = F.col("x.n"), F.col("y.n")
+    fits = (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") != F.col("y.doc")) & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & (F.least("x.most", "y.most") >= _need(nx, ny, percent))
+    joined = x.alias("x").join(y.alias("y"), fits if also is None else fits & also)
+    return joined.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
+
+
+def _across(entries: DataFrame, profiles: DataFrame, group: DataFrame, percent: int) -> DataFrame | None:
+    """Candidate pairs (a, b) of entries of a list in different components, perhaps repeated; None if there are none."""
+    out, level = [], entries
+    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.doc") < F.col("x.doc"))))
+    for depth in range(1, DEPTH + 1):
+        placed = level.join(sized(group.withColumnRenamed("node", "doc")), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        if depth > 1:
+            placed = materialize(placed, "deeper")
+        per = placed.groupBy("key", "component").agg(F.count_if("finds").alias("p"), F.count_if(~F.col("finds")).alias("q"), F.sum("left").alias("left"))
+        per = per.groupBy("key").agg(F.sum("left").alias("left"), F.count(F.lit(1)).alias("k"), F.sum("p").alias("p"), F.sum("q").alias("q"), F.max(F.struct((F.col("p") + F.col("q")).alias("c"), "component", "p", "q")).alias("top"))
+        others = F.greatest(F.col("p") - F.col("top.p"), F.col("q") - F.col("top.q"))
+        # deeper keys pay where an entry has fewer of them than documents to be compared with
+        deep = (others > F.greatest(F.lit(LONG), PAYS * F.col("left") / (F.col("p") + F.col("q")))) if depth < DEPTH else F.lit(False)
+        lists = per.where("k > 1 and p > 0 and q > 0").select("key", F.col("top.component").alias("largest"), deep.alias("deep"), (F.col("p") + F.col("q")).alias("size"))
+        lists = materialize(lists, "lists")
+        if lists.isEmpty():
+            break
+        mixed = materialize(join_counted(placed, lists, "key", "size"), "mixed")
+        short = mixed.where("not deep")
+        finds, found = short.where("finds"), short.where("not finds")
+        out.append(_pairs(finds.where("component <> largest"), found, percent, apart))
+        out.append(_pairs(finds.where("component = largest"), found.where("component <> largest"), percent, apart))
+        long = mixed.where("deep")
+        if depth == DEPTH or long.isEmpty():
+            break
+        # enough in common already: if two of them link by these tokens alone, both link with the smallest
+        full = long.where("used >= need")
+        hubs = full.groupBy("key").agg(F.min(F.struct("n", "doc", "most", "component")).alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1").select("key", "h.*", "size")
+        out.append(_pairs(full, hubs, percent, F.col("x.component") != F.col("y.component")))
+        level = _deeper(long, profiles)
+    return reduce(DataFrame.unionByName, out) if out else None
+
+
+def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Links (a, b) between class representatives that connect all that are similar; None if there are none."""
+    tokens = reps.select("doc", F.explode("probe").alias("token"))
+    shared = tokens.groupBy("token").count().where("count > 1")
+    hits = join_counted(tokens, materialize(shared, "shared"), "token", "count").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
+    survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
+    if survivors.isEmpty():
+        return None
+    sets = materialize(_sets(docs.join(sized(survivors), "doc", "left_semi"), size), "sets")
+    profiles = materialize(_profiles(sets, percent), "profiles")
+    entries = materialize(_entries(profiles, percent), "entries")
+    hubs = entries.where("not finds").groupBy("key").agg(F.min(F.struct(F.col("n") - F.col("most"), "doc", "n", "most")).alias("h")).select("key", "h.doc", "h.n", "h.most")
+    links = materialize(_verified(_pairs(entries.where("finds"), hubs, percent).distinct(), profiles, percent), "links")
+    group = materialize(components(links), "components")
+    pairs = _across(entries, profiles, group, percent)
+    return links if pairs is None else links.unionByName(_verified(pairs.distinct(), profiles, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -223,8 +317,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(filled.groupBy(*key).agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "classes")
     classes = sized(classes)
     reps = filled.join(classes, key, "left").where("rep is null or rep = doc").select("doc", "least", "probe")
-    group = materialize(components(_links(docs, reps, size, percent)), "groups")
+    links = _links(docs, reps, size, percent)
     members = base.select("doc", *key).join(classes, key, "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc")).otherwise(F.col("doc")))
+    if links is None:
+        return members.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"))
+    group = materialize(components(links), "groups")
     return members.join(sized(group.withColumnRenamed("node", "rep")), "rep", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 

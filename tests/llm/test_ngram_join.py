@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from evalyard.llm import components as link_components
 from evalyard.llm import ngram_join, queries
 from evalyard.llm.components import components
 
@@ -65,20 +67,27 @@ def test_brute_force_near_copies_and_edges(spark):
     assert kept.columns == df.columns and kept.count() == len({c for _, c in got.values()})
 
 
-def test_long_lists_meet_by_shape(spark, monkeypatch):
-    rng = random.Random(8)
-    entries = [(t, d, n := rng.randint(90, 130), rng.randint(0, 20), rng.randint(1, 30), rng.choice([0, 0, d]), 0) for t in range(4) for d in range(40 if t else 10)]
-    frame = spark.createDataFrame([(*e, 40 if e[0] else 10) for e in entries], "token int, doc int, n bigint, own bigint, pos bigint, component int, largest int, size bigint")
+def pages(n, lines=30, took=22, ordered=False, seed=4):
+    """Pages that take some of a few common lines."""
+    rng = random.Random(seed)
+    common = [" ".join(f"l{k}w{i}" for i in range(8)) for k in range(lines)]
+    pick = lambda: rng.sample(common, took)
+    return [(k, "\n".join(sorted(pick(), key=common.index) if ordered else pick())) for k in range(n)]
 
-    def pairs(long):
-        monkeypatch.setattr(ngram_join, "LONG", long)
-        return sorted(tuple(sorted((r.x.doc, r.y.doc))) for r in ngram_join._across(frame, 80).collect())
 
-    assert pairs(1000) == pairs(20) == pairs(0) != []
-    monkeypatch.undo()
-    # a template that 20,000 documents share without links: one shape, no pairs
-    same_shape = spark.range(20_000).selectExpr("0 as token", "id as doc", "119L as n", "15L as own", "16L as pos", "id as component", "0L as largest", "20000L as size")
-    assert ngram_join._across(same_shape, 80).count() == 0
+@pytest.mark.parametrize("long, depth", [(0, 1), (0, 2), (0, 4), (5, 3), (10**6, 1)])
+def test_long_lists_go_deeper(spark, monkeypatch, long, depth):
+    monkeypatch.setattr(ngram_join, "LONG", long)
+    monkeypatch.setattr(ngram_join, "DEPTH", depth)
+    monkeypatch.setattr(ngram_join, "PAYS", 0 if long == 0 else ngram_join.PAYS)
+    rng = random.Random(3)
+    rows = pages(40) + [(100 + k, t) for k, t in pages(40, 30, 28, True)]
+    body = [f"b{i}" for i in range(60)]
+    rows += [(200 + k, " ".join(body + [f"t{k % 7}x{i}" for i in range(rng.randint(3, 14))])) for k in range(30)]
+    rows += [(300 + k, " ".join(body[rng.randint(0, 9) :] + ["e"] * rng.randint(0, 3))) for k in range(30)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = brute(rows)
+    assert got == want and 10 < len({c for _, c in want.values()}) < len(want)
 
 
 def test_template_pages_without_links(spark):
@@ -92,6 +101,16 @@ def test_empty(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(0, 60), st.integers(1, 9)), st.dictionaries(st.integers(0, 60), st.integers(1, 9)), st.integers(0, 20), st.integers(0, 20))
+def test_linked_by_weights(a, b, own_a, own_b):
+    b = {k: a.get(k, w) for k, w in b.items()}  # a token weighs the same everywhere
+    side = lambda x, own: (sum(x.values()) + own, np.array(sorted(x, key=lambda k: (k * 7 % 61, k)), np.int64), np.array([x[k] for k in sorted(x, key=lambda k: (k * 7 % 61, k))], np.int64))
+    shared = sum(w for k, w in a.items() if k in b)
+    union = sum(a.values()) + own_a + sum(b.values()) + own_b - shared
+    assert ngram_join.linked(*side(a, own_a), *side(b, own_b)) == (shared > 0 and 100 * shared >= 80 * union)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)))
 def test_suffix_bound_never_exceeds_the_difference(a, b):
@@ -100,7 +119,9 @@ def test_suffix_bound_never_exceeds_the_difference(a, b):
     assert bound <= len(a ^ b)
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("small", [0, 1 << 17])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, small):
+    monkeypatch.setattr(link_components, "SMALL", small)
     edges = [(i, i + 1) for i in range(100, 130)] + [(5, k) for k in range(200, 230)] + [(7, 7)]
     rng = random.Random(2)
     rng.shuffle(edges)
