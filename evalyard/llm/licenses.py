@@ -1,14 +1,20 @@
 """License scans by sentence rules.
 
 A text becomes sentences, each normalised to lower-case words; a sentence that the table
-knows becomes its identifier. Ordered rules then look for identifier sequences; an earlier
-rule takes its sentences before a later one can. One ``mapInArrow`` pass, no shuffle.
+knows becomes its identifier, and what stands between two known sentences is part of the sequence: nothing,
+lines that any licence may hold (copyright lines, numbers of clauses), or foreign sentences. Ordered rules then look for
+identifier sequences; whole licences come before beginnings of them and single sentences, and an earlier rule takes its sentences before a later one can. A rule says where foreign
+sentences may stand (``ANY``). Where a longer rule's sentences come in order with up to ``NEAR`` foreign pieces among
+them, the licence isn't reported but named as modified, and shorter rules don't get those sentences.
+One ``mapInArrow`` pass, no shuffle.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,6 +74,13 @@ SENTENCES = {
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-disclaim": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED',
     "bsd-liable": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+    "bsd-endorse-any": "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "bsd-acknowledge": "This product includes software developed by {}",
+    "json-good": "The Software shall be used for Good, not Evil",
+    "mit0-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so',
+    "x11-liable": "IN NO EVENT SHALL THE X CONSORTIUM BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    "x11-name": "Except as contained in this notice, the name of {} shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from {}",
     "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
     "mpl-copy-https": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
@@ -81,16 +94,41 @@ SENTENCES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
     "reserved": "All rights reserved",
 }
+# How running text names a licence; the table holds every subject, verb and ending with each name.
+SUBJECTS = ("This project", "This software", "This work", "This package", "This library", "This program", "This code", "This file", "This repository", "The code", "The software")
+VERBS = ("is licensed under", "is released under", "is distributed under", "is available under")
+NAMES = {
+    "MIT": ("the MIT License", "the MIT license terms", "MIT"),
+    "Apache-2.0": ("the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License", "Apache 2.0"),
+    "BSD-3-Clause": ("the BSD 3-Clause License", "the 3-Clause BSD License"),
+    "BSD-2-Clause": ("the BSD 2-Clause License", "the 2-Clause BSD License"),
+    "ISC": ("the ISC License",),
+    "MPL-2.0": ("the Mozilla Public License 2.0", "the MPL 2.0"),
+    "GPL-3.0-only": ("the GNU General Public License v3.0", "the GPLv3"),
+    "GPL-2.0-only": ("the GNU General Public License v2.0", "the GPLv2"),
+}
+ENDINGS = ("", " see the LICENSE file for details", " see LICENSE for details")
+SAID = {f"says {name} {k}": f"{subject} {verb} {text}{end}" for name, texts in NAMES.items() for k, (subject, verb, text, end) in enumerate(product(SUBJECTS, VERBS, texts, ENDINGS))}
+
+#: In a rule: foreign sentences may stand here, up to ``NEAR`` pieces.
+ANY = "*"
+NEAR = 4
 # Ordered rules (license, sentence identifiers in a row); the first that fits takes the sentences.
 RULES = (
     ("Apache-2.0", ("apache-header", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
     ("Apache-2.0", ("apache-short", "apache-you", "apache-copy", "apache-warranty", "apache-see")),
+    ("BSD-4-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-advert", ANY, "bsd-endorse", "bsd-disclaim", "bsd-liable")),
+    ("BSD-4-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-advert", "bsd-acknowledge", "bsd-endorse", "bsd-disclaim", "bsd-liable")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaim", "bsd-liable")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-disclaim", "bsd-liable")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaim")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-disclaim")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary")),
+    ("JSON", ("mit-grant", "mit-notice", "json-good", "mit-warranty", "mit-liable")),
+    ("X11", ("mit-grant", "mit-notice", "mit-warranty", "x11-liable", "x11-name")),
+    ("X11", ("mit-grant", "mit-notice", "mit-warranty", "mit-liable", "x11-name")),
+    ("MIT-0", ("mit0-grant", "mit-warranty", "mit-liable")),
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty", "mit-liable")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liable")),
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty")),
@@ -144,7 +182,12 @@ RULES = (
     ("BSL-1.0", ("boost",)),
     ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("reserved",)),
+    *((name, (f"says-{name}",)) for name in NAMES),
 )
+#: Identifiers that stand for another in the rules.
+SAME = {"bsd-endorse-any": "bsd-endorse"} | {k: f"says-{k.split(' ')[1]}" for k in SAID}
+#: Pieces that no licence minds between its sentences.
+_PLAIN = re.compile(rb"copyright\b.*|c (?:19|20)[0-9]{2}\b.*|[0-9]{1,2}|[a-z]|[ivx]{1,4}")
 #: Words become lower case; ASCII marks other than digits and letters part words; sentences end at these.
 _ENDS = b".;:!?\n\r"
 _TABLE = bytes(10 if c in _ENDS else 32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in LOWER)
@@ -154,54 +197,113 @@ def segments(text: str | None) -> list[bytes]:
     """Normalised pieces between end marks and line breaks, without empty ones."""
     data = (text or "").encode("utf-8", "surrogatepass")
     return [s for part in data.translate(_TABLE).split(b"\n") if (s := b" ".join(part.split()))]
+#: A clause's mark before its sentence, as in "(a) ...".
+_MARK = re.compile(rb"(?:[0-9]{1,2}|[a-z]|[ivx]{1,4}) ")
 
 
 class Scanner:
-    """A known sentence must start and end at piece boundaries; breaks inside it don't matter ("Version 2.0", wrapped lines)."""
+    """A known sentence must start and end at piece boundaries; breaks inside it don't matter ("Version 2.0", wrapped lines).
+
+    ``{}`` in a known sentence stands for up to ``HOLE`` words, such as a holder's name.
+    """
+
+    HOLE = 12
 
     def __init__(self, known: dict[str, str] | None = None, rules=RULES):
         self.heads: dict[bytes, list[tuple[bytes, str]]] = {}
-        for name, sentence in sorted((known or SENTENCES).items(), key=lambda x: -len(x[1])):
-            whole = b" ".join(segments(sentence))
-            self.heads.setdefault(whole.split(b" ", 1)[0], []).append((whole, name))
-        self.rules = rules
+        self.holes: dict[bytes, list[tuple[re.Pattern[bytes], int, str]]] = {}
+        known = SENTENCES | SAID if known is None else known
+        for name, sentence in sorted(known.items(), key=lambda x: -len(x[1])):
+            parts = [b" ".join(segments(part)) for part in sentence.split("{}")]
+            head = parts[0].split(b" ", 1)[0]
+            if len(parts) > 1:
+                hole = rb"(?: \S+){1,%d} ?" % self.HOLE
+                pattern = re.compile(hole.join(map(re.escape, parts)))
+                self.holes.setdefault(head, []).append((pattern, sum(len(x.split()) for x in parts) + self.HOLE * (len(parts) - 1), name))
+            else:
+                self.heads.setdefault(head, []).append((parts[0], name))
+        # whole rules first, then whole ones with foreign sentences, then the beginnings of others, single sentences last
+        begins = {(n, r[:k]) for n, r in rules for k in range(1, len(r))}
+        whole = [r for r in rules if len(r[1]) > 1 and r not in begins]
+        self.steps = [(r, False) for r in whole] + [(r, True) for r in whole if len(r[1]) > 2]
+        self.steps += [(r, False) for r in rules if len(r[1]) > 1 and r in begins] + [(r, False) for r in rules if len(r[1]) == 1]
 
-    def identify(self, text: str | None) -> list[tuple[int, str]]:
-        """(position among the pieces, identifier), in order; the longest known sentence at a position wins."""
+    def _known(self, found: list[bytes], i: int) -> tuple[int, str] | None:
+        """(pieces, identifier) of the known sentence that begins with piece ``i``."""
+        piece = found[i]
+        head = piece.partition(b" ")[0]
+        for whole, name in self.heads.get(head, ()):
+            if not whole.startswith(piece):
+                continue
+            run, j = piece, i + 1
+            while len(run) < len(whole) and j < len(found):
+                run += b" " + found[j]
+                j += 1
+            if run == whole:
+                return j - i, name
+        for pattern, most, name in self.holes.get(head, ()):
+            run, j, best = piece, i + 1, None
+            while True:
+                if pattern.fullmatch(run):
+                    best = j - i
+                if j == len(found) or run.count(b" ") + 1 >= most:
+                    break
+                run += b" " + found[j]
+                j += 1
+            if best:
+                return best, name
+        return None
+
+    def identify(self, text: str | None) -> list[tuple[int, str, int]]:
+        """(position among the pieces, identifier, foreign pieces since the known sentence before), in order; the longest known sentence at a position wins."""
         found = segments(text)
-        out, i, heads = [], 0, self.heads
+        out, i, foreign = [], 0, 0
         while i < len(found):
-            piece = found[i]
-            step = 1
-            for whole, name in heads.get(piece.partition(b" ")[0], ()):
-                if not whole.startswith(piece):
-                    continue
-                run, j = piece, i + 1
-                while len(run) < len(whole) and j < len(found):
-                    run += b" " + found[j]
-                    j += 1
-                if run == whole:
-                    out.append((i, name))
-                    step = j - i
-                    break
-            i += step
+            hit = self._known(found, i)
+            if hit is None and (mark := _MARK.match(found[i])):
+                hit = self._known([found[i][mark.end() :], *found[i + 1 : i + 64]], 0)  # a known sentence has fewer pieces
+            if hit:
+                out.append((i, SAME.get(hit[1], hit[1]), foreign))
+                i, foreign = i + hit[0], 0
+            else:
+                foreign += not _PLAIN.fullmatch(found[i])
+                i += 1
         return out
 
-    def scan(self, text: str | None) -> tuple[list[str], list[str]]:
-        """(licenses in order of appearance, sentence identifiers in order)."""
-        ids = [k for _, k in self.identify(text)]
-        owner: list[int | None] = [None] * len(ids)
+    def _fits(self, ids: list[tuple[int, str, int]], i: int, run: tuple[str, ...], near: int) -> int | None:
+        """The end of ``run`` from the sentence ``i`` on, with up to ``near`` foreign pieces between its sentences, or more where it says so."""
+        k, room = i, None
+        for want in run:
+            if want == ANY:
+                room = NEAR
+                continue
+            if k == len(ids) or ids[k][1] != want or (k > i and ids[k][2] > (near if room is None else room)):
+                return None
+            k, room = k + 1, None
+        return k
+
+    def scan(self, text: str | None) -> tuple[list[str], list[str], list[str]]:
+        """(licenses in order of appearance, sentence identifiers in order, licenses that occur modified)."""
+        ids = self.identify(text)
+        if not ids:
+            return [], [], []
+        taken = [False] * len(ids)
         hits: list[tuple[int, str]] = []
-        for r, (name, run) in enumerate(self.rules):
+        changed: list[tuple[int, str]] = []
+        present = {k for _, k, _ in ids}
+        for (name, run), loose in self.steps:
+            if run[0] not in present:
+                continue
             i = 0
-            while i + len(run) <= len(ids):
-                if tuple(ids[i : i + len(run)]) == run and all(o is None for o in owner[i : i + len(run)]):
-                    owner[i : i + len(run)] = [r] * len(run)
-                    hits.append((i, name))
-                    i += len(run)
+            while i < len(ids):
+                end = None if taken[i] else self._fits(ids, i, run, NEAR if loose else 0)
+                if end is not None and not any(taken[i:end]):
+                    taken[i:end] = [True] * (end - i)
+                    (changed if loose else hits).append((i, name))
+                    i = end
                 else:
                     i += 1
-        return [name for _, name in sorted(hits)], ids
+        return [name for _, name in sorted(hits)], [k for _, k, _ in ids], [name for _, name in sorted(changed)]
 
 
 @lru_cache(maxsize=1)
@@ -210,7 +312,9 @@ def _scanner() -> Scanner:
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_sentences (known ones), licenses and sentence_ids (arrays in order of appearance) of every row.
+    """doc_id, n_sentences (known ones), licenses, sentence_ids and modified (arrays in order of appearance) of every row.
+
+    ``modified`` names licences whose sentences occur in order with foreign ones among them.
 
     Null, empty and unlicensed texts have empty arrays; repeated rows repeat their result.
     """
@@ -220,11 +324,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         scanner = _scanner()
         for b in batches:
             rows = [scanner.scan(t.as_py()) for t in b.column(1)]
-            cols = [b.column(0), pa.array([len(r[1]) for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.list_(pa.string())) for i in (0, 1))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_sentences", "licenses", "sentence_ids"])
+            cols = [b.column(0), pa.array([len(r[1]) for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.list_(pa.string())) for i in (0, 1, 2))]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_sentences", "licenses", "sentence_ids", "modified"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_sentences bigint, licenses array<string>, sentence_ids array<string>")
+    return docs.mapInArrow(run, f"doc_id {kind}, n_sentences bigint, licenses array<string>, sentence_ids array<string>, modified array<string>")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -235,4 +339,5 @@ def digest(found: DataFrame) -> DataFrame:
         F.array_join("licenses", ",").alias("licenses"),
         F.array_join("sentence_ids", ",").alias("sentence_ids"),
         F.try_element_at("licenses", F.lit(1)).alias("first_license"),
+        F.array_join("modified", ",").alias("modified"),
     )
