@@ -28,13 +28,17 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() * 8 * (len(table.columns) + 1) <= BROADCAST_BYTES else table
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str | list[str], count: str) -> DataFrame:
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str | list[str], count: str, small: bool = False) -> DataFrame:
     """``rows`` joined to written ``keyed``, which has one row a key and the number ``count`` of rows with it.
 
+    ``small``: where its counted rows are few enough, all of it is broadcast.
+
     Keys with over 1/``HOT`` of all rows are fewer than ``HOT`` and go by broadcast, the others by shuffle,
     so that no task gets more than such a share.
     """
     keys = [key] if isinstance(key, str) else key
+    if small and keyed.count() * 8 * (len(keyed.columns) + 1) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(keyed), keys)
     most = (keyed.agg(F.sum(count)).first()[0] or 0) // HOT
     hot = keyed.where(F.col(count) > most).select(*(F.col(k).alias(f"_hot_{k}") for k in keys), *(c for c in keyed.columns if c not in keys))
     if most == 0 or hot.isEmpty():

@@ -192,7 +192,7 @@ def _profiles(sets: DataFrame, percent: int) -> DataFrame:
     who = [F.bit_xor(F.xxhash64("doc", F.lit(k))) for k in range(2)]
     where = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.xxhash64(F.count(F.lit(1)), *who).alias("name")).where("df > 1")
     where = materialize(where, "where")
-    common = join_counted(exploded, where, "token", "df").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("common"))
+    common = join_counted(exploded, where, "token", "df", small=True).groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("common"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -269,7 +269,7 @@ def _across(entries: DataFrame, profiles: DataFrame, group: DataFrame, percent:
         lists = materialize(lists, "lists")
         if lists.isEmpty():
             break
-        mixed = materialize(join_counted(placed, lists, "key", "size"), "mixed")
+        mixed = materialize(join_counted(placed, lists, "key", "size", small=True), "mixed")
         short = mixed.where("not deep")
         finds, found = short.where("finds"), short.where("not finds")
         out.append(_pairs(finds.where("component <> largest"), found, percent, apart))
@@ -289,7 +289,7 @@ def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFra
     """Links (a, b) between class representatives that connect all that are similar; None if there are none."""
     tokens = reps.select("doc", F.explode("probe").alias("token"))
     shared = tokens.groupBy("token").count().where("count > 1")
-    hits = join_counted(tokens, materialize(shared, "shared"), "token", "count").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
+    hits = join_counted(tokens, materialize(shared, "shared"), "token", "count", small=True).groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
     survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
     if survivors.isEmpty():
         return None
