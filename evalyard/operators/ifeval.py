@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.language import Languages
+from ..functions.sentences import Boundaries
 from ..functions.text import all_found, quoted, regex, strip
 
 Args = Callable[[str], Column]
@@ -38,7 +40,7 @@ SENTENCE_END = (
 _MARKS = r"""\s,;:@#$%&?!"()\[\]{}<>"""
 CAPITAL_WORD = rf"(?<![^{_MARKS}])(?=[^{_MARKS}]*\p{{Lu}})[^{_MARKS}\p{{Ll}}]+(?![^{_MARKS}])"
 CONTRACTION = r"(?i)(?<=\w)(n't|(?<!n)'(?:s|m|d|ll|re|ve))(?!\w)"
-#: Rules that ask for a text's language, which nothing here detects; each with the part that is decided without it.
+#: Rules that ask for a text's language, each with the part that is decided without it.
 LANGUAGE: dict[str, Callable[[Column], Column]] = {
     "language:response_language": lambda v: F.lit(True),
     "change_case:english_capital": lambda v: (F.upper(v) == v) & (F.lower(v) != v),
@@ -105,7 +107,10 @@ def _words(v, a):
     return _compare(_count(v, WORD), a, "num_words")
 
 
-@check("length_constraints:number_sentences")
+SENTENCES = "length_constraints:number_sentences"
+
+
+@check(SENTENCES)
 def _sentences(v, a):
     """Ends of sentences that more text follows, and the last sentence."""
     return _compare(_count(strip(v), SENTENCE_END) + 1, a, "num_sentences")
@@ -220,18 +225,21 @@ def _no_comma(v, a):
     return ~F.contains(v, F.lit(","))
 
 
-def _undecided(value: Column, decided: Column) -> Column:
-    """False where a language rule fails without a look at the language, null where the language decides."""
-    return F.when(F.coalesce(_filled(value) & decided, F.lit(False)), F.lit(None).cast("boolean")).otherwise(False)
+def _undecided(value: Column, name: str, decided: Column, tongue: Column | None, asked: Column) -> Column:
+    """False where a language rule fails without a look at the language, else by the detected language, null where there is none."""
+    own = F.lit(None).cast("string") if tongue is None else tongue
+    right = own == (F.lower(asked) if name == "language:response_language" else F.lit("en"))
+    return F.when(F.coalesce(_filled(value) & decided, F.lit(False)), right).otherwise(False)
 
 
-def follows(instruction: str, response: Column, **args) -> Column:
-    """Whether a response follows one instruction with fixed arguments (lists as JSON text); null where its language decides."""
+def follows(instruction: str, response: Column, languages: Languages | None = None, sentences: Boundaries | None = None, **args) -> Column:
+    """Whether a response follows one instruction with fixed arguments (lists as JSON text); null where its language decides and isn't known."""
     if instruction in LANGUAGE:
-        return _undecided(response, LANGUAGE[instruction](response))
+        return _undecided(response, instruction, LANGUAGE[instruction](response), languages.of(response) if languages else None, F.lit(args.get("language")))
     if instruction == JSON:
         return F.element_at(_json_flags(F.array(response)), 1)
-    return F.coalesce(_filled(response) & _CHECKS[instruction](response, lambda k: F.lit(args.get(k))), F.lit(False))
+    check = (lambda v, a: _compare(sentences.ends(v) + 1, a, "num_sentences")) if sentences and instruction == SENTENCES else _CHECKS[instruction]
+    return F.coalesce(_filled(response) & check(response, lambda k: F.lit(args.get(k))), F.lit(False))
 
 
 def variants(response: Column) -> list[Column]:
@@ -243,31 +251,39 @@ def variants(response: Column) -> list[Column]:
     return plain + [F.replace(p, F.lit("*"), F.lit("")) for p in plain]
 
 
-def _dispatch(value: Column, is_json: Column, name: Column, args: Column) -> Column:
+def _dispatch(value: Column, is_json: Column, tongue: Column, name: Column, args: Column, sentences: Boundaries | None) -> Column:
     out = F.when(name == JSON, is_json)
     for k, f in _CHECKS.items():
-        out = out.when(name == k, f(value, lambda a: args[a]))
+        if k == SENTENCES and sentences:
+            out = out.when(name == k, _compare(sentences.ends(value) + 1, lambda a: args[a], "num_sentences"))
+        else:
+            out = out.when(name == k, f(value, lambda a: args[a]))
     known = F.coalesce(_filled(value) & out.otherwise(F.raise_error(F.concat(F.lit("unknown instruction "), name)).cast("boolean")), F.lit(False))
     language = F.when(F.lit(False), F.lit(False))
     for k, f in LANGUAGE.items():
-        language = language.when(name == k, _undecided(value, f(value)))
+        language = language.when(name == k, _undecided(value, k, f(value), tongue, args["language"]))
     return F.when(name.isin(*LANGUAGE), language).otherwise(known)
 
 
-def grade(df: DataFrame, response: str = "response") -> DataFrame:
+def grade(df: DataFrame, response: str = "response", languages: Languages | None = None, sentences: Boundaries | None = None) -> DataFrame:
     """Adds strict and loose (array<boolean>, one flag per instruction). A null response follows nothing.
 
-    Where a text's language decides, the flag is null; the scores and reports pass over such flags.
-    An unknown instruction is an error.
+    ``languages`` and ``sentences`` are learned models (``functions.language``, ``functions.sentences``). Where a text's
+    language decides and isn't known with confidence, or no model is given, the flag is null; the scores and reports pass over such
+    flags. Without a model, sentences end by fixed rules. An unknown instruction is an error.
     """
     texts = F.array(*variants(F.col(response)))
-    # only rows that ask for JSON pay for its parser
+    # only rows that ask for JSON or for a language pay for its parser
     flags = _json_flags(F.when(F.array_contains("instruction_ids", JSON), texts))
-    out = df.withColumn("_json", flags).withColumn("_texts", F.zip_with(texts, F.coalesce("_json", F.array().cast("array<boolean>")), lambda t, j: F.struct(t.alias("t"), j.alias("j"))))
+    asks = F.arrays_overlap("instruction_ids", F.array(*map(F.lit, LANGUAGE)))
+    tongues = languages.of_all(F.when(asks, texts)) if languages else F.lit(None).cast("array<string>")
+    out = df.withColumns({"_json": flags, "_tongues": tongues})
+    at = F.sequence(F.lit(0), F.size(texts) - 1)
+    out = out.withColumn("_texts", F.transform(at, lambda i: F.struct(F.get(texts, i).alias("t"), F.get("_json", i).alias("j"), F.get("_tongues", i).alias("l"))))
     first = F.element_at("_texts", 1)
-    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(first["t"], first["j"], i, k))
-    loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists("_texts", lambda r: _dispatch(r["t"], r["j"], i, k)))
-    return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_texts")
+    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(first["t"], first["j"], first["l"], i, k, sentences))
+    loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists("_texts", lambda r: _dispatch(r["t"], r["j"], r["l"], i, k, sentences)))
+    return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_tongues", "_texts")
 
 
 def accuracy_scores(graded: DataFrame) -> DataFrame:

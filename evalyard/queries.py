@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import query_cases
+from .functions import language, sentences
 from .functions.parsers import parse, reasoning
 from .operators import choice, datasets, graders, ifeval, metrics, rows
 from .plans import planning
@@ -645,3 +646,45 @@ def instruction_scores(spark, sf):
     kwargs = F.expr("array(map('-', '-'), map('relation', 'at least', 'keyword', 'tion', 'frequency', '5'))")
     df = table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("response"), F.array(F.lit("punctuation:no_comma"), F.lit("keywords:frequency")).alias("instruction_ids"), kwargs.alias("kwargs"))
     return ifeval.accuracy_scores(ifeval.grade(df)).where("name like 'strict%'").withColumn("value", rounded("value"))
+
+
+# --- models learned from the corpus ---------------------------------------------------------
+
+
+@query(
+    "languages",
+    """with recursive d as (select doc_id, lang, doc_id % 5 = 0 as held_out, ' ' || lower(coalesce(text, '')) || ' ' as t, regexp_matches(coalesce(text, ''), '\p{L}') as letters from documents),
+h as (select doc_id, lang, held_out, hex(encode(t)) as x from d),
+g as (select doc_id, lang, held_out, (('0x' || substr(x, 2 * i + 1, 6))::bigint) % 65521 as bucket from (select *, unnest(range(0, (length(x) // 2 - 2)::bigint)) as i from h)),
+c as (select lang, bucket, count(*) as n from g where not held_out and lang is not null group by all),
+l as (select lang, sum(n) as total from c group by lang),
+per as (select doc_id, bucket, count(*) as k from g group by all),
+s as (select per.doc_id, l.lang, sum(k * (ln(coalesce(n, 0) + 0.5) - ln(total + 0.5 * 65521))) as score from per cross join l left join c on c.bucket = per.bucket and c.lang = l.lang group by all),
+b as (select doc_id, arg_max(lang, score) as best, max(score) as top from s group by doc_id),
+p as (select s.doc_id, any_value(best) as best, 1 / sum(exp((score - top) / 3.0)) as p from s join b using (doc_id) group by s.doc_id)
+select d.doc_id, held_out, case when letters and p >= 0.9 then best end as detected from d left join p using (doc_id)""",
+)
+def languages(spark, sf):
+    """The language of every document, learned from four fifths of them."""
+    docs = table(spark, sf, "documents")
+    held_out = F.col("doc_id") % 5 == 0
+    model = language.learn(docs.where(~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), model.of(F.col("text")).alias("detected"))
+
+
+_FORMS_SQL = r"""
+with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"()\[\]{}«»“”]+') as w from documents),
+e as (select regexp_replace(unnest(w), '[,;:!?]+$', '') as bare from t),
+f as (select ends_with(bare, '.') and length(bare) > 1 as stop, lower(case when ends_with(bare, '.') and length(bare) > 1 then left(bare, -1) else bare end) as form from e),
+g as (select form, count(*) filter (where stop) as stopped, count(*) filter (where not stop) as plain from f where regexp_matches(form, '^\p{L}[\p{L}.''-]*$') group by form),
+n as (select sum(stopped + plain)::double as n, sum(stopped)::double / sum(stopped + plain)::double as p from g),
+x as (select form, stopped, plain, length(form) - length(replace(form, '.', '')) as dots, stopped * ln(p) + plain * ln(1 - p) - stopped * ln(0.99) - plain * ln(0.01) as r from g, n where stopped > 0)
+select form, stopped, plain, -2 * r * exp(-(length(form) - dots)) * (dots + 1) * pow((length(form) - dots)::double, -plain::double) >= 0.3 as is_abbreviation from x
+"""
+
+
+@query("sentence_forms", _FORMS_SQL)
+def sentence_forms(spark, sf):
+    """Word forms that stand with a final full stop somewhere, and whether they count as abbreviations."""
+    scored = sentences.scored_forms(sentences.word_forms(table(spark, sf, "documents")))
+    return scored.where("stopped > 0").select("form", "stopped", "plain", (F.col("abbreviation") >= sentences.ABBREVIATION).alias("is_abbreviation"))
