@@ -24,7 +24,7 @@ def grade_task(task: Task, generations: DataFrame) -> DataFrame:
         generations = generations.withColumn("parsed_generations", parse_all(task.parser, "generations"))
     if (tokenizer := task.meta.get("truncate_tokenizer")) and task.grader == "ruler":
         generations = graders.within_budgets(generations, tokenizer)
-    return graders.grade(generations, task.grader)
+    return graders.grade_or_report(generations, task.grader)
 
 
 def score_task(task: Task, graded: DataFrame) -> DataFrame:

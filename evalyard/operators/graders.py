@@ -48,13 +48,22 @@ def accuracy_scores(zero_is_nan: bool = False) -> Scores:
     return lambda graded, o: metrics.named_scores(graded, o.average_over, o.pass_at, o.by, zero_is_nan)
 
 
+def no_truth(df: DataFrame) -> Column:
+    """What is missing in a row for most graders."""
+    return F.when(F.col("ground_truth").isNull(), "no ground_truth")
+
+
 @dataclass(frozen=True)
 class Grader:
-    """``rows`` judges, ``scores`` aggregates what ``rows`` gave; ``flags`` says whether rows have ``correct``."""
+    """``rows`` judges, ``scores`` aggregates what ``rows`` gave; ``flags`` says whether rows have ``correct``.
+
+    ``problem`` says of a row why it can't be judged, null if it can.
+    """
 
     rows: Rows
     scores: Scores = field(default_factory=accuracy_scores)
     flags: bool = True
+    problem: Callable[[DataFrame], Column] = no_truth
 
 
 _GRADERS: dict[str, Grader] = {}
@@ -69,9 +78,9 @@ def register(grader: Grader, *names: str) -> None:
         _GRADERS[n] = grader
 
 
-def grader(*names: str, scores: Scores | None = None, flags: bool = True):
+def grader(*names: str, scores: Scores | None = None, flags: bool = True, problem: Callable[[DataFrame], Column] = no_truth):
     def keep(f):
-        register(Grader(f, scores or accuracy_scores(), flags), *names)
+        register(Grader(f, scores or accuracy_scores(), flags, problem), *names)
         return f
 
     return keep
@@ -130,8 +139,27 @@ def grade(df: DataFrame, name: str) -> DataFrame:
     return out.withColumn("correct", F.coalesce(special, "correct"))
 
 
+def grade_or_report(df: DataFrame, name: str) -> DataFrame:
+    """``grade`` of the rows that can be judged, and the others as they are with the reason as ``exception``.
+
+    No row of a batch that its grader would fail on stops the others; scores pass over error records.
+    """
+    found = get_grader(name)
+    why = found.problem(df)
+    if "generations" in df.columns:
+        why = F.when(F.col("generations").isNull(), "no generations").otherwise(why)
+    # rows that are answered before any grader looks at them need nothing else
+    for early in {"error"} & set(df.columns):
+        why = F.when(F.col(early).isNull(), why)
+    df = df.withColumn("exception", why)
+    good = grade(df.where("exception is null"), name)
+    return good.unionByName(df.where("exception is not null"), allowMissingColumns=True)
+
+
 def score(graded: DataFrame, name: str, options: Options = Options()) -> DataFrame:
-    """name and value of each of a grader's scores over rows that ``grade`` gave."""
+    """name and value of each of a grader's scores over rows that ``grade`` or ``grade_or_report`` gave."""
+    if "exception" in graded.columns:
+        graded = graded.where("exception is null")
     return get_grader(name).scores(graded, options).select("name", F.col("value").cast("double").alias("value"))
 
 
@@ -161,7 +189,14 @@ def pick_choice(text: Column) -> Column:
     return F.coalesce(*stated, lone, digit, symbol)
 
 
-@grader("multiple-choice", "multiple_choice")
+def _choice_problem(df: DataFrame) -> Column:
+    missing = no_truth(df)
+    if df.schema["ground_truth"].dataType.typeName() == "array":
+        return missing.when(F.size("ground_truth") != F.size("generations"), "truths and generations differ in number")
+    return missing
+
+
+@grader("multiple-choice", "multiple_choice", problem=_choice_problem)
 def multiple_choice(df: DataFrame) -> DataFrame:
     """The truth is its first character, 1 to 5 read as A to E; a list pairs with the generations."""
     truth = F.col("ground_truth")
@@ -199,7 +234,11 @@ def math_numeric(df: DataFrame) -> DataFrame:
     return out.withColumn("partial_accuracy", F.aggregate("correct", F.lit(0.0), lambda a, x: a + x) / F.size("correct")).withColumn("any_accuracy", F.exists("correct", lambda x: x == 1).cast("double"))
 
 
-@grader("hle")
+def _hle_problem(df: DataFrame) -> Column:
+    return no_truth(df).when(~F.coalesce(F.col("answer_type").isin("multipleChoice", "exactMatch"), F.lit(False)), "unknown answer_type")
+
+
+@grader("hle", problem=_hle_problem)
 def hle(df: DataFrame) -> DataFrame:
     """By ``answer_type``: a choice letter after "Answer:" (else the first letter); else the judge's verdict where
     ``judge_replies`` are there, or equal trimmed lower-case text. Another type is an error."""
@@ -309,7 +348,7 @@ def _ruler_scores(graded: DataFrame, options: Options) -> DataFrame:
     return accuracy_scores()(graded, options).unionByName(metrics.flag_ratio(graded.where("ruler_task is not null"), "ruler_task"))
 
 
-@grader("ruler", scores=_ruler_scores)
+@grader("ruler", scores=_ruler_scores, problem=lambda df: no_truth(df).when(~F.coalesce(F.col("ruler_task").isin(*RULER_SINGLE, *RULER_EACH, *RULER_ANY, "ruler_vt"), F.lit(False)), "unknown ruler_task"))
 def ruler(df: DataFrame) -> DataFrame:
     """Retrieval tasks: one whole-word flag, one flag for any value, or a flag for each expected value. ``ground_truth`` is a text or a list."""
     want, task = F.col("ground_truth"), F.col("ruler_task")
@@ -470,7 +509,13 @@ def deterministic_incorrect(answer: Column, unclosed: Column, from_reasoning: Co
 unavailable("needs a symbolic algebra package", "sympy-llm-as-judge", "sympy_llm_as_judge")
 
 
-@grader("ifeval", "if_eval", scores=lambda graded, o: ifeval.accuracy_scores(graded), flags=False)
+def _instruction_problem(df: DataFrame) -> Column:
+    ids = F.col("instruction_ids" if "instruction_ids" in df.columns else "instruction_id_list")
+    known = F.forall(ids, lambda i: i.isin(*ifeval.list_instructions()))
+    return F.when(ids.isNull() | F.col("kwargs").isNull(), "no instructions").when(F.size(ids) != F.size("kwargs"), "instructions and arguments differ in number").when(~known, "unknown instruction")
+
+
+@grader("ifeval", "if_eval", scores=lambda graded, o: ifeval.accuracy_scores(graded), flags=False, problem=_instruction_problem)
 def instructions(df: DataFrame) -> DataFrame:
     """Flags of each instruction of a row's first answer, strict and loose; rows with an ``error`` or too long an input follow nothing."""
     said = F.try_element_at("answers", F.lit(1)) if "answers" in df.columns else F.col("response")
@@ -486,7 +531,7 @@ def instructions(df: DataFrame) -> DataFrame:
     return ifeval.grade(df.withColumn("_said", said), "_said").drop("_said")
 
 
-@grader("choice_scoring", "multiple_choice_nll", scores=lambda graded, o: choice.choice_scores(graded), flags=False)
+@grader("choice_scoring", "multiple_choice_nll", scores=lambda graded, o: choice.choice_scores(graded), flags=False, problem=lambda df: F.lit(None).cast("string"))
 def choices(df: DataFrame) -> DataFrame:
     """Picks and values of each row's choices, from likelihoods that are there or from raw responses (see ``choice.from_responses``)."""
     if "choice_nll" not in df.columns:
