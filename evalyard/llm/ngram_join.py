@@ -21,6 +21,8 @@ Jaccard similarity of their sets is 0.8 or more. The result names each document'
    are enough to link go to the one of them with the smallest set: if any of them are linked by these tokens alone, they are with it.
 7. Each candidate pair is verified once: by its first common token, a suffix filter behind it, then the exact overlap.
 
+Joins on one token or list are left to adaptive execution's skew joins, which split a key with very many rows.
+
 What stays: documents that share most of ``DEPTH``-token combinations without links are compared in lists that have
 shrunk with each token, but are compared.
 """
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ._text import join_counted, mix64, row_identity, sized, slices, words
+from ._text import mix64, row_identity, sized, slices, words
 from .components import components
 
 SIZE, PERCENT = 5, 80
@@ -191,8 +193,7 @@ def _profiles(sets: DataFrame, percent: int) -> DataFrame:
     # the documents of a shingle by their number and two sums of hashes without carry
     who = [F.bit_xor(F.xxhash64("doc", F.lit(k))) for k in range(2)]
     where = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.xxhash64(F.count(F.lit(1)), *who).alias("name")).where("df > 1")
-    where = materialize(where, "where")
-    common = join_counted(exploded, where, "token", "df", small=True).groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("common"))
+    common = exploded.join(materialize(where, "where"), "token").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "name"))).alias("common"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -265,11 +266,11 @@ def _across(entries: DataFrame, profiles: DataFrame, group: DataFrame, percent:
         others = F.greatest(F.col("p") - F.col("top.p"), F.col("q") - F.col("top.q"))
         # deeper keys pay where an entry has fewer of them than documents to be compared with
         deep = (others > F.greatest(F.lit(LONG), PAYS * F.col("left") / (F.col("p") + F.col("q")))) if depth < DEPTH else F.lit(False)
-        lists = per.where("k > 1 and p > 0 and q > 0").select("key", F.col("top.component").alias("largest"), deep.alias("deep"), (F.col("p") + F.col("q")).alias("size"))
+        lists = per.where("k > 1 and p > 0 and q > 0").select("key", F.col("top.component").alias("largest"), deep.alias("deep"))
         lists = materialize(lists, "lists")
         if lists.isEmpty():
             break
-        mixed = materialize(join_counted(placed, lists, "key", "size", small=True), "mixed")
+        mixed = materialize(placed.join(lists, "key"), "mixed")
         short = mixed.where("not deep")
         finds, found = short.where("finds"), short.where("not finds")
         out.append(_pairs(finds.where("component <> largest"), found, percent, apart))
@@ -289,7 +290,7 @@ def _links(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFra
     """Links (a, b) between class representatives that connect all that are similar; None if there are none."""
     tokens = reps.select("doc", F.explode("probe").alias("token"))
     shared = tokens.groupBy("token").count().where("count > 1")
-    hits = join_counted(tokens, materialize(shared, "shared"), "token", "count", small=True).groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
+    hits = tokens.join(materialize(shared.select("token"), "shared"), "token").groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
     survivors = materialize(reps.select("doc", "least").join(hits, "doc").where("hits >= least").select("doc"), "survivors")
     if survivors.isEmpty():
         return None
