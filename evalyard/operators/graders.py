@@ -511,7 +511,7 @@ unavailable("needs a symbolic algebra package", "sympy-llm-as-judge", "sympy_llm
 
 def _instruction_problem(df: DataFrame) -> Column:
     ids = F.col("instruction_ids" if "instruction_ids" in df.columns else "instruction_id_list")
-    known = F.forall(ids, lambda i: i.isin(*ifeval.list_instructions()))
+    known = F.forall(ids, lambda i: i.isin(*ifeval.list_instructions(unlisted=True)))
     return F.when(ids.isNull() | F.col("kwargs").isNull(), "no instructions").when(F.size(ids) != F.size("kwargs"), "instructions and arguments differ in number").when(~known, "unknown instruction")
 
 

@@ -56,8 +56,12 @@ def check(name: str):
     return keep
 
 
-def list_instructions() -> list[str]:
-    return sorted([*_CHECKS, JSON, *LANGUAGE])
+#: Rules that can be checked but that no list of instructions offers.
+UNLISTED = ("startend:constrained_start", "detectable_format:rephrase", "detectable_content:rephrase_paragraph", "keywords:key_sentences")
+
+
+def list_instructions(unlisted: bool = False) -> list[str]:
+    return sorted(k for k in (*_CHECKS, JSON, *LANGUAGE) if unlisted or k not in UNLISTED)
 
 
 def _int(args: Args, name: str) -> Column:
@@ -225,6 +229,37 @@ def _no_comma(v, a):
     return ~F.contains(v, F.lit(","))
 
 
+@check("startend:constrained_start")
+def _start(v, a):
+    return F.regexp_like(v, F.concat(F.lit(r"(?dUm)^\s*"), a("starter"), F.lit(".*$")))
+
+
+@check("detectable_format:rephrase")
+def _rephrase(v, a):
+    """Equal texts but for what stands between asterisks on a line; a response without such a change fails."""
+    change = regex(r"\*.*\*")
+    return F.rlike(v, F.lit(change)) & (F.regexp_replace(v, change, "") == F.regexp_replace(a("original_message"), change, ""))
+
+
+@check("detectable_content:rephrase_paragraph")
+def _rephrase_paragraph(v, a):
+    """The words shared with a paragraph, each as often as in both, lie in a range."""
+
+    def numbered(c: Column) -> Column:
+        """Each word with its number among its equals, so that a multiset is a set."""
+        w = F.array_sort(all_found(F.lower(c), WORD, 0))
+        return F.transform(w, lambda x, i: F.concat(x, F.lit("#"), (i - F.array_position(w, x)).cast("string")))
+
+    return F.size(F.array_intersect(numbered(a("original_paragraph")), numbered(v))).between(_int(a, "low"), _int(a, "high"))
+
+
+@check("keywords:key_sentences")
+def _key_sentences(v, a):
+    """As many of the key sentences as asked for stand in the response as whole sentences."""
+    parts = F.transform(F.split(F.regexp_replace(strip(v), regex(f"({SENTENCE_END})"), "$1\x00"), "\x00"), strip)
+    return F.size(F.filter(F.array_distinct(_list(a, "key_sentences")), lambda k: F.array_contains(parts, k))) == _int(a, "num_sentences")
+
+
 def _undecided(value: Column, name: str, decided: Column, tongue: Column | None, asked: Column) -> Column:
     """False where a language rule fails without a look at the language, else by the detected language, null where there is none."""
     own = F.lit(None).cast("string") if tongue is None else tongue

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import regex, strip
+from ..session import materialize
 
 NAN = float("nan")
 
@@ -49,6 +52,44 @@ def half_sample_std(correct: Column, n: int) -> Column:
     return F.when(rows <= 1, 0.0).otherwise(F.stddev_samp(row_accuracy(F.slice(correct, 1, n))) * F.sqrt((1 - m / rows) / m))
 
 
+#: Blocks of rows whose shares of each half sample are drawn first; the rows of a block are drawn in one task.
+BLOCKS, BLOCK_ROWS = 1024, 4096
+
+
+def half_samples(df: DataFrame, n: int | None = None, replicates: int = 1000, seed: int = 0) -> DataFrame:
+    """replicate, members, ok and flags: the sums over ``replicates`` half samples of the rows of ``correct``.
+
+    Each half sample has exactly half of the rows, rounded down, drawn without replacement. Rows go to blocks by hash;
+    how many of a block belong to a half sample is drawn from the hypergeometric law on the driver (blocks x
+    replicates numbers), which of them by a seeded generator in the block's task. Sums are combined by Spark.
+    """
+    head = F.slice("correct", 1, n) if n else F.col("correct")
+    rows = df.select(_ones(head).alias("ok"), F.size(head).cast("bigint").alias("flags"), F.monotonically_increasing_id().alias("_row"))
+    total = rows.count()
+    blocks = max(1, min(BLOCKS, total // BLOCK_ROWS))
+    rows = materialize(rows.withColumn("block", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)).cast("int")), "halves")
+    sizes = dict(map(tuple, rows.groupBy("block").count().collect()))
+    names = sorted(sizes)
+    drawn = np.random.default_rng(seed).multivariate_hypergeometric([sizes[b] for b in names], total // 2, size=replicates, method="marginals") if total > 1 else np.zeros((replicates, len(names)), int)
+    shares = {b: drawn[:, k].astype(int).tolist() for k, b in enumerate(names)}
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_row")
+        values = frame[["ok", "flags"]].to_numpy()
+        rng = np.random.default_rng([seed, int(key[0])])
+        out = [(r, m, *values[rng.permutation(len(values))[:m]].sum(axis=0)) for r, m in enumerate(shares[int(key[0])])]
+        return pd.DataFrame(out, columns=["replicate", "members", "ok", "flags"])
+
+    per = rows.groupBy("block").applyInPandas(run, "replicate int, members bigint, ok bigint, flags bigint")
+    return per.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("members", "ok", "flags")])
+
+
+def half_sample_spread(df: DataFrame, n: int | None = None, replicates: int = 1000, seed: int = 0) -> DataFrame:
+    """One row, ``value``: the standard deviation of the accuracy over half samples; 0 for fewer than two rows. Rows may have unequal numbers of flags."""
+    each = half_samples(df, n, replicates, seed)
+    return each.agg(F.coalesce(F.stddev_pop(F.try_divide("ok", "flags")), F.lit(0.0)).alias("value"))
+
+
 def scores(df: DataFrame, average_over: Sequence[int] = (1,), pass_k: Sequence[int] = (1,), by: Sequence[Sequence[str]] = ((),), zero_is_nan: bool = False) -> DataFrame:
     """Long table of the grouping columns, name and value, for each grouping set of ``by``.
 

@@ -44,6 +44,41 @@ def normalise_records(df: DataFrame, order: list[str] | None = None) -> DataFram
     return df
 
 
+MESSAGES = "array<struct<role:string,content:string>>"
+
+
+def records_of(df: DataFrame, record: str = "v", index: str = "row_index") -> DataFrame:
+    """row, completion_input, chat_input and ground_truth of each record of a VARIANT column, current and legacy ones mixed.
+
+    A key that a record lacks differs from one that is null: ``label`` is the truth only of records without
+    ``ground_truth``, and ``prompt`` (text or messages) gives only the inputs that a record lacks. Columns other than
+    ``record`` and ``index`` stay; ``ground_truth`` is a VARIANT. What isn't an object gives nulls but for its row.
+    """
+    v = F.col(record)
+    get = lambda k: F.try_variant_get(v, f"$.{k}", "variant")
+    has = lambda k: get(k).isNotNull()
+    as_text = lambda k: F.when(F.is_variant_null(get(k)), F.lit(None).cast("string")).otherwise(F.try_variant_get(v, f"$.{k}", "string"))
+    kind = lambda k: F.coalesce(F.schema_of_variant(get(k)), F.lit("VOID"))
+    talk = lambda k: F.when(F.startswith(kind(k), F.lit("ARRAY")), F.try_variant_get(v, f"$.{k}", MESSAGES))
+    asked = lambda text: F.array(F.struct(F.lit("user").alias("role"), text.alias("content"))).cast(MESSAGES)
+    is_text = kind("prompt") == "STRING"
+    chat = (
+        F.when(has("chat_input"), talk("chat_input"))
+        .when(F.startswith(kind("prompt"), F.lit("ARRAY")), talk("prompt"))
+        .when(is_text, asked(as_text("prompt")))
+        .when(has("completion_input"), asked(as_text("completion_input")))
+    )
+    completion = (
+        F.when(has("completion_input"), as_text("completion_input"))
+        .when(is_text, as_text("prompt"))
+        .when(F.startswith(kind("prompt"), F.lit("ARRAY")), messages_to_prompt(talk("prompt")))
+        .when(has("chat_input"), messages_to_prompt(talk("chat_input")))
+    )
+    truth = F.when(has("ground_truth"), get("ground_truth")).otherwise(get("label"))
+    rest = [c for c in df.columns if c not in (record, index)]
+    return df.select(F.coalesce(F.try_variant_get(v, "$.row", "bigint"), F.col(index)).alias("row"), completion.alias("completion_input"), chat.alias("chat_input"), truth.alias("ground_truth"), *rest)
+
+
 def row_numbers(df: DataFrame, order: list[str], name: str = "row") -> DataFrame:
     """Gapless numbers from 0 in the given order, without one task for all rows: ranges are counted, then offset.
 
@@ -59,6 +94,34 @@ def row_numbers(df: DataFrame, order: list[str], name: str = "row") -> DataFrame
     return ranged.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_from") + F.col("_nth")).drop("_part", "_nth", "_from")
 
 
+#: Bytes up to which counted tables are broadcast; beyond, they are joined by shuffle.
+BROADCAST_BYTES = 64 << 20
+
+
+def sized(table: DataFrame, bytes_a_row: int = 64) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows are few enough."""
+    return F.broadcast(table) if table.count() * bytes_a_row <= BROADCAST_BYTES else table
+
+
+def group_numbers(df: DataFrame, by: str, order: list[str], name: str = "nth", total: str | None = None) -> DataFrame:
+    """Gapless numbers from 0 within each group of ``by`` in the given order, and perhaps each group's number of rows.
+
+    Ranges over (group, order) are sorted and written once, then counted for each group and range; a group that
+    fills many ranges is numbered by all of their tasks. Null is a group.
+    """
+    part = F.spark_partition_id().alias("_part")
+    ranged = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order).select("*", part)
+    ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    counts = ranged.groupBy("_part", F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    w = Window.partitionBy("_by")  # a row for each range that a group reaches
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = materialize(counts.select(F.col("_part").alias("_in"), "_by", (before - F.col("_first")).alias("_from"), F.sum("_n").over(w).alias("_total")), "counts")
+    out = ranged.join(sized(counts), (ranged["_part"] == counts["_in"]) & ranged[by].eqNullSafe(counts["_by"])).withColumn(name, F.col("_from") + F.col("_at"))
+    if total:
+        out = out.withColumn(total, F.col("_total"))
+    return out.drop("_part", "_at", "_in", "_by", "_from", "_total")
+
+
 def resume(rows: DataFrame, done: DataFrame, key: str = "row") -> DataFrame:
     """Rows whose key isn't done yet."""
     return rows.join(done.select(key).distinct(), key, "left_anti")

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.rows import BROADCAST_BYTES, group_numbers
 
-#: Models that ``every_pair`` takes; they go to every task.
-MOST_MODELS = 10_000
+#: Parts of the keys that all tasks share, where models are too many to be broadcast.
+SALTS = 64
 PENDING, GENERATED, DONE, FAILED = 0, 1, 2, -1
 
 
@@ -18,18 +19,24 @@ def normal_tag(c: Column) -> Column:
     return F.when(t.isNull() | (t == "") | (F.lower(t) == "any"), "any").otherwise(t)
 
 
-def tag_pairs(models: DataFrame, tasks: DataFrame) -> DataFrame:
+def tag_pairs(models: DataFrame, tasks: DataFrame, models_bytes: int = 1 << 10) -> DataFrame:
     """Model and task pairs whose tags are equal or of which one is "any"; each pair once.
 
     One equi-join: a model with a tag looks for that tag and for "any"; a model with "any" looks
-    for "*", which every task offers beside its own tag.
+    for "*", which every task offers beside its own tag. Few models are broadcast, so no key gathers tasks; with many
+    the keys "*" and "any" are split into ``SALTS`` parts: tasks go to one of them, models to each.
     """
     m = models.withColumn("model_tag", normal_tag(F.col("model_tag")))
     t = tasks.withColumn("task_tag", normal_tag(F.col("task_tag")))
     wanted = F.when(F.col("model_tag") == "any", F.array(F.lit("*"))).otherwise(F.array(F.col("model_tag"), F.lit("any")))
     m = m.withColumn("_key", F.explode(wanted))
     t = t.withColumn("_key", F.explode(F.array(F.col("task_tag"), F.lit("*"))))
-    return m.join(t, "_key").drop("_key")
+    if models.count() * models_bytes <= BROADCAST_BYTES:
+        return t.join(F.broadcast(m), "_key").select(*models.columns, *tasks.columns)
+    common = F.col("_key").isin("*", "any")
+    m = m.withColumn("_salt", F.explode(F.when(common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    t = t.withColumn("_salt", F.when(common, F.pmod(F.xxhash64(*tasks.columns), F.lit(SALTS)).cast("int")).otherwise(0))
+    return m.join(t, ["_key", "_salt"]).select(*models.columns, *tasks.columns)
 
 
 def group_pairs(groups: DataFrame, models: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -68,12 +75,12 @@ def insert_replace(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def every_pair(models: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Each model with each task, which is the result itself; the few models go to the tasks' partitions."""
-    names = [r.model for r in models.select("model").distinct().orderBy("model").limit(MOST_MODELS + 1).collect()]
-    if len(names) > MOST_MODELS:
-        raise ValueError(f"more than {MOST_MODELS} models")
-    return tasks.select(F.explode(F.array(*map(F.lit, names)).cast("array<string>")).alias("model"), "task")
+def every_pair(models: DataFrame, tasks: DataFrame, models_bytes: int = 1 << 10) -> DataFrame:
+    """Each model with each task, which is the result itself; few models go to the tasks' partitions."""
+    names = models.select("model").distinct()
+    if names.count() * models_bytes <= BROADCAST_BYTES:
+        names = F.broadcast(names)
+    return tasks.select("task").crossJoin(names).select("model", "task")
 
 
 def with_judges(events: DataFrame, tasks: DataFrame, models: DataFrame) -> DataFrame:
@@ -97,14 +104,39 @@ def jobs_of_models(models: DataFrame, jobs: DataFrame) -> DataFrame:
     return models.join(jobs.select("serving_key", "job").distinct(), "serving_key", "left")
 
 
+#: Fixed value: what a share of done rows looks like, from none to all.
+SHADES = " ▁▂▃▄▅▆▇█"
+
+
 def progress(df: DataFrame, by: str, order: str, done: str, width: int = 20) -> DataFrame:
-    """Share of done rows in each of ``width`` equal stretches of a group's rows in order: group, stretch (from 0), share."""
-    from pyspark.sql.window import Window
+    """Share of done rows in each of ``width`` stretches of a group's rows in order: group, stretch (from 0), share.
+
+    Stretches differ by one row at most, longer ones first; a group of fewer rows has as many stretches. Groups are
+    numbered over ranges, so a group of any size is spread over tasks.
+    """
+    rows = group_numbers(df.select(by, order, F.col(done).cast("int").alias("_d")), by, [order], "_i", "_n")
+    parts = F.least(F.col("_n"), F.lit(width))
+    each, more = F.floor(F.col("_n") / parts), F.col("_n") % parts
+    stretch = F.when(F.col("_i") < more * (each + 1), F.floor(F.col("_i") / (each + 1))).otherwise(more + F.floor((F.col("_i") - more * (each + 1)) / each))
+    return rows.groupBy(by, stretch.alias("stretch")).agg(F.avg("_d").alias("share"))
+
+
+def progress_bars(shares: DataFrame, by: str) -> DataFrame:
+    """A group's stretches as one text of shades."""
+    shade = F.substring(F.lit(SHADES), F.floor(F.col("share") * (len(SHADES) - 1)).cast("int") + 1, F.lit(1))
+    return shares.groupBy(by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("stretch", shade.alias("shade")))), lambda x: x["shade"]), "").alias("bar"))
+
+
+def name_widths(events: DataFrame, *columns: str, least: int = 10) -> DataFrame:
+    """The longest name of each column, ``least`` at least: the widths of a listing."""
+    return events.agg(*[F.greatest(F.coalesce(F.max(F.length(c)), F.lit(0)), F.lit(least)).alias(c) for c in columns])
+
 
-    w = Window.partitionBy(by).orderBy(order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(by))
-    cut = df.select(by, F.col(done).cast("int").alias("_d"), F.floor((F.row_number().over(w) - 1) * width / n).alias("stretch"))
-    return cut.groupBy(by, "stretch").agg(F.avg("_d").alias("share"))
+def listing_names(events: DataFrame, widths: DataFrame, *columns: str) -> DataFrame:
+    """Adds ``label``: the names cut and padded to the widths, joined by bars."""
+    w = widths.select(*[F.col(c).alias(f"_w_{c}") for c in columns])  # one row
+    cells = [F.rpad(F.substring(F.coalesce(c, F.lit("")), F.lit(1), F.col(f"_w_{c}")), F.col(f"_w_{c}"), F.lit(" ")) for c in columns]
+    return events.crossJoin(F.broadcast(w)).withColumn("label", F.concat_ws(" | ", *cells)).drop(*[f"_w_{c}" for c in columns])
 
 
 def phase_counts(events: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from .functions.parsers import parse, reasoning
 from .operators import choice, datasets, graders, ifeval, metrics, rows
 from .plans import planning
 from .session import table
+from .sources import readers
 from .streaming.pipeline import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(query_cases.QUERIES)
@@ -605,12 +606,26 @@ def prompt_responses(spark, sf):
     return rows.by_prompt(df.select("c_custkey", "prompt"), df.where("c_custkey % 3 > 0"), "c_custkey").select("c_custkey", "response")
 
 
-@query("progress", "select o_orderpriority, stretch, round(avg(d), 6) as share from (select o_orderpriority, case when o_orderstatus = 'F' then 1 else 0 end as d, cast(floor((row_number() over (partition by o_orderpriority order by o_orderkey) - 1) * 20 / count(*) over (partition by o_orderpriority)) as bigint) as stretch from orders) group by all")
+_PROGRESS_SQL = """
+with i as (select o_orderpriority, case when o_orderstatus = 'F' then 1 else 0 end as d, row_number() over (partition by o_orderpriority order by o_orderkey) - 1 as i, count(*) over (partition by o_orderpriority) as n from orders),
+w as (select *, least(n, 20) as w from i),
+s as (select *, case when i < (n % w) * (n // w + 1) then i // (n // w + 1) else n % w + (i - (n % w) * (n // w + 1)) // (n // w) end as stretch from w),
+p as (select o_orderpriority, stretch, avg(d) as share from s group by all)
+"""
+
+
+@query("progress", f"{_PROGRESS_SQL} select o_orderpriority, stretch, round(share, 6) as share from p")
 def progress(spark, sf):
     df = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", (F.col("o_orderstatus") == "F").alias("done"))
     return planning.progress(df, "o_orderpriority", "o_orderkey", "done").withColumn("share", rounded("share"))
 
 
+@query("progress_bars", f"{_PROGRESS_SQL} select o_orderpriority, string_agg(substr(' ▁▂▃▄▅▆▇█', floor(share * 8)::bigint + 1, 1), '' order by stretch) as bar from p group by 1")
+def progress_bars(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", (F.col("o_orderstatus") == "F").alias("done"))
+    return planning.progress_bars(planning.progress(df, "o_orderpriority", "o_orderkey", "done"), "o_orderpriority")
+
+
 @query("sharded_rows", "select o_orderkey from orders where o_orderkey % 7 = 3")
 def sharded_rows(spark, sf):
     return rows.sharded(table(spark, sf, "orders").select("o_orderkey"), 3, 7, "o_orderkey")
@@ -688,3 +703,68 @@ def sentence_forms(spark, sf):
     """Word forms that stand with a final full stop somewhere, and whether they count as abbreviations."""
     scored = sentences.scored_forms(sentences.word_forms(table(spark, sf, "documents")))
     return scored.where("stopped > 0").select("form", "stopped", "plain", (F.col("abbreviation") >= sentences.ABBREVIATION).alias("is_abbreviation"))
+
+
+# --- records, numbering, half samples, result tables ----------------------------------------
+
+
+@query("group_numbers", "select l_orderkey, l_linenumber, row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber) - 1 as nth, count(*) over (partition by l_returnflag) as total from lineitem")
+def group_numbers(spark, sf):
+    """Rows numbered in three groups, each over many ranges."""
+    return rows.group_numbers(table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"), "l_returnflag", ["l_orderkey", "l_linenumber"], "nth", "total").drop("l_returnflag")
+
+
+@query("name_widths", "select greatest(10, max(length(n_name))) as n_name, 10 as r_name from nation, region where length(r_name) < 12")
+def name_widths(spark, sf):
+    pairs = table(spark, sf, "nation").select("n_name").crossJoin(F.broadcast(table(spark, sf, "region").where(F.length("r_name") < 6).select("r_name")))
+    return planning.name_widths(pairs, "n_name", "r_name")
+
+
+@query(
+    "variant_records",
+    """select c_custkey as row, case k when 0 then 'c' || c_custkey when 1 then 'p ' || c_name when 2 then 'a' || chr(10) || chr(10) || c_name when 3 then '7' when 4 then 'x' end as completion_input,
+  case k when 0 then 'user:h' when 1 then 'user:p ' || c_name when 2 then 'system:a|user:' || c_name when 3 then 'user:7' when 4 then 'user:x' end as chat,
+  case k when 0 then '"A"' when 1 then '"B"' when 2 then 'null' when 3 then 'null' when 4 then '3' end as truth from (select *, c_custkey % 6 as k from customer)""",
+)
+def variant_records(spark, sf):
+    """Legacy and current records in one table: absent and null keys stay apart."""
+    key, name = text(F.col("c_custkey")), F.col("c_name")
+    lines = F.array(
+        F.concat(F.lit('{"row": '), key, F.lit(', "completion_input": "c'), key, F.lit('", "chat_input": [{"role": "user", "content": "h"}], "ground_truth": "A", "label": "Z"}')),
+        F.concat(F.lit('{"prompt": "p '), name, F.lit('", "label": "B"}')),
+        F.concat(F.lit('{"prompt": [{"role": "system", "content": "a"}, {"role": "user", "content": "'), name, F.lit('"}], "label": null}')),
+        F.lit('{"completion_input": 7, "ground_truth": null, "label": "X"}'),
+        F.lit('{"chat_input": [{"role": "user", "content": "x"}], "label": 3}'),
+        F.lit('{"broken": '),
+    )
+    df = table(spark, sf, "customer").select(F.col("c_custkey").alias("row_index"), F.try_parse_json(F.element_at(lines, (F.col("c_custkey") % 6 + 1).cast("int"))).alias("v"))
+    chat = F.array_join(F.transform("chat_input", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
+    return rows.records_of(df).select("row", "completion_input", chat.alias("chat"), F.to_json("ground_truth").alias("truth"))
+
+
+@query("half_sample_sizes", "select unnest(range(0, 200)) as replicate, count(*) // 2 as members, (count(*) // 2) * 2 >= count(*) - 1 as is_half from labels")
+def half_sample_sizes(spark, sf):
+    """Each of 200 half samples has exactly half of the rows."""
+    flags = F.array(F.col("quality").cast("int"), (1 - F.col("toxic")).cast("int"))
+    df = table(spark, sf, "labels").select(flags.alias("correct"))
+    total = df.count()
+    return metrics.half_samples(df, replicates=200).select("replicate", "members", (F.col("members") * 2 >= total - 1).alias("is_half"))
+
+
+@query(
+    "result_table",
+    """with r as (select o_orderpriority as p, count(*) filter (where o_orderstatus = 'F') * 10 // count(*) as tenth from orders group by 1)
+select 'bfcl_' || replace(replace(lower(p), '-', '_'), ' ', '_') as name, tenth / 10.0 as value from r where p <> '1-URGENT'
+union all select * from (select 'bfcl_think_tag_' || tag || '_frac' as name, round(n / sum(n) over (), 6) as value from (select 'think' as tag, count(*) filter (where o_orderkey % 3 = 0) * 2 as n from orders union all select 'fast', count(*) filter (where o_orderkey % 3 = 1) from orders))""",
+)
+def result_table(spark, sf):
+    """A table with one column for each priority, unknown beforehand, an N/A cell, and unequal tags in transcripts."""
+    orders = table(spark, sf, "orders")
+    tenth = F.floor(F.count_if(F.col("o_orderstatus") == "F") * 10 / F.count(F.lit(1)))
+    cell = F.when(F.col("o_orderpriority") == "1-URGENT", "N/A").otherwise(F.concat((F.col("t") * 10).cast("string"), F.lit("%")))
+    wide = orders.groupBy("o_orderpriority").agg(tenth.alias("t")).withColumn("c", cell).groupBy().pivot("o_orderpriority").agg(F.first("c")).withColumn("Rank", F.lit("1"))
+    later = wide.select(*[F.lit("99%").alias(c) for c in wide.columns])
+    k = F.col("o_orderkey") % 3
+    texts = orders.select(F.when(k == 0, "<think>a</think>b<think>").when(k == 1, "x<fast>y").alias("text"))
+    both = wide.withColumn("at", F.lit(0)).unionByName(later.withColumn("at", F.lit(1)))
+    return readers.result_scores(both, order="at").unionByName(readers.tag_fractions(texts, ["<think>", "<fast>", "<none>"]).withColumn("value", rounded("value")))

@@ -246,6 +246,11 @@ _INSTRUCTIONS = [
     ("length_constraints:number_sentences", {"relation": "at least", "num_sentences": "3"}, 'He said "Go." Then Dr. J. Roe left... and came! So', 1), ("length_constraints:number_sentences", {"relation": "less than", "num_sentences": "3"}, "One. Two! Three?", 0), ("length_constraints:number_sentences", {"relation": "less than", "num_sentences": "2"}, " Version 2.0 (e.g. of it) ", 1),
     ("change_case:capital_word_frequency", {"capital_relation": "at least", "capital_frequency": "5"}, "DON'T NATO, (USA) 3D 42 don't", 1), ("change_case:capital_word_frequency", {"capital_relation": "less than", "capital_frequency": "2"}, "WELL-KNOWN as ABC-def GHI.", 0), ("change_case:english_capital", {}, "ALL of it", 0), ("change_case:english_capital", {}, "ALL OF IT", None),
     ("change_case:english_lowercase", {}, "42", 0), ("change_case:english_lowercase", {}, "all of it", None), ("language:response_language", {"language": "en"}, "all of it", None), ("language:response_language", {"language": "en"}, " ", 0), ("punctuation:no_comma", {}, "a b", 1), ("punctuation:no_comma", {}, "a, b", 0), ("punctuation:no_comma", {}, " ", 0),
+    ("startend:constrained_start", {"starter": "My answer"}, "Well.\n  My answer is no", 1), ("startend:constrained_start", {"starter": "My answer"}, "So my answer", 0),
+    ("detectable_format:rephrase", {"original_message": "a *b* c"}, "a *new words* c", 1), ("detectable_format:rephrase", {"original_message": "a *b* c"}, "a *b* d", 0), ("detectable_format:rephrase", {"original_message": "a *b* c"}, "a b c", 0),
+    ("detectable_content:rephrase_paragraph", {"original_paragraph": "The cat, the dog; a cat", "low": "3", "high": "4"}, "the CAT the cat sat", 1), ("detectable_content:rephrase_paragraph", {"original_paragraph": "The cat, the dog; a cat", "low": "3", "high": "4"}, "the the the dog", 1),
+    ("detectable_content:rephrase_paragraph", {"original_paragraph": "The cat, the dog; a cat", "low": "3", "high": "4"}, "the the the", 0), ("detectable_content:rephrase_paragraph", {"original_paragraph": "The cat, the dog; a cat", "low": "3", "high": "4"}, "a cat, the cat, the dog", 0),
+    ("keywords:key_sentences", {"key_sentences": '["It rains.", "We go!"]', "num_sentences": "2"}, "We go! Now. It rains. Yes.", 1), ("keywords:key_sentences", {"key_sentences": '["It rains.", "We go!"]', "num_sentences": "2"}, "We go! So it rains.", 0), ("keywords:key_sentences", {"key_sentences": '["It rains."]', "num_sentences": "0"}, "It rains here.", 1),
 ]
 
 

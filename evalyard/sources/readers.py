@@ -120,13 +120,34 @@ def read_csv(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     return df
 
 
+def read_variants(spark: SparkSession, path: str, index: str = "row_index") -> DataFrame:
+    """Records of the readable files as VARIANT ``v``, numbered from 0 in file and line order; malformed lines are null."""
+    return row_numbers(ordered_lines(spark, path).withColumn("v", F.try_parse_json("value")), ["file", "block", "nth"], index).select(index, "v")
+
+
 def result_scores(df: DataFrame, prefix: str = "bfcl_", order: str | None = None) -> DataFrame:
-    """Percent cells of the first row of a result table as (name, value in 0..1)."""
-    first = (df.orderBy(order) if order else df).limit(1)
-    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("cell")) for c in df.columns])
-    long = first.select(F.inline(cells)).where(F.col("cell").endswith("%"))
-    name = F.concat(F.lit(prefix), F.regexp_replace(F.lower("name"), r"[ -]", "_"))
-    return long.select(name.alias("name"), (F.regexp_replace("cell", "%", "").cast("double") / 100).alias("value"))
+    """Percent cells of one row of a result table in long form: name, value in 0..1.
+
+    The row is the first by ``order`` where it is given, else the first that was read, in file order; whatever columns there are are unpivoted.
+    Cells that are no percentage, such as N/A, are left out; a table without a row or without scores gives none.
+    """
+    cells = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{k}") for k, c in enumerate(df.columns)], (F.col(order) if order else F.monotonically_increasing_id()).alias("_at"))
+    first = cells.agg(F.min_by(F.struct(*[f"c{k}" for k in range(len(df.columns))]), "_at").alias("r")).select("r.*")
+    long = first.unpivot([], list(first.columns), "at", "cell")
+    names = F.element_at(F.array(*map(F.lit, df.columns)), F.expr("cast(substring(at, 2) as int) + 1"))
+    long = long.withColumn("name", F.concat(F.lit(prefix), F.regexp_replace(F.lower(names), r"[ -]", "_")))
+    return long.where(F.endswith("cell", F.lit("%"))).select("name", (F.regexp_replace("cell", "%+$", "").try_cast("double") / 100).alias("value")).where("value is not null")
+
+
+def tag_fractions(texts: DataFrame, tags: list[str], text: str = "text", prefix: str = "bfcl_think_tag_") -> DataFrame:
+    """Share of each tag among all occurrences of ``tags`` in the transcripts, named after the tag without its marks; nothing without any."""
+    counts = texts.agg(*[F.sum(F.coalesce(F.regexp_count(F.col(text), F.lit("\\Q" + t + "\\E")), F.lit(0))).alias(f"t{k}") for k, t in enumerate(tags)])
+    long = counts.unpivot([], list(counts.columns), "at", "n")
+    plain = [t.lstrip("<").rstrip(">").replace("/", "") for t in tags]
+    name = F.element_at(F.array(*map(F.lit, plain)), F.expr("cast(substring(at, 2) as int) + 1"))
+    total = sum((F.col(c) for c in counts.columns), F.lit(0))
+    every = counts.select(total.alias("total"))
+    return long.crossJoin(F.broadcast(every)).where("total > 0 and n > 0").select(F.concat(F.lit(prefix), name, F.lit("_frac")).alias("name"), (F.col("n") / F.col("total")).alias("value"))
 
 
 def hub_uri(c) -> F.col:
