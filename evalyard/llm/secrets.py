@@ -30,8 +30,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no look
 KINDS = ("assign", "access", "hex", "cnn")
-#: What the network judges beyond the rules: unbroken runs of 12 or more that mix letters and digits, and all of 20 or more.
+#: What the network judges beyond the rules: unbroken runs of 12 or more that mix letters and digits, and all of 20 or
+#: more; and passwords, runs of 10 to 64 with letters, digits and marks.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?:(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{12,}|[A-Za-z0-9+/_=.-]{20,})")
+MARKED = re.compile(r"(?<![A-Za-z0-9!@#$%^&*~?_+=.-])(?=[^\s0-9]*[0-9])(?=[^\sA-Za-z]*[A-Za-z])(?=[A-Za-z0-9_+=.-]*[!@#$%^&*~?])[A-Za-z0-9!@#$%^&*~?_+=.-]{10,64}(?![A-Za-z0-9!@#$%^&*~?_+=.-])")
 BEFORE, INSIDE, AFTER = 24, 48, 16
 WIDTH = BEFORE + INSIDE + AFTER
 SYMBOLS = 100
@@ -95,7 +97,7 @@ class Network:
         return 1 / (1 + np.exp(-(self.slope * self.logits(x) + self.shift)))
 
 
-def labelled_findings(n: int = 9000, seed: int = 11) -> list[tuple[str, int, int, int]]:
+def labelled_findings(n: int = 12_000, seed: int = 11) -> list[tuple[str, int, int, int]]:
     """Labelled findings (text, start, end, label) from a seeded generator: 1 is a live-looking secret.
 
     Half are secrets of many shapes after assignments, headers, options or plain words; half are
@@ -121,6 +123,8 @@ def labelled_findings(n: int = 9000, seed: int = 11) -> list[tuple[str, int, int
         lambda: pick(letters, 20, 44),
         lambda: "/".join(word(1, 3) for _ in range(rng.randint(1, 4))) + "/" + pick(letters + string.digits, 28, 60) + "/" + word(1, 3),
         lambda: rng.choice(["key", "sig", "access", "live", "prod"]) + rng.choice("-_=") + pick(b64, 24, 90),
+        lambda: pick(letters + string.digits + "!@#$%^&*", 10, 24),
+        lambda: pick(letters + string.digits, 8, 18) + rng.choice("!@#$%^&*?") + pick(letters + string.digits, 2, 6),
     ]
     others = [
         lambda: word(5, 9) + str(rng.randint(0, 999)),
@@ -143,6 +147,18 @@ def labelled_findings(n: int = 9000, seed: int = 11) -> list[tuple[str, int, int
         lambda: f"{word(2, 4)}.{word(2, 3)}{rng.randint(1, 999)}",
         lambda: f"{word(1, 2)}{rng.randint(1, 99)}-{word(1, 2)}{rng.randint(1, 99)}.{word(1, 2)}.{rng.choice(['com', 'org', 'net'])}/{word(1, 3)}",
         lambda: f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}/{rng.choice(['a', 'x'])}{rng.randint(8, 32)}",
+        lambda: f"{word(1, 3)}{rng.choice(['.', '_', ''])}{word(1, 2)}{rng.randint(1, 99)}@{word(2, 3)}.{rng.choice(['com', 'org', 'net'])}",
+        lambda: f"{word(2, 4)}.html#{word(1, 3)}-{rng.randint(1, 40)}",
+        lambda: f"{word(2, 4)}?{word(1, 2)}={rng.randint(1, 99)}&{word(1, 2)}={word(1, 2)}",
+        lambda: f"{word(2, 4)}{rng.randint(1, 99)}{rng.choice(['!!', '?!', '...?', '!'])}",
+        lambda: f"{word(1, 2).capitalize()}-{word(1, 2)}-{rng.randint(10, 100)}%-{word(1, 2)}",
+        lambda: "_".join(word(1, 3) for _ in range(rng.randint(3, 6))),
+        lambda: ".".join(word(1, 3).capitalize() if rng.random() < 0.4 else word(1, 3) for _ in range(rng.randint(3, 6))),
+        lambda: "".join(word(1, 3).capitalize() for _ in range(rng.randint(3, 6))),
+        lambda: f"{word(1, 3)}." * rng.randint(0, 1) + "_".join(word(1, 3).upper() for _ in range(rng.randint(2, 5))) + rng.choice(["", "", str(rng.randint(0, 999))]),
+        lambda: f"{word(1, 2)}{rng.choice('-_.')}" * rng.randint(0, 1) + f"{rng.randint(1990, 2030)}{(m := rng.choice(['-', '', '.']))}{rng.randint(1, 12):02d}{m}{rng.randint(1, 28):02d}{rng.choice(['T', '-', '_'])}{rng.randint(0, 23):02d}{m}{rng.randint(0, 59):02d}{rng.choice(['', '.', '-', '_'])}{word(1, 3)}.{rng.choice(['gz', 'log', 'csv', 'zip', 'bak'])}",
+        lambda: "--" + "-".join(word(1, 3) for _ in range(rng.randint(1, 4))) + f"={rng.choice([str(rng.randint(0, 999)), word(1, 2)])}",
+        lambda: f"/{word(1, 2)}/{word(1, 2)}/{word(1, 3)}{rng.randint(2, 9)}.{rng.randint(0, 19)}/{word(2, 4)}_{word(1, 3)}.{rng.choice(['py', 'so', 'txt', 'json', 'md'])}",
     ]
     prefix = ["", "", "key: ", "Authorization: Bearer ", "export KEY=", '"value": "', "--auth ", "use ", "see ", "file ", "id ", "version "]
     out = []
@@ -213,7 +229,8 @@ def scan_text(text: str | None, net: Network) -> list[tuple[int, str, int, float
     taken = sorted((s, e) for s, _, e in base)
     starts, reach = [s for s, _ in taken], [*accumulate((e for _, e in taken), max)]
     # a candidate goes only if one rule match holds all of it
-    more = [(s, "cnn", e) for s, e in (m.span() for m in CANDIDATE.finditer(text)) if not (k := bisect_right(starts, s)) or reach[k - 1] < e]
+    spans = {m.span() for p in (CANDIDATE, MARKED) for m in p.finditer(text)}
+    more = [(s, "cnn", e) for s, e in sorted(spans) if not (k := bisect_right(starts, s)) or reach[k - 1] < e]
     every = base + more
     if not every:
         return []

@@ -1,5 +1,15 @@
+import base64
+import email.message
 import hashlib
+import inspect
+import json
+import logging
+import os
+import random
 import re
+import socket
+import string
+import sys
 
 import numpy as np
 
@@ -73,6 +83,60 @@ def test_planted_findings_that_the_generator_did_not_make():
     assert np.mean(false) <= 0.15, [t for t, h in zip(ALIKE, false) if h]
 
 
+def lines_apart(seed=21):
+    """(line, start, end, secret or not): 200 secrets as common tools mint them, and 200 names, paths and addresses as they are in use."""
+    rng = random.Random(seed)
+    raw = lambda n: rng.randbytes(n)
+    safe = lambda n: base64.urlsafe_b64encode(raw(n)).decode().rstrip("=")
+    said = ["Our deploy bot uses {} since May.", "set in vault: {}", "{}", "-H 'X-Key: {}'", "client = connect({!r})", "\tlogin root/{} works", "# was {} before the incident", "he pasted {} into the chat"]
+    signs = string.ascii_letters + string.digits + "!#$%&*@^"
+
+    def password():
+        while True:
+            p = "".join(rng.choices(signs, k=rng.randint(12, 18)))
+            if S.MARKED.fullmatch(p):
+                return p
+
+    minted = [lambda: safe(24), lambda: base64.b64encode(raw(30)).decode(), lambda: raw(20).hex().upper(), lambda: f"{safe(12)}.{safe(18)}.{safe(32)}", lambda: "pat_" + safe(22), password, lambda: base64.b32encode(raw(20)).decode(), lambda: "rk_test_" + safe(18)]
+    names = [f"{m.__name__}.{a}" for m in (json, hashlib, base64, random, string, inspect, os, socket, logging, email.message) for a in dir(m) if len(a) > 11]
+    files = [f"/usr/lib/python3.{rng.randint(8, 13)}/{m}/__init__{k}.py" for k, m in enumerate(sorted(sys.stdlib_module_names)) if len(m) > 8]
+    people = [f"{m}{rng.randint(1, 99)}@{n}.example.org" for m, n in zip(sorted(sys.stdlib_module_names), reversed(sorted(sys.stdlib_module_names)))]
+    pages = [f"https://docs.example.org/{rng.randint(2, 3)}/library/{m}.html#module-{m}" for m in sorted(sys.stdlib_module_names) if len(m) > 5]
+    flags = [f"--{m.replace('_', '-')}-level={rng.randint(10, 99)}" for m in sorted(sys.stdlib_module_names) if len(m) > 6]
+    times = [f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}T{rng.randint(0, 23):02d}.{rng.randint(0, 59):02d}.00-backup.tar.gz" for _ in range(40)]
+    out = []
+    for k in range(400):
+        value = minted[k // 2 % len(minted)]() if k % 2 else rng.choice([names, files, people, pages, flags, times][k // 2 % 6])
+        line = said[k % len(said)].format(value)
+        out.append((line, line.index(value[:9]), line.index(value[:9]) + len(value), k % 2))
+    return out
+
+
+def test_network_alone_on_lines_made_apart(capsys):
+    net = S.default_network()
+    caught, false, wrong = 0, 0, []
+    for text, start, end, label in lines_apart():
+        spans = [(s, e) for p in (S.CANDIDATE, S.MARKED) for s, e in (m.span() for m in p.finditer(text))]
+        hit = [(s, e) for s, e in spans if net.probability(np.stack([S.window(text, *q) for q in S.pieces(s, e)])).max() >= net.threshold]
+        if label:
+            caught += any(s < end and e > start for s, e in hit)
+        else:
+            false += bool(hit)
+        if bool(hit) != bool(label):
+            wrong.append(text)
+    with capsys.disabled():
+        print(f"network alone: recall {caught / 200:.3f}, false alarms {false / 200:.3f}")
+    assert caught >= 180, wrong
+    assert false <= 30, wrong
+
+
+def test_passwords_with_marks_are_candidates():
+    found = lambda t: [m[0] for m in S.MARKED.finditer(t)]
+    assert found("pw Tr0ub4dor&3x! yes") == ["Tr0ub4dor&3x!"] and found("a1!") == [] and found("nodigits!!here") == [] and found("123456789!0") == []
+    net = S.default_network()
+    assert any(k == "cnn" for _, k, *_ in S.scan_text("login with xK9$mQ2!vR7&pL", net))
+
+
 def test_network_against_plain_loops():
     net = S.default_network()
     text = "key: " + "aB3dE6gH9jK2" * 3 + " and more"
