@@ -22,6 +22,7 @@ what it has read of it.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,6 +100,9 @@ class Lookup:
         return out
 
 
+_LOOKUPS: dict[str, tuple[Lookup, Lookup]] = {}
+
+
 def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key = np.concatenate([p[0] for p in parts])
     order = np.argsort(key, kind="stable")
@@ -189,6 +193,8 @@ def costs(counted: DataFrame, order: int = ORDER) -> DataFrame:
         low = F.expr(f"gram & {(1 << 8 * (level + 1)) - 1}L")
         here = trie.where(F.col("level") == level).select(F.col("gram").alias("low"), F.col("n").alias("c"))
         about = contexts.where(F.col("level") == level).select(F.col("context").alias("ctx"), "total", "kinds", F.col("excluded").alias("next_excluded"))
+        if level < 2:  # at most 256 to the power of 2 rows, and few keys that would gather all of the state
+            here, about = F.broadcast(here), F.broadcast(about)
         state = state.withColumn("low", low).join(here, "low", "left").withColumn("ctx", F.shiftright("low", 8)).join(about, "ctx", "left")
         free = F.coalesce("total", F.lit(0)) - F.col("excluded")
         kinds = F.coalesce("kinds", F.lit(0)) - F.col("gone")
@@ -215,12 +221,15 @@ def _look_up(docs: DataFrame, head_grams: pa.Table, head_words: pa.Table, unit:
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((head_grams["gram"].to_numpy(), head_grams["cost"].to_numpy(), head_words["word"].combine_chunks() if len(head_words) else pa.array([], pa.string()), head_words["n"].to_numpy()))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram_keys, gram_costs, known, known_n = shared.value
-        gram_at = Lookup(gram_keys)
         hashes = lambda a: np.fromiter((xxhash.xxh64_intdigest(w) for w in a.to_pylist()), np.uint64, len(a)).view(np.int64)
-        word_at = Lookup(hashes(known))
+        if name not in _LOOKUPS:  # built once a worker; another head's lookups go
+            _LOOKUPS.clear()
+            _LOOKUPS[name] = Lookup(gram_keys), Lookup(hashes(known))
+        gram_at, word_at = _LOOKUPS[name]
         known_cost = np.log10(known_n + 0.1) - unit
         rid = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -264,9 +273,11 @@ def score_corpus(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: st
 
     Gives doc_id, held_out, n_tokens, n_known, train_tokens, base_score (word unigram, add 0.1)
     and score (byte model), both log10 probabilities. Null counts as the empty text, whose one
-    token is its end; a null ``held_out`` counts as false. Repeated rows are counted and scored
+    token is its end; ``order`` is 1 to 7; a null ``held_out`` counts as false. Repeated rows are counted and scored
     each; with no training rows every word is unknown and the byte model is uniform.
     """
+    if not 1 <= order <= 7:
+        raise ValueError("a context and its symbol are 8 bytes at most")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     vocabulary = materialize(count_words(docs), "words")
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
