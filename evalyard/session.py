@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that ``materialize`` has written in this process and that are still there.
+_made: list[str] = []
+
+
 def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.options(**options).parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -55,11 +61,26 @@ def row_keys(df: DataFrame) -> tuple[DataFrame, str]:
     return materialize(df.withColumn(key, F.monotonically_increasing_id()), "rows", compression="zstd"), key
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialize_stage(make: Callable[[], DataFrame], name: str = "stage") -> DataFrame:
+    """``make``'s result written and read back, and what ``make`` has written on its way removed: the result doesn't need it any more."""
+    mark = len(_made)
+    out = materialize(make(), name)
+    between = _made[mark:-1]
+    del _made[mark:-1]
+    for path in between:
+        _remove(out.sparkSession, path)
+    return out
+
+
 def sweep(spark: SparkSession) -> None:
     """Remove what this application's ``materialize`` calls have left in the shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    _made.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -125,3 +125,20 @@ def test_pairs_without_hot_keys(spark, monkeypatch, limit):
     got = planning.tag_pairs(models, tasks)
     assert sorted((r.model, r.task) for r in got.collect()) == want and got.columns == ["model", "model_tag", "task", "task_tag"]
     assert planning.every_pair(models.union(models), tasks).count() == 30
+
+
+def test_a_finished_stage_leaves_only_its_result(spark):
+    import os
+
+    from evalyard import session
+
+    def make():
+        first = session.materialize(spark.range(5), "first")
+        return session.materialize(first.where("id > 1"), "second").where("id > 2")
+
+    before = list(session._made)
+    out = session.materialize_stage(make, "result")
+    new = [p for p in session._made if p not in before]
+    assert sorted(r.id for r in out.collect()) == [3, 4] and len(new) == 1
+    folder = os.path.dirname(new[0].removeprefix("file:"))
+    assert not [n for n in os.listdir(folder) if n.startswith(("first-", "second-"))]
