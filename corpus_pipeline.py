@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from evalyard.llm import bpe, decontaminate, exact_dedup, ngram_join, quality
-from evalyard.session import materialize, table
+from evalyard.session import materialize_stage, table
 
 #: No SQL: training and byte-pair merges are iterative; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -57,7 +57,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; what a finished stage has written on its way is removed at once."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.split()[0])
+        docs = materialize_stage(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.split()[0])
     return STAGES[-1][1](spark, docs, sf_dir)
