@@ -2,6 +2,7 @@
 
     python -m evalyard.cli score TASK.yaml GENERATIONS.jsonl GRADES_DIR SCORES.yaml
     python -m evalyard.cli check TASK.yaml...
+    python -m evalyard.cli describe DATA NAME GRADER OUT.yaml --average-over 1 4 --pass-at 1
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .configs import Task, load_task
+from .configs import Task, describe_dataset, load_task, render
 from .functions.parsers import parse_all
 from .operators import graders, rows
 from .session import get_session
@@ -47,7 +48,19 @@ def main(argv: list[str] | None = None) -> int:
         score.add_argument(name)
     check = sub.add_parser("check")
     check.add_argument("task", nargs="+")
+    describe = sub.add_parser("describe")
+    for name in ("data", "name", "grader", "out"):
+        describe.add_argument(name)
+    for name in ("--average-over", "--pass-at"):
+        describe.add_argument(name, type=int, nargs="+", default=[1])
+    describe.add_argument("--version", default="1.0.0")
+    describe.add_argument("--records", type=int)
     args = top.parse_args(argv)
+    if args.command == "describe":
+        config = describe_dataset(get_session(), args.data, args.name, args.grader, args.average_over, args.pass_at, args.version, args.records)
+        with open(args.out, "w", encoding="ascii") as f:
+            f.write(render(config))
+        return 0
     if args.command == "check":
         bad = 0
         for path in args.task:

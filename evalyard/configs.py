@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 import yaml
@@ -54,3 +55,19 @@ def load_task(path: str) -> Task:
         raise ValueError(f"{path}: {'; '.join(found)}")
     lists = {k: tuple(config[k]) for k in ("average_over", "pass_at", "by") if k in config}
     return Task(**{k: v for k, v in config.items() if k not in lists}, **lists)
+
+
+def describe_dataset(spark, data_path: str, name: str, grader: str, average_over: list[int], pass_at: list[int], version: str = "1.0.0", records: int | None = None, meta: dict | None = None) -> dict:
+    """The configuration of a dataset of JSON lines: its records are counted unless ``records`` says how many."""
+    from .sources.readers import count_records, exists
+
+    if not exists(spark, data_path):
+        raise FileNotFoundError(data_path)
+    pattern = data_path if data_path.endswith(".jsonl") else f"{data_path.rstrip('/')}/*.jsonl"
+    out = {"uuid": str(uuid.uuid4()), "grader": {"type": grader}, "average_over": average_over, "pass_at": pass_at, "dataset_name": name, "data_path": pattern, "semantic_version": version, "num_generations": count_records(spark, pattern) if records is None else records}
+    return out | ({"meta": meta} if meta else {})
+
+
+def render(config: dict) -> str:
+    """A configuration as YAML in the order of its keys, ASCII only."""
+    return yaml.safe_dump(config, sort_keys=False, allow_unicode=False, default_flow_style=False)

@@ -94,6 +94,35 @@ def normal_formula(c: Column) -> Column:
     return F.regexp_replace(out, r"\A(-?\d+)/(\d+)\z", "\\\\frac{$1}{$2}")
 
 
+# Units that say nothing about a value, and words and marks that stand for numbers and signs.
+UNIT_WORDS = ("degree", "cm", "centimeter", "meter", "mile", "second", "minute", "hour", "day", "week", "month", "year", "foot", "feet", "inch", "yard")
+VALUE_WORDS = (("\\%", "%"), ("\\$", "$"), ("$", ""), ("%", ""), (" or ", " , "), (" and ", " , "), ("million", "*10^6"), ("billion", "*10^9"), ("trillion", "*10^12"))
+SIGNS = ((r"\\[dt]?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2"), (r"\\[dt]?frac\s*(\d)\s*(\d)", "$1/$2"), (r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)"), (r"\\text\s*\{([^{}]*)\}", "$1"), (r"\\pi\b", "pi"), (r"\\infty\b", "inf"), (r"\\cup\b", "U"), (r"\\(?:cdot|times)\b", "*"), (r"\\(?:left|right)\b", ""), (r"\\[a-zA-Z]+|\\.", ""))
+
+
+def plain_value(c: Column) -> Column:
+    """An answer's text without units, currency, braces, spaces and case; whole numbers without commas and decimals.
+
+    Fractions, roots and the usual signs are written plainly, as far as braces aren't nested; other commands go.
+    """
+    out = F.coalesce(found(c, r"\A\\text\{(.+?)\}\z"), c)
+    for old, new in VALUE_WORDS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    for unit in UNIT_WORDS:
+        out = F.regexp_replace(out, rf"{unit}(?:es)?s? *(?:\^[0-9]+)?", "")
+    out = F.regexp_replace(out, r"\^ *\\circ", "")
+    out = F.regexp_replace(out, r"(?s)\A\{(.*)\}\z", "$1")
+    out = F.regexp_replace(out, r",\\! *", "")
+    whole = lambda t: F.when((F.abs(t.try_cast("double")) < 1e15) & (F.abs(t.try_cast("double") - F.round(t.try_cast("double"))) <= 1e-7), F.round(t.try_cast("double")).cast("bigint").cast("string"))
+    out = F.coalesce(whole(out), out)
+    for pattern, new in SIGNS:
+        out = F.regexp_replace(out, pattern, new)
+    out = F.regexp_replace(F.regexp_replace(strip(out), "- *", "-"), "([0-9]) +([0-9])", "$1+$2")
+    out = F.lower(F.regexp_replace(out, "[ {}]", ""))
+    bare = F.regexp_replace(out, r"(?<=\d),(?=\d{3}(?!\d))", "")
+    return F.coalesce(whole(bare), out)
+
+
 def tuple_parts(c: Column) -> Column:
     """Comma-separated parts of a bracketed tuple or interval, trimmed; other text is one part."""
     inner = found(strip(c), r"\A[\(\[](.*)[\)\]]\z", flags="s")

@@ -55,6 +55,13 @@ def digit_to_letter(c: Column) -> Column:
     return F.when(up.isin("1", "2", "3", "4", "5"), F.translate(up, "12345", "ABCDE")).otherwise(up)
 
 
+def path_pattern(glob: str) -> str:
+    """A pattern that matches whole paths as ``glob`` does: * and ? stay within a name, ** spans folders, [!x] negates; hidden names need a dot of their own."""
+    import glob as _glob
+
+    return _glob.translate(glob, recursive=True, include_hidden=False, seps="/").removesuffix("\\Z").removesuffix("\\z") + "\\z"
+
+
 def quoted(c: Column) -> Column:
     """A Java pattern that matches the column's text literally."""
     return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))

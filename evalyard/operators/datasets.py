@@ -116,6 +116,21 @@ def category_choice(test: DataFrame, validation: DataFrame, order: str = "row",
     ).withColumns(scoring_columns(F.col("_n"))).drop("_n")
 
 
+def zero_shot_choice(df: DataFrame) -> DataFrame:
+    """Rows of category, question, options and answer: prompts without examples, and the scoring form's."""
+    topic = F.replace(F.col("category"), F.lit("_"), F.lit(" "))
+    block = F.concat(F.lit("Question:\n"), strip(F.col("question")), F.lit("\nOptions:\n"), option_lines(F.col("options")))
+    intro = filled_in(SHOT_INTRO, topic)
+    return df.select(
+        "row",
+        F.concat(intro, F.lit(STEP_BY_STEP + "\n"), block, F.lit("\nAnswer: Let's think step by step.")).alias("completion_input"),
+        F.array(message("user", F.concat(intro, F.lit(STEP_BY_STEP + "\n"), block))).alias("chat_input"),
+        F.col("answer").alias("ground_truth"),
+        F.concat(intro, F.lit(LETTER_ONLY + "\n"), block, F.lit("\nAnswer:")).alias("scoring_prompt_prefix"),
+        F.size("options").alias("_n"),
+    ).withColumns(scoring_columns(F.col("_n"))).drop("_n")
+
+
 def reasoning_choice(df: DataFrame) -> DataFrame:
     """Rows of category, question, options and answer: zero-shot prompts that ask for reasoning and a letter in tags."""
     topic = F.replace(F.col("category"), F.lit("_"), F.lit(" "))

@@ -292,10 +292,39 @@ def judged(df: DataFrame) -> DataFrame:
 
 @grader("math-verify-llm-as-judge", "math_verify_llm_as_judge")
 def math_judged(df: DataFrame) -> DataFrame:
-    """Right by the numeric tier, or else by the judge's verdict."""
+    """Right by the numeric tier, or else by a judge's yes. ``judge_replies`` has a reply for each generation, or a list of
+    replies (for its parsed and raw text and each truth), of which one yes is enough. Adds ``grading_diagnostics``; what a judge is
+    to be shown is ``judges.equality_input``."""
     _needs_replies(df, "math-verify-llm-as-judge")
+    several = df.schema["judge_replies"].dataType.elementType.typeName() == "array"
+    yes = (lambda r: F.exists(F.coalesce(r, F.array().cast("array<string>")), lambda x: F.coalesce(judges.says_yes(x), F.lit(False)))) if several else (lambda r: F.coalesce(judges.says_yes(r), F.lit(False)))
     out = math_numeric(df)
-    return out.withColumn("correct", F.zip_with("correct", "judge_replies", lambda c, r: F.greatest(c, _flag(judge_verdict(r)))))
+
+    def one(by_value: Column, reply: Column) -> Column:
+        by_judge = (by_value == 0) & yes(reply)
+        method = F.when(by_value == 1, "math_verify").when(by_judge, "llm").otherwise("none")
+        return F.struct(
+            method.alias("method"),
+            F.when(by_value == 1, "match").otherwise("no_match").alias("math_verify_result"),
+            (by_value == 0).alias("llm_called"),
+            F.when(by_value == 0, F.when(by_judge, "match").otherwise("no_match")).alias("llm_result"),
+            F.greatest(by_value, by_judge.cast("int")).alias("score"),
+        )
+
+    each = F.zip_with("correct", "judge_replies", one)
+    count = lambda field, value: F.size(F.filter("_each", lambda d: d[field] == value))
+    out = out.withColumn("_each", each)
+    summary = F.struct(
+        F.col("_each").alias("per_generation"),
+        count("math_verify_result", "match").alias("math_verify_match_count"),
+        count("math_verify_result", "no_match").alias("math_verify_no_match_count"),
+        F.size(F.filter("_each", lambda d: d["llm_called"])).alias("llm_called_count"),
+        count("llm_result", "match").alias("llm_match_count"),
+        count("llm_result", "no_match").alias("llm_no_match_count"),
+    )
+    correct = F.transform("_each", lambda d: d["score"])
+    out = out.withColumns({"grading_diagnostics": summary, "correct": correct})
+    return out.withColumns({"partial_accuracy": F.aggregate("correct", F.lit(0.0), lambda a, x: a + x) / F.size("correct"), "any_accuracy": F.exists("correct", lambda x: x == 1).cast("double")}).drop("_each")
 
 
 @grader("humaneval", "humaneval-plus-daytona", "mbpp-daytona", "lcbv6-daytona", "mbpp-local", "mbpp_local", scores=accuracy_scores(zero_is_nan=True))

@@ -97,6 +97,23 @@ def word_label(reply: Column) -> Column:
     return F.when(text.isin("CORRECT", "INCORRECT"), text)
 
 
+# An answer of more characters counts as a solution, of which the judge sees the end.
+SOLUTION_CHARS, SOLUTION_END = 200, 800
+
+
+def equality_input(answer: Column) -> Column:
+    """Struct of what an equality judge is shown: ``is_solution`` and the ``text``, the end of a long one; nothing is "No answer"."""
+    text = F.when(F.length(answer) > 0, answer).otherwise("No answer")
+    long = F.length(text) > SOLUTION_CHARS
+    return F.struct(long.alias("is_solution"), F.when(long, F.right(text, F.lit(SOLUTION_END))).otherwise(text).alias("text"))
+
+
+def says_yes(reply: Column) -> Column:
+    """Whether a judge's reply, after its last think block, says yes; null where it says nothing."""
+    said = F.when(F.contains(reply, F.lit("</think>")), F.substring_index(reply, "</think>", -1)).otherwise(reply)
+    return F.when(F.length(strip(said)) > 0, F.contains(F.lower(said), F.lit("yes")))
+
+
 def diagnostics(verdicts: Column) -> Column:
     """Struct of the numbers of replies: yes, no, unparsed."""
     count = lambda f: F.size(F.filter(verdicts, f)).cast("bigint")

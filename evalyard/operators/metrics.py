@@ -158,6 +158,20 @@ def flag_ratio(df: DataFrame, by: str, prefix: str = "accuracy/") -> DataFrame:
     return per.select(F.concat(F.lit(prefix), F.col(by)).alias("name"), F.when(F.col("n") > 0, F.col("ok") / F.col("n")).otherwise(F.lit(NAN)).alias("value"))
 
 
+def token_totals(df: DataFrame, by: Sequence[str], *columns: str) -> DataFrame:
+    """Sums of token counts for each group: numbers, arrays of them, or arrays of arrays (turns of steps); nulls count as none."""
+
+    def total(name: str) -> Column:
+        kind, c = df.schema[name].dataType.simpleString(), F.col(name)
+        while kind.startswith("array<array<"):
+            kind, c = kind.removeprefix("array<").removesuffix(">"), F.flatten(F.filter(c, lambda x: x.isNotNull()))
+        if kind.startswith("array"):
+            c = F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x.cast("bigint"), F.lit(0)))
+        return F.coalesce(F.sum(c), F.lit(0)).alias(name)
+
+    return df.groupBy(*by).agg(*map(total, columns))
+
+
 def unigram_f(text: Column, truth: Column) -> Column:
     """F of the distinct words that two texts share; white space and full stops part words."""
     words = lambda c: F.array_distinct(F.filter(F.split(c, regex(r"[\s.]+"), -1), lambda w: w != ""))

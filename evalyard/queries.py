@@ -768,3 +768,23 @@ def result_table(spark, sf):
     texts = orders.select(F.when(k == 0, "<think>a</think>b<think>").when(k == 1, "x<fast>y").alias("text"))
     both = wide.withColumn("at", F.lit(0)).unionByName(later.withColumn("at", F.lit(1)))
     return readers.result_scores(both, order="at").unionByName(readers.tag_fractions(texts, ["<think>", "<fast>", "<none>"]).withColumn("value", rounded("value")))
+
+
+@query("token_totals", "select l_orderkey, sum(l_linenumber + l_quantity::bigint) as prompt_tokens, sum(l_suppkey) as completion_tokens from lineitem group by l_orderkey")
+def token_totals(spark, sf):
+    """Tokens of each order's lines, given as lists."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.array(F.array(F.col("l_linenumber").cast("bigint")), F.array(F.col("l_quantity").cast("bigint"))).alias("prompt_tokens"), F.array(F.col("l_suppkey"), F.lit(None).cast("bigint")).alias("completion_tokens"))
+    return metrics.token_totals(lines, ["l_orderkey"], "prompt_tokens", "completion_tokens")
+
+
+@query(
+    "dataset_zero_shot",
+    """with q as (select p_partkey as row, 'The following are multiple choice questions (with answers) about ' || replace(p_brand, '_', ' ') || '. ' as intro, 'Question:' || chr(10) || trim(p_name) || chr(10) || 'Options:' || chr(10) || 'A. ' || p_brand || chr(10) || 'B. ' || p_type as block from part)
+select row, sha256(intro || 'Think step by step and then finish your answer with "the answer is (X)" where X is the correct letter choice.' || chr(10) || block || chr(10) || 'Answer: Let''s think step by step.') as prompt_sha256,
+  sha256(intro || 'Answer with only the correct letter.' || chr(10) || block || chr(10) || 'Answer:') as prefix_sha256, sha256(intro || 'Think step by step and then finish your answer with "the answer is (X)" where X is the correct letter choice.' || chr(10) || block) as chat_sha256 from q""",
+)
+def dataset_zero_shot(spark, sf):
+    df = table(spark, sf, "part").select(F.col("p_partkey").alias("row"), F.col("p_brand").alias("category"), F.col("p_name").alias("question"), F.array("p_brand", "p_type").alias("options"), F.lit("A").alias("answer"))
+    out = datasets.zero_shot_choice(df)
+    return out.select("row", F.sha2("completion_input", 256).alias("prompt_sha256"), F.sha2("scoring_prompt_prefix", 256).alias("prefix_sha256"), F.sha2(F.element_at("chat_input", 1)["content"], 256).alias("chat_sha256"))
+

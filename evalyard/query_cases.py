@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import extract
 from .functions.parsers import parse, parse_all, reasoning
+from .functions.text import path_pattern
 from .operators import choice, datasets, graders, ifeval, judges, rows
 from .plans import planning
 from .session import table
@@ -298,6 +299,20 @@ cases(
     _part(extract.normal_formula),
     ["t"],
 )
+cases(
+    "plain_values",
+    [("\\text{Yes}", "yes"), ("1,234", "1234"), ("5.0", "5"), ("$3 million", "3*10^6"), ("50\\%", "50"), ("90^\\circ", "90"), ("12 meters", "12"), ("3 cm^2", "3"), ("{x}", "x"), ("2 1/2", "2+1/2"), ("\\frac{1}{2}", "1/2"), ("\\sqrt{3}", "sqrt(3)"), ("2\\pi", "2pi"), ("- 4", "-4"), ("1,23", "1,23"), ("3 or 4", "3,4"), ("-7.00000000", "-7"), ("x^2 + Y", "x^2+y"), (None, None)],
+    _part(extract.plain_value),
+    ["t"],
+)
+cases(
+    "judged_numbers",
+    [("7", "7", "No", "math_verify"), ("8", "7", "<think>no</think> Yes.", "llm"), ("8", "7", "Yes</think>No", "none"), ("8", "7", "", "none"), ("8", "7", None, "none")],
+    lambda df: graders.grade(df.withColumns({"generations": F.array("g"), "judge_replies": F.array("r")}), "math-verify-llm-as-judge").withColumn("result", F.element_at("grading_diagnostics.per_generation", 1)["method"]),
+    ["g", "ground_truth", "r"],
+)
+cases("equality_inputs", [("short", "short"), ("", "No answer"), (None, "No answer"), ("x" * 200, "x" * 200), ("a" + "b" * 200, "a" + "b" * 200), ("a" * 300 + "b" * 700, "a" * 100 + "b" * 700)], _part(lambda t: judges.equality_input(t)["text"]), ["t"])
+cases("path_patterns", [("/a/b.json", 1), ("/a/x/b.json", 1), ("/a/.x/b.json", 0), ("/a/b.jsonl", 0), ("/c/b.json", 0), ("/a/.b.json", 0), ("/a/x/y/b.json", 1), ("/a/bjson", 0)], lambda df: df.withColumn("result", F.rlike("p", F.lit(path_pattern("/a/**/*.json"))).cast("int")), ["p"], "int")
 cases("tuple_parts", [("(1, 2]", "1|2"), ("x", "x"), ("[a,b,c]", "a|b|c"), ("(one)", "(one)"), (" ( 1 ,2 ) ", "1|2"), ("1,2", "1,2")], _part(lambda t: F.array_join(extract.tuple_parts(t), "|")), ["t"])
 cases("job_names", [("m-1--7", "m-1 7"), ("a--b--c", "a--b c"), ("plain", ""), ("--x", ""), ("", "")], _part(lambda t: F.coalesce(F.concat_ws(" ", extract.job_parts(t)["name"], extract.job_parts(t)["instance"]), F.lit(""))), ["t"])
 cases("clean_texts", [("  a ", "a"), ("\u00a0", None), ("", None), (None, None), ("a\n", "a")], _part(rows.clean_text), ["t"])

@@ -28,3 +28,17 @@ def test_check(tmp_path, capsys):
     assert "missing data_path" in said and "unknown grader" in said and "pass_at" in said and "unknown key odd" in said
     with pytest.raises(ValueError):
         configs.load_task(str(bad))
+
+
+def test_describe(spark, tmp_path):
+    import yaml
+
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "a.jsonl").write_text('{"row": 1}\n\n{"row": 2}\n')
+    out = tmp_path / "c.yaml"
+    assert cli.main(["describe", str(tmp_path / "data"), "näme", "ifeval", str(out), "--average-over", "1", "4"]) == 0
+    got = yaml.safe_load(out.read_text())
+    assert list(got)[1:] == ["grader", "average_over", "pass_at", "dataset_name", "data_path", "semantic_version", "num_generations"]
+    assert got["num_generations"] == 2 and got["average_over"] == [1, 4] and got["dataset_name"] == "näme" and got["data_path"].endswith("/data/*.jsonl")
+    with pytest.raises(FileNotFoundError):
+        configs.describe_dataset(spark, str(tmp_path / "none"), "x", "ifeval", [1], [1])
