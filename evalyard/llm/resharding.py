@@ -101,7 +101,7 @@ def _pick(runs: list[tuple[int, int, int]]) -> Column:
 def reshard(rows: DataFrame, old: Column, old_shards: int, new_shards: int, capacities: list[int] | None = None, cost: list[list[int]] | None = None, blocks: int = BLOCKS) -> DataFrame:
     """All columns of ``rows`` (doc, size, ...) plus old, shard and slot (gapless from 0 in each shard).
 
-    ``old`` gives each row's present shard, 0 to ``old_shards - 1``; null counts as 0. By default the
+    ``old`` gives each row's present shard, 0 to ``old_shards - 1``, another one is an error; null counts as 0. By default the
     capacities are equal and moving a byte costs 1. Rows that share an id and size are kept apart
     by their other columns only; all of them get a slot. An empty table gives an empty result.
     """
@@ -110,6 +110,8 @@ def reshard(rows: DataFrame, old: Column, old_shards: int, new_shards: int, capa
     sums = rows.groupBy("old", "block").agg(F.sum("size").alias("bytes")).collect()  # old shards x blocks rows at most
     line: dict[int, dict[int, int]] = {s: {} for s in range(old_shards)}
     for r in sums:
+        if r.old not in line:
+            raise ValueError(f"a row lies in shard {r.old}, and there are {old_shards}")
         line[r.old][r.block] = r.bytes
     supply = [sum(line[s].values()) for s in range(old_shards)]
     capacities = capacities or equal_capacities(sum(supply), new_shards)

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from evalyard.llm import queries, resharding
@@ -91,3 +92,34 @@ def test_rewrite_in_place_writes_the_rows_of_the_plan(spark, tmp_path):
         want = [(r.doc, r.size, r.shard, r.slot) for r in plan.collect()]
         assert sorted(map(repr, got)) == sorted(map(repr, want))
         assert spark.read.parquet(out).where("shard = 3").count() == 1
+
+
+def test_places_against_a_plain_walk(spark):
+    rng = random.Random(6)
+    rows = [(i, "x" * rng.randint(0, 60), rng.choice([0, 0, 0, 1, 3])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, home int")
+    sized = resharding.sized(df, carry={"home": F.col("home")})
+    block = {r.doc: r.b for r in sized.select("doc", F.pmod(F.xxhash64("doc", "size"), F.lit(8)).cast("int").alias("b")).collect()}
+    size = {i: len(t) + 8 for i, t, _ in rows}
+    supply = [sum(size[i] for i, _, h in rows if h == s) for s in range(4)]
+    room = resharding.equal_capacities(sum(supply), 6)
+    flow = resharding.min_cost_flow(supply, room, [[int(s != t) for t in range(6)] for s in range(4)])
+    want, filled = {}, [0] * 6
+    walk = []
+    for s in range(4):
+        byte = 0
+        for i in sorted((i for i, _, h in rows if h == s), key=lambda i: (block[i], i)):
+            left = byte  # the destination whose stretch of the old shard's bytes holds the row's first byte; what stays comes first
+            for t in sorted(range(6), key=lambda t: (t != s, t)):
+                if left < flow[s][t]:
+                    break
+                left -= flow[s][t]
+            walk.append((t, s, block[i], byte, i))
+            byte += size[i]
+    for t, _, _, _, i in sorted(walk):
+        want[i] = (t, filled[t])
+        filled[t] += 1
+    got = {r.doc: (r.shard, r.slot) for r in resharding.reshard(sized, F.col("home"), 4, 6, blocks=8).collect()}
+    assert got == want
+    with pytest.raises(ValueError, match="shard 3"):
+        resharding.reshard(sized, F.col("home"), 3, 6)
