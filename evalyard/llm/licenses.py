@@ -12,9 +12,11 @@ One ``mapInArrow`` pass, no shuffle.
 from __future__ import annotations
 
 import re
+import string
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
+from itertools import islice, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -198,7 +200,7 @@ def segments(text: str | None) -> list[bytes]:
     data = (text or "").encode("utf-8", "surrogatepass")
     return [s for part in data.translate(_TABLE).split(b"\n") if (s := b" ".join(part.split()))]
 #: A clause's mark before its sentence, as in "(a) ...".
-_MARK = re.compile(rb"(?:[0-9]{1,2}|[a-z]|[ivx]{1,4}) ")
+_MARKS = frozenset(str(k).encode() for k in (*range(100), *string.ascii_lowercase, "ii", "iii", "iv", "vi", "vii", "viii", "ix"))
 
 
 class Scanner:
@@ -213,7 +215,7 @@ class Scanner:
         self.heads: dict[bytes, list[tuple[bytes, str]]] = {}
         self.holes: dict[bytes, list[tuple[re.Pattern[bytes], int, str]]] = {}
         known = SENTENCES | SAID if known is None else known
-        for name, sentence in sorted(known.items(), key=lambda x: -len(x[1])):
+        for name, sentence in known.items():
             parts = [b" ".join(segments(part)) for part in sentence.split("{}")]
             head = parts[0].split(b" ", 1)[0]
             if len(parts) > 1:
@@ -221,26 +223,27 @@ class Scanner:
                 pattern = re.compile(hole.join(map(re.escape, parts)))
                 self.holes.setdefault(head, []).append((pattern, sum(len(x.split()) for x in parts) + self.HOLE * (len(parts) - 1), name))
             else:
-                self.heads.setdefault(head, []).append((parts[0], name))
+                insort(self.heads.setdefault(head, []), (parts[0], name))
+        self.begins = frozenset(self.heads) | frozenset(self.holes)
         # whole rules first, then whole ones with foreign sentences, then the beginnings of others, single sentences last
         begins = {(n, r[:k]) for n, r in rules for k in range(1, len(r))}
         whole = [r for r in rules if len(r[1]) > 1 and r not in begins]
         self.steps = [(r, False) for r in whole] + [(r, True) for r in whole if len(r[1]) > 2]
         self.steps += [(r, False) for r in rules if len(r[1]) > 1 and r in begins] + [(r, False) for r in rules if len(r[1]) == 1]
 
-    def _known(self, found: list[bytes], i: int) -> tuple[int, str] | None:
-        """(pieces, identifier) of the known sentence that begins with piece ``i``."""
-        piece = found[i]
-        head = piece.partition(b" ")[0]
-        for whole, name in self.heads.get(head, ()):
-            if not whole.startswith(piece):
-                continue
-            run, j = piece, i + 1
-            while len(run) < len(whole) and j < len(found):
-                run += b" " + found[j]
-                j += 1
-            if run == whole:
-                return j - i, name
+    def _known(self, found: list[bytes], i: int, piece: bytes, head: bytes) -> tuple[int, str] | None:
+        """(pieces, identifier) of the known sentence that begins with ``piece``, the piece ``i`` with or without its mark; ``head`` is its first word."""
+        known = self.heads.get(head, ())
+        run, j, best = piece, i + 1, None
+        while (k := bisect_left(known, (run, ""))) < len(known) and known[k][0].startswith(run):
+            if known[k][0] == run:  # the longest stays
+                best = j - i, known[k][1]
+            if j == len(found):
+                break
+            run += b" " + found[j]
+            j += 1
+        if best:
+            return best
         for pattern, most, name in self.holes.get(head, ()):
             run, j, best = piece, i + 1, None
             while True:
@@ -257,17 +260,24 @@ class Scanner:
     def identify(self, text: str | None) -> list[tuple[int, str, int]]:
         """(position among the pieces, identifier, foreign pieces since the known sentence before), in order; the longest known sentence at a position wins."""
         found = segments(text)
-        out, i, foreign = [], 0, 0
+        hits: list[tuple[int, int, str]] = []  # from, to, identifier
+        i, begins = 0, self.begins
         while i < len(found):
-            hit = self._known(found, i)
-            if hit is None and (mark := _MARK.match(found[i])):
-                hit = self._known([found[i][mark.end() :], *found[i + 1 : i + 64]], 0)  # a known sentence has fewer pieces
+            piece, step = found[i], 1
+            head, _, rest = piece.partition(b" ")
+            hit = self._known(found, i, piece, head) if head in begins else None
+            if hit is None and head in _MARKS and (second := rest.partition(b" ")[0]) in begins:
+                hit = self._known(found, i, rest, second)
             if hit:
-                out.append((i, SAME.get(hit[1], hit[1]), foreign))
-                i, foreign = i + hit[0], 0
-            else:
-                foreign += not _PLAIN.fullmatch(found[i])
-                i += 1
+                step = hit[0]
+                hits.append((i, i + step, SAME.get(hit[1], hit[1])))
+            i += step
+        out, end = [], 0
+        for start, stop, name in hits:
+            # beyond NEAR their number doesn't matter
+            foreign = sum(1 for _ in islice((p for p in found[end : start if out else end] if not _PLAIN.fullmatch(p)), NEAR + 1))
+            out.append((start, name, foreign))
+            end = stop
         return out
 
     def _fits(self, ids: list[tuple[int, str, int]], i: int, run: tuple[str, ...], near: int) -> int | None:
