@@ -57,13 +57,14 @@ def no_truth(df: DataFrame) -> Column:
 class Grader:
     """``rows`` judges, ``scores`` aggregates what ``rows`` gave; ``flags`` says whether rows have ``correct``.
 
-    ``problem`` says of a row why it can't be judged, null if it can.
+    ``problem`` says of a row why it can't be judged, null if it can; ``prepare`` gives the columns the types that ``rows`` works on.
     """
 
     rows: Rows
     scores: Scores = field(default_factory=accuracy_scores)
     flags: bool = True
     problem: Callable[[DataFrame], Column] = no_truth
+    prepare: Rows = lambda df: df
 
 
 _GRADERS: dict[str, Grader] = {}
@@ -78,9 +79,9 @@ def register(grader: Grader, *names: str) -> None:
         _GRADERS[n] = grader
 
 
-def grader(*names: str, scores: Scores | None = None, flags: bool = True, problem: Callable[[DataFrame], Column] = no_truth):
+def grader(*names: str, **halves):
     def keep(f):
-        register(Grader(f, scores or accuracy_scores(), flags, problem), *names)
+        register(Grader(f, **halves), *names)
         return f
 
     return keep
@@ -128,6 +129,7 @@ def with_answers(df: DataFrame) -> DataFrame:
 
 def grade(df: DataFrame, name: str) -> DataFrame:
     found = get_grader(name)
+    df = found.prepare(df)
     out = found.rows(with_answers(df) if "generations" in df.columns else df)
     if not found.flags:
         return out
@@ -145,6 +147,7 @@ def grade_or_report(df: DataFrame, name: str) -> DataFrame:
     No row of a batch that its grader would fail on stops the others; scores pass over error records.
     """
     found = get_grader(name)
+    df = found.prepare(df)
     why = found.problem(df)
     if "generations" in df.columns:
         why = F.when(F.col("generations").isNull(), "no generations").otherwise(why)
@@ -538,13 +541,22 @@ def deterministic_incorrect(answer: Column, unclosed: Column, from_reasoning: Co
 unavailable("needs a symbolic algebra package", "sympy-llm-as-judge", "sympy_llm_as_judge")
 
 
+def _instruction_columns(df: DataFrame) -> DataFrame:
+    if "instruction_ids" not in df.columns and "instruction_id_list" in df.columns:
+        df = df.withColumnRenamed("instruction_id_list", "instruction_ids")
+    kind = df.schema["kwargs"].dataType
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.MapType):  # as JSON readers give them
+        df = df.withColumn("kwargs", F.transform("kwargs", lambda k: F.from_json(F.to_json(k), "map<string,string>")))
+    return df
+
+
 def _instruction_problem(df: DataFrame) -> Column:
-    ids = F.col("instruction_ids" if "instruction_ids" in df.columns else "instruction_id_list")
+    ids = F.col("instruction_ids")
     known = F.forall(ids, lambda i: i.isin(*ifeval.list_instructions(unlisted=True)))
     return F.when(ids.isNull() | F.col("kwargs").isNull(), "no instructions").when(F.size(ids) != F.size("kwargs"), "instructions and arguments differ in number").when(~known, "unknown instruction")
 
 
-@grader("ifeval", "if_eval", scores=lambda graded, o: ifeval.accuracy_scores(graded), flags=False, problem=_instruction_problem)
+@grader("ifeval", "if_eval", scores=lambda graded, o: ifeval.accuracy_scores(graded), flags=False, problem=_instruction_problem, prepare=_instruction_columns)
 def instructions(df: DataFrame) -> DataFrame:
     """Flags of each instruction of a row's first answer, strict and loose; rows with an ``error`` or too long an input follow nothing."""
     said = F.try_element_at("answers", F.lit(1)) if "answers" in df.columns else F.col("response")
@@ -552,11 +564,6 @@ def instructions(df: DataFrame) -> DataFrame:
         said = F.when(F.col(lost).isNull(), said)
     for lost in ({"input_too_long"} & set(df.columns)):
         said = F.when(~F.coalesce(lost, F.lit(False)), said)
-    if "instruction_ids" not in df.columns and "instruction_id_list" in df.columns:
-        df = df.withColumnRenamed("instruction_id_list", "instruction_ids")
-    kind = df.schema["kwargs"].dataType
-    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.MapType):  # as JSON readers give them
-        df = df.withColumn("kwargs", F.transform("kwargs", lambda k: F.from_json(F.to_json(k), "map<string,string>")))
     return ifeval.grade(df.withColumn("_said", said), "_said").drop("_said")
 
 
