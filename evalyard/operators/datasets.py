@@ -56,10 +56,15 @@ def _core(df: DataFrame, system: Column, user: Column, truth: Column, *more: str
     return df.select("row", F.concat(system, user).alias("completion_input"), F.array(message("system", system), message("user", user)).alias("chat_input"), truth.alias("ground_truth"), *more)
 
 
+#: Examples that one prompt may hold.
+MOST_SHOTS = 256
+
+
 def science_choice(df: DataFrame, shots: DataFrame | None = None, shot_order: str = "row") -> DataFrame:
     """Rows of question, labels, texts and answer; ``shots``, a few rows of the same shape, go before each question.
 
-    Labels must be distinct and hold the answer. All questions share one prefix, aggregated to one row.
+    Labels must be distinct and hold the answer. All questions share one prefix, aggregated to one row; more than
+    ``MOST_SHOTS`` examples are an error, as a prompt holds them all.
     """
     names = F.transform("labels", label_letter)
     at = F.array_position(names, label_letter(F.col("answer")))
@@ -68,6 +73,8 @@ def science_choice(df: DataFrame, shots: DataFrame | None = None, shot_order: st
     block = F.concat(F.lit("Question:\n"), strip(F.col("question")), F.lit("\nChoices:\n"), option_lines(F.col("texts")), F.lit("\nAnswer:"))
     df = df.withColumns({"_block": block, "_letter": letter})
     if shots is not None:
+        if shots.count() > MOST_SHOTS:
+            raise ValueError(f"more than {MOST_SHOTS} examples before each question")
         before = shots.select(F.struct(shot_order, F.concat(block, F.lit(" "), letter).alias("b")).alias("s")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: F.concat(s["b"], F.lit("\n\n"))), "").alias("_before"))
         df = df.join(F.broadcast(before)).withColumn("_block", F.concat("_before", "_block"))
     out = _core(df, F.lit(f"{ASSISTANT}\n\n{SCIENCE}\n\n"), F.col("_block"), F.col("_letter"), F.size("texts").alias("_n"))

@@ -668,7 +668,7 @@ def instruction_scores(spark, sf):
 
 @query(
     "languages",
-    """with recursive d as (select doc_id, lang, doc_id % 5 = 0 as held_out, ' ' || lower(coalesce(text, '')) || ' ' as t, regexp_matches(coalesce(text, ''), '\p{L}') as letters from documents),
+    r"""with d as (select doc_id, lang, doc_id % 5 = 0 as held_out, ' ' || lower(coalesce(text, '')) || ' ' as t, regexp_matches(coalesce(text, ''), '\p{L}') as letters from documents),
 h as (select doc_id, lang, held_out, hex(encode(t)) as x from d),
 g as (select doc_id, lang, held_out, (('0x' || substr(x, 2 * i + 1, 6))::bigint) % 65521 as bucket from (select *, unnest(range(0, (length(x) // 2 - 2)::bigint)) as i from h)),
 c as (select lang, bucket, count(*) as n from g where not held_out and lang is not null group by all),
