@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import after_last, all_found, blank_to_null, found, last_found, regex, strip
+from .text import after_last, all_found, blank_to_null, bound, found, last_found, regex, strip
 
 _PARSERS: dict[str, Callable[[Column], Column]] = {}
 _PYTHON: set[str] = set()
@@ -149,25 +149,37 @@ def reasoning(c: Column) -> Column:
     reasoning, answer, tool_calls, unclosed_think_tag, unclosed_tool_call, multiple_think_blocks.
     """
     block, close = THINK_OPEN + "(.*?)" + THINK_CLOSE, THINK_CLOSE
-    blocks = all_found(c, block, flags="is")
-    closed, orphan = F.size(blocks) > 0, c.rlike(regex(close, "i"))
-    opened = c.rlike(regex(THINK_OPEN, "i"))
-    tools = all_found(c, TOOL_CALL, flags="is")
-    open_tool = found(c, TOOL_OPEN, flags="is")
-    has_tools = F.size(tools) > 0
-    thought = F.when(closed, strip(F.try_element_at(blocks, F.lit(1)))).when(orphan, strip(found(c, r"\A(.*?)" + close, flags="is"))).when(opened, strip(found(c, THINK_OPEN + "(.*)", flags="is")))
-    rest = F.when(closed, found(c, r"\A.*?" + block + r"(.*)\z", 2, "is")).when(orphan, found(c, r"\A.*?" + close + r"(.*)\z", 1, "is"))
-    plain = F.when(has_tools, F.regexp_replace(c, regex(TOOL_CALL, "is"), ""))
-    known = closed | orphan | opened
-    fields = F.struct(
-        thought.alias("reasoning"),
-        blank_to_null(strip(F.when(known, rest).otherwise(plain))).alias("answer"),
-        F.when(has_tools, F.transform(tools, strip)).when(open_tool.isNotNull(), F.array(strip(open_tool))).alias("tool_calls"),
-        F.when(opened & ~closed & ~orphan, F.lit(True)).alias("unclosed_think_tag"),
-        F.when(~has_tools & open_tool.isNotNull(), F.lit(True)).alias("unclosed_tool_call"),
-        F.when(F.size(blocks) > 1, F.lit(True)).alias("multiple_think_blocks"),
-    )
-    return F.when(F.length(c) > 0, fields)
+    # each pattern runs at most once over a text, and none over a text without its tag's name
+    names = bound(F.lower(c), lambda low: F.struct(F.contains(low, F.lit("think")).alias("think"), F.contains(low, F.lit("tool_call")).alias("tool")))
+
+    def parts(s: Column) -> Column:
+        none = F.array().cast("array<string>")
+        seen = F.struct(F.when(s["think"], all_found(c, block, flags="is")).otherwise(none).alias("blocks"), F.when(s["tool"], all_found(c, TOOL_CALL, flags="is")).otherwise(none).alias("tools"), s["think"].alias("think"), s["tool"].alias("tool"))
+        return bound(seen, with_tags)
+
+    def with_tags(s: Column) -> Column:
+        closed, has_tools = F.size(s["blocks"]) > 0, F.size(s["tools"]) > 0
+        orphan = F.when(s["think"] & ~closed, c.rlike(regex(close, "i"))).otherwise(False)
+        opened = F.when(s["think"] & ~closed, c.rlike(regex(THINK_OPEN, "i"))).otherwise(closed)
+        open_tool = F.when(s["tool"], found(c, TOOL_OPEN, flags="is"))
+        seen = F.struct(closed.alias("closed"), has_tools.alias("has_tools"), orphan.alias("orphan"), opened.alias("opened"), open_tool.alias("open_tool"), s["blocks"].alias("blocks"), s["tools"].alias("tools"))
+        return bound(seen, fields)
+
+    def fields(s: Column) -> Column:
+        closed, orphan, opened, tools, open_tool, has_tools = (s[k] for k in ("closed", "orphan", "opened", "tools", "open_tool", "has_tools"))
+        thought = F.when(closed, strip(F.try_element_at(s["blocks"], F.lit(1)))).when(orphan, strip(found(c, r"\A(.*?)" + close, flags="is"))).when(opened, strip(found(c, THINK_OPEN + "(.*)", flags="is")))
+        rest = F.when(closed, found(c, r"\A.*?" + block + r"(.*)\z", 2, "is")).when(orphan, found(c, r"\A.*?" + close + r"(.*)\z", 1, "is"))
+        plain = F.when(has_tools, F.regexp_replace(c, regex(TOOL_CALL, "is"), ""))
+        return F.struct(
+            thought.alias("reasoning"),
+            blank_to_null(strip(F.when(closed | orphan | opened, rest).otherwise(plain))).alias("answer"),
+            F.when(has_tools, F.transform(tools, strip)).when(open_tool.isNotNull(), F.array(strip(open_tool))).alias("tool_calls"),
+            F.when(opened & ~closed & ~orphan, F.lit(True)).alias("unclosed_think_tag"),
+            F.when(~has_tools & open_tool.isNotNull(), F.lit(True)).alias("unclosed_tool_call"),
+            F.when(F.size(s["blocks"]) > 1, F.lit(True)).alias("multiple_think_blocks"),
+        )
+
+    return F.when(F.length(c) > 0, bound(names, parts))
 
 
 # --- parsers that walk the text -------------------------------------------------------------

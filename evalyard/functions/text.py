@@ -6,6 +6,8 @@ line), ``U`` (Unicode classes), ``iu`` (Unicode case folding), ``s`` (dot matche
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,11 @@ def path_pattern(glob: str) -> str:
     return _glob.translate(glob, recursive=True, include_hidden=False, seps="/").removesuffix("\\Z").removesuffix("\\z") + "\\z"
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def quoted(c: Column) -> Column:
     """A Java pattern that matches the column's text literally."""
     return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
