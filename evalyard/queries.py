@@ -714,7 +714,7 @@ def group_numbers(spark, sf):
     return rows.group_numbers(table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"), "l_returnflag", ["l_orderkey", "l_linenumber"], "nth", "total").drop("l_returnflag")
 
 
-@query("name_widths", "select greatest(10, max(length(n_name))) as n_name, 10 as r_name from nation, region where length(r_name) < 12")
+@query("name_widths", "select greatest(10, max(length(n_name)))::int as n_name, 10 as r_name from nation, region where length(r_name) < 12")
 def name_widths(spark, sf):
     pairs = table(spark, sf, "nation").select("n_name").crossJoin(F.broadcast(table(spark, sf, "region").where(F.length("r_name") < 6).select("r_name")))
     return planning.name_widths(pairs, "n_name", "r_name")
@@ -742,7 +742,7 @@ def variant_records(spark, sf):
     return rows.records_of(df).select("row", "completion_input", chat.alias("chat"), F.to_json("ground_truth").alias("truth"))
 
 
-@query("half_sample_sizes", "select unnest(range(0, 200)) as replicate, count(*) // 2 as members, (count(*) // 2) * 2 >= count(*) - 1 as is_half from labels")
+@query("half_sample_sizes", "select unnest(range(0, 200))::int as replicate, count(*) // 2 as members, (count(*) // 2) * 2 >= count(*) - 1 as is_half from labels")
 def half_sample_sizes(spark, sf):
     """Each of 200 half samples has exactly half of the rows."""
     flags = F.array(F.col("quality").cast("int"), (1 - F.col("toxic")).cast("int"))
@@ -770,7 +770,7 @@ def result_table(spark, sf):
     return readers.result_scores(both, order="at").unionByName(readers.tag_fractions(texts, ["<think>", "<fast>", "<none>"]).withColumn("value", rounded("value")))
 
 
-@query("token_totals", "select l_orderkey, sum(l_linenumber + l_quantity::bigint) as prompt_tokens, sum(l_suppkey) as completion_tokens from lineitem group by l_orderkey")
+@query("token_totals", "select l_orderkey, sum(l_linenumber + l_quantity::bigint)::bigint as prompt_tokens, sum(l_suppkey)::bigint as completion_tokens from lineitem group by l_orderkey")
 def token_totals(spark, sf):
     """Tokens of each order's lines, given as lists."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.array(F.array(F.col("l_linenumber").cast("bigint")), F.array(F.col("l_quantity").cast("bigint"))).alias("prompt_tokens"), F.array(F.col("l_suppkey"), F.lit(None).cast("bigint")).alias("completion_tokens"))
