@@ -111,14 +111,15 @@ def with_responses(rows: DataFrame, responses: DataFrame, key: str, name: str, p
     ``responses`` has a record a choice: ``key``, index, text, token_logprobs, text_offset and completion_tokens (of the
     whole request), in any order. The indices must be those of the array ``prompts`` of the row, each once. Where offsets
     are missing, the echoed text says how many generated tokens follow the prompt (none or one), and the
-    request's count must confirm it. Records beyond ``MOST_CHOICES`` are counted, not gathered.
+    request's count must confirm it. Records beyond ``MOST_CHOICES`` are counted, not gathered. The gathered arrays are as
+    long as the rows are many, and Spark guesses them far too small, so the join is always by shuffle.
     """
     bare = lambda c: F.coalesce(F.size(c) <= 0, F.lit(True))
     fields = ["index", "text", "token_logprobs", "text_offset", "completion_tokens"]
     each = responses.groupBy(key, "index").agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in fields[1:]])
     within = F.col("index").between(0, MOST_CHOICES - 1)
     per = each.groupBy(key).agg(F.sum("_n").alias("_records"), F.count_if(within).alias("_indices"), F.array_sort(F.collect_list(F.when(within, F.struct(*fields)))).alias("_r"))
-    df = rows.join(per, key, "left")
+    df = rows.join(per.hint("merge"), key, "left")
     n, r = F.size(prompts), F.col("_r")
     ordered = (F.col("_records") == n) & (F.col("_indices") == n) & F.forall(F.zip_with(r, F.sequence(F.lit(0), n - 1), lambda x, i: x["index"] == i), lambda ok: F.coalesce(ok, F.lit(False)))
     tails = F.zip_with(r, prompts, lambda x, p: F.when(~bare(x["text_offset"]), 0).when(x["text"] == p, 0).when(F.startswith(x["text"], p), 1))

@@ -141,3 +141,13 @@ def test_raw_responses(spark):
     got = {r.row: r for r in choice.with_responses(base, raw, "row", "full", "prompts").collect()}
     assert got[0].choice_problem is None and [(x.token_logprobs[1], x.generated_tail_n_tokens) for x in got[0].full] == [(-1.0, 0), (-2.0, 1)]
     assert [got[k].choice_problem is not None for k in range(1, 7)] == [True] * 6 and "echo" in got[3].choice_problem and "count" in got[4].choice_problem and "no responses" in got[5].choice_problem
+
+
+def test_responses_are_joined_by_shuffle(spark):
+    """The gathered arrays grow with the rows, so no size that Spark guesses may bring them to the driver."""
+    base = spark.createDataFrame([(k, ["Q A"]) for k in range(3)], "row int, prompts array<string>")
+    raw = spark.createDataFrame([(k, 0, "Q A", [-1.0], None, 0) for k in range(3)], "row int, index int, text string, token_logprobs array<double>, text_offset array<int>, completion_tokens int")
+    joined = choice.with_responses(base, raw, "row", "full", "prompts")
+    assert joined.count() == 3 and joined.where("choice_problem is null").count() == 3
+    joined.collect()
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
