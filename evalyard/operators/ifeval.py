@@ -82,7 +82,8 @@ def _compare(n: Column, args: Args, limit: str, relation: str = "relation") -> C
 
 
 def _filled(c: Column) -> Column:
-    return F.length(strip(c)) > 0
+    """Whether anything but white space is there; the search ends at the first such character."""
+    return F.rlike(c, F.lit(regex(r"\S")))
 
 
 @check("keywords:existence")
@@ -308,26 +309,29 @@ def grade(df: DataFrame, response: str = "response", languages: Languages | None
     flags. Without a model, sentences end by fixed rules. An unknown instruction is an error.
     """
     texts = F.array(*variants(F.col(response)))
-    # only rows that ask for JSON or for a language pay for its parser
-    flags = _json_flags(F.when(F.array_contains("instruction_ids", JSON), texts))
+    # only rows that ask for JSON or for a language pay for its parser, and plans that never ask hold none
+    json_asked = F.array_contains("instruction_ids", JSON)
     asks = F.arrays_overlap("instruction_ids", F.array(*map(F.lit, LANGUAGE)))
-    tongues = languages.of_all(F.when(asks, texts)) if languages else F.lit(None).cast("array<string>")
-    out = df.withColumns({"_json": flags, "_tongues": tongues})
+    tongues = F.when(asks, languages.of_all(F.when(asks, texts))) if languages else F.lit(None).cast("array<string>")
+    out = df.withColumns({"_json": F.when(json_asked, _json_flags(F.when(json_asked, texts))), "_tongues": tongues})
     at = F.sequence(F.lit(0), F.size(texts) - 1)
     out = out.withColumn("_texts", F.transform(at, lambda i: F.struct(F.get(texts, i).alias("t"), F.get("_json", i).alias("j"), F.get("_tongues", i).alias("l"))))
-    first = F.element_at("_texts", 1)
-    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(first["t"], first["j"], first["l"], i, k, sentences))
+    # the strict flags don't go by way of the readings, which a plan without the loose ones then never makes
+    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(F.col(response), F.get("_json", F.lit(0)), F.get("_tongues", F.lit(0)), i, k, sentences))
     loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists("_texts", lambda r: _dispatch(r["t"], r["j"], r["l"], i, k, sentences)))
     return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_tongues", "_texts")
 
 
-def accuracy_scores(graded: DataFrame) -> DataFrame:
-    """strict and loose × prompt and instruction accuracy over decided flags, NaN without any; a prompt that an undecided flag leaves open isn't counted."""
+def accuracy_scores(graded: DataFrame, modes: tuple[str, ...] = ("strict", "loose")) -> DataFrame:
+    """strict and loose × prompt and instruction accuracy over decided flags, NaN without any; a prompt that an undecided flag leaves open isn't counted.
+
+    Flags of a mode that isn't among ``modes`` aren't made.
+    """
     aggs = []
-    for m in ("strict", "loose"):
+    for m in modes:
         aggs.append(F.avg(F.forall(m, lambda x: x).cast("double")))
         aggs.append(F.try_divide(F.sum(F.size(F.filter(m, lambda x: x))), F.sum(F.size(F.filter(m, lambda x: x.isNotNull())))))
-    wide = graded.agg(*[F.coalesce(a, F.lit(float("nan"))).alias(f"{m}_{k}_accuracy") for a, (m, k) in zip(aggs, ((m, k) for m in ("strict", "loose") for k in ("prompt", "instruction")))])
+    wide = graded.agg(*[F.coalesce(a, F.lit(float("nan"))).alias(f"{m}_{k}_accuracy") for a, (m, k) in zip(aggs, ((m, k) for m in modes for k in ("prompt", "instruction")))])
     return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in wide.columns])))
 
 

@@ -192,3 +192,24 @@ def test_rows(spark):
     merged = frame(spark, [({"a": 1, "b": 2}, {"b": 3})], "x map<string,int>, y map<string,int>").select(rows.merge_settings(F.col("x"), F.col("y"))).first()[0]
     assert merged == {"a": 1, "b": 3}
     assert rows.new_messages(frame(spark, [(1, 1, ["a"]), (1, 2, ["a", "b", "c"])], "s int, t int, m array<string>"), "s", "t", "m").orderBy("t").collect()[1].new == ["b", "c"]
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _asked(spark):
+    kwargs = F.expr("array(map('-', '-'), map('relation', 'at least', 'keyword', 'tion', 'frequency', '1'))")
+    rows_ = spark.createDataFrame([("nation, one",), ("nation",), (" \n ",), (None,)], "response string")
+    return rows_.select("response", F.array(F.lit("punctuation:no_comma"), F.lit("keywords:frequency")).alias("instruction_ids"), kwargs.alias("kwargs"))
+
+
+def test_strict_scores_make_no_loose_readings(spark):
+    """The eight readings of each text, and a Python worker for rules that no row asks for, aren't in the plan."""
+    scores = ifeval.accuracy_scores(ifeval.grade(_asked(spark)), ("strict",))
+    assert {r["name"]: r["value"] for r in scores.collect()} == {"strict_prompt_accuracy": 0.25, "strict_instruction_accuracy": 3 / 8}
+    plan = _plan(scores)
+    assert "array_join" not in plan and "ArrowEvalPython" not in plan
+    both = {r["name"]: r["value"] for r in ifeval.accuracy_scores(ifeval.grade(_asked(spark))).collect()}
+    assert set(both) == {f"{m}_{k}_accuracy" for m in ("strict", "loose") for k in ("prompt", "instruction")} and both["strict_prompt_accuracy"] == 0.25
