@@ -213,3 +213,10 @@ def test_strict_scores_make_no_loose_readings(spark):
     assert "array_join" not in plan and "ArrowEvalPython" not in plan
     both = {r["name"]: r["value"] for r in ifeval.accuracy_scores(ifeval.grade(_asked(spark))).collect()}
     assert set(both) == {f"{m}_{k}_accuracy" for m in ("strict", "loose") for k in ("prompt", "instruction")} and both["strict_prompt_accuracy"] == 0.25
+
+
+def test_strict_report_makes_no_loose_readings(spark):
+    got = ifeval.report(ifeval.grade(_asked(spark)))
+    assert {(r.tier, r.id): (r.total, r.correct) for r in got.collect()} == {(0, "punctuation"): (4, 1), (1, "punctuation:no_comma"): (4, 1), (0, "keywords"): (4, 2), (1, "keywords:frequency"): (4, 2)}
+    plan = _plan(got)
+    assert "array_join" not in plan and "ArrowEvalPython" not in plan
