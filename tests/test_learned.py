@@ -101,3 +101,29 @@ def test_language_rules(spark):
     got = [r.strict for r in ifeval.grade(df, languages=model).collect()]
     assert [g for g in got[:6]] == [w for _, w in cases[:6]] and got[6] == [None, False, False]
     assert ifeval.grade(df).collect()[0].strict == [None, False, False]
+
+
+def test_language_work_is_bounded(spark):
+    """Scoring and learning hold some megabytes beside the texts, and long texts in pieces score as whole ones."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    model = language.Languages(("a", "b"), rng.normal(size=(language.BUCKETS, 2)))
+    texts = ["".join(map(chr, rng.integers(97, 123, n))) for n in (0, 1, 900_000, 2_000_000, 5)] + ["é" * 400_000, None]
+    tracemalloc.start()
+    got = model.detect(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    for t, g in zip(texts, got):
+        raw = np.frombuffer(b" %s " % (t or "").encode(), np.uint8).astype(np.int64)
+        total = model.weights[(raw[:-2] * 65536 + raw[1:-1] * 256 + raw[2:]) % language.BUCKETS].sum(axis=0) / language.OVERLAP
+        assert g is None if not t else (g[0] == "ab"[total.argmax()] and g[1] == pytest.approx(1 / np.exp(total - total.max()).sum()))
+    docs = spark.createDataFrame([("ab" * 700_000, "x"), ("cd", "y"), (None, "x"), ("", None)], "text string, lang string")
+    counts = language.learn(docs)
+    want = np.full(language.BUCKETS, language.SMOOTH)
+    for g, n in ((" ab", 1), ("aba", 699_999), ("bab", 699_999), ("ab ", 1)):
+        want[int.from_bytes(g.encode()) % language.BUCKETS] += n
+    assert counts.names == ("x", "y") and np.allclose(counts.weights[:, 0], np.log(want / want.sum()))
