@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.language import Languages
 from ..functions.sentences import Boundaries
-from ..functions.text import all_found, quoted, regex, strip
+from ..functions.text import all_found, bound, quoted, regex, strip
 
 Args = Callable[[str], Column]
 _CHECKS: dict[str, Callable[[Column, Args], Column]] = {}
@@ -278,13 +278,16 @@ def follows(instruction: str, response: Column, languages: Languages | None = No
     return F.coalesce(_filled(response) & check(response, lambda k: F.lit(args.get(k))), F.lit(False))
 
 
-def variants(response: Column) -> list[Column]:
-    """A response with and without its first and last line and its asterisks: the eight loose readings."""
-    lines = F.split(response, "\n", -1)
-    n = F.size(lines)
-    join = lambda start, size: strip(F.array_join(F.slice(lines, F.lit(start), F.greatest(size, F.lit(0))), "\n"))
-    plain = [response, join(2, n - 1), join(1, n - 1), join(2, n - 2)]
-    return plain + [F.replace(p, F.lit("*"), F.lit("")) for p in plain]
+def variants(response: Column) -> Column:
+    """A response with and without its first and last line and its asterisks: the eight loose readings, from one split into lines."""
+
+    def plain(lines: Column) -> Column:
+        n = F.size(lines)
+        join = lambda start, size: strip(F.array_join(F.slice(lines, F.lit(start), F.greatest(size, F.lit(0))), "\n"))
+        return F.array(response, join(2, n - 1), join(1, n - 1), join(2, n - 2))
+
+    bare = lambda texts: F.transform(texts, lambda t: F.replace(t, F.lit("*"), F.lit("")))
+    return bound(bound(F.split(response, "\n", -1), plain), lambda texts: F.concat(texts, bare(texts)))
 
 
 def _dispatch(value: Column, is_json: Column, tongue: Column, name: Column, args: Column, sentences: Boundaries | None) -> Column:
@@ -308,18 +311,18 @@ def grade(df: DataFrame, response: str = "response", languages: Languages | None
     language decides and isn't known with confidence, or no model is given, the flag is null; the scores and reports pass over such
     flags. Without a model, sentences end by fixed rules. An unknown instruction is an error.
     """
-    texts = F.array(*variants(F.col(response)))
+    texts = variants(F.col(response))
     # only rows that ask for JSON or for a language pay for its parser, and plans that never ask hold none
     json_asked = F.array_contains("instruction_ids", JSON)
     asks = F.arrays_overlap("instruction_ids", F.array(*map(F.lit, LANGUAGE)))
     tongues = F.when(asks, languages.of_all(F.when(asks, texts))) if languages else F.lit(None).cast("array<string>")
     out = df.withColumns({"_json": F.when(json_asked, _json_flags(F.when(json_asked, texts))), "_tongues": tongues})
-    at = F.sequence(F.lit(0), F.size(texts) - 1)
-    out = out.withColumn("_texts", F.transform(at, lambda i: F.struct(F.get(texts, i).alias("t"), F.get("_json", i).alias("j"), F.get("_tongues", i).alias("l"))))
     # the strict flags don't go by way of the readings, which a plan without the loose ones then never makes
     strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(F.col(response), F.get("_json", F.lit(0)), F.get("_tongues", F.lit(0)), i, k, sentences))
-    loose = F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists("_texts", lambda r: _dispatch(r["t"], r["j"], r["l"], i, k, sentences)))
-    return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_tongues", "_texts")
+    # the readings are made once a row, not once an instruction, and equal ones are checked once
+    readings = F.array_distinct(F.transform(texts, lambda t, n: F.struct(t.alias("t"), F.get("_json", n).alias("j"), F.get("_tongues", n).alias("l"))))
+    loose = bound(readings, lambda rs: F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists(rs, lambda r: _dispatch(r["t"], r["j"], r["l"], i, k, sentences))))
+    return out.withColumns({"strict": strict, "loose": loose}).drop("_json", "_tongues")
 
 
 def accuracy_scores(graded: DataFrame, modes: tuple[str, ...] = ("strict", "loose")) -> DataFrame:

@@ -220,3 +220,24 @@ def test_strict_report_makes_no_loose_readings(spark):
     assert {(r.tier, r.id): (r.total, r.correct) for r in got.collect()} == {(0, "punctuation"): (4, 1), (1, "punctuation:no_comma"): (4, 1), (0, "keywords"): (4, 2), (1, "keywords:frequency"): (4, 2)}
     plan = _plan(got)
     assert "array_join" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_loose_readings_are_made_once_a_row(spark):
+    """Against a plain walk over the eight readings; each is joined from lines in one place of the plan."""
+    texts = ["a, b", "a, b\nc", "c\na, b", "a, b\nc nation\nd, e", "*na*tion\nx,\n\n", " \n na,tion 　\n ", "\n\n", "*", "**\n*,*", "one\r\ntwo, three", "nation*", "", None]
+
+    def walk(t):
+        if t is None:
+            return [False, False]
+        r = t.split("\n")
+        plain = [t, *("\n".join(x).strip() for x in (r[1:], r[:-1], r[1:-1]))]
+        readings = [x for x in (*plain, *(p.replace("*", "") for p in plain)) if x.strip()]
+        return [any("," not in x for x in readings), any("nation" in x for x in readings)]
+
+    kwargs = F.expr("array(map('-', '-'), map('relation', 'at least', 'keyword', 'nation', 'frequency', '1'))")
+    df = spark.createDataFrame([(t,) for t in texts], "response string")
+    graded = ifeval.grade(df.select("response", F.array(F.lit("punctuation:no_comma"), F.lit("keywords:frequency")).alias("instruction_ids"), kwargs.alias("kwargs")))
+    assert {r.response: r.loose for r in graded.collect()} == {t: walk(t) for t in texts}
+    report = ifeval.report(graded, "loose")
+    assert {r.id: r.correct for r in report.collect() if r.tier} == {k: sum(walk(t)[n] for t in texts) for n, k in enumerate(("punctuation:no_comma", "keywords:frequency"))}
+    assert _plan(report).count("array_join(") == 3
