@@ -318,7 +318,7 @@ def grade(df: DataFrame, response: str = "response", languages: Languages | None
     tongues = F.when(asks, languages.of_all(F.when(asks, texts))) if languages else F.lit(None).cast("array<string>")
     out = df.withColumns({"_json": F.when(json_asked, _json_flags(F.when(json_asked, texts))), "_tongues": tongues})
     # the strict flags don't go by way of the readings, which a plan without the loose ones then never makes
-    strict = F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(F.col(response), F.get("_json", F.lit(0)), F.get("_tongues", F.lit(0)), i, k, sentences))
+    strict = bound(F.col(response), lambda v: F.zip_with("instruction_ids", "kwargs", lambda i, k: _dispatch(v, F.get("_json", F.lit(0)), F.get("_tongues", F.lit(0)), i, k, sentences)))
     # the readings are made once a row, not once an instruction, and equal ones are checked once
     readings = F.array_distinct(F.transform(texts, lambda t, n: F.struct(t.alias("t"), F.get("_json", n).alias("j"), F.get("_tongues", n).alias("l"))))
     loose = bound(readings, lambda rs: F.zip_with("instruction_ids", "kwargs", lambda i, k: F.exists(rs, lambda r: _dispatch(r["t"], r["j"], r["l"], i, k, sentences))))
